@@ -47,7 +47,8 @@ def with_views(sql: str) -> str:
 
 def _load_all() -> None:
     # importing the modules registers their queries
-    from fareflow.plans import queries_core, queries_explore, queries_joins, queries_scalar  # noqa: F401
+    from fareflow.plans import (queries_core, queries_explore, queries_joins,  # noqa: F401
+                                queries_nested, queries_scalar)
 
 
 def queries() -> dict[str, QueryFn]:
