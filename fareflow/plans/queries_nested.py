@@ -173,6 +173,7 @@ def a2(spark, sf_dir):
              .unionByName(DOC.v1_1_documents(q.filter(F.col("l_linenumber") % 3 == 2), "b")
                           .select(F.to_json(F.struct("*")).alias("value"))))
     routed = N.route_generations(lines)
+    routed.pop("corrupt")
     out = None
     for g, df in routed.items():
         part = df.agg(F.lit(g).alias("generation"), F.count(F.lit(1)).alias("n"))
