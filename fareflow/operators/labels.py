@@ -41,10 +41,15 @@ def route_key(*cols: str | Column, sep: str = "-", null_token: str | None = None
 
 def with_future_min(df: DataFrame, key: Sequence[str], order_col: str = "searchDate",
                     price: str = "price", days: int | None = 19,
-                    out: str = "futureMinPrice") -> DataFrame:
+                    out: str = "futureMinPrice", broadcast_rows: int | None = 2_000_000) -> DataFrame:
     """Minimum ``price`` over quotes of the same ``key`` whose ``order_col``
     day lies in ``[day, day + days]`` (G3), or in ``[day, +inf)`` when
-    ``days`` is None (G2, tie-safe form)."""
+    ``days`` is None (G2, tie-safe form).
+
+    The per-(key, day) table is broadcast to the fact rows when it has at
+    most ``broadcast_rows`` rows (checked, see ``joins.checked_broadcast``),
+    so the facts are never shuffled; beyond that it is a shuffle join.
+    ``broadcast_rows=None`` skips the check and leaves the choice to Spark."""
     key = list(key)
     day = F.unix_date(F.col(order_col).cast("date"))
     daily = (df.select(*key, day.alias(DAY), F.col(price))
@@ -53,6 +58,9 @@ def with_future_min(df: DataFrame, key: Sequence[str], order_col: str = "searchD
     w = Window.partitionBy(*key).orderBy(DAY).rangeBetween(0, end)
     fm = daily.select(*[F.col(k).alias(f"_ff_k{i}") for i, k in enumerate(key)],
                       F.col(DAY).alias("_ff_kday"), F.min("_ff_dmin").over(w).alias(out))
+    if broadcast_rows is not None:
+        from fareflow.operators.joins import checked_broadcast
+        fm, _ = checked_broadcast(fm, broadcast_rows)
     left = df.withColumn(DAY, day)
     cond = F.col(DAY).eqNullSafe(F.col("_ff_kday"))
     for i, k in enumerate(key):
@@ -61,19 +69,49 @@ def with_future_min(df: DataFrame, key: Sequence[str], order_col: str = "searchD
     return joined.drop(DAY, "_ff_kday", *[f"_ff_k{i}" for i in range(len(key))])
 
 
-def with_future_min_rows(df: DataFrame, key: Sequence[str], order_cols: Sequence[str],
+def with_future_min_rows(df: DataFrame, key: Sequence[str], order_cols: Sequence,
                          price: str = "price", rows: int = 19 * 86400,
                          out: str = "futureMinPrice") -> DataFrame:
-    """Row-framed variant exactly as the reference writes it (G4):
-    ``rowsBetween(0, rows)`` over a *total* order (``order_cols`` must make
-    it unique).  With ``rows`` = 19*86400 the frame reaches the end of
-    almost every key, i.e. it equals the unbounded form.
-
-    Kept for fidelity only.  It is a plain window: one task sorts a whole
-    key, so use :func:`with_future_min` for production runs.
+    """Row-framed variant as the reference writes it (G4): minimum over the
+    current row and the next ``rows`` rows of the same key, in a *total*
+    order (``order_cols`` must make it unique).  With ``rows`` = 19*86400
+    the frame reaches the end of almost every key.
+
+    Computed without sorting a whole key in one task: rows get their
+    position inside the key (``ranking.with_rank_in_group``), positions are
+    cut into blocks of ``rows + 1``, and a frame starting at offset r of
+    block b is the suffix of block b from r plus the prefix of block b+1
+    up to r-1.  Suffix and prefix minima are windows over one block (size
+    bounded by the frame, not by the key), joined back by exact position.
     """
-    w = Window.partitionBy(*key).orderBy(*order_cols).rowsBetween(0, rows)
-    return df.withColumn(out, F.min(price).over(w))
+    from fareflow.operators.ranking import with_rank_in_group
+    key = list(key)
+    B = int(rows) + 1
+    r = with_rank_in_group(df, key, list(order_cols), "_ff_pos")
+    r = r.withColumns({"_ff_blk": F.floor(F.col("_ff_pos") / B), "_ff_off": F.col("_ff_pos") % B})
+    wb = Window.partitionBy(*key, "_ff_blk").orderBy("_ff_off")
+    r = r.withColumns({
+        "_ff_suf": F.min(price).over(wb.rowsBetween(0, Window.unboundedFollowing)),
+        "_ff_pre": F.min(price).over(wb.rowsBetween(Window.unboundedPreceding, 0))})
+    kn = [f"_ff_n{i}" for i in range(len(key))]
+    kb = [f"_ff_b{i}" for i in range(len(key))]
+    # prefix minimum of block b+1 at offset r-1 ...
+    nxt = r.select(*[F.col(k).alias(a) for k, a in zip(key, kn)],
+                   (F.col("_ff_blk") - 1).alias("_ff_nblk"), (F.col("_ff_off") + 1).alias("_ff_noff"),
+                   F.col("_ff_pre").alias("_ff_npre"))
+    # ... or, when block b+1 is the (short) last block, its whole minimum
+    blk = r.groupBy(*key, "_ff_blk").agg(F.min(price).alias("_ff_bmin")).select(
+        *[F.col(k).alias(a) for k, a in zip(key, kb)], (F.col("_ff_blk") - 1).alias("_ff_bblk"), "_ff_bmin")
+    c1 = (F.col("_ff_blk") == F.col("_ff_nblk")) & (F.col("_ff_off") == F.col("_ff_noff"))
+    c2 = F.col("_ff_blk") == F.col("_ff_bblk")
+    for k, a, b in zip(key, kn, kb):
+        c1 = c1 & r[k].eqNullSafe(F.col(a))
+        c2 = c2 & r[k].eqNullSafe(F.col(b))
+    j = r.join(nxt, c1, "left").join(blk, c2, "left")
+    nxt_part = F.when(F.col("_ff_off") > 0, F.coalesce(F.col("_ff_npre"), F.col("_ff_bmin")))
+    res = j.withColumn(out, F.least(F.col("_ff_suf"), nxt_part))
+    return res.drop("_ff_pos", "_ff_blk", "_ff_off", "_ff_suf", "_ff_pre", "_ff_nblk", "_ff_noff", "_ff_npre",
+                    "_ff_bblk", "_ff_bmin", *kn, *kb)
 
 
 def drop_label(price: str | Column = "price", future: str | Column = "futureMinPrice",

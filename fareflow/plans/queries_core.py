@@ -121,3 +121,27 @@ def e5(spark, sf_dir):
     q = quote_view(spark, sf_dir).select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                                          "fromCity", "airlineName", "price")
     return L.with_group_min(q, ["fromCity", "airlineName"], "price")
+
+
+def _g4(spark, sf_dir, rows):
+    q = quote_view(spark, sf_dir).filter(F.col("price") > 0).select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "fromCity", "toCity", "searchDate", "price")
+    order = ["searchDate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    return L.with_future_min_rows(q, ["fromCity", "toCity"], order, "price", rows)
+
+
+_G4_SQL = """
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, fromCity, toCity, searchDate, price,
+  min(price) OVER (PARTITION BY fromCity, toCity ORDER BY searchDate, l_orderkey, l_linenumber, l_partkey,
+                   l_suppkey ROWS BETWEEN CURRENT ROW AND {n} FOLLOWING) AS futureMinPrice
+FROM q WHERE price > 0"""
+
+
+@register("G4_rows_frame_19x86400", _G4_SQL.format(n=19 * 86400))
+def g4_wide(spark, sf_dir):
+    return _g4(spark, sf_dir, 19 * 86400)
+
+
+@register("G4_rows_frame_5", _G4_SQL.format(n=5))
+def g4_narrow(spark, sf_dir):
+    return _g4(spark, sf_dir, 5)

@@ -101,3 +101,13 @@ def test_split_matched_is_a_partition(spark):
     a, b = split_matched(fact, dim, ["c"])
     assert sorted(r.id for r in a.collect()) == [1]
     assert sorted(r.id for r in b.collect()) == [2, 3]
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 2), st.integers(1, 1000)), min_size=1, max_size=50), st.integers(0, 12))
+def test_rows_frame_blocks_match_window(spark, rows, n):
+    df = spark.createDataFrame([(i, str(k), float(p)) for i, (k, p) in enumerate(rows)], "id long, k string, price double")
+    got = {r.id: r.futureMinPrice for r in labels.with_future_min_rows(df, ["k"], ["id"], "price", n).collect()}
+    w = Window.partitionBy("k").orderBy("id").rowsBetween(0, n)
+    exp = {r.id: r.m for r in df.withColumn("m", F.min("price").over(w)).collect()}
+    assert got == exp
