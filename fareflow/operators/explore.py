@@ -130,3 +130,20 @@ def max_row(df: DataFrame, metric: str, value: str) -> DataFrame:
     """Value at the maximum metric (F20), as one aggregate (no self-join)."""
     return df.agg(F.max(metric).alias(f"max_{metric}"),
                   F.max_by(value, F.struct(F.col(metric), F.col(value))).alias(value))
+
+
+def cast_failures(df: DataFrame, targets: dict[str, str]) -> DataFrame:
+    """Cast-conformance report (C8): per column, non-NULL values that do not
+    convert to the target type (``try_cast`` gives NULL), in one pass."""
+    aggs = []
+    for c, t in targets.items():
+        aggs.append(F.count(F.when(F.col(c).isNotNull() & F.col(c).try_cast(t).isNull(), 1)).alias(c))
+    wide = df.agg(*aggs)
+    cols = list(targets)
+    return wide.unpivot([], cols, "column", "failures").select("column", F.col("failures").cast("long"))
+
+
+def frequent_items_approx(df: DataFrame, cols: list[str], support: float = 0.01) -> DataFrame:
+    """Spark's one-pass frequent-items sketch (F13, may contain false
+    positives); see ``frequent_exact`` for the exact variant."""
+    return df.freqItems(cols, support)

@@ -51,8 +51,24 @@ def time_split(df: DataFrame, date_col: str, start_test: str, out: str = "split"
                          .otherwise("test"))
 
 
-def fixed_size_sample(df: DataFrame, n: int, keys: Sequence[str]) -> DataFrame:
+def fixed_size_sample(df: DataFrame, n: int, keys: Sequence[str], bucket_expr: Column | None = None) -> DataFrame:
     """n rows with the smallest key hash (H6): a deterministic top-k, so
     Spark keeps only n rows per task before the final merge."""
-    h = F.xxhash64(*[F.col(k) for k in keys])
+    h = bucket_expr if bucket_expr is not None else F.xxhash64(*[F.col(k) for k in keys])
     return df.withColumn("_ff_h", h).orderBy("_ff_h", *keys).limit(n).drop("_ff_h")
+
+
+def take(df: DataFrame, n: int) -> DataFrame:
+    """First n rows in no particular order (H4): a LIMIT, so each task stops
+    after n rows."""
+    return df.limit(n)
+
+
+def chunk(df: DataFrame, n_chunks: int, order: Sequence[str], out: str = "chunk") -> DataFrame:
+    """Split an (ordered) list such as a file inventory into ``n_chunks``
+    contiguous ranges of near-equal size (H11), using distributed positions
+    instead of driver-side slicing."""
+    from fareflow.operators.ranking import with_position
+    total = df.agg(F.count(F.lit(1))).scalar()
+    pos = with_position(df, list(order), "_ff_p")
+    return pos.withColumn(out, F.floor(F.col("_ff_p") * n_chunks / total).cast("int")).drop("_ff_p")

@@ -48,8 +48,8 @@ def with_views(sql: str) -> str:
 def _load_all() -> None:
     # importing the modules registers their queries
     from fareflow.plans import (queries_core, queries_explore, queries_joins,  # noqa: F401
-                                queries_io, queries_ml, queries_models, queries_nested,
-                                queries_reports, queries_scalar)
+                                queries_io, queries_misc, queries_ml, queries_models,
+                                queries_nested, queries_reports, queries_scalar)
 
 
 def queries() -> dict[str, QueryFn]:

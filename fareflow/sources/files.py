@@ -74,7 +74,8 @@ def read_text_fields(spark: SparkSession, path: str, sep: str, fields: dict[str,
     return spark.read.text(path).select(*[F.get(parts, i).alias(n) for n, i in fields.items()])
 
 
-def inventory(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True) -> DataFrame:
+def inventory(spark: SparkSession, path: str, glob: str | None = None, recursive: bool = True,
+              modified_after: str | None = None, modified_before: str | None = None) -> DataFrame:
     """File inventory (A13/D11): ``(path, name, size, modified)`` without
     reading file contents (the binaryFile scan skips ``content`` when it is
     not selected)."""
@@ -83,6 +84,10 @@ def inventory(spark: SparkSession, path: str, glob: str | None = None, recursive
         r = r.option("pathGlobFilter", glob)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
+    if modified_after:
+        r = r.option("modifiedAfter", modified_after)
+    if modified_before:
+        r = r.option("modifiedBefore", modified_before)
     df = r.load(path).select("path", "length", "modificationTime")
     return df.select("path", F.regexp_extract("path", r"([^/]+)$", 1).alias("name"),
                      F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
