@@ -7,15 +7,18 @@ distinct, never by collecting values to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fareflow.operators.ranking import with_position
+
 
 def alphabetical_index(df: DataFrame, col: str, value: str = "value", code: str = "code") -> DataFrame:
     """``value -> code`` with codes 0.. in alphabetical order (M2,
     LabelEncoder semantics).  The window runs over the distinct levels only."""
     levels = df.select(F.col(col).alias(value)).filter(F.col(value).isNotNull()).distinct()
-    return levels.withColumn(code, (F.row_number().over(Window.orderBy(value)) - 1).cast("int"))
+    # distributed positions: the number of levels is not bounded in general
+    return with_position(levels, [value], "_ff_p").select(value, F.col("_ff_p").cast("int").alias(code))
 
 
 def frequency_index(df: DataFrame, col: str, value: str = "value", code: str = "code") -> DataFrame:
@@ -23,8 +26,8 @@ def frequency_index(df: DataFrame, col: str, value: str = "value", code: str = "
     StringIndexer ``frequencyDesc``); counts are aggregated first."""
     counts = df.filter(F.col(col).isNotNull()).groupBy(F.col(col).alias(value)).agg(
         F.count(F.lit(1)).alias("count"))
-    w = Window.orderBy(F.desc("count"), F.asc(value))
-    return counts.withColumn(code, (F.row_number().over(w) - 1).cast("int"))
+    pos = with_position(counts, [F.desc("count"), F.asc(value)], "_ff_p")
+    return pos.select(value, "count", F.col("_ff_p").cast("int").alias(code))
 
 
 def one_hot_long(df: DataFrame, id_cols: list[str], col: str, mapping: DataFrame,
@@ -33,7 +36,7 @@ def one_hot_long(df: DataFrame, id_cols: list[str], col: str, mapping: DataFrame
     input row with the index of its hot slot and the vector size."""
     size = mapping.agg(F.count(F.lit(1))).scalar()
     m = mapping.select(F.col(value).alias("_ff_v"), F.col(code).alias("hot"))
-    return (df.select(*id_cols, col).join(F.broadcast(m), F.col(col) == F.col("_ff_v"), "left")
+    return (df.select(*id_cols, col).join(m, F.col(col) == F.col("_ff_v"), "left")
             .select(*id_cols, col, "hot", size.cast("int").alias("size")))
 
 

@@ -69,10 +69,20 @@ def with_rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Colu
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     pos = with_position(df, [*[F.col(g) for g in group], *order], "_ff_gpos", partitions)
     sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_ff_gn"))
-    w = Window.orderBy(*group).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(*group, F.coalesce(F.sum("_ff_gn").over(w), F.lit(0)).alias("_ff_gstart"))
-    return (pos.join(F.broadcast(starts), list(group))
-            .withColumn(out, F.col("_ff_gpos") - F.col("_ff_gstart")).drop("_ff_gpos", "_ff_gstart"))
+    # group start = rows in earlier groups; the number of groups is not
+    # bounded, so this is a distributed prefix sum too
+    starts = with_prefix_sum(sizes, [F.col(g) for g in group], "_ff_gn", "_ff_gstart", partitions=partitions)
+    st = starts.select(*[F.col(g).alias(f"_ff_s{i}") for i, g in enumerate(group)], "_ff_gstart")
+    j = pos.join(st, _all([pos[g].eqNullSafe(F.col(f"_ff_s{i}")) for i, g in enumerate(group)]))
+    return (j.withColumn(out, F.col("_ff_gpos") - F.col("_ff_gstart"))
+            .drop("_ff_gpos", "_ff_gstart", *[f"_ff_s{i}" for i in range(len(group))]))
+
+
+def _all(conds):
+    out = conds[0]
+    for c in conds[1:]:
+        out = out & c
+    return out
 
 
 def stratified_folds(df: DataFrame, label: str, k: int, id_cols: Sequence[str], out: str = "fold",
