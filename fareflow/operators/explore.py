@@ -58,21 +58,21 @@ def null_counts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFram
 
 def describe_long(df: DataFrame, columns: Sequence[str], numeric: Sequence[str] = ()) -> DataFrame:
     """count / mean / stddev / min / max per column, one row per column
-    (F12).  Numeric columns get exact moments; text columns count/min/max."""
-    parts = []
-    for c in columns:
+    (F12), from ONE aggregation pass over the table.  Numeric columns get
+    exact moments; text columns count / min / max."""
+    aggs = []
+    for i, c in enumerate(columns):
         is_num = c in numeric
-        parts.append(df.agg(
-            F.lit(c).alias("column"),
-            F.count(c).alias("count"),
-            (exact_avg(c) if is_num else F.lit(None).cast("double")).alias("mean"),
-            (exact_stddev(c) if is_num else F.lit(None).cast("double")).alias("stddev"),
-            F.min(c).cast("string").alias("min"),
-            F.max(c).cast("string").alias("max")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        aggs += [F.count(c).alias(f"n{i}"),
+                 (exact_avg(c) if is_num else F.lit(None).cast("double")).alias(f"a{i}"),
+                 (exact_stddev(c) if is_num else F.lit(None).cast("double")).alias(f"s{i}"),
+                 F.min(c).cast("string").alias(f"l{i}"), F.max(c).cast("string").alias(f"h{i}")]
+    wide = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("count"),
+                              F.col(f"a{i}").alias("mean"), F.col(f"s{i}").alias("stddev"),
+                              F.col(f"l{i}").alias("min"), F.col(f"h{i}").alias("max"))
+                     for i, c in enumerate(columns)])
+    return wide.select(F.explode(rows).alias("r")).select("r.*")
 
 
 def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
