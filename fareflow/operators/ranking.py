@@ -97,33 +97,35 @@ def stratified_folds(df: DataFrame, label: str, k: int, id_cols: Sequence[str],
 
 def quantile_edges(df: DataFrame, col: str, probs: Sequence[float], tie: Sequence[str]) -> DataFrame:
     """Exact quantiles with linear interpolation (``pd.qcut`` / ``quantile_cont``
-    convention): one row per probability.  Uses global positions, so no
-    task ever holds all values."""
+    convention): one row ``(k, p, edge)`` per probability.  Uses global
+    positions, so no task ever holds all values; the values at the needed
+    ranks (two per probability) are picked in one join."""
     n = df.agg(F.count(col)).scalar()
     pos = with_position(df.filter(F.col(col).isNotNull()), [F.col(col), *[F.col(t) for t in tie]], "_ff_p")
-    ps = df.sparkSession.createDataFrame([(float(p),) for p in probs], "p double")
-    h = ps.select("p", (F.col("p") * (n - 1)).alias("_ff_h"))
-    h = h.select("p", "_ff_h", F.floor("_ff_h").alias("_ff_lo"), F.ceil("_ff_h").alias("_ff_hi"))
-    vals = pos.select("_ff_p", F.col(col).alias("_ff_v"))
-    lo = vals.select(F.col("_ff_p").alias("_ff_lo"), F.col("_ff_v").alias("_ff_vlo"))
-    hi = vals.select(F.col("_ff_p").alias("_ff_hi"), F.col("_ff_v").alias("_ff_vhi"))
-    j = h.join(lo, "_ff_lo").join(hi, "_ff_hi")
-    return j.select("p", (F.col("_ff_vlo") + (F.col("_ff_vhi") - F.col("_ff_vlo"))
-                          * (F.col("_ff_h") - F.col("_ff_lo"))).alias("edge"))
+    ps = df.sparkSession.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "k int, p double")
+    h = ps.select("k", "p", (F.col("p") * (n - 1)).alias("_ff_h"))
+    h = h.select("k", "p", "_ff_h", F.floor("_ff_h").alias("_ff_lo"), F.ceil("_ff_h").alias("_ff_hi"))
+    need = h.select("*", F.explode(F.array("_ff_lo", "_ff_hi")).alias("_ff_idx")).distinct()
+    # ``need`` has at most 2 rows per probability: a bounded broadcast
+    hit = pos.select("_ff_p", F.col(col).alias("_ff_v")).join(F.broadcast(need), F.col("_ff_p") == F.col("_ff_idx"))
+    g = hit.groupBy("k", "p", "_ff_h", "_ff_lo", "_ff_hi").agg(
+        F.max(F.when(F.col("_ff_idx") == F.col("_ff_lo"), F.col("_ff_v"))).alias("_ff_vlo"),
+        F.max(F.when(F.col("_ff_idx") == F.col("_ff_hi"), F.col("_ff_v"))).alias("_ff_vhi"))
+    return g.select("k", "p", (F.col("_ff_vlo") + (F.col("_ff_vhi") - F.col("_ff_vlo"))
+                               * (F.col("_ff_h") - F.col("_ff_lo"))).alias("edge"))
 
 
 def with_quantile_band(df: DataFrame, col: str, bands: int, tie: Sequence[str], out: str = "band") -> DataFrame:
     """Band index 0..bands-1 with right-closed bins between the exact
-    quantile edges (G9): ``band = #edges < value``.  The edges are merged
-    into the ordered rows and counted with a running total, so no edge list
-    is shipped through the driver and no row x edge pairs are formed."""
+    quantile edges (G9): ``band = #edges < value``.  The ``bands - 1`` edge
+    values (bounded by the parameter, checkpointed once) enter the row-wise
+    comparison as scalar subqueries, so banding is one native pass."""
+    from fareflow.session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(df.sparkSession)
     probs = [i / bands for i in range(1, bands)]
-    edges = quantile_edges(df, col, probs, tie).select(
-        F.col("edge").alias("_ff_val"), F.lit(1).alias("_ff_kind"))
-    rows = df.withColumns({"_ff_val": F.col(col).cast("double"), "_ff_kind": F.lit(0)})
-    u = rows.unionByName(edges, allowMissingColumns=True)
-    # rows sort before edges of the same value, so only smaller edges count
-    ranked = with_prefix_sum(u, [F.asc_nulls_first("_ff_val"), F.asc("_ff_kind"),
-                                 *[F.asc(t) for t in tie]], "_ff_kind", "_ff_band")
-    return ranked.filter(F.col("_ff_kind") == 0).withColumn(out, F.col("_ff_band").cast("int")) \
-        .drop("_ff_val", "_ff_kind", "_ff_band")
+    edges = quantile_edges(df, col, probs, tie).checkpoint(eager=True)
+    band = F.lit(0)
+    for k in range(len(probs)):
+        e = edges.filter(F.col("k") == k).select("edge").scalar()
+        band = band + (F.col(col) > e).cast("int")
+    return df.withColumn(out, band.cast("int"))

@@ -21,6 +21,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # delete checkpoint files once the checkpointed data is unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -62,3 +64,10 @@ def stage_path(spark: SparkSession, name: str) -> str:
     intermediates (written tables cut lineage and survive executor loss)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/fareflow-stage/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def drop_stage(spark: SparkSession, path: str) -> None:
+    """Delete a staged folder this job wrote (any Hadoop file system)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
