@@ -206,7 +206,7 @@ def f7(spark, sf_dir):
 
 
 @register("F8_pivot_min", """
-SELECT year(searchDate) AS y,
+SELECT CAST(year(searchDate) AS INTEGER) AS y,
   min(CASE WHEN cabin = 'ECONOMY' THEN price END) AS ECONOMY,
   min(CASE WHEN cabin = 'LARGE' THEN price END) AS LARGE,
   min(CASE WHEN cabin = 'MEDIUM' THEN price END) AS MEDIUM,

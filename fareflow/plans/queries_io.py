@@ -113,7 +113,7 @@ def b6(spark, sf_dir):
 
 @register("B8_csv_round_trip", f"""
 SELECT {SQL_IDS}, cabin, price, searchDate,
-  to_json(list_filter(string_split(stopInfo, ';'), lambda x: x <> '')) AS stops FROM q""")
+  CAST(to_json(list_filter(string_split(stopInfo, ';'), lambda x: x <> '')) AS VARCHAR) AS stops FROM q""")
 def b8(spark, sf_dir):
     from fareflow.functions.text import stop_list
     p = stage_path(spark, "csv")

@@ -57,7 +57,8 @@ def m15(spark, sf_dir):
 @register("G8_running_label_sum", f"""
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, score, label,
   row_number() OVER (ORDER BY score DESC, {SQL_TIE}) - 1 AS pos,
-  sum(label) OVER (ORDER BY score DESC, {SQL_TIE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cumLabel
+  CAST(sum(label) OVER (ORDER BY score DESC, {SQL_TIE} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+    AS BIGINT) AS cumLabel
 FROM sc""")
 def g8(spark, sf_dir):
     s = scored(spark, sf_dir)
