@@ -54,3 +54,25 @@ def test_partition_filters_reach_the_scan(spark, tmpdir_path):
     df = spark.read.parquet(p).filter((F.col("fromCity") == "NATION_1") & (F.col("price") > 1000))
     plan = _plan(df)
     assert "PartitionFilters: [isnotnull(fromCity" in plan and "PushedFilters: [IsNotNull(price), GreaterThan(price" in plan
+
+
+def test_label_window_runs_on_the_daily_aggregate(spark):
+    """The range window sees one row per (route, day), never the raw quotes."""
+    from pyspark.sql import functions as F
+    from fareflow.operators.labels import with_future_min
+    q = quote_view(spark, SF_SMALL).select("fromCity", "toCity", "searchDate", "price")
+    plan = _plan(with_future_min(q, ["fromCity", "toCity"], broadcast_rows=None))
+    win = plan[plan.index("Window ["):]
+    assert "partial_min(" in win  # map-side pre-aggregation feeds the window
+    assert "RangeFrame" in plan
+
+
+def test_global_ranks_do_not_use_a_single_partition_window(spark):
+    from pyspark.sql import functions as F
+    from fareflow.operators.ranking import with_position
+    df = spark.range(1000).withColumn("s", F.col("id") % 7)
+    plan = _plan(with_position(df, [F.desc("s"), F.asc("id")]))
+    # rows are ranked inside their range; only the per-range totals (one
+    # row per range) are ordered together
+    assert "windowspecdefinition(_ff_pid" in plan
+    assert "BroadcastExchange" in plan
