@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
 from fareflow.session import stage_path
 
@@ -48,19 +49,44 @@ def fold(doc_id: Column, mod: int, rest: int) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(mod)) == rest, F.lit(False))
 
 
-def text_chunks(batches: Iterable[pa.RecordBatch], text_col: str, max_chars: int = 2_000_000,
-                max_rows: int = 1024) -> Iterator[pa.RecordBatch]:
-    """Cut Arrow batches so that a chunk holds at most ``max_chars`` bytes of
-    text (one longer text forms a chunk of its own): what a task holds beside
-    the batch is bounded.  No text is cut."""
-    for batch in batches:
-        sizes = pc.fill_null(pc.binary_length(batch.column(text_col)), 0).to_pylist()
-        start = total = 0
-        for i, n in enumerate(sizes):
-            if i > start and (total + n > max_chars or i - start >= max_rows):
-                yield batch.slice(start, i - start)
-                start, total = i, 0
-            total += n
-        if batch.num_rows > start:
-            yield batch.slice(start)
-
+def groups_to_members(members: DataFrame, groups: DataFrame, keys: list[str], salt: str) -> DataFrame:
+    """Left join of ``groups`` (one row per ``keys``) to the rows of
+    ``members`` over (keys, salt).  The pairs that occur are counted first, so
+    a group holding a third of all rows is spread over its salts."""
+    seats = members.select(*keys, salt).groupBy(*keys, salt).count().drop("count")
+    return members.join(seats.join(groups, keys), [*keys, salt], "left")
+
+
+def text_chunks(texts: pa.Array, max_bytes: int = 2_000_000, max_rows: int = 1024) -> Iterator[pa.Array]:
+    """Cut an Arrow text column so that a chunk holds at most ``max_bytes``
+    (one longer text forms a chunk of its own): what a kernel holds beside its
+    batch is bounded.  No text is cut."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
+    start = total = 0
+    for i, n in enumerate(sizes):
+        if i > start and (total + n > max_bytes or i - start >= max_rows):
+            yield texts.slice(start, i - start)
+            start, total = i, 0
+        total += n
+    if len(texts) > start:
+        yield texts.slice(start)
+
+
+def text_udf(kernel: Callable[[pa.Array], pa.Array], returns: str,
+             max_bytes: int = 2_000_000) -> Callable[[Column], Column]:
+    """A column function of one text column from ``kernel``, which maps a
+    chunk of texts (nulls included) to as many results."""
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            parts = [kernel(c) for c in text_chunks(batch, max_bytes)]
+            yield pa.concat_arrays(parts) if parts else kernel(batch)
+    return arrow_udf(run, returns)
+
+
+def bounded_sample(rows: DataFrame, strata: str, per_stratum: int, seed: int = 11) -> DataFrame:
+    """About ``per_stratum`` rows of each value of ``strata``, chosen by a
+    seeded hash of all columns.  Used for training only."""
+    n, key = fresh(rows, "_n", "_k")
+    counts = rows.groupBy(F.col(strata).alias(key)).agg(F.count(F.lit(1)).alias(n))
+    share = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in rows.columns]), F.lit(1 << 30)) / float(1 << 30)
+    return rows.join(counts, rows[strata] == counts[key]).where(share * F.col(n) < per_stratum).drop(n, key)

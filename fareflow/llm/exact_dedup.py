@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import fresh, normalised_text, staged
+from fareflow.llm.common import fresh, groups_to_members, normalised_text, staged
 
 SALTS = 256
 
@@ -50,10 +50,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         "_id", _hash128(F.col("_norm")).alias("_h"), F.unhex(F.sha2("_norm", 256)).alias("_sha"),
         F.pmod(F.xxhash64("_id"), F.lit(salts)).cast("int").alias("_salt")), "dedup-members")
     copies = _groups(docs, id_col, text_col).where("_n > 1")
-    # (hash, salt) pairs that occur, at most ``salts`` of them for one group
-    seats = members.groupBy("_h", "_sha", "_salt").count().drop("count")
-    seats = seats.join(copies, ["_h", "_sha"])
-    rows = members.join(seats, ["_h", "_sha", "_salt"], "left")
+    rows = groups_to_members(members, copies, ["_h", "_sha"], "_salt")
     # rows that repeat an id land in one (hash, salt) already: no new shuffle
     same = Window.partitionBy("_h", "_sha", "_salt", "_id").orderBy("_id")
     single = F.col("_n").isNull()

@@ -12,10 +12,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import exact_dedup, mixing
+from fareflow.llm import exact_dedup, language_id, mixing, secrets, warc
+from fareflow.llm.common import fold
+from fareflow.session import stage_path
 from fareflow.sources.tables import load_table
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = fold(F.col("doc_id"), 4, 2)
+    model = language_id.train(docs.where(~held_out))
+    return language_id.detect(docs.drop("lang"), model, F.col("text")) \
+        .select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load_table(spark, sf_dir, "documents"))
 
@@ -24,9 +34,24 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_duplicates(load_table(spark, sf_dir, "documents"))
 
 
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", secrets.secret_spans(F.col("text")).alias("found"))
+    count = lambda kind: F.size(F.filter("found", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    base = F.filter("found", lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    return docs.select("doc_id", *[count(k) for k in secrets.BASE_KINDS],
+                       F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+                       secrets.joined(F.col("found")).alias("spans"))
+
+
+def op10_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = stage_path(spark, "warc-archives")
+    warc.write_warc(load_table(spark, sf_dir, "pages"), path)
+    return warc.resolve_revisits(warc.read_warc(spark, path))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op4_source_mixing, op5_exact_dedup)
+        op3_language_id, op4_source_mixing, op5_exact_dedup, op6_secret_scan, op10_warc_boundary_chain)
 }
 
 OP4_SQL = r"""
