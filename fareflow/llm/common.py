@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -90,3 +91,14 @@ def bounded_sample(rows: DataFrame, strata: str, per_stratum: int, seed: int = 1
     counts = rows.groupBy(F.col(strata).alias(key)).agg(F.count(F.lit(1)).alias(n))
     share = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in rows.columns]), F.lit(1 << 30)) / float(1 << 30)
     return rows.join(counts, rows[strata] == counts[key]).where(share * F.col(n) < per_stratum).drop(n, key)
+
+
+def class_weights(rows: DataFrame, label: str, sampled: np.ndarray) -> np.ndarray:
+    """Weights that give the sampled 0/1 labels the shares that they have in
+    all labelled rows, with mean 1."""
+    counts = {r[0]: r[1] for r in rows.where(F.col(label).isin(0, 1)).groupBy(label).count().collect()}
+    out = np.ones(len(sampled))
+    for value in (0, 1):
+        own = sampled == value
+        out[own] = counts.get(value, 0) / max(1, own.sum())
+    return out * len(out) / max(1.0, out.sum())

@@ -12,12 +12,31 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import exact_dedup, language_id, mixing, secrets, warc
+from fareflow.llm import exact_dedup, language_id, mixing, quality, secrets, toxicity, warc
 from fareflow.llm.common import fold
 from fareflow.session import stage_path
 from fareflow.sources.tables import load_table
 
 
+def op1_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = load_table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.where(~fold(F.col("doc_id"), 4, 2)))
+    return toxicity.tag(docs, model, F.col("text")).select(
+        "doc_id", fold(F.col("doc_id"), 4, 2).alias("held_out"), F.col("toxicity.score").alias("score"),
+        (F.col("toxicity.score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        F.col("toxicity.spans").alias("spans"))
+
+
+def op2_quality_factorisation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars")
+    labels = load_table(spark, sf_dir, "labels")
+    model = quality.train(docs, labels.where(~fold(F.col("doc_id"), 5, 0)))
+    return quality.score(docs, model, F.col("text"), F.col("n_chars")).select(
+        "doc_id", fold(F.col("doc_id"), 5, 0).alias("held_out"), "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     held_out = fold(F.col("doc_id"), 4, 2)
@@ -51,7 +70,7 @@ def op10_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op3_language_id, op4_source_mixing, op5_exact_dedup, op6_secret_scan, op10_warc_boundary_chain)
+        op1_toxicity_chain, op2_quality_factorisation, op3_language_id, op4_source_mixing, op5_exact_dedup, op6_secret_scan, op10_warc_boundary_chain)
 }
 
 OP4_SQL = r"""
