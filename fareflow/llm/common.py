@@ -58,6 +58,27 @@ def groups_to_members(members: DataFrame, groups: DataFrame, keys: list[str], sa
     return members.join(seats.join(groups, keys), [*keys, salt], "left")
 
 
+#: Words of 64 bits in the filter of ``maybe_in``: its size never grows.
+FILTER_WORDS = 1 << 17
+
+
+def maybe_in(rows: DataFrame, row_hash: Column, keys: DataFrame, key_hash: Column,
+             words: int = FILTER_WORDS) -> DataFrame:
+    """Rows whose 64-bit hash may be among those of ``keys`` (none of those
+    lost): a bit table of a fixed size is broadcast, so that only such rows are
+    shuffled by an exact join that has to follow."""
+    word, bits, own = fresh(rows, "_word", "_bits", "_hash")
+    place = lambda h: F.pmod(h, F.lit(words)).cast("int")
+    bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"),
+                                    F.pmod(F.shiftright(h, 40), F.lit(64)).cast("int"))
+    table = keys.select(key_hash.alias("_k")).groupBy(place(F.col("_k")).alias(word)) \
+        .agg(F.bit_or(bit(F.col("_k"))).alias(bits))
+    hashed = rows.withColumn(own, row_hash)
+    hashed = hashed.withColumn(word, place(F.col(own)))
+    return hashed.join(F.broadcast(table), word) \
+        .where(F.col(bits).bitwiseAND(bit(F.col(own))) != 0).select(*rows.columns)
+
+
 def text_chunks(texts: pa.Array, max_bytes: int = 2_000_000, max_rows: int = 1024) -> Iterator[pa.Array]:
     """Cut an Arrow text column so that a chunk holds at most ``max_bytes``
     (one longer text forms a chunk of its own): what a kernel holds beside its

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import exact_dedup, language_id, mixing, quality, secrets, toxicity, warc
+from fareflow.llm import decontaminate, exact_dedup, language_id, mixing, ngram_join, quality, secrets, toxicity, warc
 from fareflow.llm.common import fold
 from fareflow.session import stage_path
 from fareflow.sources.tables import load_table
@@ -62,6 +62,14 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                        secrets.joined(F.col("found")).alias("spans"))
 
 
+def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(load_table(spark, sf_dir, "documents"))
+
+
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
+
+
 def op10_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = stage_path(spark, "warc-archives")
     warc.write_warc(load_table(spark, sf_dir, "pages"), path)
@@ -70,7 +78,8 @@ def op10_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_toxicity_chain, op2_quality_factorisation, op3_language_id, op4_source_mixing, op5_exact_dedup, op6_secret_scan, op10_warc_boundary_chain)
+        op1_toxicity_chain, op2_quality_factorisation, op3_language_id, op4_source_mixing, op5_exact_dedup, op6_secret_scan,
+        op8_ngram_jaccard_join, op9_benchmark_decontamination, op10_warc_boundary_chain)
 }
 
 OP4_SQL = r"""
@@ -129,7 +138,52 @@ SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AND r =
 FROM g
 """
 
+_WORDS = r"""list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')),
+  '[^\p{L}\p{N}\x20\x09-\x0D]+', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
+_OFFSETS = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS]
+_SEEDS = ", ".join(f"concat_ws(' ', {m}, " + ", ".join(f"w[p + {o + 1}]" for o in offs) + ")"
+                   for m, offs in enumerate(_OFFSETS))
+
+#: Items shorter than the masks do not occur in the given benchmark.
+OP9_SQL = f"""
+WITH d AS (SELECT doc_id AS id, {_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
+i0 AS (SELECT item_id AS id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
+i AS (SELECT min(id) AS id, w FROM i0 GROUP BY w),
+dp AS (SELECT id, w, unnest(range(0, len(w) - 9)) AS p FROM d),
+ip AS (SELECT id, w, len(w) AS n, unnest(range(0, len(w) - 9)) AS p FROM i),
+ds AS (SELECT id, p, unnest([{_SEEDS}]) AS s FROM dp),
+its AS (SELECT id, n, p, unnest([{_SEEDS}]) AS s, unnest({_OFFSETS}) AS offs FROM ip),
+hit AS (SELECT DISTINCT ds.id AS doc, its.id AS item, its.n, ds.p - its.p AS diagonal, its.p + unnest(its.offs) AS ipos
+        FROM ds JOIN its USING (s)),
+f AS (SELECT doc, item, n, diagonal, count(*) AS matched, min(ipos) AS first, max(ipos) AS last
+      FROM hit GROUP BY ALL),
+g AS (SELECT *, row_number() OVER (PARTITION BY doc, item ORDER BY matched DESC, abs(diagonal), diagonal DESC) AS r
+      FROM f WHERE matched >= n * 0.8 OR (last - first + 1 >= 20 AND matched >= (last - first + 1) * 0.8))
+SELECT doc AS doc_id, item AS item_id, matched, n AS item_words, first, last, diagonal AS doc_pos
+FROM g WHERE r = 1
+"""
+
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS g
+  FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS o FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
+      GROUP BY ALL),
+e AS (SELECT u, v FROM p JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v
+      WHERE 100 * o >= 90 * (a.n + b.n - o)),
+r AS (SELECT doc_id AS id, doc_id AS c FROM documents UNION SELECT e.u, r.c FROM r JOIN e ON e.v = r.id)
+SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS component_id
+FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.id = d.doc_id GROUP BY d.doc_id
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_source_mixing": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
+    "op8_ngram_jaccard_join": OP8_SQL,
+    "op9_benchmark_decontamination": OP9_SQL,
 }
