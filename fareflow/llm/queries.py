@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import decontaminate, exact_dedup, language_id, mixing, ngram_join, quality, secrets, toxicity, warc
+from fareflow.llm import (decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_join, quality,
+                          secrets, toxicity, warc)
 from fareflow.llm.common import fold
 from fareflow.session import stage_path
 from fareflow.sources.tables import load_table
@@ -62,6 +63,12 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                        secrets.joined(F.col("found")).alias("spans"))
 
 
+def op7_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = load_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pages.select("page_id", "url", html_extract.main_text(html_extract.train(), F.col("html")).alias("text")) \
+        .withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op8_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(load_table(spark, sf_dir, "documents"))
 
@@ -79,7 +86,7 @@ def op10_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity_chain, op2_quality_factorisation, op3_language_id, op4_source_mixing, op5_exact_dedup, op6_secret_scan,
-        op8_ngram_jaccard_join, op9_benchmark_decontamination, op10_warc_boundary_chain)
+        op7_html_main_text, op8_ngram_jaccard_join, op9_benchmark_decontamination, op10_warc_boundary_chain)
 }
 
 OP4_SQL = r"""
