@@ -62,11 +62,11 @@ def groups_to_members(members: DataFrame, groups: DataFrame, keys: list[str], sa
 FILTER_WORDS = 1 << 17
 
 
-def maybe_in(rows: DataFrame, row_hash: Column, keys: DataFrame, key_hash: Column,
-             words: int = FILTER_WORDS) -> DataFrame:
-    """Rows whose 64-bit hash may be among those of ``keys`` (none of those
-    lost): a bit table of a fixed size is broadcast, so that only such rows are
-    shuffled by an exact join that has to follow."""
+def flag_maybe(rows: DataFrame, row_hash: Column, keys: DataFrame, key_hash: Column, flag: str,
+               words: int = FILTER_WORDS) -> DataFrame:
+    """``rows`` with a boolean: may the row's 64-bit hash be among those of
+    ``keys``?  False is certain.  A bit table of a fixed size is broadcast, so
+    that only flagged rows need an exact join, and its shuffle."""
     word, bits, own = fresh(rows, "_word", "_bits", "_hash")
     place = lambda h: F.pmod(h, F.lit(words)).cast("int")
     bit = lambda h: F.call_function("shiftleft", F.lit(1).cast("long"),
@@ -75,8 +75,14 @@ def maybe_in(rows: DataFrame, row_hash: Column, keys: DataFrame, key_hash: Colum
         .agg(F.bit_or(bit(F.col("_k"))).alias(bits))
     hashed = rows.withColumn(own, row_hash)
     hashed = hashed.withColumn(word, place(F.col(own)))
-    return hashed.join(F.broadcast(table), word) \
-        .where(F.col(bits).bitwiseAND(bit(F.col(own))) != 0).select(*rows.columns)
+    hit = F.coalesce(F.col(bits).bitwiseAND(bit(F.col(own))) != 0, F.lit(False))
+    return hashed.join(F.broadcast(table), word, "left").select(*rows.columns, hit.alias(flag))
+
+
+def maybe_in(rows: DataFrame, row_hash: Column, keys: DataFrame, key_hash: Column) -> DataFrame:
+    """Rows that ``flag_maybe`` flags: all that match and a few more."""
+    flag, = fresh(rows, "_maybe")
+    return flag_maybe(rows, row_hash, keys, key_hash, flag).where(F.col(flag)).drop(flag)
 
 
 def text_chunks(texts: pa.Array, max_bytes: int = 2_000_000, max_rows: int = 1024) -> Iterator[pa.Array]:

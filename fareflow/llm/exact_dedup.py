@@ -65,11 +65,13 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 def drop_exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The kept rows with all their columns: of equal texts the row with the
     smallest id (one of them, if rows repeat it)."""
-    h, sha, r = fresh(docs, "_h", "_sha", "_r")
-    g = _groups(docs, id_col, text_col).select("_h", "_sha", "_keep")
+    key, h, sha, r = fresh(docs, "_key", "_h", "_sha", "_r")
+    # ids as text, null included, so that join and window share one shuffle
+    as_text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("null"))
+    g = _groups(docs, id_col, text_col).select(as_text("_keep").alias(key), F.col("_h").alias(h),
+                                               F.col("_sha").alias(sha))
     norm = normalised_text(F.col(text_col))
-    rows = docs.withColumns({h: _hash128(norm), sha: F.unhex(F.sha2(norm, 256))})
-    cond = (rows[h] == g["_h"]) & (rows[sha] == g["_sha"]) & rows[id_col].eqNullSafe(g["_keep"])
-    kept = rows.join(g, cond, "left_semi")
-    first = Window.partitionBy(id_col, h, sha).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
+    rows = docs.withColumns({key: as_text(id_col), h: _hash128(norm), sha: F.unhex(F.sha2(norm, 256))})
+    kept = rows.join(g, [key, h, sha], "left_semi")
+    first = Window.partitionBy(key, h, sha).orderBy(F.xxhash64(*[F.col(c) for c in docs.columns]))
     return kept.withColumn(r, F.row_number().over(first)).where(F.col(r) == 1).select(*docs.columns)

@@ -7,8 +7,9 @@ intersection / union >= threshold.
 Dealing out.  Of two linked sets at most ``k`` elements are in one only, k
 from the sizes.  The hash range is cut into k + 1 + r stretches, so linked sets
 agree on at least r + 1 whole stretches; a stretch's content is a signature.
-Stretches with fewer than two elements are weak: a set with at most r of them
-needs no weak signature, other sets give theirs too.  Sizes fall into classes
+Stretches with fewer elements than ``need`` (two, or one where stretches are
+short) are weak: a set with at most r of them needs no weak signature, other
+sets give theirs too.  Sizes fall into classes
 that fix the cut; a set near the top of its class signs for the next one as
 well.  No linked pair is lost.  All sets that share a signature form a star
 around the smallest id.
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import groups_to_members, maybe_in, staged, text_chunks
+from fareflow.llm.common import flag_maybe, groups_to_members, maybe_in, staged, text_chunks
 from fareflow.llm.components import connected_components
 from fareflow.llm.tokens import Tokens, mix
 
@@ -108,14 +109,23 @@ def signatures(own: np.ndarray, gram: np.ndarray, rows: int, percent: int) -> li
     for klass, member in ((own_class, (own_class >= 0) & (sizes > 0)), (nxt, up)):
         for c in np.unique(klass[member]):
             docs = member & (klass == c)
-            _class_signatures(own, gram, docs, int(c), classes[c][1], percent, found)
+            _class_signatures(own, gram, docs, int(c), *classes[c], percent, found)
     return [np.unique(np.concatenate(x)) if x else np.zeros(0, np.uint64) for x in found]
 
 
-def _class_signatures(own, gram, docs, c, top, percent, found) -> None:
-    k = _differences(top, percent)
-    spare = 1 + -(-6 * (k + 1) // 100)
-    cuts = k + 1 + spare
+def _cut(low: int, top: int, percent: int) -> tuple[int, int, int]:
+    """(cuts, spare, need) of a size class: how many weak stretches a set of
+    the lowest size has is about Poisson, and few sets exceed ``spare``."""
+    least = _differences(top, percent) + 1
+    mean = low / least
+    need = 2 if mean >= 5 else 1
+    weak = least * np.exp(-mean) * (1 + mean * (need - 1))
+    spare = 1 + int(np.ceil(weak + 2 * np.sqrt(weak)))
+    return least + spare, spare, need
+
+
+def _class_signatures(own, gram, docs, c, low, top, percent, found) -> None:
+    cuts, spare, need = _cut(low, top, percent)
     pick = docs[own]
     d, g = own[pick], gram[pick]
     part = ((g >> np.uint64(32)) * np.uint64(cuts)) >> np.uint64(32)
@@ -128,8 +138,8 @@ def _class_signatures(own, gram, docs, c, top, percent, found) -> None:
     sig = mix(total + mix(pp * np.uint64(0xE7037ED1A0B428DB) + salt))
     rows = len(docs)
     full = np.bincount(dd, minlength=rows)
-    weak = cuts - full + np.bincount(dd[n < 2], minlength=rows)
-    strong = (n >= 2) | (weak[dd] > spare)
+    weak = cuts - full + np.bincount(dd[n < need], minlength=rows)
+    strong = (n >= need) | (weak[dd] > spare)
     sig, dd_strong = sig[strong], dd[strong]
     ends = np.cumsum(np.bincount(dd_strong, minlength=rows))
     for i in np.flatnonzero(docs):
@@ -341,10 +351,16 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     rows = staged(spark, base.mapInArrow(_describe(percent, ngram),
                                          "id long, n long, hi long, lo long, sigs array<long>"), "join-sets")
     keys = ["hi", "lo"]
-    groups = staged(spark, rows.where("n > 0").groupBy(*keys).agg(F.min("id").alias("rep")), "join-groups")
-    # one row of signatures for each distinct set
+    groups = staged(spark, rows.where("n > 0").groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1))
+                                                                  .alias("rows")), "join-groups")
+    # one row of signatures for each distinct set: only sets that may be given
+    # more than once take part in a join
+    again = groups.where("rows > 1 AND rep IS NOT NULL")
+    signed = flag_maybe(rows.where("n > 0 AND id IS NOT NULL").select("id", *keys, "sigs"), F.xxhash64(*keys),
+                        again, F.xxhash64(*keys), "given_again")
     first = groups.where("rep IS NOT NULL").select(F.col("rep").alias("id"), *keys)
-    sets = rows.where("n > 0").select("id", *keys, "sigs").join(first, ["id", *keys]).select("id", "sigs")
+    sets = signed.where("NOT given_again").select("id", "sigs").unionAll(
+        signed.where("given_again").join(first, ["id", *keys], "left_semi").select("id", "sigs"))
     classes = connected_components(jaccard_links(base, sets, "id", "text", percent, ngram))
     named = groups.join(classes, groups["rep"] == classes["node"], "left") \
         .select(*keys, F.coalesce("component", "rep").alias("class"))
