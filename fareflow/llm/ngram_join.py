@@ -11,8 +11,10 @@ Stretches with fewer elements than ``need`` (two, or one where stretches are
 short) are weak: a set with at most r of them needs no weak signature, other
 sets give theirs too.  Sizes fall into classes
 that fix the cut; a set near the top of its class signs for the next one as
-well.  No linked pair is lost.  All sets that share a signature form a star
-around the smallest id.
+well.  No linked pair is lost.  Moreover a set with w <= r weak stretches
+shares at least r + 1 - w signatures with each set that it links to, so sets
+with fewer shared signatures (those with a common passage, say) drop out.  The
+sets left that share a signature form a star around the smallest id.
 
 Joining.  A star's sets are put into a trie over the global order, in strides
 of elements; the trie is traversed for all query sets at once, level by level.
@@ -32,7 +34,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareflow.llm.common import flag_maybe, groups_to_members, maybe_in, staged, text_chunks
@@ -97,30 +99,33 @@ def size_classes(largest: int, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def signatures(own: np.ndarray, gram: np.ndarray, rows: int, percent: int) -> list[np.ndarray]:
-    """Signatures per text (see module text)."""
+def signatures(own: np.ndarray, gram: np.ndarray, rows: int, percent: int) -> list[list[tuple[int, np.ndarray]]]:
+    """Per text and size class that it signs for: how many signatures it must
+    share with a set that it links to, and its signatures (see module text)."""
     sizes = np.bincount(own, minlength=rows)
     classes = size_classes(int(sizes.max(initial=1)) * 2, percent)
     lows = np.array([c[0] for c in classes])
     own_class = np.searchsorted(lows, sizes, side="right") - 1
     nxt = np.minimum(own_class + 1, len(classes) - 1)
     up = (100 * sizes >= percent * lows[nxt]) & (nxt > own_class) & (sizes > 0)
-    found: list[list[np.ndarray]] = [[] for _ in range(rows)]
+    found: list[list[tuple[int, np.ndarray]]] = [[] for _ in range(rows)]
     for klass, member in ((own_class, (own_class >= 0) & (sizes > 0)), (nxt, up)):
         for c in np.unique(klass[member]):
             docs = member & (klass == c)
             _class_signatures(own, gram, docs, int(c), *classes[c], percent, found)
-    return [np.unique(np.concatenate(x)) if x else np.zeros(0, np.uint64) for x in found]
+    return found
 
 
 def _cut(low: int, top: int, percent: int) -> tuple[int, int, int]:
     """(cuts, spare, need) of a size class: how many weak stretches a set of
     the lowest size has is about Poisson, and few sets exceed ``spare``."""
     least = _differences(top, percent) + 1
-    mean = low / least
-    need = 2 if mean >= 5 else 1
-    weak = least * np.exp(-mean) * (1 + mean * (need - 1))
-    spare = 1 + int(np.ceil(weak + 2 * np.sqrt(weak)))
+    need = 2 if low / least >= 5 else 1
+    spare = 1
+    for _ in range(8):
+        mean = low / (least + spare)
+        weak = (least + spare) * np.exp(-mean) * (1 + mean * (need - 1))
+        spare = min(1 + int(np.ceil(weak + 3 * np.sqrt(weak))), 1 + least // 2)
     return least + spare, spare, need
 
 
@@ -143,10 +148,12 @@ def _class_signatures(own, gram, docs, c, low, top, percent, found) -> None:
     sig, dd_strong = sig[strong], dd[strong]
     ends = np.cumsum(np.bincount(dd_strong, minlength=rows))
     for i in np.flatnonzero(docs):
-        found[i].append(sig[(ends[i - 1] if i else 0):ends[i]])
+        own_sigs = sig[(ends[i - 1] if i else 0):ends[i]]
         if weak[i] > spare and full[i] < cuts:
             empty = np.setdiff1d(np.arange(cuts, dtype=np.uint64), pp[dd == i])
-            found[i].append(mix(mix(empty * np.uint64(0xE7037ED1A0B428DB) + salt) ^ np.uint64(0x8EBC6AF09C88C6E3)))
+            empty = mix(mix(empty * np.uint64(0xE7037ED1A0B428DB) + salt) ^ np.uint64(0x8EBC6AF09C88C6E3))
+            own_sigs = np.concatenate([own_sigs, empty])
+        found[i].append((int(spare + 1 - weak[i]) if weak[i] <= spare else 1, own_sigs))
 
 
 def _describe(percent: int, ngram: int):
@@ -161,13 +168,19 @@ def _describe(percent: int, ngram: int):
                 run_lo = np.concatenate([[np.uint64(0)], np.cumsum(mix(gram ^ np.uint64(0x589965CC75374CC3)),
                                                                    dtype=np.uint64)])
                 key = lambda x: pa.array((x[bounds[1:]] - x[bounds[:-1]]).view(np.int64))
-                sigs = signatures(own, gram, rows, percent)
-                ends = np.concatenate([[0], np.cumsum([len(s) for s in sigs])]).astype(np.int32)
-                flat = np.concatenate(sigs).view(np.int64) if rows else np.zeros(0, np.int64)
+                # a text's first class in its own row, a second one in another
+                found = signatures(own, gram, rows, percent)
+                text = np.array([i for i, x in enumerate(found) for _ in (x or [0])], dtype=np.int64)
+                part = np.array([j for x in found for j, _ in enumerate(x or [0])], dtype=np.int32)
+                flat = [y for x in found for y in (x or [(1, np.zeros(0, np.uint64))])]
+                ends = np.concatenate([[0], np.cumsum([len(y) for _, y in flat])]).astype(np.int32)
+                sigs = np.concatenate([y for _, y in flat]).view(np.int64) if flat else np.zeros(0, np.int64)
+                pick = pa.array(text)
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, rows), pa.array(np.diff(bounds)), key(run_hi), key(run_lo),
-                     pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))],
-                    names=["id", "n", "hi", "lo", "sigs"])
+                    [b.column(0).slice(at, rows).take(pick), pa.array(np.diff(bounds)).take(pick),
+                     key(run_hi).take(pick), key(run_lo).take(pick), pa.array(part),
+                     pa.array([n for n, _ in flat], pa.int32()), pa.ListArray.from_arrays(pa.array(ends), pa.array(sigs))],
+                    names=["id", "n", "hi", "lo", "part", "least", "sigs"])
                 at += rows
     return run
 
@@ -296,16 +309,26 @@ def _join_groups(percent: int, ngram: int):
     return run
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """(sig, root): signatures of at least two sets, with the smallest id."""
+    return rows.groupBy("sig").agg(F.min("id").alias("root"), F.max("id").alias("last")) \
+        .where("root < last").select("sig", "root")
+
+
 def _stars(sets: DataFrame) -> DataFrame:
-    """(id, root): every set with the smallest id of each signature it shares."""
+    """(id, root): every set with the smallest id of each signature that it
+    shares, of sets that share enough of them."""
     spark = sets.sparkSession
-    rows = sets.select("id", F.explode("sigs").alias("sig"))
-    shared = staged(spark, rows.groupBy("sig").agg(F.min("id").alias("root"), F.max("id").alias("last"))
-                    .where("root < last"), "join-shared")
-    near = maybe_in(rows, F.col("sig"), shared, F.col("sig")) \
+    rows = sets.select("id", "part", "least", F.explode("sigs").alias("sig")) \
         .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    stars = groups_to_members(near, shared.select("sig", "root"), ["sig"], "salt").where("root IS NOT NULL")
-    return stars.select("id", "root").distinct()
+    shared = staged(spark, _shared(rows), "join-shared")
+    near = maybe_in(rows, F.col("sig"), shared, F.col("sig"))
+    near = groups_to_members(near, shared, ["sig"], "salt").where("root IS NOT NULL")
+    per_set = Window.partitionBy("id", "part")
+    near = staged(spark, near.withColumn("shares", F.count(F.lit(1)).over(per_set)).where("shares >= least")
+                  .select("id", "sig", "salt"), "join-near")
+    return groups_to_members(near, _shared(near), ["sig"], "salt").where("root IS NOT NULL") \
+        .select("id", "root").distinct()
 
 
 def _blocks(stars: DataFrame) -> DataFrame:
@@ -349,22 +372,24 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     rows = staged(spark, base.mapInArrow(_describe(percent, ngram),
-                                         "id long, n long, hi long, lo long, sigs array<long>"), "join-sets")
+                                         "id long, n long, hi long, lo long, part int, least int, "
+                                         "sigs array<long>"), "join-sets")
     keys = ["hi", "lo"]
-    groups = staged(spark, rows.where("n > 0").groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1))
+    groups = staged(spark, rows.where("n > 0 AND part = 0").groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1))
                                                                   .alias("rows")), "join-groups")
     # one row of signatures for each distinct set: only sets that may be given
     # more than once take part in a join
     again = groups.where("rows > 1 AND rep IS NOT NULL")
-    signed = flag_maybe(rows.where("n > 0 AND id IS NOT NULL").select("id", *keys, "sigs"), F.xxhash64(*keys),
+    signed = flag_maybe(rows.where("n > 0 AND id IS NOT NULL").select("id", *keys, "part", "least", "sigs"), F.xxhash64(*keys),
                         again, F.xxhash64(*keys), "given_again")
     first = groups.where("rep IS NOT NULL").select(F.col("rep").alias("id"), *keys)
-    sets = signed.where("NOT given_again").select("id", "sigs").unionAll(
-        signed.where("given_again").join(first, ["id", *keys], "left_semi").select("id", "sigs"))
+    signs = ["id", "part", "least", "sigs"]
+    sets = signed.where("NOT given_again").select(*signs).unionAll(
+        signed.where("given_again").join(first, ["id", *keys], "left_semi").select(*signs))
     classes = connected_components(jaccard_links(base, sets, "id", "text", percent, ngram))
     named = groups.join(classes, groups["rep"] == classes["node"], "left") \
         .select(*keys, F.coalesce("component", "rep").alias("class"))
-    members = rows.select("id", "n", *keys, F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    members = rows.where("part = 0").select("id", "n", *keys, F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
     out = groups_to_members(members, named, keys, "salt")
     own = F.when(F.col("n") > 0, F.coalesce("class", "id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
