@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -39,6 +40,14 @@ def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are done: it does so
+    when the driver's garbage is collected, which a long job may not trigger
+    before executors have run out of disk."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def normalised_text(col: Column) -> Column:
     """Null as empty, each run of ASCII white space as one space."""
     return F.regexp_replace(F.coalesce(col, F.lit("")), WS_CLASS + "+", " ")

@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import flag_maybe, groups_to_members, maybe_in, staged, text_chunks
+from fareflow.llm.common import flag_maybe, groups_to_members, maybe_in, release, staged, text_chunks
 from fareflow.llm.components import connected_components
 from fareflow.llm.tokens import Tokens, mix
 
@@ -325,19 +325,21 @@ def _stars(sets: DataFrame) -> DataFrame:
     near = maybe_in(rows, F.col("sig"), shared, F.col("sig"))
     near = groups_to_members(near, shared, ["sig"], "salt").where("root IS NOT NULL")
     per_set = Window.partitionBy("id", "part")
-    near = staged(spark, near.withColumn("shares", F.count(F.lit(1)).over(per_set)).where("shares >= least")
-                  .select("id", "sig", "salt"), "join-near")
-    return groups_to_members(near, _shared(near), ["sig"], "salt").where("root IS NOT NULL") \
-        .select("id", "root").distinct()
+    enough = F.count(F.lit(1)).over(per_set) >= F.col("least")
+    near = staged(spark, near.withColumn("enough", enough).where("enough")
+                  .select("id", "part", "least", "sig", "salt"), "join-near")
+    # counted again, as signatures may have been shared with sets that dropped out
+    left = groups_to_members(near, _shared(near), ["sig"], "salt").where("root IS NOT NULL")
+    return left.withColumn("enough", enough).where("enough").select("id", "root").distinct()
 
 
 def _blocks(stars: DataFrame) -> DataFrame:
     """(id, root, a, b, side): the block pairs a <= b of its star that a set
     goes to; as side 0 it is in block a, as side 1 in block b."""
-    sizes = stars.groupBy("root").agg(F.count(F.lit(1)).alias("size")) \
+    sizes = stars.groupBy("root").agg(F.count(F.lit(1)).alias("size")).where("size > 1") \
         .withColumn("blocks", F.ceil(F.col("size") / F.lit(BLOCK)).cast("int"))
     keyed = stars.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    placed = groups_to_members(keyed, sizes, ["root"], "salt") \
+    placed = groups_to_members(keyed, sizes, ["root"], "salt").where("blocks IS NOT NULL") \
         .withColumn("own", F.pmod(F.xxhash64("id", F.lit(17)), F.col("blocks")).cast("int"))
     pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
         F.least(k, F.col("own")).alias("a"), F.greatest(k, F.col("own")).alias("b"),
@@ -350,6 +352,7 @@ def jaccard_links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str,
     """(u, v): links that connect all linked sets (not every pair of a class)."""
     spark = docs.sparkSession
     stars = staged(spark, _stars(sets), "join-stars")
+    release(spark)
     wanted = stars.select("id").distinct()
     texts = maybe_in(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
                      F.xxhash64("id"), wanted, F.xxhash64("id"))
