@@ -1,0 +1,261 @@
+"""Corpus operators against brute force on small fixtures with nulls, empty and
+long texts, ties, repeated rows, empty tables and clashing column names."""
+
+import base64
+import collections
+import hashlib
+import json
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from fareflow.llm import (components, decontaminate, exact_dedup, html_extract, html_training, language_id, mixing,
+                          ngram_join, quality, secrets, toxicity, warc)
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+def documents(spark, rows):
+    return spark.createDataFrame([(i, t, "en", s, None if t is None else len(t)) for i, t, s in rows], DOCS)
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    long_text = " ".join(f"w{i % 977}" for i in range(30_000))
+    return documents(spark, [
+        (1, "a b  c", "x"), (2, "a b c", None), (3, "a\tb\nc", "x"), (4, None, "y"), (5, "", "y"), (6, " ", "x"),
+        (7, long_text, "x"), (7, long_text, "x"), (None, "a b c", "z"), (8, "!!!", None), (9, "É ñ ß", "y")])
+
+
+def with_clashes(df):
+    names = ("size", "target", "taken", "kept", "_h", "_sha", "_key", "_size", "_word", "_score", "rest", "n", "id")
+    return df.withColumns({c: F.lit("clash") for c in names})
+
+
+def test_exact_dedup_matches_rules(odd):
+    rows = exact_dedup.exact_duplicates(with_clashes(odd)).collect()
+    assert len(rows) == odd.count()
+    by = collections.defaultdict(list)
+    for r in rows:
+        by[r.text_sha256].append(r)
+    abc = by[hashlib.sha256(b"a b c").hexdigest()]
+    assert {(r.doc_id, r.keep_id, r.group_size, r.kept) for r in abc} == {
+        (1, 1, 4, True), (2, 1, 4, False), (3, 1, 4, False), (None, 1, 4, False)}
+    assert sorted((r.doc_id, r.kept) for r in by[hashlib.sha256(b"").hexdigest()]) == [(4, True), (5, False)]
+    assert sorted(r.kept for r in rows if r.doc_id == 7) == [False, True]
+    kept = exact_dedup.drop_exact_duplicates(with_clashes(odd))
+    assert kept.columns == with_clashes(odd).columns
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4, 6, 7, 8, 9]
+
+
+def test_mix_meets_targets(spark):
+    rng = random.Random(4)
+    rows = [(i, " ".join(["w"] * rng.randint(0, 40)), rng.choice(["a"] * 6 + ["b", "c", "d", None])) for i in range(900)]
+    df = documents(spark, rows + [(900, None, "a")])
+    got = mixing.mix(with_clashes(df)).collect()
+    assert len(got) == 901
+    source = dict((i, s) for i, _, s in rows)
+    taken, target, size = collections.Counter(), {}, {}
+    for r in got:
+        s = source.get(r.doc_id, "a")
+        taken[s] += r.taken
+        target[s], size[s] = r.target, r.source_size
+        assert 0 <= r.taken <= 2 * r.size
+    for s in target:
+        assert abs(taken[s] - target[s]) <= 1 and target[s] <= 2 * size[s] + 1e-6
+    assert abs(sum(target.values()) - 1.5 * sum(size.values())) < 1e-6
+    again = {(r.doc_id, r.taken) for r in mixing.mix(df.repartition(5)).collect()}
+    assert again == {(r.doc_id, r.taken) for r in got}
+    full = mixing.mix(df, extra=df.columns)
+    assert full.columns == [*df.columns, "size", "source_size", "target", "taken"]
+    assert {(r.doc_id, r.taken) for r in full.collect()} == again
+
+
+def brute_classes(rows, ngram, percent):
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    sets = {}
+    for i, t, _ in rows:
+        w = [x for x in (t or "").translate(lower).replace("\t", " ").replace("\n", " ").split(" ") if x]
+        sets[i] = {tuple(w[k:k + ngram]) for k in range(max(1, len(w) - ngram + 1))} if w else set()
+    label = {i: i for i in sets}
+    changed = True
+    while changed:
+        changed = False
+        for a in sets:
+            for b in sets:
+                if a < b and label[a] != label[b] and sets[a] and \
+                        100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                    old, new = max(label[a], label[b]), min(label[a], label[b])
+                    label = {k: new if v == old else v for k, v in label.items()}
+                    changed = True
+    return {i: (len(s), label[i]) for i, s in sets.items()}
+
+
+@pytest.mark.parametrize("ngram,percent", [(3, 90), (5, 80)])
+def test_jaccard_classes_match_brute_force(spark, ngram, percent):
+    rng = random.Random(ngram)
+    rows, vocabulary = [], [f"w{i}" for i in range(400)]
+    passage = [rng.choice(vocabulary) for _ in range(30)]
+    for family in range(14):
+        base = [rng.choice(vocabulary) for _ in range(rng.choice([2, 9, 12, 40, 120, 300]))]
+        base += passage if family % 3 == 0 else []
+        for _ in range(6):
+            w = list(base)
+            for _ in range(rng.randint(0, max(1, len(w) // 40))):
+                w[rng.randrange(len(w))] = rng.choice(vocabulary).upper()
+            rows.append((len(rows), "  ".join(w), "s"))
+    rows += [(500, None, "s"), (501, "", "s"), (502, "one two", "s"), (503, "ONE\ttwo", "s"), (504, "...", "s")]
+    want = brute_classes(rows, ngram, percent)
+    got = ngram_join.jaccard_classes(with_clashes(documents(spark, rows)), ngram=ngram, percent=percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == want
+    heads = ngram_join.keep_class_heads(documents(spark, rows), ngram=ngram, percent=percent)
+    assert sorted(r.doc_id for r in heads.collect()) == sorted(i for i, (_, c) in want.items() if c == i)
+
+
+def test_trie_blocks_find_all_links(monkeypatch, spark):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)  # one family over many block pairs
+    base = [f"w{i}" for i in range(100)]
+    rows = [(k, " ".join(base[:95] + [f"x{j}" for j in range(k // 3)]), "s") for k in range(24)]
+    got = ngram_join.jaccard_classes(documents(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows, 3, 90)
+
+
+def test_components_of_a_long_path(spark):
+    n = 40
+    edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 100), (7, 3)], "u long, v long")
+    assert {tuple(r) for r in components.connected_components(edges).collect()} == {(i, 0) for i in range(n + 1)}
+
+
+def test_decontamination_finds_substituted_passages(spark):
+    item = " ".join(f"t{i}" for i in range(40))
+    changed = " ".join("zz" if i in (11, 27) else f"T{i}," for i in range(40))
+    rows = [(1, f"intro {item} end", "s"), (2, changed, "s"), (3, " ".join(f"t{i}" for i in range(8)), "s"),
+            (4, None, "s"), (5, "", "s"), (None, item, "s"), (6, "alpha beta gamma", "s"), (1, "other text", "s")]
+    items = spark.createDataFrame([(10, item), (11, item), (12, "beta gamma"), (13, None), (14, "")],
+                                  "item_id long, text string")
+    got = decontaminate.contaminated(with_clashes(documents(spark, rows)), items).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 10), (2, 10), (6, 12)}
+    assert {r.doc_id: r.matched for r in got} == {1: 40, 2: 38, 6: 2}
+    kept = decontaminate.drop_contaminated(documents(spark, rows), items)
+    assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "4", "5", "None"]
+
+
+def test_secrets_confirm_structure():
+    b64 = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
+    token = ".".join([b64(json.dumps({"alg": "HS256"}).encode()), b64(b'{"sub":"1"}'), b64(b"sig")])
+    der = lambda tag, body: bytes([tag, 0x82, len(body) >> 8, len(body) & 255]) + body
+    key = der(0x30, b"\x02\x01\x00" + b"".join(der(0x02, bytes([i + 1]) * 60) for i in range(8)))
+    text = f"x {token} y {base64.b64encode(key).decode()} z {key.hex()} é {'A' * 60}"
+    kinds = [k for k, _, _ in secrets.find_secrets(text)]
+    assert kinds == ["jwt", "der", "hex", "der"]
+    assert not secrets.is_der_private_key(key[:-1]) and not secrets.is_token("eyJhIjoxfQ", "eyJhIjoxfQ")
+    base = 'é password: "hunter2hunter2" API_KEY=abc token = AKIA' + "Q" * 16 + " deadbeef" * 1 + "0" * 24
+    spans = secrets.find_secrets(base)
+    assert [(k, base[s:e][:8]) for k, s, e in spans] == [
+        ("assign", "password"), ("assign", "token = "), ("access", "AKIAQQQQ"), ("hex", "deadbeef")]
+    pem = "-----BEGIN PRIVATE KEY-----\n" + base64.encodebytes(key).decode() + "-----END PRIVATE KEY-----"
+    assert [k for k, _, _ in secrets.find_secrets(pem) if k == "pem"] == ["pem"]
+
+
+def test_secret_column_handles_null_and_empty(spark):
+    df = spark.createDataFrame([(1, None), (2, ""), (3, "secret=abcdef " + "x" * 200_000)], "id long, text string")
+    got = {r.id: r.s for r in df.select("id", secrets.joined(secrets.secret_spans(F.col("text"))).alias("s")).collect()}
+    assert got == {1: "", 2: "", 3: "assign:0:13"}
+
+
+def test_html_extraction_on_unseen_pages(spark):
+    model = html_extract.train()
+    pages = html_training.labelled_pages(150, seed=4711)
+    exact = 0
+    for (page, ranges), got in zip(pages, html_extract.extract([p for p, _ in pages], model)):
+        nodes = html_extract.parse(page)
+        exact += got == "\n".join(n.text for n in nodes if n.tag == "#" and n.text
+                                  and any(a <= n.at < b for a, b in ranges))
+    assert exact >= 0.9 * len(pages)
+    page = ("<body><nav><a href=/>Home</a></nav><article><h1>A &amp; B</h1><p>One  two.<br>Three &lt;4&gt; and some more"
+            "<p>Second part of the text, long enough to count.</article><footer>&copy; site</footer>")
+    df = spark.createDataFrame([(1, page), (2, None), (3, ""), (4, "<" * 5000), (5, "<p")], "id long, html string")
+    got = {r.id: r.t for r in df.select("id", html_extract.main_text(model, F.col("html")).alias("t")).collect()}
+    assert got[1] == "A & B\nOne two. Three <4> and some more\nSecond part of the text, long enough to count."
+    assert got[2] == got[3] == ""
+
+
+def test_warc_chain_rejects_look_alikes(spark, tmpdir_path):
+    fake = "WARC/1.0\r\nWARC-Type: response\r\nX-Page-Id: 99\r\nContent-Length: 5\r\n\r\nhello"
+    html = {1: "plain", 2: f"a\r\n\r\n{fake}\r\n\r\n{fake}", 3: "plain", 4: None, 5: "", 6: "ends\r\n", 7: "\r\n\r\n",
+            8: f"{fake}\r\n\r\n", 9: "é" * 70_000, 10: "x\r\n\r\ny\r\n\r\n"}
+    rows = [(i, f"http://a/{i}\r\nX: y", h) for i, h in html.items()] + [(1, "http://a/again", "plain")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("_key", F.lit(1))
+    for name, compression in (("gz", "gzip"), ("plain", "")):
+        path = f"{tmpdir_path}/{name}"
+        warc.write_warc(pages.coalesce(2), path, compression=compression)
+        old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")  # splits end inside records
+        try:
+            got = warc.resolve_revisits(warc.read_warc(spark, path)).collect()
+            bodies = {r.page_id: bytes(r.body or b"") for r in warc.read_warc(spark, path, keep_bodies=True).collect()
+                      if r.record_type == "response"}
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+        raw = {i: (h or "").encode() for i, h in html.items()}
+        digest = {i: base64.b32encode(hashlib.sha1(b).digest()).decode() for i, b in raw.items()}
+        first = {1: None, 3: 1, 5: 4}
+        assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.refers_to or 0) for r in got) == sorted(
+            [(i, len(raw[i]), digest[i], first.get(i) or 0) for i in html] + [(1, 5, digest[1], 1)])
+        assert bodies == {i: raw[i] for i in html if i not in (3, 5)}
+
+
+def test_classifiers_learn_and_keep_all_rows(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7)))
+    rows, labels = [], []
+    for i in range(300):
+        w = [word() for _ in range(40)]
+        toxic, junk = i % 3 == 0, i % 4 == 0
+        if toxic:
+            w[5], w[20] = "vilestuff", "vileones"
+        rows.append((i, " | ".join(x.upper() for x in w) if junk else " ".join(w), "s"))
+        labels.append((i, int(not junk), int(toxic)))
+    df = documents(spark, rows + [(900, None, "s"), (901, "", "s"), (902, "vilestuff " * 60_000, "s")])
+    lab = spark.createDataFrame(labels + [(None, 1, 1), (5000, None, None)], "doc_id long, quality int, toxic int")
+    train = lab.where("doc_id IS NULL OR doc_id < 200 OR doc_id = 5000")
+    q = quality.score(with_clashes(df), quality.train(df, train), F.col("text"), F.col("n_chars")).collect()
+    t = toxicity.tag(df, toxicity.train(df, train), F.col("text")).collect()
+    assert len(q) == len(t) == 303
+    assert all(0 <= r.score <= 1 for r in q) and all(0 <= r.toxicity.score <= 1 for r in t)
+    for r in q:
+        if 200 <= r.doc_id < 300:
+            assert (r.score >= 0.5) == (r.doc_id % 4 != 0)
+    for r in t:
+        if 200 <= r.doc_id < 300 and r.doc_id % 4:
+            assert (r.toxicity.score >= 0.3) == (r.doc_id % 3 == 0)
+            if r.doc_id % 3 == 0:
+                assert {r.text[s.start:s.end] for s in r.toxicity.spans} == {"vilestuff", "vileones"}
+    empty = df.limit(0)
+    assert quality.score(df.limit(3), quality.train(empty, train.limit(0)), F.col("text"), F.col("n_chars")).count() == 3
+    assert toxicity.tag(empty, toxicity.train(empty, train), F.col("text")).count() == 0
+
+
+def test_language_filter(spark):
+    en, xx = "the cat and the dog with this", "der hund und die katze mit dem"
+    rows = [(i, " ".join(random.Random(i).choices((en if i % 2 else xx).split(), k=12)), "en" if i % 2 else "de")
+            for i in range(80)] + [(100, "nur", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.train(df.where("doc_id < 60"))
+    probe = df.where("doc_id >= 60").unionByName(spark.createDataFrame(
+        [(200, None, None), (201, "123 !", None), (202, "zzqq", None)], df.schema))
+    got = {r.doc_id: (r.lang_pred, r.lang_score) for r in language_id.detect(probe, model, F.col("text")).collect()}
+    assert all(got[i][0] == ("en" if i % 2 else "de") for i in range(60, 80))
+    assert got[200] == got[201] == ("und", 0.0) and got[202][0] in ("de", "en")
+    none = language_id.train(df.limit(0))
+    assert {r.lang_pred for r in language_id.detect(probe, none, F.col("text")).collect()} == {"und"}
+
+
+def test_empty_tables(spark):
+    df = documents(spark, []).where("doc_id > 0")
+    items = spark.createDataFrame([(1, "a b c d e f g h i j k l")], "item_id long, text string")
+    for out in (exact_dedup.exact_duplicates(df), exact_dedup.drop_exact_duplicates(df), mixing.mix(df),
+                ngram_join.jaccard_classes(df), decontaminate.contaminated(df, items),
+                decontaminate.drop_contaminated(df, items.limit(0))):
+        assert out.count() == 0
