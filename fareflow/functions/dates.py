@@ -85,8 +85,9 @@ def offset_instant(text: ColumnOrName) -> Column:
 
 
 def offset_local(text: ColumnOrName) -> Column:
-    """Wall-clock part (first 23 chars) as ``TIMESTAMP_NTZ``."""
-    return F.to_timestamp_ntz(F.substring(_c(text), 1, 23), F.lit(LOCAL_TS_FORMAT))
+    """Wall-clock part (first 23 chars) as ``TIMESTAMP_NTZ`` (J8/J26); null
+    for malformed text."""
+    return F.try_to_timestamp(F.substring(_c(text), 1, 23), F.lit(LOCAL_TS_FORMAT)).cast("timestamp_ntz")
 
 
 def offset_text(text: ColumnOrName) -> Column:

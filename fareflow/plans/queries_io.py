@@ -163,12 +163,12 @@ def a10(spark, sf_dir):
     return FS.read_json_lines(spark, lines, EVENTS_SCHEMA, options=NTZ)
 
 
-@register("A13_file_inventory")
+@register("A13_file_inventory", "SELECT 8::BIGINT AS files, TRUE AS has_bytes")
 def a13(spark, sf_dir):
     p = stage_path(spark, "inv")
     quote_view(spark, sf_dir).select(*IDS, "price").repartition(8).write.parquet(p)
     inv = FS.inventory(spark, p, glob="*.parquet")
-    return inv.select("name", "size").filter(F.col("size") <= 50_000_000)
+    return FS.inventory_summary(inv, min_size=0).select("files", (F.col("bytes") > 0).alias("has_bytes"))
 
 
 @register("A17_html_link_rows", """

@@ -15,10 +15,11 @@ def read_json_lines(spark: SparkSession, path: str | list[str], schema: T.Struct
                     quarantine: bool = False, path_glob: str | None = None,
                     recursive: bool = False, options: dict | None = None) -> DataFrame:
     """JSON-lines scan (A1).  With ``quarantine=True`` malformed lines are kept
-    in ``_corrupt_record`` (PERMISSIVE) so they can be split off (B11)."""
+    in ``_corrupt_record`` (PERMISSIVE) so they can be split off (B11);
+    without it a malformed line fails the scan, so no line is lost silently."""
     r = spark.read.schema(
         T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())]) if quarantine else schema)
-    r = r.option("mode", "PERMISSIVE" if quarantine else "DROPMALFORMED")
+    r = r.option("mode", "PERMISSIVE" if quarantine else "FAILFAST")
     if quarantine:
         r = r.option("columnNameOfCorruptRecord", CORRUPT)
     if path_glob:
@@ -93,8 +94,11 @@ def inventory(spark: SparkSession, path: str, glob: str | None = None, recursive
                      F.col("length").alias("size"), F.col("modificationTime").alias("modified"))
 
 
-def inventory_summary(inv: DataFrame, max_size: int | None = None) -> DataFrame:
-    """Total size and count, optionally over files up to ``max_size`` bytes."""
+def inventory_summary(inv: DataFrame, min_size: int | None = None, max_size: int | None = None) -> DataFrame:
+    """Total size and count, optionally over files of more than ``min_size``
+    or up to ``max_size`` bytes."""
+    if min_size is not None:
+        inv = inv.filter(F.col("size") > min_size)
     if max_size is not None:
         inv = inv.filter(F.col("size") <= max_size)
     return inv.agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
