@@ -124,7 +124,9 @@ def bounded_sample(rows: DataFrame, strata: str, per_stratum: int, seed: int = 1
     """About ``per_stratum`` rows of each value of ``strata``, chosen by a
     seeded hash of all columns.  Used for training only."""
     n, key = fresh(rows, "_n", "_k")
-    counts = rows.groupBy(F.col(strata).alias(key)).agg(F.count(F.lit(1)).alias(n))
+    # written, so that Spark sees how small it is and need not shuffle the texts
+    counts = staged(rows.sparkSession, rows.groupBy(F.col(strata).alias(key)).agg(F.count(F.lit(1)).alias(n)),
+                    "sample-counts")
     share = F.pmod(F.xxhash64(F.lit(seed), *[F.col(c) for c in rows.columns]), F.lit(1 << 30)) / float(1 << 30)
     return rows.join(counts, rows[strata] == counts[key]).where(share * F.col(n) < per_stratum).drop(n, key)
 
