@@ -110,20 +110,20 @@ def frequent_exact(df: DataFrame, c: str, support: float) -> DataFrame:
 def duplicate_report(df: DataFrame, keys: Sequence[str] | None = None) -> DataFrame:
     """rows, distinct rows (on ``keys`` or all columns), surplus."""
     cols = list(keys) if keys else df.columns
-    total = df.agg(F.count(F.lit(1))).scalar()
-    distinct = df.select(*cols).distinct().agg(F.count(F.lit(1))).scalar()
-    return df.sparkSession.range(1).select(
-        total.alias("rows"), distinct.alias("distinctRows"),
-        (total - distinct).alias("duplicates"))
+    per_key = df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_ff_n"))
+    return (per_key.agg(F.coalesce(F.sum("_ff_n"), F.lit(0)).alias("rows"),
+                        F.count(F.lit(1)).alias("distinctRows"))
+            .withColumn("duplicates", F.col("rows") - F.col("distinctRows")))
 
 
 def datasets_equal(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Bag equality of two tables (I3): rows only in a / only in b."""
-    only_a = a.exceptAll(b).agg(F.count(F.lit(1))).scalar()
-    only_b = b.exceptAll(a).agg(F.count(F.lit(1))).scalar()
-    return a.sparkSession.range(1).select(
-        only_a.alias("onlyLeft"), only_b.alias("onlyRight"),
-        ((only_a == 0) & (only_b == 0)).alias("equal"))
+    """Bag equality of two tables (I3): rows only in a / only in b, from
+    one signed count per distinct row."""
+    signed = a.withColumn("_ff_s", F.lit(1)).unionByName(b.withColumn("_ff_s", F.lit(-1)))
+    surplus = signed.groupBy(*a.columns).agg(F.sum("_ff_s").alias("_ff_s"))
+    side = lambda s: F.coalesce(F.sum(F.greatest(F.col("_ff_s") * s, F.lit(0))), F.lit(0)).cast("long")
+    return (surplus.agg(side(1).alias("onlyLeft"), side(-1).alias("onlyRight"))
+            .withColumn("equal", (F.col("onlyLeft") == 0) & (F.col("onlyRight") == 0)))
 
 
 def max_row(df: DataFrame, metric: str, value: str) -> DataFrame:

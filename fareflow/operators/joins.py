@@ -34,22 +34,6 @@ class Dim:
     bounded: bool = False
 
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-def checked_broadcast(small: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Size check before broadcasting a *derived* table whose size depends on
-    the data (e.g. one row per key and day).  The table is checkpointed to
-    the shared checkpoint dir (computed once, survives executor loss), its
-    rows are counted, and it is marked for broadcast only below
-    ``max_rows``; above it the caller's join stays a shuffle join."""
-    from fareflow.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(small.sparkSession)
-    small = small.checkpoint(eager=True)
-    n = small.count()
-    return (F.broadcast(small), True) if n <= max_rows else (small, False)
-
-
 def star_join(fact: DataFrame, dims: Sequence[Dim]) -> DataFrame:
     """Chain of left (or inner) joins of a fact table to its dimensions."""
     out = fact

@@ -14,6 +14,9 @@ exactly but on a pre-aggregated table:
    when its measured size allows, otherwise sort-merge with AQE skew-join
    splitting hot ``(key, day)`` partitions.
 
+That is for coarse keys.  For the itinerary key, whose groups are small by
+nature, ``per_day=False`` is the plain window with its one shuffle.
+
 Range frames are tie-safe (every quote of the same day sees the same
 value), so the result does not depend on row arrival order.
 """
@@ -41,26 +44,25 @@ def route_key(*cols: str | Column, sep: str = "-", null_token: str | None = None
 
 def with_future_min(df: DataFrame, key: Sequence[str], order_col: str = "searchDate",
                     price: str = "price", days: int | None = 19,
-                    out: str = "futureMinPrice", broadcast_rows: int | None = 2_000_000) -> DataFrame:
+                    out: str = "futureMinPrice", per_day: bool = True) -> DataFrame:
     """Minimum ``price`` over quotes of the same ``key`` whose ``order_col``
     day lies in ``[day, day + days]`` (G3), or in ``[day, +inf)`` when
-    ``days`` is None (G2, tie-safe form).
+    ``days`` is None (G2, tie-safe form).  Lazy: building it runs no job.
 
-    The per-(key, day) table is broadcast to the fact rows when it has at
-    most ``broadcast_rows`` rows (checked, see ``joins.checked_broadcast``),
-    so the facts are never shuffled; beyond that it is a shuffle join.
-    ``broadcast_rows=None`` skips the check and leaves the choice to Spark."""
+    ``per_day=True`` is for coarse keys (a city pair), which may hold a large
+    share of all quotes: window over one row per (key, day), joined back.
+    ``per_day=False`` is for fine keys (an itinerary, quoted a few times a
+    day until it departs): one window over the quotes themselves, one shuffle."""
     key = list(key)
     day = F.unix_date(F.col(order_col).cast("date"))
-    daily = (df.select(*key, day.alias(DAY), F.col(price))
-             .groupBy(*key, DAY).agg(F.min(price).alias("_ff_dmin")))
     end = Window.unboundedFollowing if days is None else int(days)
     w = Window.partitionBy(*key).orderBy(DAY).rangeBetween(0, end)
+    if not per_day:
+        return df.withColumn(DAY, day).withColumn(out, F.min(price).over(w)).drop(DAY)
+    daily = (df.select(*key, day.alias(DAY), F.col(price))
+             .groupBy(*key, DAY).agg(F.min(price).alias("_ff_dmin")))
     fm = daily.select(*[F.col(k).alias(f"_ff_k{i}") for i, k in enumerate(key)],
                       F.col(DAY).alias("_ff_kday"), F.min("_ff_dmin").over(w).alias(out))
-    if broadcast_rows is not None:
-        from fareflow.operators.joins import checked_broadcast
-        fm, _ = checked_broadcast(fm, broadcast_rows)
     left = df.withColumn(DAY, day)
     cond = F.col(DAY).eqNullSafe(F.col("_ff_kday"))
     for i, k in enumerate(key):
@@ -131,9 +133,10 @@ def saving(price: str | Column = "price", future: str | Column = "futureMinPrice
 
 def with_drop_label(df: DataFrame, key: Sequence[str] = ("fromCity", "toCity"),
                     lookahead_days: int | None = 19, threshold: float = 20.0,
-                    order_col: str = "searchDate", price: str = "price") -> DataFrame:
-    """``futureMinPrice``, ``priceWillDrop`` and ``saving`` in one plan."""
-    out = with_future_min(df, key, order_col, price, lookahead_days)
+                    order_col: str = "searchDate", price: str = "price", per_day: bool = True) -> DataFrame:
+    """``futureMinPrice``, ``priceWillDrop`` and ``saving`` in one plan
+    (``per_day``: see ``with_future_min``)."""
+    out = with_future_min(df, key, order_col, price, lookahead_days, per_day=per_day)
     return out.withColumns({"priceWillDrop": drop_label(price, "futureMinPrice", threshold),
                             "saving": saving(price, "futureMinPrice")})
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fareflow.plans.quote_view import MODEL_SOURCE_SQL, QUOTE_SQL
+from fareflow.plans.quote_view import MODEL_SOURCE_SQL, QUOTE_SQL, REQUOTED_SQL
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -18,6 +18,7 @@ _SQL: dict[str, str] = {}
 # Shared oracle views, in dependency order.
 CTES: dict[str, str] = {
     "q": QUOTE_SQL,
+    "rq": REQUOTED_SQL,
     "m": MODEL_SOURCE_SQL,
 }
 

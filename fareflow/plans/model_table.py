@@ -27,14 +27,15 @@ MODEL_COLUMNS = [
 ]
 
 
-def build_model_table(src: DataFrame, key: Sequence[str] = ("fromCity", "toCity"),
+def build_model_table(src: DataFrame, key: Sequence[str] = ("routeCombKey",),
                       lookahead_days: int | None = 19, threshold: float = 20.0,
-                      cutoff: str | None = None, with_dates: bool = False) -> DataFrame:
-    """29 columns (L2); ``with_dates=True`` adds ``depDate``/``retDate`` (L3,
+                      cutoff: str | None = None, with_dates: bool = False, per_day: bool = False) -> DataFrame:
+    """The label looks ahead on the same itinerary (``routeCombKey``); for a
+    coarse ``key`` such as the city pair set ``per_day``.  29 columns (L2); ``with_dates=True`` adds ``depDate``/``retDate`` (L3,
     31 columns).  ``cutoff`` keeps searches up to that date but is applied
     after the label, so labels still see later quotes."""
     df = src.filter(F.col("price") > 0).withColumn("routeCombKey", route_key(*ROUTE_KEY_PARTS))
-    df = with_drop_label(df, key, lookahead_days, threshold)
+    df = with_drop_label(df, key, lookahead_days, threshold, per_day=per_day)
     ret = D.to_date_safe("leg2_departureTime_date", "dd/MM/yyyy")
     feats = {
         "leadTime": D.lead_time("depDate", "searchDate"),

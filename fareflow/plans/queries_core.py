@@ -6,19 +6,20 @@ from pyspark.sql import functions as F
 
 from fareflow.operators import labels as L
 from fareflow.plans.catalog import register
-from fareflow.plans.model_table import build_model_table
+from fareflow.plans.model_table import ROUTE_KEY_PARTS, build_model_table
 from fareflow.plans.quote_view import model_source, quote_view
 
+SQL_KEY = """concat_ws('-', fromCity, toCity, CAST(stayDays AS VARCHAR), CAST(depDate AS VARCHAR),
+    timeline1_departureTime_time, timeline2_departureTime_time,
+    timeline1_carrier_airlineCode, timeline2_carrier_airlineCode)"""
+
 SQL_MODEL_TABLE = """
 WITH lab AS (
   SELECT *,
-    concat_ws('-', fromCity, toCity, CAST(stayDays AS VARCHAR), CAST(depDate AS VARCHAR),
-      timeline1_departureTime_time, timeline2_departureTime_time,
-      timeline1_carrier_airlineCode, timeline2_carrier_airlineCode) AS routeCombKey,
-    min(price) OVER (PARTITION BY fromCity, toCity ORDER BY (searchDate - DATE '1970-01-01')
+    min(price) OVER (PARTITION BY routeCombKey ORDER BY (searchDate - DATE '1970-01-01')
                      RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING) AS futureMinPrice,
     CAST(strptime(leg2_departureTime_date, '%d/%m/%Y') AS DATE) AS ret
-  FROM m WHERE price > 0)
+  FROM (SELECT *, {key} AS routeCombKey FROM m WHERE price > 0))
 SELECT price, CAST(price - futureMinPrice > 20 AS INTEGER) AS priceWillDrop, futureMinPrice,
   greatest(price - futureMinPrice, 0.0) AS saving, fromCity, toCity, searchDate, routeCombKey,
   CAST(depDate - searchDate AS INTEGER) AS leadTime, leg1_stops, leg2_stops,
@@ -39,7 +40,7 @@ SELECT price, CAST(price - futureMinPrice > 20 AS INTEGER) AS priceWillDrop, fut
   timeline2_carrier_cabinClass[3] AS leg2_cabinClass_2,
   trip
 FROM lab
-"""
+""".replace("{key}", SQL_KEY)
 
 
 def model_table_q(spark, sf_dir):
@@ -49,6 +50,24 @@ def model_table_q(spark, sf_dir):
 register("L2_model_table", SQL_MODEL_TABLE)(model_table_q)
 
 
+@register("L2_model_table_city_pair",
+          SQL_MODEL_TABLE.replace("PARTITION BY routeCombKey", "PARTITION BY fromCity, toCity"))
+def l2_city_pair(spark, sf_dir):
+    return build_model_table(model_source(quote_view(spark, sf_dir)), ("fromCity", "toCity"), per_day=True)
+
+
+@register("G3_future_min_itinerary", f"""
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, quoteNo, searchDate, price,
+  min(price) OVER (PARTITION BY {SQL_KEY} ORDER BY (searchDate - DATE '1970-01-01')
+                   RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING) AS futureMinPrice
+FROM m""")
+def g3_itinerary(spark, sf_dir):
+    m = model_source(quote_view(spark, sf_dir)).withColumn("routeCombKey", L.route_key(*ROUTE_KEY_PARTS))
+    m = m.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "quoteNo", "searchDate", "price",
+                 "routeCombKey")
+    return L.with_future_min(m, ["routeCombKey"], per_day=False).drop("routeCombKey")
+
+
 @register("Q_quote_view", "SELECT * FROM q")
 def q_view(spark, sf_dir):
     return quote_view(spark, sf_dir)
@@ -104,7 +123,6 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey,
     coalesce(timeline2_carrier_airlineCode, '~')) AS safeKey
 FROM m""")
 def g1(spark, sf_dir):
-    from fareflow.plans.model_table import ROUTE_KEY_PARTS
     m = model_source(quote_view(spark, sf_dir))
     return m.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
                     L.route_key(*ROUTE_KEY_PARTS).alias("routeCombKey"),

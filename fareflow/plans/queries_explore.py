@@ -9,6 +9,7 @@ from fareflow.functions import text as T
 from fareflow.operators import explore as X
 from fareflow.operators import splits as S
 from fareflow.plans.catalog import register
+from fareflow.plans.queries_core import SQL_KEY
 from fareflow.plans.quote_view import model_source, quote_view
 
 IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -62,18 +63,20 @@ def d4(spark, sf_dir):
         .select(*IDS, "searchDate", "depDate")
 
 
-@register("D6_null_counts", """
-UNPIVOT (SELECT
-  CAST(count(*) - count(stayDays) AS BIGINT) AS stayDays,
-  CAST(count(*) - count(leg2_stops) AS BIGINT) AS leg2_stops,
-  CAST(count(*) - count(leg2_carrierSummary_airlineName) AS BIGINT) AS leg2_carrierSummary_airlineName,
-  CAST(count(*) - count(timeline2_carrier_cabinClass) AS BIGINT) AS timeline2_carrier_cabinClass,
-  CAST(count(*) - count(price) AS BIGINT) AS price
-FROM m) ON COLUMNS(*) INTO NAME "column" VALUE nulls""")
+MODEL_SOURCE_COLUMNS = [
+    "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "quoteNo", "price", "fromCity", "toCity", "searchDate",
+    "depDate", "stayDays", "trip", "cabin", "leg1_stops", "leg2_stops", "leg1_carrierSummary_noOfTicketsLeft",
+    "leg2_carrierSummary_noOfTicketsLeft", "leg1_carrierSummary_airlineName", "leg2_carrierSummary_airlineName",
+    "leg1_departureTime_hour", "leg2_departureTime_hour", "leg2_departureTime_date", "timeline1_departureTime_time",
+    "timeline2_departureTime_time", "timeline1_carrier_airlineCode", "timeline2_carrier_airlineCode",
+    "timeline1_carrier_cabinClass", "timeline2_carrier_cabinClass"]
+
+
+@register("D6_null_counts", "UNPIVOT (SELECT " + ", ".join(
+    f"CAST(count(*) - count({c}) AS BIGINT) AS {c}" for c in MODEL_SOURCE_COLUMNS)
+    + ' FROM m) ON COLUMNS(*) INTO NAME "column" VALUE nulls')
 def d6(spark, sf_dir):
-    m = model_source(quote_view(spark, sf_dir))
-    return X.null_counts(m, ["stayDays", "leg2_stops", "leg2_carrierSummary_airlineName",
-                             "timeline2_carrier_cabinClass", "price"])
+    return X.null_counts(model_source(quote_view(spark, sf_dir)))
 
 
 @register("D7_matched_semi", f"""
@@ -181,9 +184,9 @@ def f6(spark, sf_dir):
 @register("F6_avg_by_array_key", """
 SELECT timeline1_carrier_cabinClass, count(*) AS n,
   CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS avgPrice
-FROM m WHERE fromCity = 'NATION_3' GROUP BY timeline1_carrier_cabinClass""")
+FROM m GROUP BY timeline1_carrier_cabinClass""")
 def f6b(spark, sf_dir):
-    m = model_source(quote_view(spark, sf_dir)).filter(F.col("fromCity") == "NATION_3")
+    m = model_source(quote_view(spark, sf_dir))
     return m.groupBy("timeline1_carrier_cabinClass").agg(F.count(F.lit(1)).alias("n"),
                                                          X.exact_avg("price").alias("avgPrice"))
 
@@ -285,18 +288,20 @@ def f16(spark, sf_dir):
     return q.groupBy("airlineName", "depDate").agg(F.round(X.exact_avg("price"), 0).alias("avgPrice"))
 
 
-@register("F17_label_ratio", """
+@register("F17_label_ratio", f"""
 WITH f AS (
   SELECT trip, stayDays, CAST(floor((depDate - searchDate) / 30) AS INTEGER) AS leadBand, price,
-    min(price) OVER (PARTITION BY fromCity, toCity ORDER BY (searchDate - DATE '1970-01-01')
+    min(price) OVER (PARTITION BY {SQL_KEY} ORDER BY (searchDate - DATE '1970-01-01')
                      RANGE BETWEEN CURRENT ROW AND 19 FOLLOWING) AS fm
-  FROM q WHERE price > 0)
+  FROM m WHERE price > 0)
 SELECT trip, stayDays, leadBand, avg(CAST(price - fm > 20 AS INTEGER)) AS dropRatio, count(*) AS n
 FROM f GROUP BY trip, stayDays, leadBand""")
 def f17(spark, sf_dir):
-    from fareflow.operators.labels import with_drop_label
-    q = _q(spark, sf_dir).filter(F.col("price") > 0)
-    lab = with_drop_label(q, ["fromCity", "toCity"], 19, 20.0)
+    from fareflow.operators.labels import route_key, with_drop_label
+    from fareflow.plans.model_table import ROUTE_KEY_PARTS
+    m = model_source(quote_view(spark, sf_dir)).filter(F.col("price") > 0)
+    m = m.select("trip", "stayDays", "depDate", "searchDate", "price", route_key(*ROUTE_KEY_PARTS).alias("key"))
+    lab = with_drop_label(m, ["key"], 19, 20.0, per_day=False)
     lab = lab.withColumn("leadBand", F.floor(F.datediff("depDate", "searchDate") / 30).cast("int"))
     return lab.groupBy("trip", "stayDays", "leadBand").agg(F.avg("priceWillDrop").alias("dropRatio"),
                                                           F.count(F.lit(1)).alias("n"))
@@ -305,13 +310,12 @@ def f17(spark, sf_dir):
 BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 
 
-@register("F18_series_by_airline", "SELECT searchDate, " + ", ".join(
+@register("F18_series_by_airline", "SELECT fromCity, searchDate, " + ", ".join(
     f"CAST(sum(CASE WHEN airlineName = '{b}' THEN CAST(price AS DECIMAL(18,2)) END) AS DOUBLE) "
     f"/ count(CASE WHEN airlineName = '{b}' THEN price END) AS \"{b}\"" for b in BRANDS)
-    + " FROM q WHERE fromCity = 'NATION_1' GROUP BY searchDate")
+    + " FROM q GROUP BY fromCity, searchDate")
 def f18(spark, sf_dir):
-    q = _q(spark, sf_dir).filter(F.col("fromCity") == "NATION_1")
-    return q.groupBy("searchDate").pivot("airlineName", BRANDS).agg(X.exact_avg("price"))
+    return _q(spark, sf_dir).groupBy("fromCity", "searchDate").pivot("airlineName", BRANDS).agg(X.exact_avg("price"))
 
 
 # ---- H: sort, limit, sampling --------------------------------------------

@@ -104,9 +104,9 @@ def b6(spark, sf_dir):
         q.filter(num.between(lo, hi)).drop("airlineName").write.parquet(f)
         folders.append(f)
     out = stage_path(spark, "consolidated")
-    # the original layout is route x month; at this scale one level of
-    # folders per departure city keeps the file count sensible
-    K.consolidate(spark, folders, out, partition_by=("fromCity",))
+    # one folder per route; the month stays a column, as the given tables hold
+    # a few rows for each of some 50 000 routes x months
+    K.consolidate(spark, folders, out, partition_by=("fromCity", "toCity"))
     back = read_parquet_roots(spark, out)
     return back.select(*IDS, "price", "fromCity", "toCity", F.col("searchMonth").cast("string"))
 
@@ -195,7 +195,7 @@ GROUP BY 1, 2""")
 def b12(spark, sf_dir):
     import uuid
     from fareflow.plans.documents import v1_1_documents
-    name = "flight_" + uuid.uuid4().hex[:8]
+    name = "nested_" + uuid.uuid4().hex[:8]
     v1_1_documents(quote_view(spark, sf_dir), "b").createOrReplaceTempView(name)
     return spark.sql(f"SELECT fromCity, flight_leg1.departureLocation.airportCode AS depAirport, "
                      f"count(*) AS n FROM {name} GROUP BY 1, 2")
@@ -214,7 +214,12 @@ def p1(spark, sf_dir):
     # up only the new ones, the third finds nothing
     lines.filter(F.col("f") < 6).drop("f").repartition(6).write.mode("append").text(src)
     ingest_available(spark, src, dst, ck, EVENTS_SCHEMA, max_files=2, quarantine=bad)
-    lines.filter(F.col("f") >= 6).drop("f").repartition(6).write.mode("append").text(src)
+    lines.filter(F.col("f").between(6, 8)).drop("f").repartition(4).write.mode("append").text(src)
     ingest_available(spark, src, dst, ck, EVENTS_SCHEMA, max_files=2, quarantine=bad)
     ingest_available(spark, src, dst, ck, EVENTS_SCHEMA, max_files=2, quarantine=bad)
+    # another stream with a checkpoint of its own adds to the same target
+    other = stage_path(spark, "landing-2")
+    lines.filter(F.col("f") > 8).drop("f").repartition(3).write.text(other)
+    ingest_available(spark, other, dst, stage_path(spark, "ingest-ckpt-2"), EVENTS_SCHEMA, max_files=2,
+                     quarantine=bad)
     return spark.read.parquet(dst).select(*EVENTS_SCHEMA.fieldNames())

@@ -110,17 +110,18 @@ def e6(spark, sf_dir):
 
 
 @register("E10_full_outer_series", """
-WITH a AS (SELECT searchDate, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS brand1
-           FROM q WHERE airlineName = 'Brand#1' GROUP BY searchDate),
-     b AS (SELECT searchDate, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS brand2
-           FROM q WHERE airlineName = 'Brand#2' GROUP BY searchDate)
-SELECT coalesce(a.searchDate, b.searchDate) AS searchDate, brand1, brand2
-FROM a FULL OUTER JOIN b ON a.searchDate = b.searchDate""")
+WITH a AS (SELECT airlineName, searchDate, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS oneWay
+           FROM q WHERE trip = '1' GROUP BY 1, 2),
+     b AS (SELECT airlineName, searchDate, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS return
+           FROM q WHERE trip = '2' GROUP BY 1, 2)
+SELECT coalesce(a.airlineName, b.airlineName) AS airlineName, coalesce(a.searchDate, b.searchDate) AS searchDate,
+  oneWay, return
+FROM a FULL OUTER JOIN b ON a.airlineName = b.airlineName AND a.searchDate = b.searchDate""")
 def e10(spark, sf_dir):
-    q = _q(spark, sf_dir)
-    a = q.filter(F.col("airlineName") == "Brand#1").groupBy("searchDate").agg(X.exact_avg("price").alias("brand1"))
-    b = q.filter(F.col("airlineName") == "Brand#2").groupBy("searchDate").agg(X.exact_avg("price").alias("brand2"))
-    return a.join(b, "searchDate", "full_outer")
+    def series(trip, name):
+        return _q(spark, sf_dir).filter(F.col("trip") == trip).groupBy("airlineName", "searchDate") \
+            .agg(X.exact_avg("price").alias(name))
+    return series("1", "oneWay").join(series("2", "return"), ["airlineName", "searchDate"], "full_outer")
 
 
 @register("E11_dictionary_lookup", f"""
@@ -135,9 +136,12 @@ def e11(spark, sf_dir):
 
 
 @register("E13_L7_price_movement", """
-WITH a AS (SELECT airlineName, avg(price) AS before FROM q WHERE searchDate = DATE '1997-03-08' GROUP BY 1),
-     b AS (SELECT airlineName, avg(price) AS after FROM q WHERE searchDate = DATE '1997-03-14' GROUP BY 1)
-SELECT coalesce(a.airlineName, b.airlineName) AS airlineName, before, after, after - before AS change
-FROM a FULL OUTER JOIN b ON a.airlineName = b.airlineName""")
+WITH a AS (SELECT airlineName, depHour, depMinute, avg(price) AS before FROM q
+           WHERE searchDate = DATE '1997-03-08' GROUP BY ALL),
+     b AS (SELECT airlineName, depHour, depMinute, avg(price) AS after FROM q
+           WHERE searchDate = DATE '1997-03-14' GROUP BY ALL)
+SELECT airlineName, depHour, depMinute, before, after, after - before AS change
+FROM a FULL OUTER JOIN b USING (airlineName, depHour, depMinute)""")
 def e13(spark, sf_dir):
-    return J.movement(_q(spark, sf_dir), "searchDate", "1997-03-08", "1997-03-14", ["airlineName"])
+    return J.movement(_q(spark, sf_dir), "searchDate", "1997-03-08", "1997-03-14",
+                      ["airlineName", "depHour", "depMinute"])

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from fareflow.ml import pipeline as P
 from fareflow.operators.ranking import stratified_folds
-from fareflow.operators.splits import hash_split
+from fareflow.operators.splits import time_split
 from fareflow.plans.catalog import register
 from fareflow.plans.model_table import build_model_table
 from fareflow.plans.quote_view import model_source, quote_view
+from fareflow.plans.reports import materialize
 from fareflow.session import stage_path
 
 FEATURES = ["leadTime", "leg1_stops", "leg2_stops", "leg1_noOfTicketsLeft", "leg2_noOfTicketsLeft",
@@ -21,10 +22,21 @@ FEATURES = ["leadTime", "leg1_stops", "leg2_stops", "leg1_noOfTicketsLeft", "leg
 KEEP = ["routeCombKey", "searchDate", "price", "label"]
 
 
+HOLD_OUT_FROM = "2000-04-01"
+
+
+def _held_out(mt):
+    """Searches from ``HOLD_OUT_FROM`` on are held out (split 1): the label
+    looks ahead, so later quotes must not train.  Written once, as indexers,
+    fit and evaluation all read it."""
+    d = time_split(mt, "searchDate", HOLD_OUT_FROM)
+    return materialize(d.withColumn("split", (F.col("split") == "test").cast("int")), "model-data")
+
+
 def _model_data(spark, sf_dir):
     mt = build_model_table(model_source(quote_view(spark, sf_dir)))
     mt = mt.withColumnRenamed("priceWillDrop", "label")
-    return hash_split(mt, [0.7, 0.3], keys=["routeCombKey", "searchDate", "price"])
+    return _held_out(mt)
 
 
 @register("M4_M5_M7_M8_logistic_pipeline")
@@ -48,7 +60,7 @@ def m10(spark, sf_dir):
 @register("M11_gbt_regressor_rmse")
 def m11(spark, sf_dir):
     mt = build_model_table(model_source(quote_view(spark, sf_dir)))
-    d = hash_split(mt, [0.7, 0.3], keys=["routeCombKey", "searchDate", "price"])
+    d = _held_out(mt)
     model = P.train_regressor(d.filter("split = 0"), FEATURES, "saving", maxIter=5, maxDepth=4)
     pred = model.transform(P.impute_zero(d.filter("split = 1"), FEATURES))
     return spark.createDataFrame([("gbt_regressor", float(P.evaluate_rmse(pred, "saving")))],

@@ -106,7 +106,7 @@ V10_SQL = """
 WITH g AS (
   SELECT *, max(coalesce(stayDays, l_linenumber)) OVER (
     PARTITION BY l_orderkey, fromCity, toCity, depDate, trip, searchDate) AS stay FROM docq2)
-SELECT price, '1.0' AS version, searchDate, 'flight_' || fromCity || '_' || toCity AS tableName,
+SELECT price, '1.0' AS version, searchDate, 'fares_' || fromCity || '_' || toCity AS tableName,
   l_orderkey AS task_id, 'AUD' AS currencyCode, fromCity, toCity, trip, depDate,
   CASE WHEN trip = '1' THEN NULL ELSE CAST(depDate + CAST(stay AS INTEGER) AS DATE) END AS retDate,
   CASE WHEN trip = '1' THEN NULL ELSE CAST(stay AS INTEGER) END AS stayDays,

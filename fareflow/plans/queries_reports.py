@@ -10,7 +10,7 @@ from fareflow.plans import reports as RP
 from fareflow.plans.catalog import register
 from fareflow.plans.model_table import build_model_table
 from fareflow.plans.queries_core import SQL_MODEL_TABLE
-from fareflow.plans.quote_view import model_source, quote_view
+from fareflow.plans.quote_view import model_source, quote_view, requoted
 
 IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 SQL_IDS = "l_orderkey, l_linenumber, l_partkey, l_suppkey"
@@ -32,55 +32,70 @@ def l2_cutoff(spark, sf_dir):
 
 @register("L1_price_features", f"""
 WITH f AS (
-  SELECT {SQL_IDS}, price, fromCity, toCity, searchDate, depDate, durationText, stopInfo,
+  SELECT rq.*,
     strptime(substr(departureTime, 1, 23), '%Y-%m-%dT%H:%M:%S.%g') AS depLocal,
     list_filter(string_split(stopInfo, ';'), lambda x: x <> '') AS parts
-  FROM q WHERE price > 0)
-SELECT {SQL_IDS}, depLocal,
-  CASE WHEN hour(depLocal) < 5 THEN 'early morning' WHEN hour(depLocal) < 12 THEN 'morning'
-       WHEN hour(depLocal) < 18 THEN 'afternoon' ELSE 'evening' END AS depTimeGroup,
-  TRY_CAST(NULLIF(regexp_extract(durationText, '^\\s*([0-9]+)h', 1), '') AS INTEGER) * 60
-    + TRY_CAST(NULLIF(regexp_extract(durationText, 'h\\s*([0-9]+)m\\s*$', 1), '') AS INTEGER) AS durationMinutes,
+  FROM rq WHERE price > 0),
+g AS (SELECT *,
+    TRY_CAST(NULLIF(regexp_extract(durationText, '^\\s*([0-9]+)h', 1), '') AS INTEGER) * 60
+      + TRY_CAST(NULLIF(regexp_extract(durationText, 'h\\s*([0-9]+)m\\s*$', 1), '') AS INTEGER) AS minutes,
   TRY_CAST(NULLIF(regexp_extract(string_split(parts[1], ':')[-1], '^\\s*([0-9]+)h', 1), '') AS INTEGER) * 60
     + TRY_CAST(NULLIF(regexp_extract(string_split(parts[1], ':')[-1], 'h\\s*([0-9]+)m\\s*$', 1), '') AS INTEGER)
     AS stop1Minutes,
   TRY_CAST(NULLIF(regexp_extract(string_split(parts[2], ':')[-1], '^\\s*([0-9]+)h', 1), '') AS INTEGER) * 60
     + TRY_CAST(NULLIF(regexp_extract(string_split(parts[2], ':')[-1], 'h\\s*([0-9]+)m\\s*$', 1), '') AS INTEGER)
-    AS stop2Minutes,
+    AS stop2Minutes
+  FROM f)
+SELECT {SQL_IDS}, quoteNo, price, fromCity, toCity, trip, stayDays, airlineName, stops, depLocal,
+  ticketsLeft <> 0 AS fewTicketsLeft,
+  CASE WHEN hour(depLocal + to_minutes(minutes)) < 5 THEN 'early morning'
+       WHEN hour(depLocal + to_minutes(minutes)) < 12 THEN 'morning'
+       WHEN hour(depLocal + to_minutes(minutes)) < 18 THEN 'afternoon'
+       WHEN minutes IS NOT NULL THEN 'evening' END AS arrTimeGroup,
+  coalesce(stop1Minutes + stop2Minutes, 0) AS stopMinutes,
+  CAST((CASE WHEN depDate = (SELECT min(h) FROM hol) THEN depDate
+        ELSE (SELECT max(h) FROM hol WHERE h < depDate) END) - depDate AS INTEGER) AS days_to_last_holiday,
+  price - min(price) OVER itinerary AS priceDrop,
+  CASE WHEN hour(depLocal) < 5 THEN 'early morning' WHEN hour(depLocal) < 12 THEN 'morning'
+       WHEN hour(depLocal) < 18 THEN 'afternoon' ELSE 'evening' END AS depTimeGroup,
+  TRY_CAST(NULLIF(regexp_extract(durationText, '^\\s*([0-9]+)h', 1), '') AS INTEGER) * 60
+    + TRY_CAST(NULLIF(regexp_extract(durationText, 'h\\s*([0-9]+)m\\s*$', 1), '') AS INTEGER) AS durationMinutes,
+  stop1Minutes, stop2Minutes,
   CAST(isodow(depDate) - 1 AS INTEGER) AS depWeekday, CAST(week(depDate) AS INTEGER) AS depWeek,
   CAST(depDate - searchDate AS INTEGER) AS leadTime,
   coalesce(CAST((SELECT min(h) FROM hol WHERE h >= depDate) - depDate AS INTEGER), 999) AS days_to_next_holiday,
-  CAST(price - min(price) OVER (PARTITION BY fromCity, toCity ORDER BY searchDate
-       RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) > 5 AS INTEGER) AS priceWillDrop
-FROM f""")
+  CAST(price - min(price) OVER itinerary > 5 AS INTEGER) AS priceWillDrop
+FROM g WINDOW itinerary AS (PARTITION BY {", ".join(RP.EARLY_KEY)} ORDER BY searchDate
+                            RANGE BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)""")
 def l1(spark, sf_dir):
     cal = derived_calendar(spark, sf_dir)
     hol = cal.filter((F.col("Country") == "asia") & (F.col("HolidayType") == "National holiday"))
-    out = RP.build_price_features(quote_view(spark, sf_dir), hol)
-    return out.select(*IDS, "depLocal", "depTimeGroup", "durationMinutes", "stop1Minutes", "stop2Minutes",
+    out = RP.build_price_features(requoted(quote_view(spark, sf_dir)), hol)
+    return out.select(*IDS, "quoteNo", "price", "fromCity", "toCity", "trip", "stayDays", "airlineName", "stops",
+                      "depLocal", "fewTicketsLeft", "arrTimeGroup", "stopMinutes", "days_to_last_holiday", "priceDrop",
+                      "depTimeGroup", "durationMinutes", "stop1Minutes", "stop2Minutes",
                       "depWeekday", "depWeek", "leadTime", "days_to_next_holiday", "priceWillDrop")
 
 
 @register("L5_G7_J22_J23_heatmap", """
-WITH d AS (SELECT airlineName, price, strftime(depDate, '%Y-%m') AS ym,
+WITH d AS (SELECT fromCity, trip, airlineName, price, strftime(depDate, '%Y-%m') AS ym,
                   CAST(strftime(depDate, '%W') AS INTEGER) AS week, strftime(depDate, '%a') AS weekdayLabel
-           FROM q WHERE trip = '2' AND fromCity = 'NATION_1'),
+           FROM q),
 w AS (SELECT *, 1 + week - min(week) OVER (PARTITION BY ym) AS monthWeek FROM d)
-SELECT airlineName, ym, CAST(monthWeek AS INTEGER) AS monthWeek, weekdayLabel,
+SELECT fromCity, trip, airlineName, ym, CAST(monthWeek AS INTEGER) AS monthWeek, weekdayLabel,
   round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price), 0) AS avgPrice, count(*) AS n
-FROM w GROUP BY 1, 2, 3, 4""")
+FROM w GROUP BY 1, 2, 3, 4, 5, 6""")
 def l5(spark, sf_dir):
-    q = quote_view(spark, sf_dir).filter((F.col("trip") == "2") & (F.col("fromCity") == "NATION_1"))
-    return RP.heatmap_table(q)
+    return RP.heatmap_table(quote_view(spark, sf_dir))
 
 
 @register("L6_weekday_hour", """
-SELECT airlineName, strftime(depDate, '%a') AS weekdayLabel,
+SELECT toCity, airlineName, strftime(depDate, '%a') AS weekdayLabel,
   strftime(strptime(substr(departureTime, 1, 23), '%Y-%m-%dT%H:%M:%S.%g'), '%H') AS hour,
   round(CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price), 0) AS avgPrice
-FROM q WHERE toCity = 'NATION_2' GROUP BY 1, 2, 3""")
+FROM q GROUP BY 1, 2, 3, 4""")
 def l6(spark, sf_dir):
-    return RP.weekday_hour_table(quote_view(spark, sf_dir).filter(F.col("toCity") == "NATION_2"))
+    return RP.weekday_hour_table(quote_view(spark, sf_dir))
 
 
 @register("L9_load_audit", """
@@ -99,7 +114,7 @@ def l9(spark, sf_dir):
     v10 = DOC.v1_0_documents(q.filter(F.col("l_linenumber") % 3 == 0))
     v1b = DOC.v1_1_documents(q.filter(F.col("l_linenumber") % 3 == 2), "b")
     js = F.to_json(F.struct(*[F.col(c) for c in v1b.columns]))
-    # quotes whose first flight number is a multiple of 41 arrive truncated
+    # quotes whose first segment number is a multiple of 41 arrive truncated
     broken = F.get(F.col("timeline_leg1"), 0).getField("carrier").getField("flightNumber") % 41 == 0
     lines = (v10.select(F.to_json(F.struct("basic", "flight_list")).alias("value"))
              .unionByName(DOC.v1_1_documents(q.filter(F.col("l_linenumber") % 3 == 1), "a")

@@ -94,13 +94,26 @@ def quote_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def requoted(q: DataFrame) -> DataFrame:
+    """Every itinerary of ``Q`` quoted twice: as it is (``quoteNo`` 0) and 5 to
+    24 days before (``quoteNo`` 1) at a price up to 45 higher or lower, so that
+    itineraries repeat over search dates as they do in scraped quotes."""
+    n = F.col("quoteNo")
+    pk = F.col("l_partkey")
+    return q.withColumn("quoteNo", F.explode(F.array(F.lit(0), F.lit(1)))).withColumns({
+        "price": F.col("price") + ((pk + 5) % 7 - 3) * 15 * n,
+        "searchDate": F.date_sub(F.col("searchDate"), (n * (5 + pk % 20)).cast("int"))})
+
+
 def model_source(q: DataFrame) -> DataFrame:
-    """Flat modelling source (prefix-flattened leg/timeline names) from ``Q``."""
+    """Flat modelling source (prefix-flattened leg/timeline names) from ``Q``,
+    with re-quoted itineraries."""
+    q = requoted(q)
     rt = F.col("trip") == "2"
     leg2_stops = F.when(rt, F.col("l_linenumber") % 2)
     hour2 = (F.col("depHour") + 7) % 24
     return q.select(
-        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "quoteNo",
         "price", "fromCity", "toCity", "searchDate", "depDate", "stayDays", "trip", "cabin",
         F.col("stops").alias("leg1_stops"),
         leg2_stops.alias("leg2_stops"),
@@ -167,8 +180,14 @@ JOIN nation ns ON s_nationkey = ns.n_nationkey
 JOIN nation nc ON c_nationkey = nc.n_nationkey
 """
 
+REQUOTED_SQL = """
+SELECT q.* REPLACE (price + ((l_partkey + 5) % 7 - 3) * 15 * quoteNo AS price,
+  CAST(searchDate - CAST(quoteNo * (5 + l_partkey % 20) AS INTEGER) AS DATE) AS searchDate), quoteNo
+FROM q, (SELECT unnest([0, 1]) AS quoteNo)
+"""
+
 MODEL_SOURCE_SQL = """
-SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, price, fromCity, toCity,
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, quoteNo, price, fromCity, toCity,
   searchDate, depDate, stayDays, trip, cabin,
   stops AS leg1_stops,
   CASE WHEN trip = '2' THEN l_linenumber % 2 END AS leg2_stops,
@@ -188,5 +207,5 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, price, fromCity, toCity,
   list_slice([cabin, 'ECONOMY', 'BUSINESS'], 1, stops + 1) AS timeline1_carrier_cabinClass,
   CASE WHEN trip = '2' THEN list_slice([cabin, 'PREMIUM'], 1, l_linenumber % 2 + 1) END
     AS timeline2_carrier_cabinClass
-FROM q
+FROM rq
 """

@@ -18,11 +18,17 @@ from fareflow.operators.labels import week_of_month, with_drop_label
 from fareflow.session import stage_path
 
 
-def build_price_features(q: DataFrame, holidays: DataFrame, key: Sequence[str] = ("fromCity", "toCity"),
-                         threshold: float = 5.0) -> DataFrame:
+#: Early itinerary key (L1): the parts that the first label looked ahead on.
+EARLY_KEY = ("fromCity", "toCity", "trip", "stayDays", "depDate", "airlineName", "departureTime", "stopInfo",
+             "durationText")
+
+
+def build_price_features(q: DataFrame, holidays: DataFrame, key: Sequence[str] = EARLY_KEY,
+                         threshold: float = 5.0, per_day: bool = False) -> DataFrame:
     """Early feature table (L1): local times and groups, duration and stop
-    minutes, weekday / week, lead time, days to the next holiday (999 when
-    none ahead) and the unbounded-horizon drop label, in one plan."""
+    minutes, weekday / week, lead time, days to the holidays around (999 when
+    none ahead) and the unbounded-horizon drop label of the same itinerary, in
+    one plan (``per_day``: see ``with_future_min``)."""
     stops = T.stop_list("stopInfo")
     loc = D.offset_local("departureTime")
     out = q.withColumns({
@@ -34,26 +40,32 @@ def build_price_features(q: DataFrame, holidays: DataFrame, key: Sequence[str] =
         "depWeekday": D.weekday_monday0("depDate"),
         "depWeek": D.iso_week("depDate"),
         "leadTime": D.lead_time("depDate", "searchDate"),
+        "fewTicketsLeft": F.col("ticketsLeft") != 0,
+    })
+    out = out.withColumns({
+        "arrTimeGroup": D.time_group(F.hour(F.timestamp_add("MINUTE", F.col("durationMinutes"), F.col("depLocal")))),
+        "stopMinutes": F.coalesce(F.col("stop1Minutes") + F.col("stop2Minutes"), F.lit(0)),
     })
     out = with_previous_next(out, "depDate", holidays, "Date", "holiday")
     out = out.withColumn("days_to_next_holiday", F.coalesce("days_to_next_holiday", F.lit(999)))
-    return with_drop_label(out.filter(F.col("price") > 0), list(key), None, threshold)
+    out = with_drop_label(out.filter(F.col("price") > 0), list(key), None, threshold, per_day=per_day)
+    return out.withColumn("priceDrop", F.col("price") - F.col("futureMinPrice"))
 
 
 def heatmap_table(q: DataFrame) -> DataFrame:
-    """Calendar heat-map input (L5): mean price per airline, year-month,
-    week of month (Monday weeks) and weekday label."""
+    """Calendar heat-map input (L5): mean price per departure city, trip
+    type, airline, year-month, week of month (Monday weeks) and weekday label."""
     d = q.withColumns({"ym": D.year_month("depDate"), "week": D.week_of_year_monday("depDate"),
                        "weekdayLabel": F.date_format("depDate", "E")})
     d = week_of_month(d, "week", "ym")
-    return d.groupBy("airlineName", "ym", "monthWeek", "weekdayLabel").agg(
+    return d.groupBy("fromCity", "trip", "airlineName", "ym", "monthWeek", "weekdayLabel").agg(
         F.round(exact_avg("price"), 0).alias("avgPrice"), F.count(F.lit(1)).alias("n"))
 
 
 def weekday_hour_table(q: DataFrame) -> DataFrame:
-    """Mean price by airline, weekday and departure hour."""
+    """Mean price by destination, airline, weekday and departure hour."""
     loc = D.offset_local("departureTime")
-    return q.groupBy("airlineName", F.date_format("depDate", "E").alias("weekdayLabel"),
+    return q.groupBy("toCity", "airlineName", F.date_format("depDate", "E").alias("weekdayLabel"),
                      F.date_format(loc, "HH").alias("hour")).agg(
         F.round(exact_avg("price"), 0).alias("avgPrice"))
 

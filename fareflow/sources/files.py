@@ -104,9 +104,9 @@ def inventory_summary(inv: DataFrame, min_size: int | None = None, max_size: int
     return inv.agg(F.count(F.lit(1)).alias("files"), F.sum("size").alias("bytes"))
 
 
-def parse_archive_name(name_col: str = "name") -> dict[str, F.Column]:
-    """``flight_<from>_<to>_price_<date>.zip`` -> route and date."""
-    pat = r"^flight_([^_]+)_([^_]+)_price_([0-9]{4}-[0-9]{2}-[0-9]{2})"
+def parse_archive_name(name_col: str = "name", prefix: str = "[a-z]+") -> dict[str, F.Column]:
+    """``<prefix>_<from>_<to>_price_<date>.zip`` -> route and date."""
+    pat = rf"^(?:{prefix})_([^_]+)_([^_]+)_price_([0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}})"
     c = F.col(name_col)
     return {"fromCity": F.regexp_extract(c, pat, 1), "toCity": F.regexp_extract(c, pat, 2),
             "fileDate": F.try_to_date(F.regexp_extract(c, pat, 3)),

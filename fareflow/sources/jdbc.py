@@ -19,12 +19,15 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict | None
 
 
 def table_loader(spark: SparkSession, root: str | None = None, url: str | None = None,
-                 properties: dict | None = None):
-    """``load(name)`` over Parquet files under ``root`` or a JDBC database."""
+                 properties: dict | None = None, splits: dict[str, dict] | None = None):
+    """``load(name)`` over Parquet files under ``root`` or a JDBC database.
+    ``splits`` gives the ``read_jdbc`` split options of each large table
+    (``partition_column``, ``lower``, ``upper``, ``num_partitions``); a table
+    without them is read over one connection."""
     from fareflow.sources.tables import load_table
 
     def load(name: str) -> DataFrame:
         if url is not None:
-            return read_jdbc(spark, url, name, properties)
+            return read_jdbc(spark, url, name, properties, **(splits or {}).get(name, {}))
         return load_table(spark, root, name)
     return load

@@ -15,20 +15,6 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Guarantee enough input partitions for the cluster's cores.
-
-    A small table stored as one Parquet row group scans as one task, and
-    every map-side stage after it (broadcast joins, derivations) inherits
-    that single task.  Only then is the scan redistributed round-robin; a
-    large input (thousands of splits) is returned untouched, so no shuffle
-    is added at scale.  Only the partition count is inspected (no job).
-    Worth it only before heavy per-row work (document building); for light
-    projections the extra exchange costs more than it gains."""
-    n = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(n) if df.rdd.getNumPartitions() < n else df
-
-
 def read_parquet_roots(spark: SparkSession, *paths: str, merge_schema: bool = False,
                        base_path: str | None = None) -> DataFrame:
     """One scan over several roots / globs (A4) instead of a driver loop of

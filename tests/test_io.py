@@ -19,10 +19,10 @@ def _zip(path, members):
 
 
 def test_archive_scan_with_final_results_folder(spark, tmpdir_path):
-    _zip(os.path.join(tmpdir_path, "flight_SYD_PEK_price_2017-05-11.zip"),
+    _zip(os.path.join(tmpdir_path, "fares_SYD_PEK_price_2017-05-11.zip"),
          {"a.txt": '{"price": 1}\n{"price": 2}\n', "final_results/b.txt": '{"price": 3}\n',
           "notes.md": "skip me"})
-    _zip(os.path.join(tmpdir_path, "flight_SYD_PVG_price_2017-05-12.zip"), {"c.txt": '{"price": 4}\n\n'})
+    _zip(os.path.join(tmpdir_path, "fares_SYD_PVG_price_2017-05-12.zip"), {"c.txt": '{"price": 4}\n\n'})
     rows = archives.read_archives(spark, tmpdir_path)
     got = sorted((os.path.basename(r.archive), r.member, r.line) for r in rows.collect())
     assert [g[1] for g in got] == ["a.txt", "a.txt", "b.txt", "c.txt"]
@@ -31,14 +31,14 @@ def test_archive_scan_with_final_results_folder(spark, tmpdir_path):
 
 
 def test_inventory_and_name_parsing(spark, tmpdir_path):
-    for i, name in enumerate(["flight_SYD_PEK_price_2017-05-11.zip", "flight_MEL_HKG_price_2017-05-14.zip",
+    for i, name in enumerate(["fares_SYD_PEK_price_2017-05-11.zip", "fares_MEL_HKG_price_2017-05-14.zip",
                               "other.txt"]):
         with open(os.path.join(tmpdir_path, name), "wb") as fh:
             fh.write(b"x" * (10 + i))
-    inv = files.inventory(spark, tmpdir_path, glob="flight_*_price_2017-05-1[1-4]*.zip")
+    inv = files.inventory(spark, tmpdir_path, glob="fares_*_price_2017-05-1[1-4]*.zip")
     rows = sorted(inv.select("name", "size", **{}).collect())
-    assert [(r.name, r.size) for r in rows] == [("flight_MEL_HKG_price_2017-05-14.zip", 11),
-                                                ("flight_SYD_PEK_price_2017-05-11.zip", 10)]
+    assert [(r.name, r.size) for r in rows] == [("fares_MEL_HKG_price_2017-05-14.zip", 11),
+                                                ("fares_SYD_PEK_price_2017-05-11.zip", 10)]
     parsed = inv.select(*[c.alias(n) for n, c in files.parse_archive_name().items()]).orderBy("fromCity").collect()
     assert [(r.fromCity, r.toCity, str(r.fileDate)) for r in parsed] == [("MEL", "HKG", "2017-05-14"),
                                                                          ("SYD", "PEK", "2017-05-11")]
@@ -91,3 +91,43 @@ def test_materialize_and_persist(spark):
     with reports.persisted(df) as c:
         assert c.count() == 100 and c.is_cached
     assert not df.is_cached
+
+
+def test_broken_archive_and_member_paths(spark, tmpdir_path):
+    _zip(os.path.join(tmpdir_path, "a.zip"), {"x/a.txt": "1\n", "y/a.txt": "2\n", "x/final_results/b.txt": "3\n"})
+    with open(os.path.join(tmpdir_path, "b.zip"), "wb") as fh:
+        fh.write(b"PK not an archive")
+    rows = archives.read_archives(spark, tmpdir_path).collect()
+    good = sorted((r.member, r.line) for r in rows if r.error is None)
+    assert good == [("x/a.txt", "1"), ("x/b.txt", "3"), ("y/a.txt", "2")]
+    bad = [r for r in rows if r.error is not None]
+    assert len(bad) == 1 and bad[0].archive.endswith("b.zip") and bad[0].line is None
+
+
+def test_hot_partition_key_and_cluster_value_are_split(spark, tmpdir_path):
+    df = spark.range(40000).select(F.when(F.col("id") % 10 == 0, "b").otherwise("hot").alias("k"),
+                                   F.sha2(F.col("id").cast("string"), 512).alias("v"))
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "256k")
+    try:
+        p = os.path.join(tmpdir_path, "hot")
+        sinks.write_parquet(df.repartition(8), p, partition_by=["k"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    assert len([f for f in os.listdir(os.path.join(p, "k=hot")) if f.endswith(".parquet")]) > 1
+    assert spark.read.parquet(p).count() == 40000
+    src, dst = os.path.join(tmpdir_path, "s"), os.path.join(tmpdir_path, "d")
+    df.repartition(20).write.parquet(src)
+    n = sinks.compact(spark, src, dst, target_mb=0.5, cluster_by=["k"])
+    assert n > 2 and len([f for f in os.listdir(dst) if f.endswith(".parquet")]) == n
+
+
+def test_streams_with_own_checkpoints_share_a_target(spark, tmpdir_path):
+    from fareflow.streaming.ingest import ingest_available
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    dst = os.path.join(tmpdir_path, "dst")
+    for i in (1, 2):
+        src = os.path.join(tmpdir_path, f"src{i}")
+        spark.createDataFrame([(f'{{"a": {i}}}',)], "value string").write.text(src)
+        for _ in range(2):
+            ingest_available(spark, src, dst, os.path.join(tmpdir_path, f"ck{i}"), schema)
+    assert sorted(r.a for r in spark.read.parquet(dst).collect()) == [1, 2]

@@ -113,22 +113,21 @@ def test_rows_frame_blocks_match_window(spark, rows, n):
     assert got == exp
 
 
-def test_checked_broadcast_fallback_gives_same_labels(spark):
+def test_fine_key_window_gives_the_same_labels(spark):
     rows = [(str(i % 4), dt.date(2017, 1, 1) + dt.timedelta(days=i % 40), float(i % 97)) for i in range(400)]
     df = spark.createDataFrame(rows, "k string, searchDate date, price double")
-    a = labels.with_future_min(df, ["k"], broadcast_rows=10**6)   # broadcast path
-    b = labels.with_future_min(df, ["k"], broadcast_rows=0)       # shuffle-join path
-    c = labels.with_future_min(df, ["k"], broadcast_rows=None)    # Spark decides
     key = lambda r: (r.k, r.searchDate, r.price, r.futureMinPrice)
-    assert sorted(map(key, a.collect())) == sorted(map(key, b.collect())) == sorted(map(key, c.collect()))
-    from fareflow.operators.joins import checked_broadcast
-    small, is_bc = checked_broadcast(df.groupBy("k").count(), max_rows=3)
-    assert not is_bc and small.count() == 4
-
-
-def test_spread_only_redistributes_small_inputs(spark):
-    from fareflow.sources.tables import spread
-    one = spark.range(100).coalesce(1)
-    assert spread(one, 4).rdd.getNumPartitions() == 4
-    many = spark.range(100).repartition(6)
-    assert spread(many, 4).rdd.getNumPartitions() == 6
+    for days in (19, None):
+        a = labels.with_future_min(df, ["k"], days=days)
+        b = labels.with_future_min(df, ["k"], days=days, per_day=False)
+        assert sorted(map(key, a.collect())) == sorted(map(key, b.collect()))
+
+
+def test_bag_equality_and_duplicates_in_one_pass(spark):
+    from fareflow.operators.explore import datasets_equal, duplicate_report
+    a = spark.createDataFrame([(1, None), (1, None), (2, "x")], "k int, v string")
+    b = spark.createDataFrame([(1, None), (2, "x"), (2, "x")], "k int, v string")
+    assert tuple(datasets_equal(a, b).first()) == (1, 1, False)
+    assert tuple(datasets_equal(a, a).first()) == (0, 0, True)
+    assert tuple(duplicate_report(a).first()) == (3, 2, 1)
+    assert tuple(duplicate_report(a.limit(0)).first()) == (0, 0, 0)

@@ -19,7 +19,8 @@ def test_model_table_has_no_python_and_broadcasts_nation(spark):
 
 
 def test_price_filter_is_pushed_and_scan_pruned(spark):
-    df = build_model_table(model_source(quote_view(spark, SF_SMALL)))
+    from fareflow.operators.labels import with_drop_label
+    df = with_drop_label(quote_view(spark, SF_SMALL).filter("price > 0"))
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThan(l_extendedprice,0.0)" in plan
     assert "l_tax" not in plan and "l_comment" not in plan  # unused columns never read
@@ -61,7 +62,7 @@ def test_label_window_runs_on_the_daily_aggregate(spark):
     from pyspark.sql import functions as F
     from fareflow.operators.labels import with_future_min
     q = quote_view(spark, SF_SMALL).select("fromCity", "toCity", "searchDate", "price")
-    plan = _plan(with_future_min(q, ["fromCity", "toCity"], broadcast_rows=None))
+    plan = _plan(with_future_min(q, ["fromCity", "toCity"]))
     win = plan[plan.index("Window ["):]
     assert "partial_min(" in win  # map-side pre-aggregation feeds the window
     assert "RangeFrame" in plan
@@ -76,3 +77,23 @@ def test_global_ranks_do_not_use_a_single_partition_window(spark):
     # row per range) are ordered together
     assert "windowspecdefinition(_ff_pid" in plan
     assert "BroadcastExchange" in plan
+
+
+def test_label_of_the_itinerary_is_one_window_and_sees_drops(spark):
+    """One shuffle on the key for the fine key, no job while planning, and
+    itineraries that repeat over search dates."""
+    from pyspark.sql import functions as F
+    src = model_source(quote_view(spark, SF_SMALL))
+    table = build_model_table(src)
+    plan = _plan(table)
+    assert plan.count("Window [") >= 1 and "partial_min(" not in plan
+    share = table.agg(F.avg("priceWillDrop")).first()[0]
+    assert 0.05 < share < 0.5
+
+
+def test_one_scan_per_report(spark):
+    from fareflow.ml.pipeline import constant_columns
+    from fareflow.operators.explore import duplicate_report
+    q = quote_view(spark, SF_SMALL)
+    for df in (constant_columns(q.select("trip", "cabin", "price")), duplicate_report(q, ["l_orderkey"])):
+        assert _plan(df).split("(1)")[0].count("lineitem") <= 1
