@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import gc
 from collections.abc import Callable, Iterator
 
@@ -12,13 +13,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from fareflow.session import stage_path
+from fareflow.session import drop_stage, stage_path
 
 #: White space of the word and normalisation rules (ASCII only).
 WS_CLASS = r"[\x20\x09-\x0D]"
 WORD_CLASS = r"[^\x20\x09-\x0D]"
 
 
+#: Spark's setting by which a finished write gives up its shuffle files.
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """Column names starting with ``names`` that ``df`` does not have, so that
     extra input columns never clash with working columns."""
@@ -32,14 +37,36 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
-def staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+def staged(spark: SparkSession, df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage,
-    survives lost executors and gives Spark the real size of the table."""
-    path = stage_path(spark, name)
-    df.write.parquet(path)
+    survives lost executors and gives Spark the real size of the table.  The
+    shuffle files behind it go when the table is written."""
+    path = path or stage_path(spark, name)
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def passing(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """A form of ``staged`` for tables that only steps inside the block read:
+    their folders are deleted at its end."""
+    paths = []
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        paths.append(stage_path(spark, name))
+        return staged(spark, df, name, paths[-1])
+    try:
+        yield stage
+    finally:
+        for path in paths:
+            drop_stage(spark, path)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps that are done: it does so
     when the driver's garbage is collected, which a long job may not trigger

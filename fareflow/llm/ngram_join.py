@@ -30,14 +30,14 @@ their connected components.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import flag_maybe, groups_to_members, maybe_in, release, staged, text_chunks
+from fareflow.llm.common import flag_maybe, groups_to_members, maybe_in, passing, release, staged, text_chunks
 from fareflow.llm.components import connected_components
 from fareflow.llm.tokens import Tokens, mix
 
@@ -315,19 +315,18 @@ def _shared(rows: DataFrame) -> DataFrame:
         .where("root < last").select("sig", "root")
 
 
-def _stars(sets: DataFrame) -> DataFrame:
+def _stars(sets: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """(id, root): every set with the smallest id of each signature that it
     shares, of sets that share enough of them."""
-    spark = sets.sparkSession
     rows = sets.select("id", "part", "least", F.explode("sigs").alias("sig")) \
         .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-    shared = staged(spark, _shared(rows), "join-shared")
+    shared = stage(_shared(rows), "join-shared")
     near = maybe_in(rows, F.col("sig"), shared, F.col("sig"))
     near = groups_to_members(near, shared, ["sig"], "salt").where("root IS NOT NULL")
     per_set = Window.partitionBy("id", "part")
     enough = F.count(F.lit(1)).over(per_set) >= F.col("least")
-    near = staged(spark, near.withColumn("enough", enough).where("enough")
-                  .select("id", "part", "least", "sig", "salt"), "join-near")
+    near = stage(near.withColumn("enough", enough).where("enough")
+                 .select("id", "part", "least", "sig", "salt"), "join-near")
     # counted again, as signatures may have been shared with sets that dropped out
     left = groups_to_members(near, _shared(near), ["sig"], "salt").where("root IS NOT NULL")
     return left.withColumn("enough", enough).where("enough").select("id", "root").distinct()
@@ -347,11 +346,10 @@ def _blocks(stars: DataFrame) -> DataFrame:
     return placed.select("id", "root", F.explode(pairs).alias("p")).select("id", "root", "p.a", "p.b", "p.side")
 
 
-def jaccard_links(docs: DataFrame, sets: DataFrame, id_col: str, text_col: str, percent: int,
+def jaccard_links(docs: DataFrame, stars: DataFrame, id_col: str, text_col: str, percent: int,
                   ngram: int) -> DataFrame:
     """(u, v): links that connect all linked sets (not every pair of a class)."""
     spark = docs.sparkSession
-    stars = staged(spark, _stars(sets), "join-stars")
     release(spark)
     wanted = stars.select("id").distinct()
     texts = maybe_in(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
@@ -374,25 +372,27 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    rows = staged(spark, base.mapInArrow(_describe(percent, ngram),
-                                         "id long, n long, hi long, lo long, part int, least int, "
-                                         "sigs array<long>"), "join-sets")
     keys = ["hi", "lo"]
-    groups = staged(spark, rows.where("n > 0 AND part = 0").groupBy(*keys).agg(F.min("id").alias("rep"), F.count(F.lit(1))
-                                                                  .alias("rows")), "join-groups")
-    # one row of signatures for each distinct set: only sets that may be given
-    # more than once take part in a join
-    again = groups.where("rows > 1 AND rep IS NOT NULL")
-    signed = flag_maybe(rows.where("n > 0 AND id IS NOT NULL").select("id", *keys, "part", "least", "sigs"), F.xxhash64(*keys),
-                        again, F.xxhash64(*keys), "given_again")
-    first = groups.where("rep IS NOT NULL").select(F.col("rep").alias("id"), *keys)
-    signs = ["id", "part", "least", "sigs"]
-    sets = signed.where("NOT given_again").select(*signs).unionAll(
-        signed.where("given_again").join(first, ["id", *keys], "left_semi").select(*signs))
-    classes = connected_components(jaccard_links(base, sets, "id", "text", percent, ngram))
+    with passing(spark) as stage:
+        rows = stage(base.mapInArrow(_describe(percent, ngram), "id long, n long, hi long, lo long, part int, "
+                                     "least int, sigs array<long>"), "join-sets")
+        members = staged(spark, rows.where("part = 0").select("id", "n", *keys), "join-members")
+        groups = staged(spark, members.where("n > 0").groupBy(*keys)
+                        .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")), "join-groups")
+        # one row of signatures for each distinct set: only sets that may be
+        # given more than once take part in a join
+        again = groups.where("rows > 1 AND rep IS NOT NULL")
+        signed = flag_maybe(rows.where("n > 0 AND id IS NOT NULL").select("id", *keys, "part", "least", "sigs"),
+                            F.xxhash64(*keys), again, F.xxhash64(*keys), "given_again")
+        first = groups.where("rep IS NOT NULL").select(F.col("rep").alias("id"), *keys)
+        signs = ["id", "part", "least", "sigs"]
+        sets = signed.where("NOT given_again").select(*signs).unionAll(
+            signed.where("given_again").join(first, ["id", *keys], "left_semi").select(*signs))
+        stars = staged(spark, _stars(sets, stage), "join-stars")
+    classes = connected_components(jaccard_links(base, stars, "id", "text", percent, ngram))
     named = groups.join(classes, groups["rep"] == classes["node"], "left") \
         .select(*keys, F.coalesce("component", "rep").alias("class"))
-    members = rows.where("part = 0").select("id", "n", *keys, F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    members = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     out = groups_to_members(members, named, keys, "salt")
     own = F.when(F.col("n") > 0, F.coalesce("class", "id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
