@@ -1,13 +1,16 @@
 """Benchmark decontamination by spaced-seed hashing.
 
-A seed is a fixed mask over ``SPAN`` consecutive words: words under a 0 are
-ignored, so a seed still hits when they were substituted.  Seeds of all
-benchmark items and of all documents are joined by hash.  Hits are verified
-around their place: hits of one document and item that lie on one diagonal
-(document position less item position) add up to the item words that stand at
-the same distance in the document; a document is contaminated when these are
-at least ``MIN_SHARE`` of the item, or a run of ``MIN_RUN`` item words of which
-``MIN_SHARE`` agree.
+A seed is a fixed mask over consecutive words: words under a 0 are ignored.
+Seeds of all benchmark items and of all documents are joined by hash; a hit
+makes its document, item and diagonal (document position less item position) a
+candidate.  Every stretch of at least ``SPAN`` words of which ``MIN_SHARE``
+agree has a hit: with one substitution in five words, 16 words or more keep
+four equal neighbours, and all patterns over 10 to 15 words were tried.
+
+Candidates are verified word by word: the item is laid over the document at the
+diagonal and equal words are counted.  A document is contaminated when these
+are at least ``MIN_SHARE`` of the item, or a run of ``MIN_RUN`` item words of
+which ``MIN_SHARE`` agree.
 
 Only built-in functions are used.  A bit table of a fixed size over the
 benchmark's seeds, which is broadcast, keeps document seeds that cannot hit out
@@ -19,8 +22,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import maybe_in
+from fareflow.llm.common import maybe_in, staged
 
+#: Masks of the candidates; together they lose no overlap (see module text).
+SEEDS = ("1111", "11011")
+#: Masks of the SQL twin, which counts only words under a seed hit.
 MASKS = ("1110110111", "1101111011")
 SPAN = 10
 MIN_SHARE = 0.8
@@ -34,42 +40,64 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(plain, r"[\x20\x09-\x0D]+"), "")
 
 
+def _word_hashes(text: Column) -> Column:
+    return F.transform(words(text), lambda x: F.xxhash64(x))
+
+
 def _seed_hashes(mask: str, hashes: Column, count: Column) -> Column:
-    """Hash of each placement of ``mask``; ``hashes`` are those of the words."""
+    """(pos, h) of each placement of ``mask``; ``hashes`` are those of the words."""
     offsets = [i for i, c in enumerate(mask) if c == "1"]
-    at = lambda i: F.xxhash64(F.lit(mask), *[F.get(hashes, i + F.lit(o)) for o in offsets])
+    at = lambda i: F.struct(i.alias("pos"), F.xxhash64(
+        F.lit(mask), *[F.get(hashes, i + F.lit(o)) for o in offsets]).alias("h"))
     places = F.sequence(F.lit(0), count - F.lit(len(mask)))
-    return F.when(count >= len(mask), F.transform(places, at)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(count >= len(mask), F.transform(places, at)).otherwise(
+        F.array().cast("array<struct<pos:int,h:bigint>>"))
 
 
 def seeds(texts: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """(id, text) -> (id, n, mask, pos, h): all placements of masks of one
-    length, in one pass."""
-    span = len(masks[0])
-    w = texts.select("id", F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("w"))
+    """(id, text) -> (id, n, pos, h): all placements of the masks, in one pass."""
+    w = texts.select("id", _word_hashes(F.col("text")).alias("w"))
     w = w.select("id", "w", F.size("w").alias("n"))
-    s = w.select("id", "n", F.posexplode(F.concat(*[_seed_hashes(m, F.col("w"), F.col("n")) for m in masks]))
-                 .alias("k", "h"))
-    per_mask = F.col("n") - F.lit(span - 1)
-    return s.select("id", "n", F.floor(F.col("k") / per_mask).cast("int").alias("mask"),
-                    (F.col("k") % per_mask).alias("pos"), "h")
+    s = w.select("id", "n", F.explode(F.concat(*[_seed_hashes(m, F.col("w"), F.col("n")) for m in masks])).alias("s"))
+    return s.select("id", "n", "s.pos", "s.h")
+
+
+def _spread(items: DataFrame) -> DataFrame:
+    """``items`` once for each salt: a passage in a third of all documents is
+    joined in as many places."""
+    return items.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+
+
+def _salt(doc: str) -> Column:
+    return F.pmod(F.xxhash64(doc), F.lit(SALTS)).cast("int")
 
 
 def _hits(docs: DataFrame, items: DataFrame, masks: tuple[str, ...]) -> DataFrame:
-    """(doc, item, diagonal, at, items' word count) with one row per item word
-    that a seed found at its place."""
-    own = seeds(items, masks).select(F.col("id").alias("item"), F.col("n").alias("item_words"), "mask",
+    """(doc, item, items' word count, diagonal) of each seed that both have."""
+    own = seeds(items, masks).select(F.col("id").alias("item"), F.col("n").alias("item_words"),
                                      F.col("pos").alias("item_pos"), "h")
     theirs = seeds(docs, masks).select(F.col("id").alias("doc"), F.col("pos").alias("doc_pos"), "h")
-    theirs = maybe_in(theirs, F.col("h"), own, F.col("h")) \
-        .withColumn("salt", F.pmod(F.xxhash64("doc"), F.lit(SALTS)).cast("int"))
-    # a passage in a third of all documents: each seed's documents are spread
-    spread = own.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    hits = theirs.join(spread, ["h", "salt"])
-    offsets = F.array(*[F.array(*[F.lit(i) for i, c in enumerate(m) if c == "1"]) for m in masks])
-    return hits.select("doc", "item", "item_words", (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"),
-                       "item_pos", F.explode(F.get(offsets, F.col("mask"))).alias("o")) \
-        .select("doc", "item", "item_words", "diagonal", (F.col("item_pos") + F.col("o")).alias("at"))
+    theirs = maybe_in(theirs, F.col("h"), own, F.col("h")).withColumn("salt", _salt("doc"))
+    hits = theirs.join(_spread(own), ["h", "salt"])
+    return hits.select("doc", "item", "item_words", (F.col("doc_pos") - F.col("item_pos")).alias("diagonal"))
+
+
+def _overlaps(docs: DataFrame, items: DataFrame, hits: DataFrame) -> DataFrame:
+    """(doc, item, item_words, diagonal, same): for each place with a hit,
+    whether each item word equals the document's word there."""
+    near = hits.groupBy("doc").agg(F.collect_set(F.struct("item", "item_words", "diagonal")).alias("near"))
+    near = staged(docs.sparkSession, near, "leak-candidates")
+    texts = maybe_in(docs, F.xxhash64("id"), near, F.xxhash64("doc"))
+    texts = texts.select("id", _word_hashes(F.col("text")).alias("w"))
+    laid = lambda c: F.struct(c["item"].alias("item"), c["item_words"].alias("item_words"),
+                              c["diagonal"].alias("diagonal"), F.transform(
+        F.sequence(F.lit(0), c["item_words"] - 1), lambda k: F.get(F.col("w"), c["diagonal"] + k)).alias("theirs"))
+    found = texts.join(near, texts["id"] == near["doc"]) \
+        .select("doc", F.explode(F.transform("near", laid)).alias("c")).select("doc", "c.*") \
+        .withColumn("salt", _salt("doc"))
+    own = items.select(F.col("id").alias("item"), _word_hashes(F.col("text")).alias("own"))
+    same = F.zip_with("own", "theirs", lambda a, b: F.coalesce(a == b, F.lit(False)))
+    return found.join(_spread(own), ["item", "salt"]).select("doc", "item", "item_words", "diagonal", same.alias("same"))
 
 
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -80,7 +108,7 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     document at which the item would start), of the best diagonal.
 
     * items with equal words are reported under their smallest id;
-    * items shorter than the masks must occur whole (seeds of their length);
+    * items shorter than ``SPAN`` must occur whole (seeds of their length);
     * items without words, null texts and rows without id match nothing;
     * rows that repeat an id count as one document;
     * other columns are ignored.
@@ -89,14 +117,15 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     named = items.where(F.col(item_id_col).isNotNull()) \
         .select(F.col(item_id_col).alias("id"), F.array_join(words(F.col(item_text_col)), " ").alias("text")) \
         .where("text <> ''").groupBy("text").agg(F.min("id").alias("id")).select("id", "text")
-    hits = _hits(texts, named, MASKS)
     lengths = F.size(words(F.col("text")))
+    hits = _hits(texts, named.where(lengths >= SPAN), SEEDS)
     short = named.where(lengths < SPAN).select(lengths.alias("n")).distinct().collect()  # at most SPAN - 1 lengths
     for n in sorted(r["n"] for r in short):
         hits = hits.unionByName(_hits(texts, named.where(lengths == n), ("1" * n,)))
-    places = hits.groupBy("doc", "item", "item_words", "diagonal", "at").count()
-    found = places.groupBy("doc", "item", "item_words", "diagonal").agg(
-        F.count(F.lit(1)).alias("matched"), F.min("at").alias("first"), F.max("at").alias("last"))
+    found = _overlaps(texts, named, hits).select(
+        "doc", "item", "item_words", "diagonal", F.size(F.filter("same", lambda x: x)).cast("long").alias("matched"),
+        (F.array_position("same", True) - 1).alias("first"),
+        (F.col("item_words") - F.array_position(F.reverse("same"), True)).alias("last"))
     stretch = F.col("last") - F.col("first") + 1
     enough = (F.col("matched") >= F.col("item_words") * MIN_SHARE) | (
         (stretch >= MIN_RUN) & (F.col("matched") >= stretch * MIN_SHARE))

@@ -141,6 +141,36 @@ def test_decontamination_finds_substituted_passages(spark):
     assert sorted(str(r.doc_id) for r in kept.collect()) == ["3", "4", "5", "None"]
 
 
+def leaks_by_words(docs, items):
+    """Each item laid over each document at every distance, words compared."""
+    found = {}
+    for i, item in items.items():
+        for d, doc in docs.items():
+            for at in range(-len(item), len(doc) + 1):
+                same = [0 <= at + k < len(doc) and doc[at + k] == w for k, w in enumerate(item)]
+                if sum(same) >= 0.8 * len(item):
+                    found[d, i] = max(found.get((d, i), 0), sum(same))
+    return found
+
+
+def test_decontamination_counts_all_equal_words(spark):
+    rng = random.Random(5)
+    items, docs = {}, {}
+    for k in range(120):
+        n = rng.choice([10, 11, 12, 15, 16, 20, 25, 40, 60])
+        items[k] = [f"i{k}w{j}" for j in range(n)]
+        # random substitutions about as many as are allowed, or every fifth or sixth word
+        gone = set(range(4, n, rng.choice([5, 6]))) if k % 4 == 0 else set(rng.sample(range(n), n // 5 + (k % 4 == 3)))
+        middle = [f"x{k}w{j}" if j in gone else w for j, w in enumerate(items[k])]
+        docs[k] = [f"a{j}" for j in range(rng.randrange(30))] + middle + [f"b{j}" for j in range(rng.randrange(30))]
+    want = leaks_by_words(docs, items)
+    assert 60 < len(want) < 120
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = decontaminate.contaminated(documents(spark, [(d, " ".join(w), "s") for d, w in docs.items()]), table)
+    got = {(r.doc_id, r.item_id): r.matched for r in got.collect()}
+    assert {k: got.get(k) for k in want} == want
+
+
 def test_secrets_confirm_structure():
     b64 = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
     token = ".".join([b64(json.dumps({"alg": "HS256"}).encode()), b64(b'{"sub":"1"}'), b64(b"sig")])
