@@ -9,8 +9,8 @@ four equal neighbours, and all patterns over 10 to 15 words were tried.
 
 Candidates are verified word by word: the item is laid over the document at the
 diagonal and equal words are counted.  A document is contaminated when these
-are at least ``MIN_SHARE`` of the item, or a run of ``MIN_RUN`` item words of
-which ``MIN_SHARE`` agree.
+are at least ``MIN_SHARE`` of the item, or when any run of ``MIN_RUN`` or more
+item words, wherever it begins and ends, has ``MIN_SHARE`` that agree.
 
 Only built-in functions are used.  A bit table of a fixed size over the
 benchmark's seeds, which is broadcast, keeps document seeds that cannot hit out
@@ -19,6 +19,8 @@ of the shuffle.
 
 from __future__ import annotations
 
+from fractions import Fraction
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -100,12 +102,43 @@ def _overlaps(docs: DataFrame, items: DataFrame, hits: DataFrame) -> DataFrame:
     return found.join(_spread(own), ["item", "salt"]).select("doc", "item", "item_words", "diagonal", same.alias("same"))
 
 
+def _best_run(same: Column) -> Column:
+    """struct<matched, from, to> of the run of at least ``MIN_RUN`` words, of
+    which ``MIN_SHARE`` agree, with the most agreeing words; matched is -1 if
+    there is none.  One pass: a run reaches the share when its end has no lower
+    balance than its beginning, so for each balance the earliest place that is
+    as low is kept (``starts``, by the balance below zero)."""
+    share = Fraction(MIN_SHARE).limit_denominator(1000)
+    place = "struct<at:int,matched:int>"
+    run = "struct<matched:int,before:int,to:int>"
+
+    def step(acc: Column, agrees: Column) -> Column:
+        at, matched = acc["at"] + 1, acc["matched"] + agrees.cast("int")
+        balance = matched * share.denominator - at * share.numerator
+        here = F.struct(at.alias("at"), matched.alias("matched"))
+        starts = F.concat(acc["starts"], F.array_repeat(here, F.greatest(1 - balance - F.size(acc["starts"]), F.lit(0))))
+        start = F.get(starts, F.greatest(-balance, F.lit(0)))
+        found = F.struct((matched - start["matched"]).alias("matched"), (-start["at"]).alias("before"), at.alias("to"))
+        best = F.when(at - start["at"] >= MIN_RUN, F.greatest(acc["best"], found)).otherwise(acc["best"])
+        return F.struct(at.alias("at"), matched.alias("matched"), starts.alias("starts"), best.alias("best"))
+
+    zero = F.struct(F.lit(0).alias("at"), F.lit(0).alias("matched"),
+                    F.array(F.struct(F.lit(0).alias("at"), F.lit(0).alias("matched"))).cast(f"array<{place}>")
+                    .alias("starts"),
+                    F.struct(F.lit(-1).alias("matched"), F.lit(0).alias("before"), F.lit(0).alias("to")).cast(run)
+                    .alias("best"))
+    best = F.aggregate(same, zero, step, lambda acc: acc["best"])
+    return F.transform(F.array(best), lambda b: F.struct(
+        b["matched"].alias("matched"), (-b["before"]).alias("from"), b["to"].alias("to")))[0]
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """One row per document and benchmark item that it holds: ids,
     ``matched`` (item words found), ``item_words``, ``first``/``last`` (item
-    positions of the matched stretch) and ``doc_pos`` (word position in the
-    document at which the item would start), of the best diagonal.
+    positions of the first and last of them) and ``doc_pos`` (word position in
+    the document at which the item would start), of the best diagonal.  They
+    describe the whole item where it reaches the share, else its best run.
 
     * items with equal words are reported under their smallest id;
     * items shorter than ``SPAN`` must occur whole (seeds of their length);
@@ -122,16 +155,19 @@ def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text
     short = named.where(lengths < SPAN).select(lengths.alias("n")).distinct().collect()  # at most SPAN - 1 lengths
     for n in sorted(r["n"] for r in short):
         hits = hits.unionByName(_hits(texts, named.where(lengths == n), ("1" * n,)))
-    found = _overlaps(texts, named, hits).select(
-        "doc", "item", "item_words", "diagonal", F.size(F.filter("same", lambda x: x)).cast("long").alias("matched"),
-        (F.array_position("same", True) - 1).alias("first"),
-        (F.col("item_words") - F.array_position(F.reverse("same"), True)).alias("last"))
-    stretch = F.col("last") - F.col("first") + 1
-    enough = (F.col("matched") >= F.col("item_words") * MIN_SHARE) | (
-        (stretch >= MIN_RUN) & (F.col("matched") >= stretch * MIN_SHARE))
+    total = F.size(F.filter("same", lambda x: x))
+    whole = total >= F.col("item_words") * MIN_SHARE
+    item = F.struct(total.alias("matched"), F.lit(0).alias("from"), F.col("item_words").alias("to"))
+    found = _overlaps(texts, named, hits).where(whole | (total >= MIN_RUN * MIN_SHARE)) \
+        .withColumn("run", F.when(whole, item).otherwise(_best_run(F.col("same")))).where("run.matched > 0")
+    part = F.slice("same", F.col("run.from") + 1, F.col("run.to") - F.col("run.from"))
+    found = found.select(
+        "doc", "item", "item_words", "diagonal", F.col("run.matched").cast("long").alias("matched"),
+        (F.col("run.from") + F.array_position(part, True) - 1).alias("first"),
+        (F.col("run.to") - F.array_position(F.reverse(part), True)).alias("last"))
     best = F.max_by(F.struct("matched", "first", "last", "diagonal"),
                     F.struct("matched", -F.abs("diagonal"), "diagonal"))
-    return found.where(enough).groupBy("doc", "item", "item_words").agg(best.alias("b")).select(
+    return found.groupBy("doc", "item", "item_words").agg(best.alias("b")).select(
         F.col("doc").alias(id_col), F.col("item").alias(item_id_col), F.col("b.matched").alias("matched"),
         F.col("item_words").cast("long").alias("item_words"), F.col("b.first").cast("long").alias("first"),
         F.col("b.last").cast("long").alias("last"), F.col("b.diagonal").cast("long").alias("doc_pos"))

@@ -142,14 +142,20 @@ def test_decontamination_finds_substituted_passages(spark):
 
 
 def leaks_by_words(docs, items):
-    """Each item laid over each document at every distance, words compared."""
+    """Each item laid over each document at every distance, words compared:
+    the most equal words of the item, or of a run of it."""
     found = {}
     for i, item in items.items():
         for d, doc in docs.items():
             for at in range(-len(item), len(doc) + 1):
                 same = [0 <= at + k < len(doc) and doc[at + k] == w for k, w in enumerate(item)]
-                if sum(same) >= 0.8 * len(item):
-                    found[d, i] = max(found.get((d, i), 0), sum(same))
+                if sum(same) < 4:
+                    continue
+                runs = [(0, len(item))] if 10 * sum(same) >= 8 * len(item) else [
+                    (a, b) for a in range(len(item)) for b in range(a + 20, len(item) + 1)]
+                for a, b in runs:
+                    if 10 * sum(same[a:b]) >= 8 * (b - a):
+                        found[d, i] = max(found.get((d, i), 0), sum(same[a:b]))
     return found
 
 
@@ -171,6 +177,26 @@ def test_decontamination_counts_all_equal_words(spark):
     assert {k: got.get(k) for k in want} == want
 
 
+def test_decontamination_finds_the_best_run(spark):
+    rng = random.Random(6)
+    item = [f"t{j}" for j in range(100)]
+    items, docs = {1: item, 2: [f"u{j}" for j in range(45)]}, {}
+    docs[1] = item[:30]
+    docs[2] = item[:30] + [f"x{j}" for j in range(60)] + item[90:]
+    docs[3] = [w if j // 15 % 2 else f"x{j}" for j, w in enumerate(item)]
+    for d in range(4, 40):
+        kept, share = [], rng.choice([0.5, 0.75, 0.95])
+        for w in items[rng.choice([1, 2])]:
+            share = rng.choice([0.3, 0.8, 0.97]) if rng.random() < 0.1 else share
+            kept.append(w if rng.random() < share else f"y{d}")
+        docs[d] = kept
+    want = leaks_by_words(docs, items)
+    assert (2, 1) in want and (3, 1) not in want and 10 < len(want) < 35
+    table = spark.createDataFrame([(i, " ".join(w)) for i, w in items.items()], "item_id long, text string")
+    got = decontaminate.contaminated(documents(spark, [(d, " ".join(w), "s") for d, w in docs.items()]), table)
+    assert {(r.doc_id, r.item_id): r.matched for r in got.collect()} == want
+
+
 def test_secrets_confirm_structure():
     b64 = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
     token = ".".join([b64(json.dumps({"alg": "HS256"}).encode()), b64(b'{"sub":"1"}'), b64(b"sig")])
