@@ -26,6 +26,10 @@ bounded size, each set against all of its star.
 
 Classes.  Sets with equal content are one node.  Links are edges; classes are
 their connected components.
+
+Links.  Counting each document's links or listing them needs every pair, so no
+pair is skipped there for being connected already.  Two sets may meet in several
+stars; the pair counts in the one with the smallest root.
 """
 
 from __future__ import annotations
@@ -300,6 +304,44 @@ def join_block(ids: np.ndarray, sides: np.ndarray, texts: pa.Array, percent: int
     return edges
 
 
+def block_links(ids: np.ndarray, sides: np.ndarray, roots: list[list[int]], texts: pa.Array, root: int,
+                percent: int, ngram: int) -> list[tuple[int, int]]:
+    """Every linked pair (smaller id, larger id) of a block or a block pair,
+    but for those that the star of a smaller common root gives."""
+    own, gram = ngram_sets(texts, ngram)
+    codes = np.unique(gram, return_inverse=True)[1].astype(np.int64) if len(gram) else np.zeros(0, np.int64)
+    bounds = np.searchsorted(own, np.arange(len(ids) + 1))
+    sets = [codes[bounds[i]:bounds[i + 1]] for i in range(len(ids))]
+    left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
+    queries = right if len(right) else left
+    trie, stars, pairs = Trie([sets[i] for i in left]), [frozenset(r) for r in roots], set()
+    for at in range(0, len(queries), 128):
+        part = queries[at:at + 128]
+        for q, s in trie.search([sets[i] for i in part], percent):
+            for x, y in zip(part[q].tolist(), left[s].tolist()):
+                if ids[x] != ids[y] and min(stars[x] & stars[y]) == root:
+                    pairs.add((int(min(ids[x], ids[y])), int(max(ids[x], ids[y]))))
+    return sorted(pairs)
+
+
+def _link_groups(percent: int, ngram: int, count: bool):
+    """Per block pair its links, or (id, links) with each other set as often as
+    ids have it."""
+    def run(table: pa.Table) -> pa.Table:
+        ids = table["id"].to_numpy()
+        found = block_links(ids, table["side"].to_numpy(), table["roots"].to_pylist(), table["text"].combine_chunks(),
+                            table["root"][0].as_py(), percent, ngram)
+        if count:
+            many, total = dict(zip(ids.tolist(), table["ids"].to_pylist())), {}
+            for u, v in found:
+                total[u] = total.get(u, 0) + many[v]
+                total[v] = total.get(v, 0) + many[u]
+            found = sorted(total.items())
+        x, y = (pa.array([e[j] for e in found], pa.int64()) for j in (0, 1))
+        return pa.table({"id": x, "links": y} if count else {"u": x, "v": y})
+    return run
+
+
 def _join_groups(percent: int, ngram: int):
     def run(table: pa.Table) -> pa.Table:
         ids, sides = table["id"].to_numpy(), table["side"].to_numpy()
@@ -351,27 +393,36 @@ def jaccard_links(docs: DataFrame, stars: DataFrame, id_col: str, text_col: str,
     """(u, v): links that connect all linked sets (not every pair of a class)."""
     spark = docs.sparkSession
     release(spark)
-    wanted = stars.select("id").distinct()
-    texts = maybe_in(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
-                     F.xxhash64("id"), wanted, F.xxhash64("id"))
+    texts = _star_texts(docs, stars, id_col, text_col)
     blocks = staged(spark, _blocks(stars), "join-blocks")
     shipped = texts.join(blocks, "id").select("root", "a", "b", "side", "id", "text")
     return shipped.groupBy("root", "a", "b").applyInArrow(_join_groups(percent, ngram), "u long, v long")
 
 
-def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
-                    percent: int = PERCENT) -> DataFrame:
-    """One row per input row: id, ``n_shingles`` and ``component_id``, the
-    smallest id reachable over links (itself included).
+def _star_texts(docs: DataFrame, stars: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    wanted = stars.select("id").distinct()
+    return maybe_in(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
+                    F.xxhash64("id"), wanted, F.xxhash64("id"))
 
-    * null and empty texts have no shingles and link with nothing;
-    * texts with fewer than ``ngram`` words have one shingle, all their words;
-    * equal sets link; rows that repeat an id are one node;
-    * a row without id links only with equal sets (its class is their id);
-    * an empty table gives an empty result; other columns are ignored.
-    """
+
+def _every_link(docs: DataFrame, stars: DataFrame, ids: DataFrame, percent: int, ngram: int,
+                count: bool) -> DataFrame:
+    """(u, v): every linked pair of distinct sets once, by their smallest ids;
+    or (id, links): how many ids have a set that links to the id's."""
     spark = docs.sparkSession
-    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    release(spark)
+    known = stars.groupBy("id").agg(F.collect_set("root").alias("roots")).join(ids, "id")
+    blocks = staged(spark, _blocks(stars), "join-blocks")
+    texts = _star_texts(docs, stars, "id", "text").join(known, "id")
+    shipped = texts.join(blocks, "id").select("root", "a", "b", "side", "id", "roots", "ids", "text")
+    found = shipped.groupBy("root", "a", "b").applyInArrow(
+        _link_groups(percent, ngram, count), "id long, links long" if count else "u long, v long")
+    return found.groupBy("id").agg(F.sum("links").alias("links")) if count else found
+
+
+def _prepared(base: DataFrame, percent: int, ngram: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Tables of the rows' sets, of the distinct sets, and of the stars."""
+    spark = base.sparkSession
     keys = ["hi", "lo"]
     with passing(spark) as stage:
         rows = stage(base.mapInArrow(_describe(percent, ngram), "id long, n long, hi long, lo long, part int, "
@@ -389,6 +440,24 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sets = signed.where("NOT given_again").select(*signs).unionAll(
             signed.where("given_again").join(first, ["id", *keys], "left_semi").select(*signs))
         stars = staged(spark, _stars(sets, stage), "join-stars")
+    return members, groups, stars
+
+
+def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
+                    percent: int = PERCENT) -> DataFrame:
+    """One row per input row: id, ``n_shingles`` and ``component_id``, the
+    smallest id reachable over links (itself included).
+
+    * null and empty texts have no shingles and link with nothing;
+    * texts with fewer than ``ngram`` words have one shingle, all their words;
+    * equal sets link; rows that repeat an id are one node;
+    * a row without id links only with equal sets (its class is their id);
+    * an empty table gives an empty result; other columns are ignored.
+    """
+    spark = docs.sparkSession
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    keys = ["hi", "lo"]
+    members, groups, stars = _prepared(base, percent, ngram)
     classes = connected_components(jaccard_links(base, stars, "id", "text", percent, ngram))
     named = groups.join(classes, groups["rep"] == classes["node"], "left") \
         .select(*keys, F.coalesce("component", "rep").alias("class"))
@@ -398,6 +467,44 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), own.alias("component_id"))
 
 
+def _ids_of_sets(members: DataFrame, groups: DataFrame) -> DataFrame:
+    """(hi, lo, id, ids): each distinct set's smallest id and how many have it."""
+    many = members.where("n > 0").groupBy("hi", "lo").agg(F.count_distinct("id").alias("ids"))
+    return groups.where("rep IS NOT NULL").select("hi", "lo", F.col("rep").alias("id")).join(many, ["hi", "lo"])
+
+
+def jaccard_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
+                  percent: int = PERCENT) -> DataFrame:
+    """(u, v), u < v: every linked pair of distinct sets once, each set under
+    its smallest id.  Grows with the square of a family, as there are so many."""
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    members, groups, stars = _prepared(base, percent, ngram)
+    ids = _ids_of_sets(members, groups).groupBy("id").agg(F.sum("ids").alias("ids"))
+    return _every_link(base, stars, ids, percent, ngram, count=False)
+
+
+def jaccard_link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
+                        percent: int = PERCENT) -> DataFrame:
+    """One row per input row: id, ``n_shingles`` and ``n_links``, how many
+    other ids it links to, those with an equal set included.
+
+    The cases of ``jaccard_classes`` hold: no shingles, no links; a row without
+    id links with the ids of its own set only.  An id given with several texts
+    counts for each of its sets.
+    """
+    spark = docs.sparkSession
+    base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
+    members, groups, stars = _prepared(base, percent, ngram)
+    own = staged(spark, _ids_of_sets(members, groups), "join-ids")
+    links = _every_link(base, stars, own.groupBy("id").agg(F.sum("ids").alias("ids")), percent, ngram, count=True)
+    sums = own.join(links, "id", "left").select("hi", "lo", "ids", F.coalesce("links", F.lit(0)).alias("links"))
+    rows = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
+    out = groups_to_members(rows, sums, ["hi", "lo"], "salt")
+    linked = F.when(F.col("id").isNull(), F.col("ids")).otherwise(F.col("ids") - 1 + F.col("links"))
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                      F.when(F.col("n") > 0, F.coalesce(linked, F.lit(0))).otherwise(0).cast("long").alias("n_links"))
+
+
 def keep_class_heads(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
                      percent: int = PERCENT) -> DataFrame:
     """One document of each class, the one with the smallest id, with all its

@@ -121,6 +121,35 @@ def test_trie_blocks_find_all_links(monkeypatch, spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows, 3, 90)
 
 
+def test_every_link_is_counted(monkeypatch, spark):
+    monkeypatch.setattr(ngram_join, "BLOCK", 4)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(100)]
+    rows = [(k, " ".join(base[:95] + [f"x{j}" for j in range(k // 2)]), "s") for k in range(24)]
+    for k in range(30, 60):
+        w = [f"v{k % 3}-{i}" for i in range(80)]
+        w[rng.randrange(80)] = f"y{k}"
+        rows.append((k, " ".join(w), "s"))
+    rows += [(70, None, "s"), (71, "", "s"), (None, rows[0][1], "s"), (72, "one two", "s"), (73, "ONE two", "s")]
+
+    def grams(text):
+        w = (text or "").lower().split()
+        return frozenset(zip(w, w[1:], w[2:])) if len(w) >= 3 else frozenset([tuple(w)] if w else [])
+    sets = {i: grams(t) for i, t, _ in rows if i is not None}
+    linked = {(a, b) for a in sets for b in sets if a < b and sets[a]
+              and 100 * len(sets[a] & sets[b]) >= 90 * len(sets[a] | sets[b])}
+    heads = {i: min(j for j in sets if sets[j] == s) for i, s in sets.items()}
+    docs = documents(spark, rows)
+    got = ngram_join.jaccard_link_counts(with_clashes(docs)).collect()
+    assert len(got) == len(rows) and max(r.n_links for r in got) > 5
+    assert {r.doc_id: r.n_links for r in got} == {
+        None: 2, **{i: sum(i in pair for pair in linked) for i in sets}}
+    pairs = [(r.u, r.v) for r in ngram_join.jaccard_pairs(docs).collect()]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {(heads[a], heads[b]) for a, b in linked if heads[a] < heads[b]} | {
+        (heads[b], heads[a]) for a, b in linked if heads[b] < heads[a]}
+
+
 def test_components_of_a_long_path(spark):
     n = 40
     edges = spark.createDataFrame([(i, i + 1) for i in range(n)] + [(100, 100), (7, 3)], "u long, v long")
