@@ -5,6 +5,10 @@ their form alone.  Beside them, runs of base64 or hex characters are candidates
 that report only if what they decode to is built like a key: DER private keys
 whose nested lengths close exactly, OpenSSH private keys, PEM blocks around
 either, and signed tokens whose header is a JSON object naming an algorithm.
+A key or token may begin anywhere in a run, and a key's own lengths say where
+it ends, so characters that touch it don't hide it; runs are joined over line
+breaks, real ones and those written as ``\\n`` or ``\\r\\n``, and hex may have its
+bytes apart by a colon, a blank or ``\\x``.
 
 Candidate texts are found with run lengths over the bytes of a whole chunk;
 patterns run only on texts that can match.
@@ -14,8 +18,10 @@ from __future__ import annotations
 
 import base64
 import binascii
+import bisect
 import json
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +40,18 @@ _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{24,}")
 _KEYWORDS = ("passw", "secret", "token", "apikey", "api_key")
 _RUN = re.compile(r"[A-Za-z0-9+/_-]{20,}={0,2}")
-_PEM = re.compile(r"-----BEGIN ([A-Z ]{0,30}PRIVATE KEY)-----([A-Za-z0-9+/=\s]*)-----END \1-----")
+_BREAK = r"[ \t]*(?:\r\n?|\n|\\r\\n|\\n|\\r)[ \t]*"
+_BREAKS = re.compile(_BREAK)
+_NOT_HEX = re.compile(r"[^0-9A-Fa-f]+")
+_LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{20,}}+(?:{_BREAK}[A-Za-z0-9+/_-]++)+")
+_PAIRS = re.compile(r"[0-9A-Fa-f]{2}(?:(?::|\x20|\\x|:?[ \t]*\r?\n[ \t]*)[0-9A-Fa-f]{2}){19,}")
+_PAIRS_START = re.compile(r"30(?::|\x20|\\x)(?:[0-7][0-9A-Fa-f]|8[0-4])")
+_PEM = re.compile(r"-----BEGIN ([A-Z ]{0,30}PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\[nr])*)-----END \1-----")
+_PEM_BREAK = re.compile(r"\s+|\\[nr]")
+_BASE64_START = re.compile(r"M[A-I]|b3BlbnNzaC1rZXktdjEA")
+_HEX_RUN = re.compile(r"[0-9A-Fa-f]{40,}")
+_HEX_START = re.compile(r"(?=30(?:[0-7].|8[0-4])|6f70656e7373682d6b65792d763100)", re.IGNORECASE)
+_TOKEN_START = re.compile(r"e[yw]")
 _JWT_TAIL = re.compile(r"\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _MIN_RUN = 20
 _RUN_BYTES = np.zeros(256, dtype=bool)
@@ -141,26 +158,109 @@ def find_secrets(text: str, long_run: bool = True) -> list[tuple[str, int, int]]
         found += [("access", *m.span()) for m in _ACCESS.finditer(text) if len(m[0]) >= 20]
     if long_run:
         found += [("hex", *m.span()) for m in _HEX.finditer(text)]
+    if long_run or _PAIRS_START.search(text):
         found += _confirmed(text)
     return sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
 
 
+def _der_size(head: bytes) -> int | None:
+    """Bytes of the sequence that begins with ``head``, if an integer is first in it."""
+    if len(head) < 2 or head[0] != 0x30:
+        return None
+    n, at = head[1], 2
+    if n & 0x80:
+        k = n & 0x7F
+        if not 1 <= k <= 4:
+            return None
+        n, at = int.from_bytes(head[at:at + k], "big"), at + k
+    return at + n if head[at:at + 1] == b"\x02" else None
+
+
+def _keys(run: str) -> Iterator[tuple[str, int, int]]:
+    """(kind, start, end) of the keys in a run without breaks or padding."""
+    done = 0
+    for m in _BASE64_START.finditer(run):
+        at = m.start()
+        if at < done:
+            continue
+        if run[at] == "M":
+            size = _der_size(decode_base64(run[at:at + 16]) or b"")
+            if size is None or 4 * size > 3 * (len(run) - at):
+                continue
+            stop = at + -(-size * 4 // 3)
+        else:
+            stop = len(run) - ((len(run) - at) % 4 == 1)
+        if kind := _key_kind(decode_base64(run[at:stop])):
+            done = len(run) if kind == "openssh" else stop
+            yield kind, at, done
+    for h in _HEX_RUN.finditer(run):
+        yield from ((k, h.start() + a, h.start() + b) for k, a, b in _hex_keys(h[0]))
+
+
+def _hex_keys(run: str) -> Iterator[tuple[str, int, int]]:
+    done = 0
+    for m in _HEX_START.finditer(run):
+        at = m.start()
+        if at < done:
+            continue
+        rest = len(run) - at
+        if run[at] == "3":
+            size = _der_size(bytes.fromhex(run[at:at + min(24, rest // 2 * 2)]))
+            if size is None or 2 * size > rest:
+                continue
+            stop = at + 2 * size
+        else:
+            stop = at + rest // 2 * 2
+        if kind := _key_kind(bytes.fromhex(run[at:stop])):
+            done = stop
+            yield kind, at, stop
+
+
+def _joined_keys(text: str, m: re.Match, between: re.Pattern) -> Iterator[tuple[str, int, int]]:
+    """Keys of a match without what lies ``between`` its pieces; offsets in ``text``."""
+    pieces, at = [], m.start()
+    for b in between.finditer(text, m.start(), m.end()):
+        pieces.append((at, text[at:b.start()]))
+        at = b.end()
+    pieces.append((at, text[at:m.end()]))
+    begins, total = [], 0
+    for _, p in pieces:
+        begins.append(total)
+        total += len(p)
+
+    def place(at: int) -> int:
+        i = bisect.bisect_right(begins, at) - 1
+        return pieces[i][0] + at - begins[i]
+    for kind, a, b in _keys("".join(p for _, p in pieces)):
+        yield kind, place(a), place(b - 1) + 1
+
+
+def _padded(text: str, end: int) -> int:
+    """``end`` behind the padding, if it follows."""
+    return end + len(text[end:end + 2]) - len(text[end:end + 2].lstrip("="))
+
+
 def _confirmed(text: str) -> list[tuple[str, int, int]]:
     out = []
     for m in _RUN.finditer(text):
-        run, (start, end) = m[0], m.span()
-        if run[:2] in ("ey", "ew") and (tail := _JWT_TAIL.match(text, end)) and is_token(run, tail[1]):
-            out.append(("jwt", start, tail.end()))
-            continue
-        kind = _key_kind(decode_base64(run))
-        if kind is None and len(run) % 2 == 0 and re.fullmatch(r"[0-9A-Fa-f]+", run):
-            kind = _key_kind(bytes.fromhex(run))
-        if kind:
-            out.append((kind, start, end))
+        run, start = m[0].rstrip("="), m.start()
+        if tail := _JWT_TAIL.match(text, m.end()):
+            token = next((t.start() for t in _TOKEN_START.finditer(run) if is_token(run[t.start():], tail[1])), None)
+            if token is not None:
+                out.append(("jwt", start + token, tail.end()))
+                continue
+        out += [(kind, start + a, _padded(text, start + b)) for kind, a, b in _keys(run)]
+    blocks = []
     if "-----BEGIN " in text:
-        out += [("pem", *m.span()) for m in _PEM.finditer(text)
-                if _key_kind(decode_base64(re.sub(r"\s+", "", m[2])))]
-    return out
+        blocks = [("pem", *m.span()) for m in _PEM.finditer(text)
+                  if _key_kind(decode_base64(_PEM_BREAK.sub("", m[2])))]
+    joined = [(kind, a, _padded(text, b)) for m in _LINES.finditer(text)
+              for kind, a, b in _joined_keys(text, m, _BREAKS)]
+    if _PAIRS_START.search(text):
+        joined += [k for m in _PAIRS.finditer(text) for k in _joined_keys(text, m, _NOT_HEX)]
+    taken = out + blocks
+    out += [k for k in joined if not any(a < k[2] and k[1] < b for _, a, b in taken)]
+    return out + blocks
 
 
 def _has_long_run(texts: pa.Array) -> np.ndarray:

@@ -243,6 +243,35 @@ def test_secrets_confirm_structure():
     assert [k for k, _, _ in secrets.find_secrets(pem) if k == "pem"] == ["pem"]
 
 
+def test_secrets_are_found_beside_other_characters():
+    b64 = lambda b: base64.urlsafe_b64encode(b).decode().rstrip("=")
+    token = ".".join([b64(json.dumps({"alg": "HS256"}).encode()), b64(b'{"sub":"1"}'), b64(b"sig")])
+    der = lambda tag, body: bytes([tag, 0x82, len(body) >> 8, len(body) & 255]) + body
+    key = der(0x30, b"\x02\x01\x00" + b"".join(der(0x02, bytes([i + 1]) * 60) for i in range(8)))
+    field = lambda x: len(x).to_bytes(4, "big") + x
+    ssh = base64.b64encode(b"openssh-key-v1\0" + field(b"none") * 2 + field(b"") + b"\0\0\0\1" + field(b"p" * 51)
+                           + field(b"s" * 140)).decode()
+    small = bytes.fromhex("302e020100300506032b657004220420") + bytes(range(32))
+    lines = lambda x, by, n=64: by.join(x[i:i + n] for i in range(0, len(x), n))
+    one, hexed = base64.b64encode(key).decode(), key.hex()
+
+    def structural(text):
+        return [(k, text[s:e]) for k, s, e in secrets.find_secrets(text) if k not in secrets.BASE_KINDS]
+    for kind, secret, before, after in [
+            ("der", one, "path/", ""), ("der", one, "token_", "/more"), ("der", one, "", " x"), ("der", one, "q-M", ""),
+            ("jwt", token, "x-", " y"), ("jwt", token, "token_", ""), ("der", hexed, "0x", ""),
+            ("der", hexed.upper(), "0x", "00"), ("der", base64.b64encode(small).decode(), "key_", " "),
+            ("openssh", ssh, "k_", " "), ("der", lines(one, "\n"), "a word\n", "\nnext"),
+            ("der", lines(one, "\r\n  "), "", ""), ("der", lines(one, "\\n"), '"k": "', '"'),
+            ("der", lines(one, "\\r\\n"), "", "\\r\\n"), ("der", lines(hexed, "\n", 60), "", ""),
+            ("openssh", lines(ssh, "\n", 70), "", " "), ("der", lines(hexed, ":", 2), "k: ", "."),
+            ("der", lines(hexed.upper(), " ", 2), "", ""), ("der", lines(hexed, "\\x", 2), '"\\x', '"')]:
+        assert structural(before + secret + after) == [(kind, secret)], (kind, before, secret[:70])
+    pem = "-----BEGIN PRIVATE KEY-----\\n" + lines(one, "\\n") + "\\n-----END PRIVATE KEY-----"
+    assert structural('{"private_key": "' + pem + '\\n"}') == [("pem", pem)]
+    assert structural(f"path/{lines(one[:-8], chr(10))} x{hexed[:-2]}") == []
+
+
 def test_secret_column_handles_null_and_empty(spark):
     df = spark.createDataFrame([(1, None), (2, ""), (3, "secret=abcdef " + "x" * 200_000)], "id long, text string")
     got = {r.id: r.s for r in df.select("id", secrets.joined(secrets.secret_spans(F.col("text"))).alias("s")).collect()}
