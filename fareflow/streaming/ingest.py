@@ -30,7 +30,8 @@ def ingest_available(spark: SparkSession, src: str, dst: str, checkpoint: str,
                      partition_by: tuple[str, ...] = (),
                      timestamp_format: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") -> None:
     """Process every not-yet-committed file under ``src`` into ``dst``, in
-    slices ``_run`` (stream id of the checkpoint) / ``_batch``."""
+    slices ``_run`` (stream id of the checkpoint) / ``_batch``.  Without a
+    ``quarantine`` a malformed line fails its batch before anything is written."""
     full = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())])
     stream = (spark.readStream.format(fmt).schema(full)
               .option("maxFilesPerTrigger", max_files)
@@ -50,6 +51,9 @@ def ingest_available(spark: SparkSession, src: str, dst: str, checkpoint: str,
         bad = F.col(CORRUPT).isNotNull()
         df.persist()  # parsed once for both writes
         try:
+            if not quarantine and (line := df.filter(bad).first()) is not None:
+                # uncommitted, so the file is read again once there is a place for its lines
+                raise ValueError(f"malformed line and no quarantine given: {line[CORRUPT][:200]!r}")
             good = df.filter(~bad).drop(CORRUPT)
             write(good if transform is None else transform(good), dst, *partition_by)
             if quarantine:

@@ -4,6 +4,8 @@ import io
 import os
 import zipfile
 
+import pytest
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -131,3 +133,15 @@ def test_streams_with_own_checkpoints_share_a_target(spark, tmpdir_path):
         for _ in range(2):
             ingest_available(spark, src, dst, os.path.join(tmpdir_path, f"ck{i}"), schema)
     assert sorted(r.a for r in spark.read.parquet(dst).collect()) == [1, 2]
+
+
+def test_stream_without_quarantine_fails_on_malformed_lines(spark, tmpdir_path):
+    from fareflow.streaming.ingest import ingest_available
+    schema = T.StructType([T.StructField("a", T.LongType())])
+    src, dst, ck, bad = (os.path.join(tmpdir_path, x) for x in ("src", "dst", "ck", "bad"))
+    spark.createDataFrame([('{"a": 1}',), ('{"a": ',)], "value string").coalesce(1).write.text(src)
+    with pytest.raises(Exception, match="no quarantine given"):
+        ingest_available(spark, src, dst, ck, schema)
+    ingest_available(spark, src, dst, ck, schema, quarantine=bad)  # the file was not committed
+    assert [r.a for r in spark.read.parquet(dst).collect()] == [1]
+    assert spark.read.parquet(bad).count() == 1
