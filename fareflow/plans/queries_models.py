@@ -51,7 +51,7 @@ def m7(spark, sf_dir):
 @register("M10_M16_gbt_auc")
 def m10(spark, sf_dir):
     d = _model_data(spark, sf_dir)
-    model = P.train_classifier(d.filter("split = 0"), FEATURES, "gbt", maxIter=5, maxDepth=4)
+    model = P.train_classifier(d.filter("split = 0"), FEATURES, "gbt")
     test = model.transform(P.impute_zero(d.filter("split = 1"), FEATURES))
     auc = P.evaluate_auc(test)
     return spark.createDataFrame([("gbt", float(auc))], "model string, auc double")
@@ -61,7 +61,7 @@ def m10(spark, sf_dir):
 def m11(spark, sf_dir):
     mt = build_model_table(model_source(quote_view(spark, sf_dir)))
     d = _held_out(mt)
-    model = P.train_regressor(d.filter("split = 0"), FEATURES, "saving", maxIter=5, maxDepth=4)
+    model = P.train_regressor(d.filter("split = 0"), FEATURES, "saving")
     pred = model.transform(P.impute_zero(d.filter("split = 1"), FEATURES))
     return spark.createDataFrame([("gbt_regressor", float(P.evaluate_rmse(pred, "saving")))],
                                  "model string, rmse double")
@@ -71,14 +71,14 @@ def m11(spark, sf_dir):
 def m12(spark, sf_dir):
     d = _model_data(spark, sf_dir)
     model = P.train_classifier(d.filter("split = 0"), FEATURES, "rf", one_hot=False, vector_index_max=60,
-                               numTrees=20, maxDepth=6, maxBins=64)
+                               maxDepth=6, maxBins=64)
     return P.score(model, d.filter("split = 1"), FEATURES, KEEP)
 
 
 @register("M13_M20_gbt_early_stopping_importance")
 def m13(spark, sf_dir):
     d = _model_data(spark, sf_dir).withColumn("isVal", F.col("split") == 1)
-    model = P.train_classifier(d, FEATURES, "gbt", maxIter=20, maxDepth=5, stepSize=0.2,
+    model = P.train_classifier(d, FEATURES, "gbt", maxIter=1000, maxDepth=5, stepSize=0.2,
                                minInstancesPerNode=16, validationIndicatorCol="isVal", validationTol=0.01)
     scored = model.transform(P.impute_zero(d.limit(1), FEATURES))
     return P.importance_table(model, scored, "features", min_importance=0.0)
@@ -88,7 +88,7 @@ def m13(spark, sf_dir):
 def m14(spark, sf_dir):
     d = _model_data(spark, sf_dir)
     train = stratified_folds(d.filter("split = 0"), "label", 2, ["routeCombKey", "searchDate", "price"])
-    models = P.train_folds(train, FEATURES, "fold", 2, "gbt", maxIter=5, maxDepth=4)
+    models = P.train_folds(train, FEATURES, "fold", 2, "gbt")
     return P.ensemble_score(models, d.filter("split = 1"), FEATURES, KEEP)
 
 

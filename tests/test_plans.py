@@ -1,6 +1,8 @@
 """Plan checks: native expressions only, pushed filters, pruned scans,
 broadcast of bounded dimensions, partition pruning, late cut-off filter."""
 
+import pytest
+
 from fareflow.plans.model_table import build_model_table
 from fareflow.plans.quote_view import model_source, quote_view
 
@@ -97,3 +99,30 @@ def test_one_scan_per_report(spark):
     q = quote_view(spark, SF_SMALL)
     for df in (constant_columns(q.select("trip", "cabin", "price")), duplicate_report(q, ["l_orderkey"])):
         assert _plan(df).split("(1)")[0].count("lineitem") <= 1
+
+
+def test_model_entries_train_at_full_size(spark, monkeypatch):
+    from fareflow.ml import pipeline as P
+    from fareflow.plans import queries_models as Q
+
+    class Caught(Exception):
+        pass
+
+    def catch(train, features, *kind, **params):
+        raise Caught(kind[-1], params)
+    rows = spark.range(4).selectExpr("id", "0 AS split")
+    monkeypatch.setattr(Q, "_model_data", lambda *a: rows)
+    monkeypatch.setattr(Q, "_held_out", lambda d: rows)
+    for name in ("quote_view", "model_source", "build_model_table"):
+        monkeypatch.setattr(Q, name, lambda *a: rows)
+    monkeypatch.setattr(Q, "stratified_folds", lambda *a: rows)
+    for name in ("train_classifier", "train_regressor", "train_folds"):
+        monkeypatch.setattr(P, name, catch)
+    for entry, least in ((Q.m10, 10), (Q.m11, 10), (Q.m12, 200), (Q.m13, 1000), (Q.m14, 10)):
+        with pytest.raises(Caught) as e:
+            entry(spark, "")
+        kind, params = e.value.args
+        params = {k: v for k, v in params.items() if k not in ("one_hot", "vector_index_max")}
+        model = P.make_classifier("rf" if kind == "rf" else "gbt", **params)
+        assert (model.getNumTrees() if kind == "rf" else model.getMaxIter()) >= least
+        assert model.getMaxDepth() >= 5
