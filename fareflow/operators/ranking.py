@@ -1,39 +1,223 @@
-"""Global order statistics without a single-partition window (G8, G9, H9,
-M9, M15, M16, M19).
+"""Global order statistics without a single-partition window and with one
+shuffle of the rows (G8, G9, H9, M9, M15, M16, M19).
 
 ``Window.orderBy(...)`` without ``partitionBy`` moves every row to one task.
-Here a global running total is computed in two levels:
-
-1. ``repartitionByRange`` over the (total) order splits the rows into
-   balanced, ordered ranges (Spark samples the keys to pick the bounds, so a
-   value holding a third of the rows is spread by the tie-breakers);
-2. a window *per range* (bounded by the range size) gives the running total
-   inside the range, and one row per range gives the range totals, whose
-   prefix sum (over at most ``spark.sql.shuffle.partitions`` rows) is joined
-   back as an offset.
-
-The order columns must make the order total (add an id as tie-breaker);
-then the result is deterministic.  The range-partitioned rows are
-checkpointed once (to the shared ``spark.checkpoint.dir``): range bounds
-come from sampling, and the running totals and the range totals must see
-the same partition assignment, also when a task or executor is lost.
+Here the order is cut into ranges whose bounds are *literals*, so the range
+number is a plain, deterministic column of the row:
+
+1. a mergeable quantile summary of the first order column
+   (``percentile_approx``) gives the bounds; a value that fills whole ranges by
+   itself is cut further by the next order column, and so on, so neither a hot
+   group nor a tied score ends in one task;
+2. one aggregate over the range number gives the totals of all ranges, whose
+   prefix sums enter the plan as literals;
+3. a window per range, the only shuffle of rows, adds the running total inside
+   the range to the literal of its range.
+
+The number of ranges comes from the number of rows (``ROWS_PER_RANGE``) and is
+at most ``MAX_RANGES``, which bounds what the driver holds.  Steps 1 and 2 are
+jobs that run while the plan is built and read the input again; hand in a
+written table (``plans.reports.materialize``) when that is costly.  Nothing
+depends on how rows happen to be partitioned, so a lost task may be run again
+at any point.
+
+The order columns must make the order total (add an id as tie-breaker) where
+rows are numbered.  Order columns are names, ``F.asc(name)`` or
+``F.desc(name)`` of numeric, date, time, boolean or text columns, with Spark's
+place for nulls (first when ascending, last when descending).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+import re
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+RANGE = "_ff_range"
+ROWS_PER_RANGE = 1 << 16
+MAX_RANGES = 8192
+_LOW, _HIGH = -(1 << 63), (1 << 63) - 1
+_SORT = re.compile(r"^Column<'(.+?) (ASC|DESC)(?: NULLS (?:FIRST|LAST))?'>$")
+
+
+def _named(order: Sequence[Column | str]) -> list[tuple[str, bool]]:
+    """(column name, descending) of names and sort columns."""
+    out = []
+    for o in order:
+        if isinstance(o, str):
+            out.append((o, False))
+            continue
+        m = _SORT.match(str(o))
+        name = m.group(1) if m else str(o)[len("Column<'"):-2]
+        out.append((name.strip("`"), bool(m) and m.group(2) == "DESC"))
+    return out
+
+
+def _codes(df: DataFrame, name: str, desc: bool) -> tuple[list[Column], bool]:
+    """Numbers that order like the column, and whether equal numbers mean equal
+    values.  Text gives its first 21 bytes, seven to a number."""
+    kind, c = df.schema[name].dataType, F.col(f"`{name}`")
+    whole = {T.DateType: F.unix_date, T.TimestampType: F.unix_micros}.get(type(kind))
+    if isinstance(kind, T.StringType):
+        raw = F.encode(c, "UTF-8")
+        parts = [F.conv(F.rpad(F.hex(F.substring(raw, 1 + 7 * i, 7)), 14, "0"), 16, 10).cast("long") for i in range(3)]
+        exact = False
+    elif isinstance(kind, (T.DoubleType, T.FloatType)):
+        parts, exact = [c.cast("double")], True
+    elif isinstance(kind, T.DecimalType):
+        parts, exact = [c.cast("double")], False
+    else:
+        parts, exact = [(whole(c) if whole else c).cast("long")], True
+    real = not isinstance(kind, T.StringType) and isinstance(kind, (T.DoubleType, T.FloatType, T.DecimalType))
+    if desc:
+        parts = [F.when(F.isnan(p), F.lit(-math.inf)).otherwise(-p) if real else F.bitwise_not(p) for p in parts]
+    edge = (math.inf if desc else -math.inf) if real else (_HIGH if desc else _LOW)
+    return [F.coalesce(p, F.lit(edge)) for p in parts], exact
+
+
+def _passed(code: Column, cuts: Sequence, strict: bool) -> Column:
+    """How many of the sorted literals ``cuts`` are at most (or below) the code."""
+    below = (lambda c: c < code) if strict else (lambda c: c <= code)
+    if not cuts:
+        return F.lit(0)
+    if len(cuts) <= 32:
+        return F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), below))
+    step = math.isqrt(len(cuts))
+    whole = F.size(F.filter(F.array(*[F.lit(c) for c in cuts[::step]]), below))
+    part = F.slice(F.array(*[F.lit(c) for c in cuts]), (whole - 1) * step + 1, F.lit(step))
+    return F.when(whole > 0, (whole - 1) * step + F.size(F.filter(part, below))).otherwise(0)
+
+
+@dataclass
+class _Node:
+    """Ranges of the rows that agree with ``path`` on the codes so far."""
+    path: tuple = ()
+    cuts: list = field(default_factory=list)
+    heavy: dict = field(default_factory=dict)  # value -> node of the next code
+    split: bool = True
 
-PID = "_ff_pid"
+    def count(self) -> int:
+        return 1 + len(self.cuts) + len(self.heavy) + sum(n.count() - 1 for n in self.heavy.values())
 
+    def number(self, codes: Sequence[Column]) -> Column:
+        if not codes or not (self.cuts or self.heavy):
+            return F.lit(0)
+        out = _passed(codes[0], self.cuts, False) + _passed(codes[0], sorted(self.heavy), True)
+        for value, node in self.heavy.items():
+            extra = node.count() - 1
+            if extra:
+                out = out + F.when(codes[0] > F.lit(value), F.lit(extra)) \
+                    .when(codes[0] == F.lit(value), node.number(codes[1:])).otherwise(0)
+        return out
 
-def _ranges(df: DataFrame, order: Sequence[Column], partitions: int | None) -> DataFrame:
-    from fareflow.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *order).withColumn(PID, F.spark_partition_id()).checkpoint(eager=True)
+    def single(self) -> list[bool]:
+        """Per range: does it hold one value of the first code only?"""
+        out, edges = [], sorted([(c, 0) for c in self.cuts] + [(c, 1) for c in self.heavy])
+        out.append(False)
+        for value, after in edges:
+            if after:
+                out[-1:] = [True] * self.heavy[value].count()
+                out.append(False)
+            else:
+                out.append(False)
+        return out
+
+
+@dataclass(frozen=True)
+class Ranges:
+    """``column`` numbers the rows' ranges 0..count-1 in the order; ``tied``
+    marks ranges that hold one value of the first order column only."""
+    column: Column
+    count: int
+    tied: list[bool]
+    rows: int
+
+
+def ordered_ranges(df: DataFrame, order: Sequence[Column | str], partitions: int | None = None) -> Ranges:
+    """Cut the order into ranges of about ``ROWS_PER_RANGE`` rows (or into
+    about ``partitions``).  One job for each order column that is needed."""
+    codes, exact = [], []
+    for name, desc in _named(order):
+        c, e = _codes(df, name, desc)
+        codes += c
+        exact += [True] * (len(c) - 1) + [e]
+    names = [f"_c{i}" for i in range(len(codes))]
+    table = df.select(*[c.alias(n) for c, n in zip(codes, names)])
+    root, total, target = _Node(), 0, 0
+    nodes = [root]
+    for level, name in enumerate(names):
+        if level and not all(exact[:level]):
+            break
+        node = F.lit(None).cast("int")
+        for k, x in enumerate(nodes):
+            same = F.lit(True)
+            for v, n in zip(x.path, names):
+                same = same & (F.col(n) == F.lit(v))
+            node = F.when(same, F.lit(k)).otherwise(node)
+        pieces = 255 if level == 0 else min(MAX_RANGES, max(2, math.ceil(total / target)))
+        for _ in range(2):
+            at = F.array(*[F.lit(i / pieces) for i in range(1, pieces)])
+            found = table.select(node.alias("_node"), name).where("_node IS NOT NULL").groupBy("_node").agg(
+                F.count(F.lit(1)).alias("n"),
+                F.percentile_approx(name, at, F.lit(max(10_000, 20 * pieces))).alias("q")).collect()
+            if level == 0:
+                total = found[0]["n"] if found else 0
+                target = max(math.ceil(total / partitions) if partitions else ROWS_PER_RANGE,
+                             math.ceil(total / MAX_RANGES), 1)
+            if level or math.ceil(total / target) <= pieces:
+                break
+            pieces = math.ceil(total / target)
+        following = []
+        for r in found:
+            x, m = nodes[r["_node"]], math.ceil(r["n"] / target)
+            if m <= 1:
+                continue
+            chosen = [r["q"][min(len(r["q"]) - 1, max(0, round(i * pieces / m) - 1))] for i in range(1, m)]
+            often = {v for v in chosen if chosen.count(v) > 1 or r["q"].count(v) * m >= pieces}
+            x.cuts = sorted({*chosen, *often})
+            for v in sorted(often):
+                x.heavy[v] = _Node((*x.path, v))
+                if v not in (_LOW, _HIGH, math.inf, -math.inf):
+                    following.append(x.heavy[v])
+        nodes = following
+        if not nodes:
+            break
+    return Ranges(root.number(codes).cast("int"), root.count(), root.single(), total)
+
+
+def _by_range(ranges: Ranges, values: Sequence) -> Column:
+    """The literal of the row's range."""
+    return F.element_at(F.array(*[F.lit(v) for v in values]), F.col(RANGE) + 1)
+
+
+def with_prefix_sums(df: DataFrame, order: Sequence[Column | str],
+                     sums: Mapping[str, tuple[Column | str | None, bool]], partitions: int | None = None) -> DataFrame:
+    """Running totals in one global order: ``sums`` maps an output name to
+    (value, inclusive), a row count where the value is None."""
+    ranges = ordered_ranges(df, order, partitions)
+    values = {f"_ff_v{i}": F.lit(1).cast("long") if v is None else (F.col(v) if isinstance(v, str) else v)
+              for i, (v, _) in enumerate(sums.values())}
+    rows = df.withColumns({RANGE: ranges.column, **values})
+    before: dict[str, list] = {v: [] for v in values}
+    if ranges.count > 1:
+        found = {r[RANGE]: r for r in rows.groupBy(RANGE).agg(*[F.sum(v).alias(v) for v in values]).collect()}
+        for v in values:
+            running = 0
+            for k in range(ranges.count):
+                before[v].append(running)
+                running += (found[k][v] or 0) if k in found else 0
+    sort = [F.col(n).desc() if d else F.col(n).asc() for n, d in _named(order)]
+    w = Window.partitionBy(RANGE).orderBy(*sort)
+    out = rows
+    for v, (name, (_, inclusive)) in zip(values, sums.items()):
+        local = F.coalesce(F.sum(v).over(w.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)), F.lit(0))
+        out = out.withColumn(name, local + _by_range(ranges, before[v]) if before[v] else local)
+    return out.drop(RANGE, *values)
 
 
 def with_prefix_sum(df: DataFrame, order: Sequence[Column | str], value: Column | str | None = None,
@@ -41,18 +225,7 @@ def with_prefix_sum(df: DataFrame, order: Sequence[Column | str], value: Column
                     partitions: int | None = None) -> DataFrame:
     """Running total of ``value`` (row count when None) in the global
     ``order``; exclusive by default (sum over strictly earlier rows)."""
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    v = F.lit(1).cast("long") if value is None else (F.col(value) if isinstance(value, str) else value)
-    r = _ranges(df.withColumn("_ff_v", v), order, partitions)
-    end = Window.currentRow if inclusive else -1
-    w = Window.partitionBy(PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, end)
-    local = r.withColumn("_ff_local", F.coalesce(F.sum("_ff_v").over(w), F.lit(0)))
-    totals = r.groupBy(PID).agg(F.sum("_ff_v").alias("_ff_tot"))
-    # at most one row per range: ordering them in one task is bounded
-    offs = totals.select(PID, F.coalesce(F.sum("_ff_tot").over(
-        Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_ff_off"))
-    res = local.join(F.broadcast(offs), PID)
-    return res.withColumn(out, F.col("_ff_off") + F.col("_ff_local")).drop(PID, "_ff_v", "_ff_local", "_ff_off")
+    return with_prefix_sums(df, order, {out: (value, inclusive)}, partitions)
 
 
 def with_position(df: DataFrame, order: Sequence[Column | str], out: str = "pos",
@@ -63,26 +236,25 @@ def with_position(df: DataFrame, order: Sequence[Column | str], out: str = "pos"
 
 def with_rank_in_group(df: DataFrame, group: Sequence[str], order: Sequence[Column | str],
                        out: str = "rankInGroup", partitions: int | None = None) -> DataFrame:
-    """0-based position inside each group, for groups of any size: global
-    position in (group, order) minus the number of rows of earlier groups
-    (one row per group)."""
-    order = [F.col(o) if isinstance(o, str) else o for o in order]
-    pos = with_position(df, [*[F.col(g) for g in group], *order], "_ff_gpos", partitions)
-    sizes = df.groupBy(*group).agg(F.count(F.lit(1)).alias("_ff_gn"))
-    # group start = rows in earlier groups; the number of groups is not
-    # bounded, so this is a distributed prefix sum too
-    starts = with_prefix_sum(sizes, [F.col(g) for g in group], "_ff_gn", "_ff_gstart", partitions=partitions)
-    st = starts.select(*[F.col(g).alias(f"_ff_s{i}") for i, g in enumerate(group)], "_ff_gstart")
-    j = pos.join(st, _all([pos[g].eqNullSafe(F.col(f"_ff_s{i}")) for i, g in enumerate(group)]))
-    return (j.withColumn(out, F.col("_ff_gpos") - F.col("_ff_gstart"))
-            .drop("_ff_gpos", "_ff_gstart", *[f"_ff_s{i}" for i in range(len(group))]))
-
-
-def _all(conds):
-    out = conds[0]
-    for c in conds[1:]:
-        out = out & c
-    return out
+    """0-based position inside each group, for groups of any size: the rank
+    inside (range, group), and for the group that a range begins with the rows
+    that it has in earlier ranges, a literal of the range."""
+    ranges = ordered_ranges(df, [*group, *order], partitions)
+    rows = df.withColumn(RANGE, ranges.column)
+    sort = [F.col(n).desc() if d else F.col(n).asc() for n, d in _named(order)]
+    rank = F.row_number().over(Window.partitionBy(RANGE, *group).orderBy(*sort)) - 1
+    if ranges.count > 1:
+        key = F.struct(*[F.col(g) for g in group])
+        ends = rows.groupBy(RANGE, *group).agg(F.count(F.lit(1)).alias("_n")).groupBy(RANGE).agg(
+            F.min(key).alias("head"), F.max(key).alias("tail"), F.max_by("_n", key).alias("n"))
+        before, carried, last = [0] * ranges.count, 0, None
+        for r in sorted(ends.collect(), key=lambda r: r[RANGE]):
+            before[r[RANGE]] = carried if last is not None and r["head"] == last else 0
+            carried = r["n"] + (before[r[RANGE]] if r["head"] == r["tail"] else 0)
+            last = r["tail"]
+        first = F.rank().over(Window.partitionBy(RANGE).orderBy(*group)) == 1
+        rank = rank + F.when(first, _by_range(ranges, before)).otherwise(0)
+    return rows.withColumn(out, rank.cast("long")).drop(RANGE)
 
 
 def stratified_folds(df: DataFrame, label: str, k: int, id_cols: Sequence[str], out: str = "fold",
@@ -95,37 +267,44 @@ def stratified_folds(df: DataFrame, label: str, k: int, id_cols: Sequence[str],
     return ranked.withColumn(out, (F.col("_ff_r") % k).cast("int")).drop("_ff_h", "_ff_r")
 
 
-def quantile_edges(df: DataFrame, col: str, probs: Sequence[float], tie: Sequence[str]) -> DataFrame:
-    """Exact quantiles with linear interpolation (``pd.qcut`` / ``quantile_cont``
-    convention): one row ``(k, p, edge)`` per probability.  Uses global
-    positions, so no task ever holds all values; the values at the needed
-    ranks (two per probability) are picked in one join."""
-    n = df.agg(F.count(col)).scalar()
-    pos = with_position(df.filter(F.col(col).isNotNull()), [F.col(col), *[F.col(t) for t in tie]], "_ff_p")
-    ps = df.sparkSession.createDataFrame([(i, float(p)) for i, p in enumerate(probs)], "k int, p double")
-    h = ps.select("k", "p", (F.col("p") * (n - 1)).alias("_ff_h"))
-    h = h.select("k", "p", "_ff_h", F.floor("_ff_h").alias("_ff_lo"), F.ceil("_ff_h").alias("_ff_hi"))
-    need = h.select("*", F.explode(F.array("_ff_lo", "_ff_hi")).alias("_ff_idx")).distinct()
-    # ``need`` has at most 2 rows per probability: a bounded broadcast
-    hit = pos.select("_ff_p", F.col(col).alias("_ff_v")).join(F.broadcast(need), F.col("_ff_p") == F.col("_ff_idx"))
-    g = hit.groupBy("k", "p", "_ff_h", "_ff_lo", "_ff_hi").agg(
-        F.max(F.when(F.col("_ff_idx") == F.col("_ff_lo"), F.col("_ff_v"))).alias("_ff_vlo"),
-        F.max(F.when(F.col("_ff_idx") == F.col("_ff_hi"), F.col("_ff_v"))).alias("_ff_vhi"))
-    return g.select("k", "p", (F.col("_ff_vlo") + (F.col("_ff_vhi") - F.col("_ff_vlo"))
-                               * (F.col("_ff_h") - F.col("_ff_lo"))).alias("edge"))
-
-
-def with_quantile_band(df: DataFrame, col: str, bands: int, tie: Sequence[str], out: str = "band") -> DataFrame:
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], tie: Sequence[str] = (),
+                    partitions: int | None = None) -> list[float | None]:
+    """Exact quantiles with linear interpolation (``pd.qcut`` /
+    ``quantile_cont`` convention) of the non-null values.  Only ranges that
+    hold a needed rank are shuffled and sorted; two values for each
+    probability reach the driver."""
+    values = df.where(F.col(col).isNotNull()).select(col, *tie)
+    ranges = ordered_ranges(values, [col, *tie], partitions)
+    rows = values.withColumn(RANGE, ranges.column)
+    sizes = {r[RANGE]: r["n"] for r in rows.groupBy(RANGE).agg(F.count(F.lit(1)).alias("n")).collect()}
+    n = sum(sizes.values())
+    if not n:
+        return [None] * len(probs)
+    before, running = [], 0
+    for k in range(ranges.count):
+        before.append(running)
+        running += sizes.get(k, 0)
+    ranks = sorted({int(f(p * (n - 1))) for p in probs for f in (math.floor, math.ceil)})
+    home = {r: max(k for k in range(ranges.count) if before[k] <= r and sizes.get(k)) for r in ranks}
+    near = rows.where(F.col(RANGE).isin(sorted(set(home.values()))))
+    place = F.row_number().over(Window.partitionBy(RANGE).orderBy(col, *tie)) - 1 + _by_range(ranges, before)
+    at = {r["at"]: r[col] for r in near.withColumn("at", place).where(F.col("at").isin(ranks)).select("at", col).collect()}
+    low = [at[math.floor(p * (n - 1))] for p in probs]
+    high = [at[math.ceil(p * (n - 1))] for p in probs]
+    return [a + (b - a) * (p * (n - 1) - math.floor(p * (n - 1))) for p, a, b in zip(probs, low, high)]
+
+
+def quantile_edges(df: DataFrame, col: str, probs: Sequence[float], tie: Sequence[str] = ()) -> DataFrame:
+    """``exact_quantiles`` as a table: one row ``(k, p, edge)`` per probability."""
+    edges = exact_quantiles(df, col, probs, tie)
+    rows = [(i, float(p), None if e is None else float(e)) for i, (p, e) in enumerate(zip(probs, edges))]
+    return df.sparkSession.createDataFrame(rows, "k int, p double, edge double")
+
+
+def with_quantile_band(df: DataFrame, col: str, bands: int, tie: Sequence[str] = (), out: str = "band") -> DataFrame:
     """Band index 0..bands-1 with right-closed bins between the exact
-    quantile edges (G9): ``band = #edges < value``.  The ``bands - 1`` edge
-    values (bounded by the parameter, checkpointed once) enter the row-wise
-    comparison as scalar subqueries, so banding is one native pass."""
-    from fareflow.session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(df.sparkSession)
-    probs = [i / bands for i in range(1, bands)]
-    edges = quantile_edges(df, col, probs, tie).checkpoint(eager=True)
-    band = F.lit(0)
-    for k in range(len(probs)):
-        e = edges.filter(F.col("k") == k).select("edge").scalar()
-        band = band + (F.col(col) > e).cast("int")
-    return df.withColumn(out, band.cast("int"))
+    quantile edges (G9): ``band = #edges < value``, null for a null value.
+    The ``bands - 1`` edges are literals, so banding is one native pass."""
+    edges = [e for e in exact_quantiles(df, col, [i / bands for i in range(1, bands)], tie) if e is not None]
+    band = _passed(F.col(col), edges, True).cast("int")
+    return df.withColumn(out, F.when(F.col(col).isNotNull(), band))

@@ -11,6 +11,7 @@ from fareflow.operators import ranking as R
 from fareflow.operators.labels import with_drop_label
 from fareflow.plans.catalog import add_cte, register
 from fareflow.plans.quote_view import quote_view
+from fareflow.plans.reports import materialize
 
 IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
 TIE = [*IDS, "price", "depDate"]
@@ -33,6 +34,12 @@ def scored(spark, sf_dir):
                       ((raw + 300 * F.col("label")) / 1000.0).alias("score"))
 
 
+def scored_table(spark, sf_dir):
+    """The columns that metrics read, written once: they pass over it more
+    than once."""
+    return materialize(scored(spark, sf_dir).select(*TIE, "label", "score"), "scored")
+
+
 @register("M16_auc_rank_sum", """
 WITH per AS (SELECT score, count(*) AS c, sum(label) AS p FROM sc GROUP BY score),
 r AS (SELECT *, coalesce(sum(c) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
@@ -40,7 +47,7 @@ r AS (SELECT *, coalesce(sum(c) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PREC
 t AS (SELECT sum(p * (below + (c + 1) / 2.0)) AS rs, sum(p) AS P, sum(c) AS n FROM r)
 SELECT (rs - P * (P + 1) / 2.0) / (P * (n - P)) AS auc FROM t""")
 def m16(spark, sf_dir):
-    return MT.auc(scored(spark, sf_dir))
+    return MT.auc(scored_table(spark, sf_dir))
 
 
 @register("M15_G8_normalized_gini", f"""
@@ -51,7 +58,7 @@ ga AS (SELECT (CAST(sum(label * (n - pos)) AS DOUBLE) / sum(label) - (n + 1) / 2
 gb AS (SELECT (CAST(sum(label * (n - pos)) AS DOUBLE) / sum(label) - (n + 1) / 2.0) / n AS g FROM b, n GROUP BY n)
 SELECT ga.g AS gini, gb.g AS giniPerfect, ga.g / gb.g AS normalizedGini FROM ga, gb""")
 def m15(spark, sf_dir):
-    return MT.gini(scored(spark, sf_dir), "label", "score", TIE)
+    return MT.gini(scored_table(spark, sf_dir), "label", "score", TIE)
 
 
 @register("G8_running_label_sum", f"""
@@ -61,10 +68,9 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, score, label,
     AS BIGINT) AS cumLabel
 FROM sc""")
 def g8(spark, sf_dir):
-    s = scored(spark, sf_dir)
+    s = scored_table(spark, sf_dir)
     order = [F.desc("score"), *[F.asc(c) for c in TIE]]
-    s = R.with_position(s, order, "pos")
-    s = R.with_prefix_sum(s, order, F.col("label").cast("long"), "cumLabel", inclusive=True)
+    s = R.with_prefix_sums(s, order, {"pos": (None, False), "cumLabel": (F.col("label").cast("long"), True)})
     return s.select(*IDS, "score", "label", "pos", "cumLabel")
 
 
@@ -89,7 +95,7 @@ r AS (SELECT threshold, sum(c) OVER (ORDER BY threshold DESC) AS predPos,
 f AS (SELECT threshold, 2.0 * tp / (predPos + P) AS f1 FROM r, P)
 SELECT f1 AS bestF1, threshold FROM f ORDER BY f1 DESC, threshold DESC LIMIT 1""")
 def m9(spark, sf_dir):
-    return MT.best_f1_threshold(scored(spark, sf_dir))
+    return MT.best_f1_threshold(scored_table(spark, sf_dir))
 
 
 @register("M19_G9_lift_by_quantile_band", f"""
@@ -102,7 +108,7 @@ ed AS (SELECT list(edge ORDER BY edge) AS edges FROM e)
 SELECT CAST(len(list_filter(edges, lambda x: x < score)) AS INTEGER) AS band, count(*) AS n, avg(label) AS rate
 FROM sc, ed GROUP BY 1""")
 def m19(spark, sf_dir):
-    return MT.lift_table(scored(spark, sf_dir), "label", "score", 20, TIE)
+    return MT.lift_table(scored_table(spark, sf_dir), "label", "score", 20, TIE)
 
 
 @register("H9_stratified_folds", f"""
@@ -111,7 +117,7 @@ WITH r AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label,
   FROM sc)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, label, CAST(r % 3 AS INTEGER) AS fold FROM r""")
 def h9(spark, sf_dir):
-    s = scored(spark, sf_dir).select(*TIE, "label")
+    s = scored_table(spark, sf_dir).select(*TIE, "label")
     key = F.pmod(F.col("l_partkey") * 7919 + F.col("l_orderkey"), F.lit(10007))
     return R.stratified_folds(s, "label", 3, TIE, shuffle_key=key).select(*IDS, "label", "fold")
 

@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import Window
@@ -87,6 +89,45 @@ def test_prefix_sum_matches_single_window(spark, rows, parts):
     assert got == exp
 
 
+@pytest.mark.parametrize("parts", [1, 4, 23])
+def test_ranges_hold_for_ties_texts_nulls_and_hot_groups(spark, parts):
+    """Two thirds of all rows in one group or on one score, text keys that
+    share a long beginning, nulls, negative and very large numbers."""
+    rows = [(i, None if i % 11 == 0 else "a" * 25 + str(i % 3) if i % 3 else "hot", None if i % 13 == 0 else 0.5 if i % 5 else
+             i * -1.5, (1 << 60) - i % 4) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g string, x double, big long")
+    for order in (["g", "id"], [F.desc("x"), "id"], ["x", F.desc("id")], [F.desc("big"), "g", "id"]):
+        sort = [F.col(o) if isinstance(o, str) else o for o in order]
+        exp = {r.id: r.p - 1 for r in df.withColumn("p", F.row_number().over(Window.orderBy(*sort))).collect()}
+        got = {r.id: r.pos for r in ranking.with_position(df, order, "pos", partitions=parts).collect()}
+        assert got == exp
+        number = ranking.ordered_ranges(df, order, parts)
+        assert number.count <= 4 * parts + 1 and len(number.tied) == number.count
+    w = Window.partitionBy("g").orderBy(F.desc("x"), "id")
+    exp = {r.id: r.p - 1 for r in df.withColumn("p", F.row_number().over(w)).collect()}
+    got = {r.id: r.rankInGroup for r in
+           ranking.with_rank_in_group(df, ["g"], [F.desc("x"), "id"], partitions=parts).collect()}
+    assert got == exp
+    edges = ranking.exact_quantiles(df, "x", [0.0, 0.25, 0.5, 0.9, 1.0], ["id"], parts)
+    assert edges == pytest.approx(df.toPandas()["x"].quantile([0.0, 0.25, 0.5, 0.9, 1.0]).tolist())
+
+
+def test_metrics_on_tied_scores_and_empty_input(spark, monkeypatch):
+    from fareflow.ml import metrics
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 10)
+    rows = [(i, int(i % 4 == 0), 0.5 if i % 3 else (i * 37 % 50) / 50) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, label int, score double")
+    pos, neg = [s for _, y, s in rows if y], [s for _, y, s in rows if not y]
+    exp = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    assert metrics.auc(df).first()[0] == pytest.approx(exp)
+    assert metrics.auc(df.limit(0)).first()[0] is None
+    by = sorted(rows, key=lambda r: (-r[2], r[0]))
+    area = lambda o: (sum(y * (len(o) - k) for k, (_, y, _) in enumerate(o)) / len(pos) - (len(o) + 1) / 2) / len(o)
+    got = metrics.gini(df).first()
+    assert got.gini == pytest.approx(area(by))
+    assert got.giniPerfect == pytest.approx(area(sorted(rows, key=lambda r: (-r[1], r[0]))))
+
+
 def test_rank_in_group_and_folds(spark):
     df = spark.createDataFrame([(i, i % 3 == 0) for i in range(90)], "id long, label boolean")
     f = ranking.stratified_folds(df, "label", 3, ["id"])

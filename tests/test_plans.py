@@ -70,15 +70,28 @@ def test_label_window_runs_on_the_daily_aggregate(spark):
     assert "RangeFrame" in plan
 
 
-def test_global_ranks_do_not_use_a_single_partition_window(spark):
+def _row_shuffles(df):
+    """Exchanges by a hash or range of the first plan section, and any by one partition under a window."""
+    plan = _plan(df)
+    return plan.count("hashpartitioning(") + plan.count("rangepartitioning("), plan
+
+
+def test_global_order_statistics_shuffle_rows_once(spark, monkeypatch):
+    """Bounds are literals, so the range is a plain column: one shuffle for
+    each statistic, no checkpoint, no window over all rows."""
     from pyspark.sql import functions as F
-    from fareflow.operators.ranking import with_position
-    df = spark.range(1000).withColumn("s", F.col("id") % 7)
-    plan = _plan(with_position(df, [F.desc("s"), F.asc("id")]))
-    # rows are ranked inside their range; only the per-range totals (one
-    # row per range) are ordered together
-    assert "windowspecdefinition(_ff_pid" in plan
-    assert "BroadcastExchange" in plan
+    from fareflow.ml import metrics
+    from fareflow.operators import ranking
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 100)
+    df = spark.range(1000).withColumns({"s": F.col("id") % 7, "label": (F.col("id") % 3 == 0).cast("int")})
+    for out in (ranking.with_position(df, [F.desc("s"), F.asc("id")]),
+                ranking.with_prefix_sums(df, ["s", "id"], {"a": (None, False), "b": ("label", True)}),
+                ranking.with_rank_in_group(df, ["label"], ["id"]),
+                metrics.auc(df, "label", "id")):
+        shuffles, plan = _row_shuffles(out)
+        assert shuffles == 1 and f"hashpartitioning({ranking.RANGE}" in plan
+        assert "Scan ExistingRDD" not in plan  # what a checkpoint would leave
+    assert ranking.ordered_ranges(df, ["s", "id"]).count > 7
 
 
 def test_label_of_the_itinerary_is_one_window_and_sees_drops(spark):
