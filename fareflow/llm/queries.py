@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import (decontaminate, exact_dedup, html_extract, language_id, mixing, ngram_join, quality,
-                          secrets, toxicity, warc)
+from fareflow.llm import (decontaminate, exact_dedup, html_extract, importance, language_id, mixing, ngram_join,
+                          quality, secrets, toxicity, warc)
 from fareflow.llm.common import fold
 from fareflow.session import stage_path
 from fareflow.sources.tables import load_table
@@ -83,10 +83,15 @@ def op10_warc_boundary_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(warc.read_warc(spark, path))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.importance_draw(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity_chain, op2_quality_factorisation, op3_language_id, op4_source_mixing, op5_exact_dedup, op6_secret_scan,
-        op7_html_main_text, op8_ngram_jaccard_join, op9_benchmark_decontamination, op10_warc_boundary_chain)
+        op7_html_main_text, op8_ngram_jaccard_join, op9_benchmark_decontamination, op10_warc_boundary_chain,
+        op11_importance_resampling)
 }
 
 OP4_SQL = r"""
@@ -188,9 +193,38 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS componen
 FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.id = d.doc_id GROUP BY d.doc_id
 """
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP11_SQL = rf"""
+WITH step AS (SELECT list_transform(range(0, 256), lambda b: list_reduce(list_concat([b], range(0, 8)),
+         lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t),
+d AS (SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (SELECT regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+dw AS (SELECT doc_id, w, count(*) AS c FROM (SELECT doc_id, unnest(w) AS w FROM d) GROUP BY ALL),
+bw AS (SELECT w, count(*) AS c FROM (SELECT unnest(w) AS w FROM b) GROUP BY ALL),
+v AS (SELECT DISTINCT w FROM dw UNION SELECT w FROM bw),
+h AS (SELECT w, xor(list_reduce(list_concat([4294967295], list_transform(range(0, octet_length(encode(w))),
+         lambda i: CAST('0x' || substr(hex(encode(w)), CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT))),
+         lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1])), 4294967295) % 10000 AS k FROM v, step),
+s AS (SELECT k, sum(c) AS s FROM dw JOIN h USING (w) GROUP BY k),
+t AS (SELECT k, sum(c) AS t FROM bw JOIN h USING (w) GROUP BY k),
+g AS (SELECT k, CAST(floor(1000 * ln((coalesce(t, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE
+        / ((coalesce(s, 0) + 1)::DOUBLE * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain
+      FROM (SELECT DISTINCT k FROM h) LEFT JOIN s USING (k) LEFT JOIN t USING (k)),
+e AS (SELECT doc_id, CAST(sum(c * gain) AS BIGINT) AS weight FROM dw JOIN h USING (w) JOIN g USING (k) GROUP BY doc_id),
+f AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+        coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || CAST(doc_id AS VARCHAR)), 1, 8)
+        AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN e USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank FROM f WHERE n_features >= 20)
+SELECT f.doc_id, n_features, weight, score,
+       CASE WHEN rank <= (SELECT count(*) FROM r) * 10 // 100 THEN rank END AS rank
+FROM f LEFT JOIN r USING (doc_id)
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_source_mixing": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op8_ngram_jaccard_join": OP8_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
+    "op11_importance_resampling": OP11_SQL,
 }
