@@ -12,8 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fareflow.llm import (decontaminate, exact_dedup, html_extract, importance, language_id, mixing, ngram_join,
-                          quality, secrets, toxicity, warc)
+from fareflow.llm import (decontaminate, exact_dedup, html_extract, importance, language_id, lexical, mixing,
+                          minhash, ngram_join, quality, secrets, toxicity, warc)
 from fareflow.llm.common import fold
 from fareflow.session import stage_path
 from fareflow.sources.tables import load_table
@@ -87,11 +87,19 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.importance_draw(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
 
 
+def op12_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(load_table(spark, sf_dir, "documents"))
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked_search(load_table(spark, sf_dir, "documents"), load_table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_toxicity_chain, op2_quality_factorisation, op3_language_id, op4_source_mixing, op5_exact_dedup, op6_secret_scan,
         op7_html_main_text, op8_ngram_jaccard_join, op9_benchmark_decontamination, op10_warc_boundary_chain,
-        op11_importance_resampling)
+        op11_importance_resampling, op12_minhash_near_dedup, op13_lexical_search)
 }
 
 OP4_SQL = r"""
@@ -193,6 +201,10 @@ SELECT d.doc_id, coalesce(any_value(n.n), 0) AS n_shingles, min(r.c) AS componen
 FROM documents d LEFT JOIN n USING (doc_id) JOIN r ON r.id = d.doc_id GROUP BY d.doc_id
 """
 
+#: As op8 with its own threshold, and the document that stays.
+OP12_SQL = "SELECT *, doc_id IS NOT DISTINCT FROM component_id AS kept FROM (" \
+    + OP8_SQL.replace("100 * o >= 90", "100 * o >= 85") + ")"
+
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 OP11_SQL = rf"""
@@ -221,10 +233,30 @@ SELECT f.doc_id, n_features, weight, score,
 FROM f LEFT JOIN r USING (doc_id)
 """
 
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+OP13_SQL = f"""
+WITH d AS (SELECT doc_id, {_TERMS} AS w FROM documents),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+st AS (SELECT count(*) AS nn, CAST(sum(len(w)) AS BIGINT) AS ll FROM d WHERE len(w) > 0),
+tf AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(w) AS n, unnest(w) AS term FROM d)
+       WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+wt AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE)) AS BIGINT) AS w
+       FROM tf, st GROUP BY term, nn),
+im AS (SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * nn) // ll))) AS x
+       FROM tf JOIN wt USING (term), st),
+sc AS (SELECT item_id, doc_id, CAST(sum(x) AS BIGINT) AS score FROM q JOIN im USING (term) GROUP BY ALL),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+      FROM sc WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 50
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_source_mixing": OP4_SQL,
     "op5_exact_dedup": OP5_SQL,
     "op8_ngram_jaccard_join": OP8_SQL,
     "op9_benchmark_decontamination": OP9_SQL,
     "op11_importance_resampling": OP11_SQL,
+    "op12_minhash_near_dedup": OP12_SQL,
+    "op13_lexical_search": OP13_SQL,
 }
