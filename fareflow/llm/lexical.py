@@ -314,8 +314,8 @@ def ranked_search(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                       .mapInArrow(_item_terms, f"item {kind}, term binary").distinct(), "lexical-items")
         sizes = pairs.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
         upto = with_prefix_sum(sizes, ["item"], "n", "before")
-        dealt = upto.select("item", F.expr(f"before div {BLOCK_TERMS}").alias("block"))
-        pairs = stage(pairs.join(dealt, pairs["item"].eqNullSafe(dealt["item"])).select(pairs["item"], "term", "block"),
+        dealt = upto.select(F.col("item").alias("of"), F.expr(f"before div {BLOCK_TERMS}").alias("block"))
+        pairs = stage(pairs.join(dealt, F.col("item").eqNullSafe(F.col("of"))).select("item", "term", "block"),
                       "lexical-blocks")
         out = []
         for (block,) in sorted(pairs.select("block").distinct().collect()):

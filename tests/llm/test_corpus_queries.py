@@ -20,7 +20,7 @@ def test_query_matches_sql(spark, name):
 
 def test_all_corpus_queries_are_registered():
     assert {*Q.QUERIES, "pipeline"} <= set(E.queries())
-    assert [name.split("_")[0] for name in Q.QUERIES] == [f"op{i}" for i in range(1, 11)]
+    assert [name.split("_")[0] for name in Q.QUERIES] == [f"op{i}" for i in range(1, 14)]
 
 
 def test_language_held_out_accuracy(spark):
