@@ -14,18 +14,19 @@ that fix the cut; a set near the top of its class signs for the next one as
 well.  No linked pair is lost.  Moreover a set with w <= r weak stretches
 shares at least r + 1 - w signatures with each set that it links to, so sets
 with fewer shared signatures (those with a common passage, say) drop out.  The
-sets left that share a signature form a star around the smallest id.
+sets left that share a signature form a bucket, its smallest id the pivot.
 
-Joining.  A star's sets are put into a trie over the global order, in strides
+Joining.  A bucket's sets are put into a trie over the global order, in strides
 of elements; the trie is traversed for all query sets at once, level by level.
 Sets with a common beginning share nodes and so their partial overlap; a
 subtree is left when the overlap so far and what can remain on either side
 cannot reach the threshold, or, at a leaf, when both ends are already known to
-be linked through others.  Large stars are dealt out in pairs of blocks of
-bounded size, each set against all of its star.
+be linked through others.
 
-Classes.  Sets with equal content are one node.  Links are edges; classes are
-their connected components.
+Classes.  Sets with equal content are one node.  Sets meet their pivots first,
+and only buckets that hold several classes after that are joined as a whole, in
+pairs of blocks of bounded size (``pivots``): a family of n near copies ships n
+texts and gives n edges.  Classes are the connected components.
 
 Links.  Counting each document's links or listing them needs every pair, so no
 pair is skipped there for being connected already.  Two sets may meet in several
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareflow.llm.common import flag_maybe, groups_to_members, maybe_in, passing, release, staged, text_chunks
-from fareflow.llm.components import connected_components
+from fareflow.llm.pivots import linked_classes
 from fareflow.llm.tokens import Tokens, mix
 
 NGRAM = 3
@@ -278,10 +279,11 @@ class Union:
                 self.label[self.label == max(lx, ly)] = min(lx, ly)
 
 
-def join_block(ids: np.ndarray, sides: np.ndarray, texts: pa.Array, percent: int,
-               ngram: int) -> list[tuple[int, int]]:
+def join_block(ids: np.ndarray, sides: np.ndarray, texts: pa.Array, percent: int, ngram: int,
+               labels: np.ndarray) -> list[tuple[int, int]]:
     """Edges that connect every class of linked sets of a block (side 0 only)
-    or a block pair (sides 0 and 1; pairs within a side are left to others)."""
+    or a block pair (sides 0 and 1; pairs within a side are left to others);
+    sets of one label are connected already."""
     own, gram = ngram_sets(texts, ngram)
     codes = np.unique(gram, return_inverse=True)[1].astype(np.int64) if len(gram) else np.zeros(0, np.int64)
     bounds = np.searchsorted(own, np.arange(len(ids) + 1))
@@ -290,6 +292,7 @@ def join_block(ids: np.ndarray, sides: np.ndarray, texts: pa.Array, percent: int
     right = np.flatnonzero(sides == 1)
     queries = right if len(right) else left
     trie, union = Trie([sets[i] for i in left]), Union(len(ids))
+    union.label = np.unique(labels, return_inverse=True)[1].astype(np.int64)
     edges = []
     step, at = 1, 0
     while at < len(queries):
@@ -345,7 +348,8 @@ def _link_groups(percent: int, ngram: int, count: bool):
 def _join_groups(percent: int, ngram: int):
     def run(table: pa.Table) -> pa.Table:
         ids, sides = table["id"].to_numpy(), table["side"].to_numpy()
-        edges = sorted(set(join_block(ids, sides, table["text"].combine_chunks(), percent, ngram)))
+        edges = sorted(set(join_block(ids, sides, table["text"].combine_chunks(), percent, ngram,
+                                      table["label"].to_numpy())))
         u, v = (pa.array([e[j] for e in edges], pa.int64()) for j in (0, 1))
         return pa.table({"u": u, "v": v})
     return run
@@ -357,9 +361,9 @@ def _shared(rows: DataFrame) -> DataFrame:
         .where("root < last").select("sig", "root")
 
 
-def _stars(sets: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """(id, root): every set with the smallest id of each signature that it
-    shares, of sets that share enough of them."""
+def _near(sets: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """(bucket, id, root): the sets that share each signature, of sets that
+    share enough of them, with the smallest id."""
     rows = sets.select("id", "part", "least", F.explode("sigs").alias("sig")) \
         .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     shared = stage(_shared(rows), "join-shared")
@@ -367,11 +371,12 @@ def _stars(sets: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> Dat
     near = groups_to_members(near, shared, ["sig"], "salt").where("root IS NOT NULL")
     per_set = Window.partitionBy("id", "part")
     enough = F.count(F.lit(1)).over(per_set) >= F.col("least")
-    near = stage(near.withColumn("enough", enough).where("enough")
-                 .select("id", "part", "least", "sig", "salt"), "join-near")
-    # counted again, as signatures may have been shared with sets that dropped out
-    left = groups_to_members(near, _shared(near), ["sig"], "salt").where("root IS NOT NULL")
-    return left.withColumn("enough", enough).where("enough").select("id", "root").distinct()
+    columns = ["id", "part", "least", "sig", "salt"]
+    for _ in range(2):
+        # counted again, as signatures may have been shared with sets that dropped out
+        near = stage(near.withColumn("enough", enough).where("enough").select(*columns), "join-near")
+        near = groups_to_members(near, _shared(near), ["sig"], "salt").where("root IS NOT NULL")
+    return near.select(F.col("sig").alias("bucket"), "id", "root")
 
 
 def _blocks(stars: DataFrame) -> DataFrame:
@@ -388,17 +393,6 @@ def _blocks(stars: DataFrame) -> DataFrame:
     return placed.select("id", "root", F.explode(pairs).alias("p")).select("id", "root", "p.a", "p.b", "p.side")
 
 
-def jaccard_links(docs: DataFrame, stars: DataFrame, id_col: str, text_col: str, percent: int,
-                  ngram: int) -> DataFrame:
-    """(u, v): links that connect all linked sets (not every pair of a class)."""
-    spark = docs.sparkSession
-    release(spark)
-    texts = _star_texts(docs, stars, id_col, text_col)
-    blocks = staged(spark, _blocks(stars), "join-blocks")
-    shipped = texts.join(blocks, "id").select("root", "a", "b", "side", "id", "text")
-    return shipped.groupBy("root", "a", "b").applyInArrow(_join_groups(percent, ngram), "u long, v long")
-
-
 def _star_texts(docs: DataFrame, stars: DataFrame, id_col: str, text_col: str) -> DataFrame:
     wanted = stars.select("id").distinct()
     return maybe_in(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")),
@@ -421,7 +415,7 @@ def _every_link(docs: DataFrame, stars: DataFrame, ids: DataFrame, percent: int,
 
 
 def _prepared(base: DataFrame, percent: int, ngram: int) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Tables of the rows' sets, of the distinct sets, and of the stars."""
+    """Tables of the rows' sets, of the distinct sets, and of the buckets."""
     spark = base.sparkSession
     keys = ["hi", "lo"]
     with passing(spark) as stage:
@@ -439,8 +433,8 @@ def _prepared(base: DataFrame, percent: int, ngram: int) -> tuple[DataFrame, Dat
         signs = ["id", "part", "least", "sigs"]
         sets = signed.where("NOT given_again").select(*signs).unionAll(
             signed.where("given_again").join(first, ["id", *keys], "left_semi").select(*signs))
-        stars = staged(spark, _stars(sets, stage), "join-stars")
-    return members, groups, stars
+        near = staged(spark, _near(sets, stage).distinct(), "join-buckets")
+    return members, groups, near
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
@@ -457,8 +451,12 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     keys = ["hi", "lo"]
-    members, groups, stars = _prepared(base, percent, ngram)
-    classes = connected_components(jaccard_links(base, stars, "id", "text", percent, ngram))
+    members, groups, near = _prepared(base, percent, ngram)
+    release(spark)
+
+    with passing(spark) as stage:
+        classes = linked_classes(near, base.where("id IS NOT NULL"), _join_groups(percent, ngram), stage)
+        classes = staged(spark, classes, "join-classes")
     named = groups.join(classes, groups["rep"] == classes["node"], "left") \
         .select(*keys, F.coalesce("component", "rep").alias("class"))
     members = members.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
@@ -478,7 +476,8 @@ def jaccard_pairs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """(u, v), u < v: every linked pair of distinct sets once, each set under
     its smallest id.  Grows with the square of a family, as there are so many."""
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    members, groups, stars = _prepared(base, percent, ngram)
+    members, groups, near = _prepared(base, percent, ngram)
+    stars = near.select("id", "root").distinct()
     ids = _ids_of_sets(members, groups).groupBy("id").agg(F.sum("ids").alias("ids"))
     return _every_link(base, stars, ids, percent, ngram, count=False)
 
@@ -494,7 +493,8 @@ def jaccard_link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
-    members, groups, stars = _prepared(base, percent, ngram)
+    members, groups, near = _prepared(base, percent, ngram)
+    stars = near.select("id", "root").distinct()
     own = staged(spark, _ids_of_sets(members, groups), "join-ids")
     links = _every_link(base, stars, own.groupBy("id").agg(F.sum("ids").alias("ids")), percent, ngram, count=True)
     sums = own.join(links, "id", "left").select("hi", "lo", "ids", F.coalesce("links", F.lit(0)).alias("links"))

@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from fareflow.llm import (components, decontaminate, exact_dedup, html_extract, html_training, language_id, mixing,
-                          ngram_join, quality, secrets, toxicity, warc)
+                          ngram_join, pivots, quality, secrets, toxicity, warc)
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 
@@ -114,7 +114,7 @@ def test_jaccard_classes_match_brute_force(spark, ngram, percent):
 
 
 def test_trie_blocks_find_all_links(monkeypatch, spark):
-    monkeypatch.setattr(ngram_join, "BLOCK", 4)  # one family over many block pairs
+    monkeypatch.setattr(pivots, "BLOCK", 4)  # one family over many cells and block pairs
     base = [f"w{i}" for i in range(100)]
     rows = [(k, " ".join(base[:95] + [f"x{j}" for j in range(k // 3)]), "s") for k in range(24)]
     got = ngram_join.jaccard_classes(documents(spark, rows)).collect()
