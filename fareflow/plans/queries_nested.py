@@ -43,63 +43,76 @@ FROM docq""")
 
 NULLSEG = "stops = 2 AND i = 1 AND l_partkey % 5 = 0"
 
-V11_SQL = f"""
-SELECT price, searchDate, l_orderkey AS task_id, trip, depDate, retDate, stayDays,
-  dep1 AS departureTime, arr2 AS arrivalTime_leg2,
-  CASE WHEN trip = '2' THEN airlineName END AS airlineName_leg2,
-  (epoch(strptime(arr1, {FMTZ})) - epoch(strptime(dep1, {FMTZ}))) / 60 AS duration_m,
-  (epoch(strptime(arr2, {FMTZ})) - epoch(strptime(dep2, {FMTZ}))) / 60 AS duration_m_leg2,
-  airlineCode || CAST(l_partkey % 1000 AS VARCHAR) AS flight_code,
-  CASE WHEN l_partkey % 4 = 0 THEN '' ELSE 'B7' || CAST(l_partkey % 9 AS VARCHAR) END AS plane,
-  CAST(n1 AS TINYINT) AS stops, CAST(CASE WHEN trip = '2' THEN n2 END AS TINYINT) AS stops_leg2,
-  list_transform(parts, lambda s: split_part(s, ':', 1)) AS stop_airport,
-  CASE WHEN trip = '2' THEN (CASE WHEN n2 = 0 THEN []::VARCHAR[] ELSE ['1h5m'] END) END AS stop_duration_leg2,
-  CAST(CASE WHEN ticketsLeft = 0 THEN 99 ELSE ticketsLeft END AS TINYINT) AS noOfTicketsLeft,
-  CASE WHEN trip = '2' THEN CAST(CASE WHEN (ticketsLeft + l_linenumber) % 10 = 0 THEN 99
-    ELSE (ticketsLeft + l_linenumber) % 10 END AS TINYINT) END AS noOfTicketsLeft_leg2,
-  airlineCode AS airline_code,
-  CASE WHEN trip = '2' THEN (CASE WHEN n2 > 0 THEN [airlineCode, airlineCode || 'X'] ELSE [airlineCode] END) END
-    AS airline_codes_leg2,
-  'D' || CAST(l_partkey % 50 AS VARCHAR) AS fromCityAirportCode,
-  CASE WHEN trip = '2' THEN 'T' || CAST(l_suppkey % 50 + n2 AS VARCHAR) END AS toCityAirportCode_leg2,
-  n1 > 0 AS carrierMultiStop,
-  CASE WHEN trip = '2' THEN depHour >= 20 END AS carrierNextDayArrival_leg2,
-  list_transform(range(n1 + 1), lambda i: CASE WHEN {NULLSEG} THEN NULL
-    ELSE 'D' || CAST(l_partkey % 50 + i AS VARCHAR) END) AS timeline_departureAirport_code,
-  list_transform(range(n1 + 1), lambda i: CASE WHEN {NULLSEG} THEN NULL WHEN i = n1 THEN toCity
-    ELSE 'HUB' || CAST(i + 1 AS VARCHAR) END) AS timeline_arrivalAirport_city,
-  list_transform(range(n1 + 1), lambda i: CASE WHEN {NULLSEG} THEN NULL ELSE dep1 END) AS timeline_departureTime,
-  list_transform(range(n1 + 1), lambda i: CASE WHEN {NULLSEG} THEN NULL
-    ELSE CAST(1000 + 100 * i + l_partkey % 500 AS VARCHAR) || ' km' END) AS timeline_distance,
-  list_transform(range(n1 + 1), lambda i: CASE WHEN {NULLSEG} THEN NULL WHEN (l_partkey + i) % 4 = 0 THEN ''
-    ELSE 'B7' || CAST((l_partkey + i) % 9 AS VARCHAR) END) AS timeline_plane,
-  CASE WHEN trip = '2' THEN list_transform(range(n2 + 1), lambda i: CASE WHEN i = 0 THEN 'DIRECT' ELSE 'CONNECT' END)
-    END AS timeline_type_leg2,
-  CASE WHEN trip = '2' THEN list_transform(range(n2 + 1), lambda i: 'Airport T' || CAST(l_suppkey % 50 + i AS VARCHAR))
-    END AS timeline_arrivalAirport_name_leg2,
-  99 AS span_days, false AS power, parts AS stop_info {{url}}
-FROM docq2"""
-
-V11_COLS = ["price", "searchDate", "task_id", "trip", "depDate", "retDate", "stayDays", "departureTime",
-            "arrivalTime_leg2", "airlineName_leg2", "duration_m", "duration_m_leg2", "flight_code", "plane",
-            "stops", "stops_leg2", "stop_airport", "stop_duration_leg2", "noOfTicketsLeft",
-            "noOfTicketsLeft_leg2", "airline_code", "airline_codes_leg2", "fromCityAirportCode",
-            "toCityAirportCode_leg2", "carrierMultiStop", "carrierNextDayArrival_leg2",
-            "timeline_departureAirport_code", "timeline_arrivalAirport_city", "timeline_departureTime",
-            "timeline_distance", "timeline_plane", "timeline_type_leg2", "timeline_arrivalAirport_name_leg2",
-            "span_days", "power", "stop_info"]
-
-
-@register("C2_normalize_v1_1b", V11_SQL.replace("{url}", ", 'https://example.com/q/' || CAST(l_orderkey AS VARCHAR) AS url"))
+def _segments(n: int) -> dict[str, str]:
+    """SQL of the 18 segment columns of leg ``n`` (C16): one list item for each segment i."""
+    last, dep, arr = ("n1", "D", "R") if n == 1 else ("n2", "E", "T")
+    frm, to = ("fromCity", "toCity") if n == 1 else ("toCity", "fromCity")
+    side = {
+        "departure": (f"CASE WHEN i = 0 THEN {frm} ELSE 'HUB' || CAST(i AS VARCHAR) END",
+                      f"'{dep}' || CAST(l_partkey % 50 + i AS VARCHAR)"),
+        "arrival": (f"CASE WHEN i = {last} THEN {to} ELSE 'HUB' || CAST(i + 1 AS VARCHAR) END",
+                    f"'{arr}' || CAST(l_suppkey % 50 + i AS VARCHAR)")}
+    item = {}
+    for which, (city, code) in side.items():
+        item |= {f"{which}Airport_cityState": f"({city}) || ', ST'", f"{which}Airport_city": city,
+                 f"{which}Airport_code": code, f"{which}Airport_localName": f"lower({city})",
+                 f"{which}Airport_longName": f"({city}) || ' Intl'", f"{which}Airport_name": f"'Airport ' || {code}",
+                 f"{which}Time": f"{which[:3]}{n}"}
+    item |= {"distance": "CAST(1000 + 100 * i + l_partkey % 500 AS VARCHAR) || ' km'",
+             "plane": "CASE WHEN (l_partkey + i) % 4 = 0 THEN '' ELSE 'B7' || CAST((l_partkey + i) % 9 AS VARCHAR) END",
+             "brandedFareName": "cabin", "type": "CASE WHEN i = 0 THEN 'DIRECT' ELSE 'CONNECT' END"}
+    whole = "list_transform(range(n1 + 1), lambda i: CASE WHEN " + NULLSEG + " THEN NULL ELSE {} END)" if n == 1 \
+        else "CASE WHEN trip = '2' THEN list_transform(range(n2 + 1), lambda i: {}) END"
+    return {f"timeline_{k}{'' if n == 1 else '_leg2'}": whole.format(v) for k, v in item.items()}
+
+
+def _leg(n: int) -> dict[str, str]:
+    """SQL of the other columns of leg ``n``; those of leg 2 are NULL one-way."""
+    last, dep, arr = ("n1", "D", "R") if n == 1 else ("n2", "E", "T")
+    left = "ticketsLeft" if n == 1 else "(ticketsLeft + l_linenumber) % 10"
+    cols = {
+        "departureTime": f"dep{n}", "arrivalTime": f"arr{n}", "airlineName": "airlineName",
+        "duration_m": f"(epoch(strptime(arr{n}, {FMTZ})) - epoch(strptime(dep{n}, {FMTZ}))) / 60",
+        "stops": f"CAST({last} AS TINYINT)",
+        "stop_airport": "list_transform(parts, lambda s: split_part(s, ':', 1))" if n == 1
+        else "CASE WHEN n2 = 0 THEN []::VARCHAR[] ELSE ['S' || CAST(l_suppkey % 89 AS VARCHAR)] END",
+        "stop_duration": "list_transform(parts, lambda s: split_part(s, ':', 2))" if n == 1
+        else "CASE WHEN n2 = 0 THEN []::VARCHAR[] ELSE ['1h5m'] END",
+        "noOfTicketsLeft": f"CAST(CASE WHEN {left} = 0 THEN 99 ELSE {left} END AS TINYINT)",
+        "airline_codes": f"CASE WHEN {last} > 0 THEN [airlineCode, airlineCode || 'X'] ELSE [airlineCode] END",
+        "fromCityAirportCode": f"'{dep}' || CAST(l_partkey % 50 AS VARCHAR)",
+        "toCityAirportCode": f"'{arr}' || CAST(l_suppkey % 50 + {last} AS VARCHAR)",
+        "carrierAirProviderId": "l_suppkey % 7", "carrierAirlineImageFileName": "airlineCode || '.png'",
+        "carrierMixedCabinClass": f"{last} > 1", "carrierMultiStop": f"{last} > 0",
+        "carrierNextDayArrival": "depHour >= 20"}
+    return cols if n == 1 else {f"{k}_leg2": f"CASE WHEN trip = '2' THEN {v} END" for k, v in cols.items()}
+
+
+def v11_sql(gen: str) -> str:
+    """All 89 (b) or 88 (a) canonical columns in closed form over the quotes."""
+    cols = {
+        "price": "price", "version": f"'1.1{gen}'", "searchDate": "searchDate",
+        "tableName": "'fares_' || fromCity || '_' || toCity", "task_id": "l_orderkey", "currencyCode": "'AUD'",
+        "fromCity": "fromCity", "toCity": "toCity", "trip": "trip", "depDate": "depDate", "retDate": "retDate",
+        "stayDays": "stayDays", "flight_code": "airlineCode || CAST(l_partkey % 1000 AS VARCHAR)",
+        "plane": "CASE WHEN l_partkey % 4 = 0 THEN '' ELSE 'B7' || CAST(l_partkey % 9 AS VARCHAR) END",
+        "airline_code": "airlineCode", "span_days": "99", "power": "false", "video": "false", "wifi": "false",
+        "stop_info": "parts", **_leg(1), **_leg(2), **_segments(1), **_segments(2)}
+    if gen == "b":
+        cols["url"] = "'https://example.com/q/' || CAST(l_orderkey AS VARCHAR)"
+    return "SELECT " + ",\n  ".join(f"{v} AS {k}" for k, v in cols.items()) + "\nFROM docq2"
+
+
+@register("C2_normalize_v1_1b", v11_sql("b"))
 def c2(spark, sf_dir):
     docs = DOC.json_round_trip(DOC.v1_1_documents(quote_view(spark, sf_dir), "b"), V1_1B_DOC)
-    return N.normalize_v1_1(docs, "b").select(*V11_COLS, "url")
+    return N.normalize_v1_1(docs, "b")
 
 
-@register("C3_normalize_v1_1a", V11_SQL.replace("{url}", ""))
+@register("C3_normalize_v1_1a", v11_sql("a"))
 def c3(spark, sf_dir):
     docs = DOC.json_round_trip(DOC.v1_1_documents(quote_view(spark, sf_dir), "a"), V1_1A_DOC)
-    return N.normalize_v1_1(docs, "a").select(*V11_COLS)
+    return N.normalize_v1_1(docs, "a")
 
 
 V10_SQL = """
