@@ -172,23 +172,52 @@ def c5(spark, sf_dir):
         F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("revenue"))
 
 
-@register("A2_generation_router", """
-SELECT 'v1.0' AS generation, count(*) AS n FROM (
-  SELECT DISTINCT l_orderkey, fromCity, toCity, depDate, trip, searchDate FROM q WHERE l_linenumber % 3 = 0)
+TRUNCATED = "l_linenumber % 3 = 2 AND (l_partkey % 1000) % 41 = 0"
+
+#: Documents, canonical rows and truncated lines of ``mixed_lines``.
+add_cte("docs10", """
+SELECT DISTINCT l_orderkey, fromCity, toCity, depDate, trip, searchDate FROM q WHERE l_linenumber % 3 = 0""")
+add_cte("canon", f"""
+SELECT 'v1.0' AS generation, q.* FROM q WHERE l_linenumber % 3 = 0 AND l_orderkey % 97 <> 0
+UNION ALL SELECT 'v1.1a', q.* FROM q WHERE l_linenumber % 3 = 1
+UNION ALL SELECT 'v1.1b', q.* FROM q WHERE l_linenumber % 3 = 2 AND NOT ({TRUNCATED})""")
+
+
+def mixed_lines(q):
+    """(airline, value): JSON lines of all three generations, a third of the
+    quotes each; v1.1b lines whose first segment number is a multiple of 41
+    arrive truncated."""
+    v10 = DOC.v1_0_documents(q.filter(F.col("l_linenumber") % 3 == 0))
+    v1a = DOC.v1_1_documents(q.filter(F.col("l_linenumber") % 3 == 1), "a")
+    v1b = DOC.v1_1_documents(q.filter(F.col("l_linenumber") % 3 == 2), "b")
+    broken = F.get(F.col("timeline_leg1"), 0).getField("carrier").getField("flightNumber") % 41 == 0
+    js = F.to_json(F.struct("*"))
+    return (v10.select(F.get("flight_list", 0).getField("company").alias("airline"), js.alias("value"))
+            .unionByName(v1a.select(F.col("leg1.carrierSummary.airlineName").alias("airline"), js.alias("value")))
+            .unionByName(v1b.select(F.col("flight_leg1.carrierSummary.airlineName").alias("airline"),
+                                    F.when(broken, F.substring(js, 1, 20)).otherwise(js).alias("value"))))
+
+
+@register("A2_generation_router", f"""
+SELECT 'v1.0' AS generation, count(*) AS n FROM docs10
 UNION ALL SELECT 'v1.1a', count(*) FROM q WHERE l_linenumber % 3 = 1
-UNION ALL SELECT 'v1.1b', count(*) FROM q WHERE l_linenumber % 3 = 2""")
+UNION ALL SELECT 'v1.1b', count(*) FROM q WHERE l_linenumber % 3 = 2 AND NOT ({TRUNCATED})
+UNION ALL SELECT 'corrupt', count(*) FROM q WHERE {TRUNCATED}""")
 def a2(spark, sf_dir):
-    q = quote_view(spark, sf_dir)
-    lines = (DOC.v1_0_documents(q.filter(F.col("l_linenumber") % 3 == 0))
-             .select(F.to_json(F.struct("basic", "flight_list")).alias("value"))
-             .unionByName(DOC.v1_1_documents(q.filter(F.col("l_linenumber") % 3 == 1), "a")
-                          .select(F.to_json(F.struct("*")).alias("value")))
-             .unionByName(DOC.v1_1_documents(q.filter(F.col("l_linenumber") % 3 == 2), "b")
-                          .select(F.to_json(F.struct("*")).alias("value"))))
-    routed = N.route_generations(lines)
-    routed.pop("corrupt")
-    out = None
-    for g, df in routed.items():
-        part = df.agg(F.lit(g).alias("generation"), F.count(F.lit(1)).alias("n"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    return N.tag_generations(mixed_lines(quote_view(spark, sf_dir))).groupBy("generation") \
+        .agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("A2_C5_canonical_rows", """
+SELECT generation, fromCity, trip, count(*) AS n, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS revenue,
+  CAST(count(CASE WHEN generation = 'v1.1b' THEN 1 END) AS BIGINT) AS withUrl,
+  count(CASE WHEN generation <> 'v1.0' AND trip = '2' THEN 1 END) AS withLeg2,
+  count(DISTINCT airlineName) AS airlines, min(depDate) AS firstDep
+FROM canon GROUP BY 1, 2, 3
+UNION ALL SELECT 'corrupt', NULL, NULL, count(*), NULL, 0, 0, 0, NULL FROM q WHERE """ + TRUNCATED)
+def canonical(spark, sf_dir):
+    rows = N.canonical_rows(N.tag_generations(mixed_lines(quote_view(spark, sf_dir))))
+    return rows.groupBy("generation", "fromCity", "trip").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("price").cast("decimal(18,2)")).cast("double").alias("revenue"),
+        F.count("url").alias("withUrl"), F.count("stops_leg2").alias("withLeg2"),
+        F.count_distinct("airlineName").alias("airlines"), F.min("depDate").alias("firstDep"))

@@ -70,20 +70,6 @@ def weekday_hour_table(q: DataFrame) -> DataFrame:
         F.round(exact_avg("price"), 0).alias("avgPrice"))
 
 
-def load_audit(routed: dict[str, DataFrame], quarantined: DataFrame, v1_0_docs: DataFrame,
-               canonical: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One-row load audit (L9): rows per generation, NULL v1.0 headers,
-    quarantined lines and duplicate keys of the canonical table."""
-    spark = canonical.sparkSession
-    cols = [routed[g].agg(F.count(F.lit(1))).scalar().alias(g.replace(".", "_")) for g in sorted(routed)]
-    nulls = v1_0_docs.agg(F.count(F.when(F.col("basic").isNull(), 1))).scalar()
-    bad = quarantined.agg(F.count(F.lit(1))).scalar()
-    total = canonical.agg(F.count(F.lit(1))).scalar()
-    distinct = canonical.select(*keys).distinct().agg(F.count(F.lit(1))).scalar()
-    return spark.range(1).select(*cols, nulls.alias("nullHeaders"), bad.alias("quarantined"),
-                                 (total - distinct).alias("duplicateKeys"))
-
-
 @contextlib.contextmanager
 def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK) -> Iterator[DataFrame]:
     """Cache only around a block that uses ``df`` more than once."""
