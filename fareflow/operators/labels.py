@@ -73,47 +73,96 @@ def with_future_min(df: DataFrame, key: Sequence[str], order_col: str = "searchD
 
 def with_future_min_rows(df: DataFrame, key: Sequence[str], order_cols: Sequence,
                          price: str = "price", rows: int = 19 * 86400,
-                         out: str = "futureMinPrice") -> DataFrame:
+                         out: str = "futureMinPrice", partitions: int | None = None) -> DataFrame:
     """Row-framed variant as the reference writes it (G4): minimum over the
     current row and the next ``rows`` rows of the same key, in a *total*
     order (``order_cols`` must make it unique).  With ``rows`` = 19*86400
     the frame reaches the end of almost every key.
 
-    Computed without sorting a whole key in one task: rows get their
-    position inside the key (``ranking.with_rank_in_group``), positions are
-    cut into blocks of ``rows + 1``, and a frame starting at offset r of
-    block b is the suffix of block b from r plus the prefix of block b+1
-    up to r-1.  Suffix and prefix minima are windows over one block (size
-    bounded by the frame, not by the key), joined back by exact position.
+    Rows go once to the ranges of ``ranking.ordered_ranges`` over (key, order),
+    so no task sorts a whole key.  Inside a range a key's rows are cut into
+    blocks of ``rows + 1``; a frame is the rest of its block and the beginning
+    of the next one, whose running minimum is a ``lead`` away: windows that only
+    grow, linear in the rows.
+
+    A frame that its range cuts off goes on in the ranges that follow, which
+    begin with the same key.  One row a range carries what it needs: where the
+    range starts, its least price of that key, where the key ends.  A frame that
+    ends amid a later range takes the last step of that range's running minimum
+    before its end, from a table of the steps.
     """
-    from fareflow.operators.ranking import with_rank_in_group
-    key = list(key)
-    B = int(rows) + 1
-    r = with_rank_in_group(df, key, list(order_cols), "_ff_pos")
-    r = r.withColumns({"_ff_blk": F.floor(F.col("_ff_pos") / B), "_ff_off": F.col("_ff_pos") % B})
-    wb = Window.partitionBy(*key, "_ff_blk").orderBy("_ff_off")
-    r = r.withColumns({
-        "_ff_suf": F.min(price).over(wb.rowsBetween(0, Window.unboundedFollowing)),
-        "_ff_pre": F.min(price).over(wb.rowsBetween(Window.unboundedPreceding, 0))})
-    kn = [f"_ff_n{i}" for i in range(len(key))]
-    kb = [f"_ff_b{i}" for i in range(len(key))]
-    # prefix minimum of block b+1 at offset r-1 ...
-    nxt = r.select(*[F.col(k).alias(a) for k, a in zip(key, kn)],
-                   (F.col("_ff_blk") - 1).alias("_ff_nblk"), (F.col("_ff_off") + 1).alias("_ff_noff"),
-                   F.col("_ff_pre").alias("_ff_npre"))
-    # ... or, when block b+1 is the (short) last block, its whole minimum
-    blk = r.groupBy(*key, "_ff_blk").agg(F.min(price).alias("_ff_bmin")).select(
-        *[F.col(k).alias(a) for k, a in zip(key, kb)], (F.col("_ff_blk") - 1).alias("_ff_bblk"), "_ff_bmin")
-    c1 = (F.col("_ff_blk") == F.col("_ff_nblk")) & (F.col("_ff_off") == F.col("_ff_noff"))
-    c2 = F.col("_ff_blk") == F.col("_ff_bblk")
-    for k, a, b in zip(key, kn, kb):
-        c1 = c1 & r[k].eqNullSafe(F.col(a))
-        c2 = c2 & r[k].eqNullSafe(F.col(b))
-    j = r.join(nxt, c1, "left").join(blk, c2, "left")
-    nxt_part = F.when(F.col("_ff_off") > 0, F.coalesce(F.col("_ff_npre"), F.col("_ff_bmin")))
-    res = j.withColumn(out, F.least(F.col("_ff_suf"), nxt_part))
-    return res.drop("_ff_pos", "_ff_blk", "_ff_off", "_ff_suf", "_ff_pre", "_ff_nblk", "_ff_noff", "_ff_npre",
-                    "_ff_bblk", "_ff_bmin", *kn, *kb)
+    from fareflow.operators.ranking import RANGE, _named, _passed, ordered_ranges
+    from fareflow.plans.reports import materialize
+    key, width = list(key), int(rows) + 1
+    order = _named(order_cols)
+    ranges = ordered_ranges(df, [*key, *order_cols], partitions)
+    sort = [F.col(n).desc() if d else F.col(n).asc() for n, d in order]
+    back = [F.col(n).asc() if d else F.col(n).desc() for n, d in order]
+    seg = Window.partitionBy(RANGE, *key)
+    blk = Window.partitionBy(RANGE, *key, "_ff_blk")
+    grow = lambda w: w.rowsBetween(Window.unboundedPreceding, 0)
+    r = df.withColumn(RANGE, ranges.column).withColumn("_ff_at", F.row_number().over(seg.orderBy(*sort)) - 1)
+    r = r.withColumns({"_ff_blk": F.floor(F.col("_ff_at") / width), "_ff_len": F.count(F.lit(1)).over(seg)})
+    r = r.withColumns({"_ff_suf": F.min(price).over(grow(blk.orderBy(*back))),
+                       "_ff_pre": F.min(price).over(grow(blk.orderBy(*sort)))})
+    r = r.withColumns({"_ff_lead": F.lead("_ff_pre", int(rows)).over(seg.orderBy(*sort)),
+                       "_ff_end": F.max_by("_ff_pre", "_ff_at").over(seg)})
+    inside = F.col("_ff_at") + int(rows) < F.col("_ff_len")
+    last_blk = F.floor((F.col("_ff_len") - 1) / width)
+    rest = F.when(inside, F.when(F.col("_ff_at") % width > 0, F.col("_ff_lead"))) \
+        .when(last_blk > F.col("_ff_blk"), F.col("_ff_end"))
+    r = r.withColumn(out, F.least("_ff_suf", rest)).drop("_ff_blk", "_ff_suf", "_ff_pre", "_ff_lead", "_ff_end")
+    if ranges.count == 1:
+        return r.drop(RANGE, "_ff_at", "_ff_len")
+
+    # ranges are in key order, so a key that goes on is the last of one and the first of the next
+    whole = Window.partitionBy(RANGE)
+    r = r.withColumns({"_ff_head": F.rank().over(whole.orderBy(*key)) == 1,
+                       "_ff_last": F.rank().over(whole.orderBy(*[F.col(k).desc() for k in key])) == 1,
+                       "_ff_low": F.min(price).over(grow(seg.orderBy(*sort)))})
+    fell = (F.col("_ff_at") == 0) | ~F.col("_ff_low").eqNullSafe(F.lag("_ff_low").over(seg.orderBy(*sort)))
+    r = materialize(r.withColumn("_ff_step", F.col("_ff_head") & fell), "future-min-ranges")
+    own = F.struct(*[F.col(k) for k in key])
+    found = {x[RANGE]: x for x in r.groupBy(RANGE).agg(
+        F.count(F.lit(1)).alias("n"), F.min(own).alias("head"), F.max(own).alias("tail"),
+        F.count_if("_ff_head").alias("headRows"), F.min(F.when(F.col("_ff_head"), F.col(price))).alias("low")).collect()}
+    kind = r.schema[price].dataType
+    start, total = [], 0
+    for k in range(ranges.count):
+        start.append(total)
+        total += found[k]["n"] if k in found else 0
+    # from the back: global end of the key that a range ends with, least price of its rows in later ranges
+    end, later, goes_on, nxt = [0] * ranges.count, [None] * ranges.count, [False] * ranges.count, None
+    for k in sorted(found, reverse=True):
+        goes_on[k] = nxt is not None and found[nxt]["head"] == found[k]["tail"]
+        end[k] = start[k] + found[k]["n"] - 1
+        if goes_on[k]:
+            whole = found[nxt]["head"] == found[nxt]["tail"]
+            end[k] = end[nxt] if whole else start[nxt] + found[nxt]["headRows"] - 1
+            known = [x for x in (found[nxt]["low"], later[nxt] if whole else None) if x is not None]
+            later[k] = min(known, default=None)
+        nxt = k
+    lows = [found[k]["low"] if k in found else None for k in range(ranges.count)]
+    lit = lambda xs, t=None: F.array(*[F.lit(x).cast(t) if t is not None else F.lit(x) for x in xs])
+    of = lambda xs, t=None: F.element_at(lit(xs, t), F.col(RANGE) + 1)
+    # the rows of the last key end where the range ends
+    sizes = [found[k]["n"] if k in found else 0 for k in range(ranges.count)]
+    here = of(start) + of(sizes) - F.col("_ff_len") + F.col("_ff_at")
+    cut = of(goes_on) & F.col("_ff_last") & (F.col("_ff_at") + int(rows) >= F.col("_ff_len"))
+    stop = here + int(rows)
+    to_end = stop >= of(end)
+    where = F.when(cut & ~to_end, _passed(stop, start, False) - 1)
+    r = r.withColumns({"_ff_to": where, "_ff_off": stop - F.element_at(lit(start), where + 1)})
+    between = F.array_min(F.slice(lit(lows, kind), F.col(RANGE) + 2, F.greatest(F.col("_ff_to") - F.col(RANGE) - 1, F.lit(0))))
+    steps = r.where("_ff_step").select(
+        F.col(RANGE).alias("_ff_r"), F.col("_ff_at").alias("_ff_from"), F.col("_ff_low").alias("_ff_least"),
+        F.lead("_ff_at").over(Window.partitionBy(RANGE).orderBy("_ff_at")).alias("_ff_until"))
+    r = r.drop("_ff_low", "_ff_head", "_ff_step")
+    hit = (F.col("_ff_to") == F.col("_ff_r")) & (F.col("_ff_off") >= F.col("_ff_from")) \
+        & (F.col("_ff_off") < F.coalesce("_ff_until", F.lit(1 << 62)))
+    ahead = F.when(cut & to_end, of(later, kind)).when(cut, F.least(between, F.col("_ff_least")))
+    return r.join(steps, hit, "left").withColumn(out, F.least(out, ahead)) \
+        .drop(RANGE, "_ff_at", "_ff_len", "_ff_last", "_ff_to", "_ff_off", "_ff_r", "_ff_from", "_ff_least", "_ff_until")
 
 
 def drop_label(price: str | Column = "price", future: str | Column = "futureMinPrice",

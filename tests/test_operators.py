@@ -154,6 +154,21 @@ def test_rows_frame_blocks_match_window(spark, rows, n):
     assert got == exp
 
 
+@pytest.mark.parametrize("n,parts", [(0, 5), (1, 7), (5, 9), (37, 12), (100, 3), (10_000, 8)])
+def test_rows_frame_goes_on_in_later_ranges(spark, n, parts):
+    """One key over many ranges, keys that end inside one, null prices, falling
+    prices (a step a row), descending order."""
+    rows = [(i, None if i % 17 == 0 else "hot" if i < 160 else f"k{i % 7}",
+             None if i % 5 == 0 else float(1000 - i if i % 2 else (i * 73) % 101)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, k string, price double")
+    for order in ("id", F.desc("id")):
+        got = labels.with_future_min_rows(df, ["k"], [order], "price", n, partitions=parts)
+        assert got.columns == [*df.columns, "futureMinPrice"]
+        w = Window.partitionBy("k").orderBy(order).rowsBetween(0, n)
+        exp = {r.id: r.m for r in df.withColumn("m", F.min("price").over(w)).collect()}
+        assert {r.id: r.futureMinPrice for r in got.collect()} == exp
+
+
 def test_fine_key_window_gives_the_same_labels(spark):
     rows = [(str(i % 4), dt.date(2017, 1, 1) + dt.timedelta(days=i % 40), float(i % 97)) for i in range(400)]
     df = spark.createDataFrame(rows, "k string, searchDate date, price double")
