@@ -62,7 +62,8 @@ def _codes(df: DataFrame, name: str, desc: bool) -> tuple[list[Column], bool]:
     """Numbers that order like the column, and whether equal numbers mean equal
     values.  Text gives its first 21 bytes, seven to a number."""
     kind, c = df.schema[name].dataType, F.col(f"`{name}`")
-    whole = {T.DateType: F.unix_date, T.TimestampType: F.unix_micros}.get(type(kind))
+    whole = {T.DateType: F.unix_date, T.TimestampType: F.unix_micros,
+             T.TimestampNTZType: lambda x: F.unix_micros(x.cast("timestamp"))}.get(type(kind))
     if isinstance(kind, T.StringType):
         raw = F.encode(c, "UTF-8")
         parts = [F.conv(F.rpad(F.hex(F.substring(raw, 1 + 7 * i, 7)), 14, "0"), 16, 10).cast("long") for i in range(3)]

@@ -109,6 +109,57 @@ def e6(spark, sf_dir):
     return A.with_previous_next(q, "depDate", _asia(spark, sf_dir), "Date", "holiday")
 
 
+add_cte("moments", """
+SELECT event_id, CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS who, date_trunc('hour', ts) AS hour, value
+FROM events WHERE event_type <> 'purchase' AND event_type <> 'error'""")
+add_cte("facts", """
+SELECT CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END AS who, date_trunc('hour', ts) AS hour, event_type,
+  max(value) AS value
+FROM events WHERE event_type = 'purchase' OR event_type = 'error' GROUP BY ALL""")
+
+
+@register("E6_E7_asof_keyed", """
+SELECT m.event_id, m.who, m.hour, a.hour AS before, a.value AS valueBefore, b.hour AS after, b.value AS valueAfter
+FROM moments m
+ASOF LEFT JOIN (SELECT * FROM facts WHERE event_type = 'purchase') a ON m.who = a.who AND m.hour >= a.hour
+ASOF LEFT JOIN (SELECT * FROM facts WHERE event_type = 'error') b ON m.who = b.who AND m.hour < b.hour""")
+def asof_keyed(spark, sf_dir):
+    """Last purchase up to an event's hour and first error after it, per user;
+    a third of all events has one user, and hours tie."""
+    ev = load_table(spark, sf_dir, "events").withColumns({
+        "who": F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")).cast("long"),
+        "hour": F.date_trunc("hour", "ts").cast("timestamp_ntz")})
+    rest = ev.where(~F.col("event_type").isin("purchase", "error")).select("event_id", "who", "hour")
+    facts = {t: ev.where(F.col("event_type") == t).select("who", "hour", "value") for t in ("purchase", "error")}
+    out = A.asof_join(rest, facts["purchase"], ["who"], "hour", "hour", {"hour": "before", "value": "valueBefore"},
+                      prefer=[-F.col("value")])
+    return A.asof_join(out, facts["error"], ["who"], "hour", "hour", {"hour": "after", "value": "valueAfter"},
+                       "forward", exact=False, prefer=[-F.col("value")])
+
+
+@register("E8_holidays_of_each_country", f"""
+WITH h AS (SELECT DISTINCT Country, Date AS d FROM cal WHERE HolidayType = 'National holiday'),
+c AS (SELECT {SQL_IDS}, price, depDate, lower(replace(r_name, ' ', '_')) AS Country
+      FROM q JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)
+SELECT {SQL_IDS}, price, c.depDate, c.Country, a.d AS lastHoliday, b.d AS nextHoliday,
+  CAST(a.d - c.depDate AS INTEGER) AS daysToLast, CAST(b.d - c.depDate AS INTEGER) AS daysToNext
+FROM c ASOF LEFT JOIN h a ON c.Country = a.Country AND c.depDate > a.d
+ASOF LEFT JOIN h b ON c.Country = b.Country AND c.depDate <= b.d""")
+def holidays_of_each_country(spark, sf_dir):
+    """Distance to the last and next holiday of the destination's own country,
+    a calendar for each, instead of one list for all."""
+    nation, region = (load_table(spark, sf_dir, t) for t in ("nation", "region"))
+    places = nation.join(F.broadcast(region), F.col("n_regionkey") == F.col("r_regionkey")).select(
+        "n_nationkey", F.lower(F.replace("r_name", F.lit(" "), F.lit("_"))).alias("Country"))
+    q = _q(spark, sf_dir).join(F.broadcast(places), F.col("c_nationkey") == F.col("n_nationkey")) \
+        .select(*IDS, "price", "depDate", "Country")
+    cal = H.derived_calendar(spark, sf_dir).where("HolidayType = 'National holiday'").select("Country", "Date")
+    out = A.asof_join(q, cal, ["Country"], "depDate", "Date", {"Date": "lastHoliday"}, exact=False)
+    out = A.asof_join(out, cal, ["Country"], "depDate", "Date", {"Date": "nextHoliday"}, "forward")
+    return out.withColumns({"daysToLast": F.datediff("lastHoliday", "depDate"),
+                            "daysToNext": F.datediff("nextHoliday", "depDate")})
+
+
 @register("E10_full_outer_series", """
 WITH a AS (SELECT airlineName, searchDate, CAST(sum(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / count(price) AS oneWay
            FROM q WHERE trip = '1' GROUP BY 1, 2),

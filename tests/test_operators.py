@@ -169,6 +169,29 @@ def test_rows_frame_goes_on_in_later_ranges(spark, n, parts):
         assert {r.id: r.futureMinPrice for r in got.collect()} == exp
 
 
+@pytest.mark.parametrize("parts,direction,exact", [(1, "backward", True), (9, "backward", False), (7, "forward", True),
+                                                    (15, "forward", False)])
+def test_asof_join_matches_a_search_for_each_row(spark, parts, direction, exact):
+    """A hot key, tied times, null keys and times, keys without right rows, a
+    long stretch of left rows after one right row."""
+    left = [(i, None if i % 19 == 0 else "hot" if i % 3 else f"k{i % 5}", None if i % 23 == 0 else (i * 37) % 90)
+            for i in range(300)]
+    right = [(f"k{i % 4}" if i % 2 else "hot", (i * 31) % 60 if i % 2 else 20 + i % 4, i) for i in range(40)]
+    right += [(None, 50, 900), ("other", 1, 901), ("hot", None, 902)]
+    a = spark.createDataFrame(left, "id long, k string, t int")
+    b = spark.createDataFrame(right, "k string, u int, v int")
+    got = asof.asof_join(a, b, ["k"], "t", "u", {"u": "at", "v": "got"}, direction, exact, [-F.col("v")], parts)
+    assert got.columns == ["id", "k", "t", "at", "got"]
+
+    def search(k, t):
+        if t is None:
+            return None, None
+        near = [(u, v) for kk, u, v in right if kk == k and u is not None
+                and ((u <= t if exact else u < t) if direction == "backward" else (u >= t if exact else u > t))]
+        return max(near, key=lambda x: (x[0] if direction == "backward" else -x[0], x[1]), default=(None, None))
+    assert {r.id: (r.at, r.got) for r in got.collect()} == {i: search(k, t) for i, k, t in left}
+
+
 def test_fine_key_window_gives_the_same_labels(spark):
     rows = [(str(i % 4), dt.date(2017, 1, 1) + dt.timedelta(days=i % 40), float(i % 97)) for i in range(400)]
     df = spark.createDataFrame(rows, "k string, searchDate date, price double")
