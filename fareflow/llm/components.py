@@ -5,18 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import groups_to_members, staged
+from fareflow.llm.common import staged
 
-SALTS = 64
 
-
-def _relabel(rows: DataFrame, column: str, other: str, parents: DataFrame) -> DataFrame:
-    """Replace ``column`` by its parent where it has one; salted by ``other``,
-    as one node may be an end of a large share of all edges."""
-    keyed = rows.withColumn("_salt", F.pmod(F.xxhash64(other), F.lit(SALTS)).cast("int"))
+def _relabel(rows: DataFrame, column: str, parents: DataFrame) -> DataFrame:
+    """Replace ``column`` by its parent where it has one.  A node may be an end
+    of a large share of all edges: a join that adaptive execution splits by
+    size, with one parent row for each node."""
     named = parents.select(F.col("node").alias(column), "parent")
-    return groups_to_members(keyed, named, [column], "_salt") \
-        .withColumn(column, F.coalesce("parent", column)).select(*rows.columns)
+    return rows.join(named, column, "left").withColumn(column, F.coalesce("parent", column)).select(*rows.columns)
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -40,9 +37,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
             labels = parents.union(roots.select("node", F.col("node").alias("parent")))
             labels = labels.select("node", F.col("parent").alias("component"))
         else:
-            labels = _relabel(labels, "component", "node", parents)
+            labels = _relabel(labels, "component", parents)
         labels = staged(spark, labels, "cc-labels")
-        moved = _relabel(_relabel(edges, "u", "v", parents), "v", "u", parents)
+        moved = _relabel(_relabel(edges, "u", parents), "v", parents)
         moved = moved.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
         edges = staged(spark, moved, "cc-edges")
     if labels is None:

@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -133,8 +134,13 @@ def _sides(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return left, right if len(right) else left
 
 
-def _signatures(table: pa.Table) -> np.ndarray:
-    return table["sig"].combine_chunks().flatten().to_numpy().view(np.uint64).reshape(-1, _WORDS)
+def _signatures(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Packed signatures, and which rows have none (they agree with all)."""
+    column = table["sig"].combine_chunks()
+    found = pc.is_valid(column).to_numpy(zero_copy_only=False)
+    out = np.zeros((len(column), _WORDS), dtype=np.uint64)
+    out[found] = column.flatten().to_numpy().view(np.uint64).reshape(-1, _WORDS)
+    return out, ~found
 
 
 def _confirm(percent: int, ngram: int):
@@ -144,7 +150,7 @@ def _confirm(percent: int, ngram: int):
 
     def run(table: pa.Table) -> pa.Table:
         left, right = _sides(table)
-        ids, sig = table["id"].to_numpy(), _signatures(table)
+        ids, (sig, free) = table["id"].to_numpy(), _signatures(table)
         own, gram = ngram_sets(table["text"].combine_chunks(), ngram)
         bounds = np.searchsorted(own, np.arange(len(ids) + 1))
         sizes = np.diff(bounds)
@@ -152,7 +158,8 @@ def _confirm(percent: int, ngram: int):
         union.label = np.unique(table["label"].to_numpy(), return_inverse=True)[1].astype(np.int64)
         edges = []
         for q in right:
-            close = left[(agreements(sig[left], sig[q:q + 1])[:, 0] >= floor)
+            near = (agreements(sig[left], sig[q:q + 1])[:, 0] >= floor) | free[left] | free[q]
+            close = left[near & (sizes[left] > 0) & (sizes[q] > 0)
                          & (100 * np.minimum(sizes[left], sizes[q]) >= percent * np.maximum(sizes[left], sizes[q]))]
             mine = gram[bounds[q]:bounds[q + 1]]
             for s in close:
@@ -175,11 +182,12 @@ def _open(percent: int):
 
     def run(table: pa.Table) -> pa.Table:
         left, right = _sides(table)
-        sig, label = _signatures(table), table["label"].to_numpy()
+        (sig, free), label = _signatures(table), table["label"].to_numpy()
         some = np.zeros(len(label), dtype=bool)
         for at in range(0, len(right), 64):
             q = right[at:at + 64]
-            hit = (agreements(sig[left], sig[q]) >= floor) & (label[left][:, None] != label[q][None, :])
+            near = (agreements(sig[left], sig[q]) >= floor) | free[left][:, None] | free[q][None, :]
+            hit = near & (label[left][:, None] != label[q][None, :])
             some[left] |= hit.any(axis=1)
             some[q] |= hit.any(axis=0)
         return table.select(["key", "id"]).filter(pa.array(some))
@@ -194,8 +202,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     * null and empty texts have no shingles, link with nothing and are kept;
     * texts with fewer than ``ngram`` words have one shingle, all their words;
-    * equal sets link; rows that repeat an id are one node, and all are kept
-      or none;
+    * equal sets link; rows that repeat an id are one node with the sets of
+      all, and all are kept or none;
     * a row without id links only with equal sets; its class is their id, or
       null, and it is kept in the second case only;
     * an empty table gives an empty result; other columns are ignored.
@@ -219,17 +227,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         banded = sets.select("id", "sig", F.explode("bands").alias("bucket"))
         shared = stage(banded.groupBy("bucket").agg(F.min("id").alias("root"), F.max("id").alias("last"))
                        .where("root < last").select("bucket", "root"), "minhash-shared")
-        near = maybe_in(banded, F.col("bucket"), shared, F.col("bucket")) \
-            .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-        near = stage(groups_to_members(near, shared, ["bucket"], "salt").where("root IS NOT NULL")
-                     .select("bucket", "id", "root", "sig"), "minhash-near")
-        pivots = near.where("id = root").groupBy("root").agg(F.first("sig").alias("other"))
-        seen = near.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
-        agreed = agreement(F.col("sig"), F.col("other"))
-        seen = stage(groups_to_members(seen, pivots, ["root"], "salt").select(
+        near = maybe_in(banded, F.col("bucket"), shared, F.col("bucket")).join(shared, "bucket")
+        near = stage(near.select("bucket", "id", "root", "sig"), "minhash-near")
+        # an id given with several sets has no one signature: it may link with all of its buckets
+        one = lambda: F.when(F.min("sig") == F.max("sig"), F.min("sig"))
+        pivots = near.where("id = root").groupBy("root").agg(one().alias("other"))
+        agreed = F.coalesce(agreement(F.col("sig"), F.col("other")), F.lit(MINIMA))
+        seen = stage(near.join(pivots, "root").select(
             "bucket", "id", "root", (agreed >= least_agreement(percent)).alias("able"),
             similarity(agreed).alias("similarity")), "minhash-estimates")
-        notes = maybe_in(sets.select("id", "sig"), F.xxhash64("id"), seen.select("id").distinct(), F.xxhash64("id"))
+        notes = stage(near.groupBy("id").agg(one().alias("sig")), "minhash-notes")
         active = lambda cells: cells.groupBy("key", "a", "b").applyInArrow(_open(percent), "key long, id long")
         classes = linked_classes(seen, base.where("id IS NOT NULL"), _confirm(percent, ngram), stage,
                                  weight=F.col("similarity"), notes=notes, active=active)

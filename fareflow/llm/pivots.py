@@ -25,11 +25,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import groups_to_members, maybe_in
+from fareflow.llm.common import maybe_in
 from fareflow.llm.components import connected_components
 
 BLOCK = 512
-SALTS = 64
 
 #: Gets the rows of one cell, (id, side, label, text) and the extra columns;
 #: side 1 meets side 0 (or side 0 itself where there is no side 1), sets of
@@ -37,30 +36,32 @@ SALTS = 64
 CellJoin = Callable[[pa.Table], pa.Table]
 
 
-def _salted(rows: DataFrame, column: str) -> DataFrame:
-    return rows.withColumn("salt", F.pmod(F.xxhash64(column), F.lit(SALTS)).cast("int"))
+def _dealt(rows: DataFrame, key: str, out: str, seed: int) -> DataFrame:
+    """``rows`` with ``n``, in how many blocks of about BLOCK their key's rows
+    are dealt, and ``out``, the row's block.  Only keys of more than one block
+    have a row in the joined table."""
+    large = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > BLOCK) \
+        .select(F.col(key).alias("_key"), F.ceil(F.col("_rows") / F.lit(BLOCK)).cast("int").alias("n"))
+    return rows.join(large, F.col(key) == F.col("_key"), "left").drop("_key") \
+        .withColumn("n", F.coalesce("n", F.lit(1))) \
+        .withColumn(out, F.pmod(F.xxhash64("id", F.lit(seed)), F.col("n")).cast("int"))
 
 
 def _cells(pairs: DataFrame) -> DataFrame:
     """(key, a, b, id, side): members (side 0) in cells of at most about BLOCK,
     each with its pivot (side 1)."""
-    sizes = pairs.groupBy("pivot").agg(F.count(F.lit(1)).alias("n")) \
-        .select("pivot", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("cells"))
-    dealt = groups_to_members(_salted(pairs, "id"), sizes, ["pivot"], "salt") \
-        .withColumn("a", F.pmod(F.xxhash64("id", F.lit(17)), F.col("cells")).cast("int"))
-    pivots = dealt.select(F.col("pivot").alias("key"), "a", F.lit(0).alias("b"), F.col("pivot").alias("id"),
-                          F.lit(1).alias("side")).distinct()
-    return dealt.select(F.col("pivot").alias("key"), "a", F.lit(0).alias("b"), "id", F.lit(0).alias("side")).union(pivots)
+    dealt = _dealt(pairs, "pivot", "a", 17)
+    members = dealt.select(F.col("pivot").alias("key"), "a", F.lit(0).alias("b"), "id", F.lit(0).alias("side"))
+    pivots = dealt.select("pivot", "a").distinct()
+    return members.union(pivots.select(F.col("pivot").alias("key"), "a", F.lit(0).alias("b"), F.col("pivot").alias("id"),
+                                       F.lit(1).alias("side")))
 
 
 def block_pairs(rows: DataFrame) -> DataFrame:
     """(key, a, b, id, side): every block of the rows of a ``key`` with itself
     (b = a, side 0 only) and with each other one (a < b)."""
-    sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1") \
-        .select("key", F.ceil(F.col("n") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    placed = groups_to_members(_salted(rows, "id"), sizes, ["key"], "salt").where("blocks IS NOT NULL") \
-        .withColumn("own", F.pmod(F.xxhash64("id", F.lit(23)), F.col("blocks")).cast("int"))
-    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda k: F.struct(
+    placed = _dealt(rows, "key", "own", 23)
+    pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.struct(
         F.least(k, F.col("own")).alias("a"), F.greatest(k, F.col("own")).alias("b"),
         (k < F.col("own")).cast("int").alias("side")))
     return placed.select("key", "id", F.explode(pairs).alias("p")).select("key", "p.a", "p.b", "id", "p.side")
@@ -78,16 +79,22 @@ def _joined(cells: DataFrame, labels: DataFrame | None, texts: DataFrame, notes:
     return found.groupBy("key", "a", "b").applyInArrow(join, "u long, v long")
 
 
-def _labels(edges: DataFrame) -> DataFrame:
-    return connected_components(edges).select(F.col("node").alias("id"), F.col("component").alias("label"))
+def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(pivot, id) pairs whose sets are not known to be in one class."""
+    own = labels.select("id", F.col("label").alias("own"))
+    other = labels.select(F.col("id").alias("pivot"), F.col("label").alias("other"))
+    return pairs.join(own, "id", "left").join(other, "pivot", "left") \
+        .where(F.coalesce("own", "id") != F.coalesce("other", "pivot")).select("pivot", "id")
 
 
-def _apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(pivot, id) pairs whose sets are not in one class yet."""
-    named = pairs.join(labels, "id", "left").withColumn("own", F.coalesce("label", "id")).drop("label")
-    other = labels.select(F.col("id").alias("pivot"), "label")
-    return groups_to_members(_salted(named, "id"), other, ["pivot"], "salt") \
-        .where(F.col("own") != F.coalesce("label", "pivot")).select("pivot", "id")
+def _after_pivots(edges: DataFrame) -> DataFrame:
+    """(id, label) after the first round, where each set has one edge at most,
+    to a smaller set: the end of its path, or a set some steps along it."""
+    up = edges.select(F.greatest("u", "v").alias("id"), F.least("u", "v").alias("label"))
+    for _ in range(2):
+        on = up.select(F.col("id").alias("label"), F.col("label").alias("on"))
+        up = up.join(on, "label", "left").select("id", F.coalesce("on", "label").alias("label"))
+    return up
 
 
 def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Callable[[DataFrame, str], DataFrame],
@@ -109,15 +116,14 @@ def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Cal
                   .agg(F.sum(F.lit(1.0) if weight is None else weight).alias("w")), "pivot-pairs")
     best = pairs.groupBy("id").agg(F.max_by("pivot", F.struct("w", -F.col("pivot"))).alias("pivot"))
     edges = stage(_joined(stage(_cells(best), "pivot-cells"), None, texts, notes, join), "pivot-edges")
-    labels = stage(_labels(edges), "pivot-labels")
+    labels = stage(_after_pivots(edges), "pivot-labels")
 
-    rest = stage(_apart(pairs, labels), "pivot-rest").join(best, ["id", "pivot"], "left_anti")
-    cells = stage(_cells(rest), "pivot-cells")
+    rest = _apart(pairs.select("id", "pivot").join(best, ["id", "pivot"], "left_anti"), labels)
+    cells = stage(_cells(stage(rest, "pivot-rest")), "pivot-cells")
     if not cells.isEmpty():
-        more = stage(_joined(cells, labels, texts, notes, join), "pivot-edges")
-        if not more.isEmpty():
-            edges = edges.union(more)
-            labels = stage(_labels(edges), "pivot-labels")
+        edges = edges.union(stage(_joined(cells, labels, texts, notes, join), "pivot-edges"))
+    classes = stage(connected_components(edges), "pivot-classes")
+    labels = classes.select(F.col("node").alias("id"), F.col("component").alias("label"))
 
     named = near.where("id <> root").select("bucket", "id").join(labels, "id", "left") \
         .withColumn("label", F.coalesce("label", "id"))
@@ -125,16 +131,23 @@ def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Cal
         F.min("label").alias("low"), F.max("label").alias("high"), F.sum(F.xxhash64("id").cast("decimal(38,0)")).alias("k1"),
         F.count(F.lit(1)).alias("k2"), F.min("id").alias("k3"), F.max("id").alias("k4")).where("low <> high")
     # buckets with the same sets are one
-    split = split.groupBy("k1", "k2", "k3", "k4").agg(F.min("bucket").alias("bucket")).select("bucket", F.lit(True).alias("open"))
-    left = groups_to_members(_salted(named, "id"), split, ["bucket"], "salt").where("open") \
-        .select(F.col("bucket").alias("key"), "id")
-    left = stage(left, "pivot-left")
-    if left.isEmpty():
-        return labels.select(F.col("id").alias("node"), F.col("label").alias("component"))
+    split = stage(split.groupBy("k1", "k2", "k3", "k4").agg(F.min("bucket").alias("bucket")).select("bucket"), "pivot-split")
+    if split.isEmpty():
+        return classes
+    left = stage(near.where("id <> root").join(split, "bucket").select(F.col("bucket").alias("key"), "id"), "pivot-left")
     cells = block_pairs(left)
     if active is not None:
         seen = cells.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         seen = seen if notes is None else seen.join(notes, "id")
-        cells = block_pairs(active(seen).select("key", "id").distinct())
+        cells = block_pairs(stage(active(seen).select("key", "id").distinct(), "pivot-active"))
     more = stage(_joined(stage(cells, "pivot-cells"), labels, texts, notes, join), "pivot-edges")
-    return connected_components(edges.union(more))
+    if more.isEmpty():
+        return classes
+    # the new edges join classes, of which only the smallest members count
+    for end in ("u", "v"):
+        other = labels.select(F.col("id").alias(end), "label")
+        more = more.join(other, end, "left").withColumn(end, F.coalesce("label", end)).drop("label")
+    joined = connected_components(more).select(F.col("node").alias("label"), F.col("component").alias("new"))
+    known = labels.union(joined.select(F.col("label").alias("id"), "label")).distinct()
+    return known.join(joined, "label", "left") \
+        .select(F.col("id").alias("node"), F.coalesce("new", "label").alias("component"))

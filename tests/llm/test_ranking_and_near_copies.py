@@ -141,6 +141,13 @@ def test_near_duplicates_without_ids_repeated_and_empty(spark):
     assert minhash.near_duplicates(documents(spark, [(1, None, "s"), (2, "", "s")])).count() == 2
 
 
+def test_an_id_with_several_texts_links_by_each(spark):
+    a, b = (" ".join(f"{x}{i}" for i in range(60)) for x in "ab")
+    rows = [(5, a, "s"), (5, b, "s"), (3, a + " x", "s"), (8, b + " y", "s"), (9, "other words here", "s")]
+    got = minhash.near_duplicates(documents(spark, rows)).collect()
+    assert sorted({(r.doc_id, r.component_id) for r in got}) == [(3, 3), (5, 3), (8, 3), (9, 9)]
+
+
 def test_estimate_takes_chance_hits_off(spark):
     rng = np.random.default_rng(1)
     for share in (0.0, 0.5, 0.85, 1.0):
