@@ -40,6 +40,11 @@ BAND = 5
 BITS = 2
 MARGIN = 4.5
 SALTS = 64
+#: Sets that meet in one cell, and the shingles that they have at most (one larger set is a cell of its own).
+BLOCK = 1536
+BLOCK_SHINGLES = 1 << 18
+#: Holders from which a shingle goes into the matrix, and the numbers that a piece of work holds.
+_MANY, _CELLS = 32, 1 << 22
 _WORDS = MINIMA * BITS // 64
 _PLACES = 64 // BITS
 _rng = np.random.default_rng(85)
@@ -143,6 +148,42 @@ def _signatures(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return out, ~found
 
 
+def shared_shingles(own: np.ndarray, gram: np.ndarray, rows: int) -> np.ndarray:
+    """(rows, rows): how many shingles each two sets of a cell share.  Shingles
+    that few sets hold add their pairs one by one; those of many sets form a
+    0/1 matrix, multiplied by itself in bounded pieces."""
+    order = np.argsort(gram, kind="stable")
+    own, gram = own[order], gram[order]
+    start = np.concatenate([[0], np.flatnonzero(np.diff(gram)) + 1]) if len(gram) else np.zeros(0, np.int64)
+    size = np.diff(np.append(start, len(gram)))
+    out = np.zeros(rows * rows, dtype=np.float32)
+    few = (size > 1) & (size < _MANY)
+    at, n = start[few], size[few]
+    step = max(1, _CELLS // (_MANY * _MANY))
+    for lo in range(0, len(at), step):
+        s, k = at[lo:lo + step], n[lo:lo + step]
+        entry = np.repeat(s, k) + _within(k)
+        a = np.repeat(entry, np.repeat(k, k))
+        b = np.repeat(np.repeat(s, k), np.repeat(k, k)) + _within(np.repeat(k, k))
+        out += np.bincount(own[a] * rows + own[b], minlength=rows * rows).astype(np.float32)
+    out = out.reshape(rows, rows)
+    many = np.flatnonzero(size >= _MANY)
+    width = max(64, _CELLS // max(1, rows))
+    for lo in range(0, len(many), width):
+        part = many[lo:lo + width]
+        held = np.zeros((rows, len(part)), dtype=np.float32)
+        entry = np.repeat(start[part], size[part]) + _within(size[part])
+        held[own[entry], np.repeat(np.arange(len(part)), size[part])] = 1
+        out += held @ held.T
+    np.fill_diagonal(out, np.bincount(own, minlength=rows))
+    return out
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... inside each run of the given sizes."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 def _confirm(percent: int, ngram: int):
     """Edges of a cell: pairs of its sides with enough agreement are compared
     on their full sets, unless they are connected already."""
@@ -152,25 +193,23 @@ def _confirm(percent: int, ngram: int):
         left, right = _sides(table)
         ids, (sig, free) = table["id"].to_numpy(), _signatures(table)
         own, gram = ngram_sets(table["text"].combine_chunks(), ngram)
-        bounds = np.searchsorted(own, np.arange(len(ids) + 1))
-        sizes = np.diff(bounds)
+        sizes = np.bincount(own, minlength=len(ids))
+        if len(right) == 1:
+            mine = gram[own == right[0]]
+            held = np.bincount(own[np.isin(gram, mine)], minlength=len(ids))
+            both = held[None, left]
+        else:
+            both = shared_shingles(own, gram, len(ids))[np.ix_(right, left)]
         union = Union(len(ids))
         union.label = np.unique(table["label"].to_numpy(), return_inverse=True)[1].astype(np.int64)
         edges = []
-        for q in right:
+        for q, shared in zip(right, both):
             near = (agreements(sig[left], sig[q:q + 1])[:, 0] >= floor) | free[left] | free[q]
-            close = left[near & (sizes[left] > 0) & (sizes[q] > 0)
-                         & (100 * np.minimum(sizes[left], sizes[q]) >= percent * np.maximum(sizes[left], sizes[q]))]
-            mine = gram[bounds[q]:bounds[q + 1]]
-            for s in close:
-                if union.label[s] == union.label[q] or (len(right) == len(left) and s <= q and right is left):
-                    continue
-                theirs = gram[bounds[s]:bounds[s + 1]]
-                at = np.searchsorted(mine, theirs)
-                both = int((mine[np.minimum(at, len(mine) - 1)] == theirs).sum())
-                if 100 * both >= percent * (len(mine) + len(theirs) - both):
-                    edges.append((int(ids[q]), int(ids[s])))
-                    union.join(np.array([q]), np.array([s]))
+            linked = left[near & (sizes[left] > 0) & (100 * shared >= percent * (sizes[left] + sizes[q] - shared))]
+            label, first = np.unique(union.label[linked], return_index=True)
+            for s in linked[first[label != union.label[q]]]:
+                edges.append((int(ids[q]), int(ids[s])))
+                union.join(np.array([q]), np.array([s]))
         u, v = (pa.array([e[j] for e in edges], pa.int64()) for j in (0, 1))
         return pa.table({"u": u, "v": v})
     return run
@@ -220,15 +259,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         again = groups.where("rows > 1 AND rep IS NOT NULL")
         signed = flag_maybe(rows.where("n > 0 AND id IS NOT NULL"), F.xxhash64(*keys), again, F.xxhash64(*keys), "again")
         first = groups.where("rep IS NOT NULL").select(F.col("rep").alias("id"), *keys)
-        columns = ["id", "sig", "bands"]
+        columns = ["id", "n", "sig", "bands"]
         sets = signed.where("NOT again").select(*columns).unionAll(
             signed.where("again").join(first, ["id", *keys], "left_semi").dropDuplicates(["id", *keys]).select(*columns))
         sets = stage(sets, "minhash-reps")
-        banded = sets.select("id", "sig", F.explode("bands").alias("bucket"))
+        banded = sets.select("id", "n", "sig", F.explode("bands").alias("bucket"))
         shared = stage(banded.groupBy("bucket").agg(F.min("id").alias("root"), F.max("id").alias("last"))
                        .where("root < last").select("bucket", "root"), "minhash-shared")
         near = maybe_in(banded, F.col("bucket"), shared, F.col("bucket")).join(shared, "bucket")
-        near = stage(near.select("bucket", "id", "root", "sig"), "minhash-near")
+        near = stage(near.select("bucket", "id", "root", "n", "sig"), "minhash-near")
         # an id given with several sets has no one signature: it may link with all of its buckets
         one = lambda: F.when(F.min("sig") == F.max("sig"), F.min("sig"))
         pivots = near.where("id = root").groupBy("root").agg(one().alias("other"))
@@ -236,10 +275,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         seen = stage(near.join(pivots, "root").select(
             "bucket", "id", "root", (agreed >= least_agreement(percent)).alias("able"),
             similarity(agreed).alias("similarity")), "minhash-estimates")
-        notes = stage(near.groupBy("id").agg(one().alias("sig")), "minhash-notes")
+        notes = stage(near.groupBy("id").agg(one().alias("sig"), F.max("n").alias("size")), "minhash-notes")
         active = lambda cells: cells.groupBy("key", "a", "b").applyInArrow(_open(percent), "key long, id long")
         classes = linked_classes(seen, base.where("id IS NOT NULL"), _confirm(percent, ngram), stage,
-                                 weight=F.col("similarity"), notes=notes, active=active)
+                                 weight=F.col("similarity"), notes=notes, active=active, block=BLOCK,
+                                 block_size=BLOCK_SHINGLES)
         named = groups.join(classes, groups["rep"] == classes["node"], "left") \
             .select(*keys, F.coalesce("component", "rep").alias("class"))
         members = rows.select("id", "n", *keys).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))

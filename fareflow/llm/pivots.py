@@ -20,6 +20,7 @@ sets that share buckets without being linked to their pivot.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -36,35 +37,44 @@ BLOCK = 512
 CellJoin = Callable[[pa.Table], pa.Table]
 
 
-def _dealt(rows: DataFrame, key: str, out: str, seed: int) -> DataFrame:
-    """``rows`` with ``n``, in how many blocks of about BLOCK their key's rows
-    are dealt, and ``out``, the row's block.  Only keys of more than one block
-    have a row in the joined table."""
-    large = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > BLOCK) \
-        .select(F.col(key).alias("_key"), F.ceil(F.col("_rows") / F.lit(BLOCK)).cast("int").alias("n"))
-    return rows.join(large, F.col(key) == F.col("_key"), "left").drop("_key") \
-        .withColumn("n", F.coalesce("n", F.lit(1))) \
-        .withColumn(out, F.pmod(F.xxhash64("id", F.lit(seed)), F.col("n")).cast("int"))
-
-
-def _cells(pairs: DataFrame) -> DataFrame:
-    """(key, a, b, id, side): members (side 0) in cells of at most about BLOCK,
-    each with its pivot (side 1)."""
-    dealt = _dealt(pairs, "pivot", "a", 17)
-    members = dealt.select(F.col("pivot").alias("key"), "a", F.lit(0).alias("b"), "id", F.lit(0).alias("side"))
-    pivots = dealt.select("pivot", "a").distinct()
-    return members.union(pivots.select(F.col("pivot").alias("key"), "a", F.lit(0).alias("b"), F.col("pivot").alias("id"),
-                                       F.lit(1).alias("side")))
-
-
-def block_pairs(rows: DataFrame) -> DataFrame:
-    """(key, a, b, id, side): every block of the rows of a ``key`` with itself
-    (b = a, side 0 only) and with each other one (a < b)."""
-    placed = _dealt(rows, "key", "own", 23)
-    pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.struct(
-        F.least(k, F.col("own")).alias("a"), F.greatest(k, F.col("own")).alias("b"),
-        (k < F.col("own")).cast("int").alias("side")))
-    return placed.select("key", "id", F.explode(pairs).alias("p")).select("key", "p.a", "p.b", "id", "p.side")
+@dataclass(frozen=True)
+class _Blocks:
+    """Bounds of a block: sets, and the sum of the notes' column ``size``."""
+    sets: int
+    size: int | None
+    notes: DataFrame | None
+
+    def dealt(self, rows: DataFrame, key: str, out: str, seed: int) -> DataFrame:
+        """``rows`` with ``n``, over how many blocks their key's rows are dealt,
+        and ``out``, the row's block.  Only keys of more than one block have a
+        row in the joined table."""
+        need = F.ceil(F.count(F.lit(1)) / F.lit(self.sets))
+        sized = rows
+        if self.size is not None:
+            sized = rows.join(self.notes.select("id", "size"), "id")
+            need = F.greatest(need, F.ceil(F.sum("size") / F.lit(self.size)))
+        large = sized.groupBy(key).agg(need.cast("int").alias("n")).where("n > 1").withColumnRenamed(key, "_key")
+        return rows.join(large, F.col(key) == F.col("_key"), "left").drop("_key") \
+            .withColumn("n", F.coalesce("n", F.lit(1))) \
+            .withColumn(out, F.pmod(F.xxhash64("id", F.lit(seed)), F.col("n")).cast("int"))
+
+    def cells(self, pairs: DataFrame) -> DataFrame:
+        """(key, a, b, id, side): members (side 0) in blocks, each with its
+        pivot (side 1)."""
+        dealt = self.dealt(pairs, "pivot", "a", 17)
+        members = dealt.select(F.col("pivot").alias("key"), "a", F.lit(0).alias("b"), "id", F.lit(0).alias("side"))
+        pivots = dealt.select("pivot", "a").distinct()
+        return members.union(pivots.select(F.col("pivot").alias("key"), "a", F.lit(0).alias("b"),
+                                           F.col("pivot").alias("id"), F.lit(1).alias("side")))
+
+    def pairs(self, rows: DataFrame) -> DataFrame:
+        """(key, a, b, id, side): every block of the rows of a ``key`` with
+        itself (b = a, side 0 only) and with each other one (a < b)."""
+        placed = self.dealt(rows, "key", "own", 23)
+        pairs = F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda k: F.struct(
+            F.least(k, F.col("own")).alias("a"), F.greatest(k, F.col("own")).alias("b"),
+            (k < F.col("own")).cast("int").alias("side")))
+        return placed.select("key", "id", F.explode(pairs).alias("p")).select("key", "p.a", "p.b", "id", "p.side")
 
 
 def _joined(cells: DataFrame, labels: DataFrame | None, texts: DataFrame, notes: DataFrame | None,
@@ -99,7 +109,8 @@ def _after_pivots(edges: DataFrame) -> DataFrame:
 
 def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Callable[[DataFrame, str], DataFrame],
                        weight: Column | None = None, notes: DataFrame | None = None,
-                   active: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+                   active: Callable[[DataFrame], DataFrame] | None = None, block: int | None = None,
+                   block_size: int | None = None) -> DataFrame:
     """(node, component) of linked sets; sets that link with nothing are left out.
 
     ``near`` holds (bucket, id, root): the sets of every bucket of two or more,
@@ -108,18 +119,21 @@ def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Cal
     needs besides, one row for each set.
     A set meets first the root with the largest sum of ``weight`` (one a row).
     ``active`` may drop rows of (key, a, b, id, side, label, notes) that cannot
-    link with anything in their cell; it gives (key, id).
+    link with anything in their cell; it gives (key, id).  ``block`` sets meet
+    in a cell at most, and no more than their ``size`` in the notes sums up to
+    ``block_size``, if given.
     """
+    blocks = _Blocks(block or BLOCK, block_size, notes)
     able = F.col("able") if "able" in near.columns else F.lit(True)
     met = near.where((F.col("id") != F.col("root")) & able)
     pairs = stage(met.groupBy("id", F.col("root").alias("pivot"))
                   .agg(F.sum(F.lit(1.0) if weight is None else weight).alias("w")), "pivot-pairs")
     best = pairs.groupBy("id").agg(F.max_by("pivot", F.struct("w", -F.col("pivot"))).alias("pivot"))
-    edges = stage(_joined(stage(_cells(best), "pivot-cells"), None, texts, notes, join), "pivot-edges")
+    edges = stage(_joined(stage(blocks.cells(best), "pivot-cells"), None, texts, notes, join), "pivot-edges")
     labels = stage(_after_pivots(edges), "pivot-labels")
 
     rest = _apart(pairs.select("id", "pivot").join(best, ["id", "pivot"], "left_anti"), labels)
-    cells = stage(_cells(stage(rest, "pivot-rest")), "pivot-cells")
+    cells = stage(blocks.cells(stage(rest, "pivot-rest")), "pivot-cells")
     if not cells.isEmpty():
         edges = edges.union(stage(_joined(cells, labels, texts, notes, join), "pivot-edges"))
     classes = stage(connected_components(edges), "pivot-classes")
@@ -135,11 +149,11 @@ def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Cal
     if split.isEmpty():
         return classes
     left = stage(near.where("id <> root").join(split, "bucket").select(F.col("bucket").alias("key"), "id"), "pivot-left")
-    cells = block_pairs(left)
+    cells = blocks.pairs(left)
     if active is not None:
         seen = cells.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         seen = seen if notes is None else seen.join(notes, "id")
-        cells = block_pairs(stage(active(seen).select("key", "id").distinct(), "pivot-active"))
+        cells = blocks.pairs(stage(active(seen).select("key", "id").distinct(), "pivot-active"))
     more = stage(_joined(stage(cells, "pivot-cells"), labels, texts, notes, join), "pivot-edges")
     if more.isEmpty():
         return classes

@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from fareflow.llm import importance, lexical, minhash, pivots
+from fareflow.llm import importance, lexical, minhash
 
 from .test_corpus_operators import brute_classes, documents, with_clashes
 
@@ -108,7 +108,7 @@ def near_rows(seed, ngram):
 
 @pytest.mark.parametrize("ngram,percent,block", [(3, 85, 512), (5, 80, 3)])
 def test_near_duplicates_match_brute_force(spark, monkeypatch, ngram, percent, block):
-    monkeypatch.setattr(pivots, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BLOCK", block)
     rows = near_rows(ngram, ngram)
     want = brute_classes(rows, ngram, percent)
     docs = with_clashes(documents(spark, rows)).withColumns({c: F.lit(1) for c in ("hi", "lo", "sig", "kept", "label")})
@@ -123,7 +123,8 @@ def test_near_duplicates_match_brute_force(spark, monkeypatch, ngram, percent, b
 def test_near_duplicates_that_do_not_link_with_their_pivot(spark, monkeypatch):
     """A chain: each text differs from the next by little, from the first by
     much, so classes come from the later rounds and from blocks."""
-    monkeypatch.setattr(pivots, "BLOCK", 2)
+    monkeypatch.setattr(minhash, "BLOCK", 2)
+    monkeypatch.setattr(minhash, "BLOCK_SHINGLES", 300)
     words = [f"w{i}" for i in range(200)]
     rows = [(k, " ".join(words[4 * k:4 * k + 120]), "s") for k in range(20)]
     got = minhash.near_duplicates(documents(spark, rows)).collect()
@@ -176,6 +177,15 @@ def test_family_of_copies_gives_edges_in_proportion():
     assert minhash._confirm(85, 3)(table).num_rows == 299
 
 
+def test_shared_shingles_of_a_cell():
+    rng = np.random.default_rng(4)
+    sets = [rng.choice(400, rng.integers(0, 120), replace=False).astype(np.uint64) for _ in range(90)]
+    sets += [np.arange(350, dtype=np.uint64)] * 50  # shingles of many sets and of few
+    own = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    got = minhash.shared_shingles(own, np.concatenate(sets), len(sets))
+    assert got.tolist() == [[len(set(a.tolist()) & set(b.tolist())) for b in sets] for a in sets]
+
+
 def brute_search(rows, items, top):
     docs = [(i, collections.Counter(term_list(t))) for i, t, _ in rows]
     filled = [d for _, d in docs if d]
