@@ -81,12 +81,20 @@ def crosstab_long(df: DataFrame, a: str, b: str) -> DataFrame:
     return df.groupBy(a, b).agg(F.count(F.lit(1)).alias("count"))
 
 
+def pivot_values(pivot_col: str, values: Sequence, other: str = "other") -> Column:
+    """The pivot column with every value outside ``values``, null included, as
+    ``other``, so that a fixed list of columns loses no row."""
+    return F.when(F.col(pivot_col).isin(*values), F.col(pivot_col)).otherwise(F.lit(other))
+
+
 def pivot_first(df: DataFrame, keys: Sequence[str], pivot_col: str, value: str,
-                values: Sequence | None = None, prefix: str = "") -> DataFrame:
+                values: Sequence | None = None, prefix: str = "", other: str = "other") -> DataFrame:
     """One column per category (F8).  ``min`` replaces the order-dependent
-    ``first``; pass ``values`` to skip the distinct job and fix the schema."""
-    out = df.groupBy(*keys).pivot(pivot_col, list(values) if values is not None else None) \
-        .agg(F.min(value))
+    ``first``; pass ``values`` to skip the distinct job and fix the schema: what
+    is not among them goes to the column ``other``."""
+    if values is not None:
+        df, values = df.withColumn(pivot_col, pivot_values(pivot_col, values, other)), [*values, other]
+    out = df.groupBy(*keys).pivot(pivot_col, values).agg(F.min(value))
     if prefix:
         out = out.select(*keys, *[F.col(f"`{c}`").alias(prefix + str(c))
                                   for c in out.columns if c not in keys])

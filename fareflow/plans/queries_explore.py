@@ -215,7 +215,8 @@ SELECT CAST(year(searchDate) AS INTEGER) AS y,
   min(CASE WHEN cabin = 'MEDIUM' THEN price END) AS MEDIUM,
   min(CASE WHEN cabin = 'PROMO' THEN price END) AS PROMO,
   min(CASE WHEN cabin = 'SMALL' THEN price END) AS SMALL,
-  min(CASE WHEN cabin = 'STANDARD' THEN price END) AS STANDARD
+  min(CASE WHEN cabin = 'STANDARD' THEN price END) AS STANDARD,
+  min(CASE WHEN cabin IN ('ECONOMY', 'LARGE', 'MEDIUM', 'PROMO', 'SMALL', 'STANDARD') THEN NULL ELSE price END) AS other
 FROM q GROUP BY 1""")
 def f8(spark, sf_dir):
     q = _q(spark, sf_dir).withColumn("y", F.year("searchDate"))
@@ -313,9 +314,12 @@ BRANDS = [f"Brand#{i}" for i in range(1, 26)]
 @register("F18_series_by_airline", "SELECT fromCity, searchDate, " + ", ".join(
     f"CAST(sum(CASE WHEN airlineName = '{b}' THEN CAST(price AS DECIMAL(18,2)) END) AS DOUBLE) "
     f"/ count(CASE WHEN airlineName = '{b}' THEN price END) AS \"{b}\"" for b in BRANDS)
+    + ", CAST(sum(CASE WHEN airlineName IN ({0}) THEN NULL ELSE CAST(price AS DECIMAL(18,2)) END) AS DOUBLE) "
+      "/ count(CASE WHEN airlineName IN ({0}) THEN NULL ELSE price END) AS other".format(", ".join(f"'{b}'" for b in BRANDS))
     + " FROM q GROUP BY fromCity, searchDate")
 def f18(spark, sf_dir):
-    return _q(spark, sf_dir).groupBy("fromCity", "searchDate").pivot("airlineName", BRANDS).agg(X.exact_avg("price"))
+    q = _q(spark, sf_dir).withColumn("airlineName", X.pivot_values("airlineName", BRANDS))
+    return q.groupBy("fromCity", "searchDate").pivot("airlineName", [*BRANDS, "other"]).agg(X.exact_avg("price"))
 
 
 # ---- H: sort, limit, sampling --------------------------------------------

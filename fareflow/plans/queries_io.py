@@ -15,7 +15,7 @@ from fareflow.plans.quote_view import quote_view
 from fareflow.session import stage_path
 from fareflow.sources import files as FS
 from fareflow.sources import html as H
-from fareflow.sources.tables import load_table, read_parquet_roots
+from fareflow.sources.tables import load_table, read_buckets, read_parquet_roots
 from fareflow.streaming.ingest import ingest_available
 
 IDS = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
@@ -163,12 +163,17 @@ def a10(spark, sf_dir):
     return FS.read_json_lines(spark, lines, EVENTS_SCHEMA, options=NTZ)
 
 
-@register("A13_file_inventory", "SELECT 8::BIGINT AS files, TRUE AS has_bytes")
+@register("A13_file_inventory", """
+SELECT CAST(l_orderkey % 8 AS VARCHAR) AS folder, CAST(sum(octet_length(encode(airlineName || ';' || cabin)) + 1) AS BIGINT)
+  AS bytes, TRUE AS hasFiles FROM q GROUP BY 1""")
 def a13(spark, sf_dir):
+    """Bytes of every folder by the inventory, against the lines written there."""
     p = stage_path(spark, "inv")
-    quote_view(spark, sf_dir).select(*IDS, "price").repartition(8).write.parquet(p)
-    inv = FS.inventory(spark, p, glob="*.parquet")
-    return FS.inventory_summary(inv, min_size=0).select("files", (F.col("bytes") > 0).alias("has_bytes"))
+    quote_view(spark, sf_dir).select(F.pmod("l_orderkey", F.lit(8)).alias("folder"),
+                                     F.concat_ws(";", "airlineName", "cabin").alias("value")) \
+        .write.partitionBy("folder").text(p)
+    inv = FS.inventory(spark, p, glob="*.txt").withColumn("folder", F.regexp_extract("path", "folder=([0-9]+)/", 1))
+    return inv.groupBy("folder").agg(F.sum("size").alias("bytes"), (F.count(F.lit(1)) > 0).alias("hasFiles"))
 
 
 @register("A17_html_link_rows", """
@@ -189,6 +194,16 @@ def b10(spark, sf_dir):
     return spark.read.parquet(p)
 
 
+@register("A18_chosen_buckets", f"SELECT {SQL_IDS}, price, CAST(l_orderkey % 8 AS INTEGER) AS bucket FROM q "
+                                "WHERE l_orderkey % 8 IN (1, 6)")
+def a18(spark, sf_dir):
+    """Two of the exported buckets; the other folders are not listed."""
+    p = stage_path(spark, "chosen-buckets")
+    q = quote_view(spark, sf_dir).select(*IDS, "price")
+    K.bucket_export(q, p, 8, bucket_expr=F.pmod(F.col("l_orderkey"), F.lit(8)))
+    return read_buckets(spark, p, [1, 6])
+
+
 @register("B12_sql_over_nested_view", """
 SELECT fromCity, 'D' || CAST(l_partkey % 50 AS VARCHAR) AS depAirport, count(*) AS n FROM q
 GROUP BY 1, 2""")

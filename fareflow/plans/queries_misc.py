@@ -31,7 +31,12 @@ def c8(spark, sf_dir):
                                "dateText": "date"})
 
 
-@register("C18_schema_report")
+@register("C18_schema_report", """
+WITH t AS (SELECT * EXCLUDE (value), value AS type FROM (
+  UNPIVOT (SELECT typeof(any_value(COLUMNS(*))) FROM q) ON COLUMNS(*) INTO NAME name VALUE value)),
+n AS (UNPIVOT (SELECT count(*) - count(COLUMNS(*)) FROM q) ON COLUMNS(*) INTO NAME name VALUE nulls)
+SELECT name, CASE type WHEN 'VARCHAR' THEN 'string' WHEN 'INTEGER' THEN 'int' ELSE lower(type) END AS type, nulls
+FROM t JOIN n USING (name)""")
 def c18(spark, sf_dir):
     """Schema (name, type) with each column's NULL count from one pass."""
     q = quote_view(spark, sf_dir)
@@ -39,9 +44,13 @@ def c18(spark, sf_dir):
     return schema_table(q).join(nulls, "name", "left")
 
 
-@register("H4_take_n")
+@register("H4_take_n", "SELECT least(count(*), 20) AS n, 0::BIGINT AS notInTable FROM q")
 def h4(spark, sf_dir):
-    return S.take(quote_view(spark, sf_dir).select(*IDS, "price"), 20)
+    """Any 20 rows will do: how many there are, and how many are no row of the table."""
+    q = quote_view(spark, sf_dir).select(*IDS, "price")
+    taken = S.take(q, 20)
+    strange = taken.join(q, [*IDS, "price"], "left_anti").agg(F.count(F.lit(1))).scalar()
+    return taken.agg(F.count(F.lit(1)).alias("n"), F.max(strange).alias("notInTable"))
 
 
 @register("H6_fixed_size_sample", """

@@ -42,12 +42,19 @@ def _model_data(spark, sf_dir):
 @register("M4_M5_M7_M8_logistic_pipeline")
 def m7(spark, sf_dir):
     d = _model_data(spark, sf_dir)
-    model = P.train_classifier(d.filter("split = 0"), FEATURES, "logreg", maxIter=10, regParam=0.01,
-                               elasticNetParam=0.8)
+    model = P.train_classifier(d.filter("split = 0"), FEATURES, "logreg")
     roc = model.stages[-1].summary.roc  # training summary: ROC curve (M8)
     return roc.select("FPR", "TPR")
 
 
+@register("M8_training_summary")
+def m8(spark, sf_dir):
+    """Objective after each iteration, area under the curve and the threshold of the best F-measure."""
+    d = _model_data(spark, sf_dir)
+    model = P.train_classifier(d.filter("split = 0"), FEATURES, "logreg")
+    return P.training_summary(spark, model)
+
+
 @register("M10_M16_gbt_auc")
 def m10(spark, sf_dir):
     d = _model_data(spark, sf_dir)
@@ -78,10 +85,10 @@ def m12(spark, sf_dir):
 @register("M13_M20_gbt_early_stopping_importance")
 def m13(spark, sf_dir):
     d = _model_data(spark, sf_dir).withColumn("isVal", F.col("split") == 1)
-    model = P.train_classifier(d, FEATURES, "gbt", maxIter=1000, maxDepth=5, stepSize=0.2,
-                               minInstancesPerNode=16, validationIndicatorCol="isVal", validationTol=0.01)
+    model = P.train_classifier(d, FEATURES, "gbt", maxIter=1000, maxDepth=18, stepSize=0.2,
+                               minInstancesPerNode=512, validationIndicatorCol="isVal", validationTol=0.01)
     scored = model.transform(P.impute_zero(d.limit(1), FEATURES))
-    return P.importance_table(model, scored, "features", min_importance=0.0)
+    return P.importance_table(model, scored, "features", min_importance=0.01)
 
 
 @register("M14_H9_fold_ensemble")
@@ -95,7 +102,7 @@ def m14(spark, sf_dir):
 @register("M21_partial_dependence")
 def m21(spark, sf_dir):
     d = _model_data(spark, sf_dir)
-    model = P.train_classifier(d.filter("split = 0"), FEATURES, "logreg", maxIter=10, regParam=0.01)
+    model = P.train_classifier(d.filter("split = 0"), FEATURES, "logreg")
     grid = [float(x) for x in range(-100, 401, 25)]  # 21 points of lead time
     return P.partial_dependence(model, d.filter("split = 1"), "leadTime", grid, FEATURES)
 
@@ -103,7 +110,7 @@ def m21(spark, sf_dir):
 @register("M25_M26_M27_persist_and_batch_score")
 def m25(spark, sf_dir):
     d = _model_data(spark, sf_dir)
-    model = P.train_classifier(d.filter("split = 0"), FEATURES, "logreg", maxIter=10, regParam=0.01)
+    model = P.train_classifier(d.filter("split = 0"), FEATURES, "logreg")
     path = stage_path(spark, "model")
     P.save_model(model, path)
     scored = P.score(P.load_model(path), d.filter("split = 1"), FEATURES, KEEP)

@@ -40,10 +40,15 @@ def split_quarantine(df: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def read_json_documents(spark: SparkSession, path: str, schema: T.StructType,
-                        recursive: bool = True, options: dict | None = None) -> DataFrame:
+                        recursive: bool = True, options: dict | None = None, quarantine: bool = False) -> DataFrame:
     """Whole-file (multi-line) JSON documents (A10): an array document yields
-    one row per element."""
-    r = spark.read.schema(schema).option("multiLine", "true")
+    one row per element.  A broken document fails the scan; with ``quarantine``
+    it is one row with its text in ``_corrupt_record`` (``split_quarantine``)."""
+    r = spark.read.schema(
+        T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType())]) if quarantine else schema)
+    r = r.option("multiLine", "true").option("mode", "PERMISSIVE" if quarantine else "FAILFAST")
+    if quarantine:
+        r = r.option("columnNameOfCorruptRecord", CORRUPT)
     if recursive:
         r = r.option("recursiveFileLookup", "true")
     for k, v in (options or {}).items():
@@ -61,11 +66,18 @@ def json_documents_to_lines(spark: SparkSession, src: str, dst: str, schema: T.S
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, header: bool = True,
-             sep: str = ",", drop_malformed: bool = False) -> DataFrame:
-    """CSV / TSV with header (A6, A8); ``drop_malformed`` drops lines that do
-    not fit the schema (A7)."""
-    return (spark.read.schema(schema).option("header", header).option("sep", sep)
-            .option("mode", "DROPMALFORMED" if drop_malformed else "PERMISSIVE").csv(path))
+             sep: str = ",", drop_malformed: bool = False, quarantine: bool = False) -> DataFrame:
+    """CSV / TSV with header (A6, A8).  A line that does not fit the schema
+    fails the scan; ``quarantine`` keeps it in ``_corrupt_record`` instead, and
+    ``drop_malformed`` drops it (A7).  Spark reads no more columns than a query
+    takes: a value of another type is noticed where its column is taken, a
+    wrong number of fields always."""
+    kind = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    if quarantine:
+        kind = T.StructType(list(kind.fields) + [T.StructField(CORRUPT, T.StringType())])
+    mode = "DROPMALFORMED" if drop_malformed else "PERMISSIVE" if quarantine else "FAILFAST"
+    return (spark.read.schema(kind).option("header", header).option("sep", sep).option("mode", mode)
+            .option("columnPruning", False).option("columnNameOfCorruptRecord", CORRUPT).csv(path))
 
 
 def read_text_fields(spark: SparkSession, path: str, sep: str, fields: dict[str, int]) -> DataFrame:

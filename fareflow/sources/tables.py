@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
@@ -24,3 +26,10 @@ def read_parquet_roots(spark: SparkSession, *paths: str, merge_schema: bool = Fa
     if base_path:
         r = r.option("basePath", base_path)
     return r.parquet(*paths)
+
+
+def read_buckets(spark: SparkSession, path: str, buckets: Sequence[int], column: str = "bucket") -> DataFrame:
+    """Chosen pieces of a bucket export (A18): only their folders are listed
+    and read; a bucket that was not written fails."""
+    folders = [f"{path.rstrip('/')}/{column}={b}" for b in buckets]
+    return spark.read.option("basePath", path).parquet(*folders)

@@ -145,3 +145,52 @@ def test_stream_without_quarantine_fails_on_malformed_lines(spark, tmpdir_path):
     ingest_available(spark, src, dst, ck, schema, quarantine=bad)  # the file was not committed
     assert [r.a for r in spark.read.parquet(dst).collect()] == [1]
     assert spark.read.parquet(bad).count() == 1
+
+
+def test_broken_input_fails_or_is_kept(spark, tmpdir_path):
+    """A broken document, CSV line or JSON line never becomes a row of nulls."""
+    from py4j.protocol import Py4JJavaError
+    from pyspark.errors import PySparkException
+    from pyspark.sql import types as T
+    from fareflow import sinks as K
+    from fareflow.sources import files as FS
+    fails = (PySparkException, Py4JJavaError)
+    sch = T.StructType([T.StructField("a", T.IntegerType()), T.StructField("b", T.StringType())])
+    docs, lines, csv = (f"{tmpdir_path}/{x}" for x in ("docs", "lines", "csv"))
+    for path, rows in ((f"{docs}/one", ['[{"a": 1, "b": "x"}, {"a": 2}]']), (f"{docs}/two", ['{"a": 3, "b"']),
+                       (lines, ['{"a": 1}', '{"a": ']), (csv, ["a,b", "1,x", "oops,y", "2,z,more"])):
+        spark.createDataFrame([(r,) for r in rows], "value string").coalesce(1).write.text(path)
+    with pytest.raises(fails):
+        FS.read_json_documents(spark, docs, sch).collect()
+    good, bad = FS.split_quarantine(FS.read_json_documents(spark, docs, sch, quarantine=True))
+    assert sorted(r.a for r in good.collect()) == [1, 2]
+    assert [r[FS.CORRUPT].strip() for r in bad.collect()] == ['{"a": 3, "b"']
+    with pytest.raises(fails):
+        FS.read_csv(spark, csv, "a int, b string").collect()
+    with pytest.raises(fails):
+        FS.read_csv(spark, csv, "a int, b string").select("b").collect()
+    good, bad = FS.split_quarantine(FS.read_csv(spark, csv, "a int, b string", quarantine=True))
+    assert [tuple(r) for r in good.collect()] == [(1, "x")]
+    assert sorted(r[FS.CORRUPT] for r in bad.collect()) == ["2,z,more", "oops,y"]
+    assert FS.read_csv(spark, csv, "a int, b string", drop_malformed=True).collect() == [(1, "x")]
+    for src, fmt in ((lines, "json"), (csv, "csv")):
+        with pytest.raises(fails):
+            K.convert(spark, src, fmt, f"{tmpdir_path}/out-{fmt}", "parquet", sch)
+        with pytest.raises(fails):  # nothing was written
+            spark.read.parquet(f"{tmpdir_path}/out-{fmt}").count()
+
+
+def test_pivots_keep_values_outside_the_list(spark):
+    from fareflow.operators.explore import pivot_first
+    df = spark.createDataFrame([(1, "a", 5), (1, "new", 3), (1, None, 2), (2, "a", 1)], "k int, c string, v int")
+    got = {r.k: (r.a, r.other) for r in pivot_first(df, ["k"], "c", "v", ["a"]).collect()}
+    assert got == {1: (5, 2), 2: (1, None)}
+
+
+def test_chosen_buckets_only(spark, tmpdir_path):
+    from fareflow import sinks as K
+    from fareflow.sources.tables import read_buckets
+    K.bucket_export(spark.range(40), f"{tmpdir_path}/b", 4, ["id"])
+    got = read_buckets(spark, f"{tmpdir_path}/b", [1, 3])
+    assert {r.bucket for r in got.collect()} == {1, 3}
+    assert not any("bucket=0" in f or "bucket=2" in f for f in got.inputFiles())

@@ -131,6 +131,12 @@ def test_model_entries_train_at_full_size(spark, monkeypatch):
     monkeypatch.setattr(Q, "stratified_folds", lambda *a: rows)
     for name in ("train_classifier", "train_regressor", "train_folds"):
         monkeypatch.setattr(P, name, catch)
+    for entry in (Q.m7, Q.m8, Q.m21, Q.m25):
+        with pytest.raises(Caught) as e:
+            entry(spark, "")
+        kind, params = e.value.args
+        model = P.make_classifier(kind, **params)
+        assert (model.getMaxIter(), model.getRegParam(), model.getElasticNetParam()) == (100, 0.1, 0.8)
     for entry, least in ((Q.m10, 10), (Q.m11, 10), (Q.m12, 200), (Q.m13, 1000), (Q.m14, 10)):
         with pytest.raises(Caught) as e:
             entry(spark, "")
@@ -138,4 +144,5 @@ def test_model_entries_train_at_full_size(spark, monkeypatch):
         params = {k: v for k, v in params.items() if k not in ("one_hot", "vector_index_max")}
         model = P.make_classifier("rf" if kind == "rf" else "gbt", **params)
         assert (model.getNumTrees() if kind == "rf" else model.getMaxIter()) >= least
-        assert model.getMaxDepth() >= 5
+        assert model.getMaxDepth() >= (18 if entry is Q.m13 else 5)
+        assert entry is not Q.m13 or model.getMinInstancesPerNode() == 512
