@@ -46,7 +46,10 @@ _NOT_HEX = re.compile(r"[^0-9A-Fa-f]+")
 _LINES = re.compile(rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{20,}}+(?:{_BREAK}[A-Za-z0-9+/_-]++)+")
 _PAIRS = re.compile(r"[0-9A-Fa-f]{2}(?:(?::|\x20|\\x|:?[ \t]*\r?\n[ \t]*)[0-9A-Fa-f]{2}){19,}")
 _PAIRS_START = re.compile(r"30(?::|\x20|\\x)(?:[0-7][0-9A-Fa-f]|8[0-4])")
-_PEM = re.compile(r"-----BEGIN ([A-Z ]{0,30}PRIVATE KEY)-----((?:[A-Za-z0-9+/=\s]|\\[nr])*)-----END \1-----")
+#: PEM blocks; header lines (Proc-Type, DEK-Info) may come first.
+_PEM = re.compile(r"-----BEGIN ([A-Z ]{0,30}PRIVATE KEY)-----((?:(?:\s|\\[nr])*[A-Z][A-Za-z-]{1,30}: [^\r\n\\:]{1,200})*"
+                  r"(?:[A-Za-z0-9+/=\s]|\\[nr])*)-----END \1-----")
+_ENCIPHERED = re.compile(r"Proc-Type: 4,ENCRYPTED\s*(?:\\[nr])*\s*DEK-Info: [A-Z0-9-]+,[0-9A-Fa-f]+")
 _PEM_BREAK = re.compile(r"\s+|\\[nr]")
 _BASE64_START = re.compile(r"M[A-I]|b3BlbnNzaC1rZXktdjEA")
 _HEX_RUN = re.compile(r"[0-9A-Fa-f]{40,}")
@@ -54,6 +57,10 @@ _HEX_START = re.compile(r"(?=30(?:[0-7].|8[0-4])|6f70656e7373682d6b65792d763100)
 _TOKEN_START = re.compile(r"e[yw]")
 _JWT_TAIL = re.compile(r"\.([A-Za-z0-9_-]+)\.([A-Za-z0-9_-]*)")
 _MIN_RUN = 20
+#: More members than a private key's sequence has; longest name of a cipher.
+_MAX_MEMBERS, _CIPHER_NAME = 12, 64
+_JSON = json.JSONDecoder()
+_FIRST_KEY = re.compile(r'\{\s*"(?:[^"\\]|\\.)*"\s*:')
 _RUN_BYTES = np.zeros(256, dtype=bool)
 _RUN_BYTES[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
 
@@ -83,26 +90,30 @@ def _der(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
 
 
 def _members(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
+    """The members of a sequence; None if they don't fill it, or are more than
+    any private key has."""
     out = []
     while at < end:
         m = _der(data, at, end)
-        if m is None:
+        if m is None or len(out) == _MAX_MEMBERS:
             return None
         out.append(m)
         at = m[2]
     return out
 
 
-def is_der_private_key(data: bytes) -> bool:
-    """PKCS#1, PKCS#8 or SEC1 private key whose lengths close exactly."""
-    top = _der(data, 0, len(data))
-    if top is None or top[0] != 0x30 or top[2] != len(data):
+def is_der_private_key(data: bytes, at: int = 0, end: int | None = None) -> bool:
+    """PKCS#1, DSA, PKCS#8 or SEC1 private key from ``at`` whose lengths close
+    exactly at ``end``.  Looks at a few members, however long the data is."""
+    end = len(data) if end is None else end
+    top = _der(data, at, end)
+    if top is None or top[0] != 0x30 or top[2] != end:
         return False
     parts = _members(data, top[1], top[2])
     if not parts or parts[0][0] != 0x02 or parts[0][2] - parts[0][1] != 1:
         return False
     tags, version = [p[0] for p in parts], data[parts[0][1]]
-    if version == 0 and len(parts) == 9 and set(tags) == {0x02}:
+    if version == 0 and len(parts) in (6, 9) and set(tags) == {0x02}:  # DSA, RSA
         return True
     if version in (0, 1) and len(parts) >= 3 and tags[1:3] == [0x30, 0x04]:
         inner = _members(data, parts[1][1], parts[1][2])
@@ -110,6 +121,31 @@ def is_der_private_key(data: bytes) -> bool:
     return version == 1 and len(parts) >= 2 and tags[1] == 0x04 and 20 <= parts[1][2] - parts[1][1] <= 72
 
 
+def is_encrypted_key(data: bytes) -> bool:
+    """PKCS#8 key under a password: an algorithm and the enciphered bytes."""
+    top = _der(data, 0, len(data))
+    parts = _members(data, top[1], top[2]) if top and top[0] == 0x30 and top[2] == len(data) else None
+    if not parts or [p[0] for p in parts] != [0x30, 0x04]:
+        return False
+    inner = _members(data, parts[0][1], parts[0][2])
+    return bool(inner) and inner[0][0] == 0x06 and parts[1][2] > parts[1][1]
+
+
+def is_pem_key(label: str, body: str) -> bool:
+    """The body of a PEM block holds a key of its label: a readable one, one
+    under a password, or one that its header lines say is enciphered."""
+    headers, _, rest = body.rpartition(":")
+    if headers:
+        # header lines end at the first line without a colon
+        _, _, rest = rest.partition("\n") if "\n" in rest else rest.partition("\\n")
+    data = decode_base64(_PEM_BREAK.sub("", rest))
+    if not data:
+        return False
+    if headers:
+        return bool(_key_kind(data)) or _ENCIPHERED.search(body) is not None and len(data) >= 32 and len(data) % 8 == 0
+    return bool(_key_kind(data)) or label.startswith("ENCRYPTED ") and is_encrypted_key(data)
+
+
 def is_openssh_key(data: bytes) -> bool:
     """``openssh-key-v1`` whose length-prefixed fields lie within the data."""
     magic = b"openssh-key-v1\0"
@@ -141,11 +177,44 @@ def _key_kind(data: bytes | None) -> str | None:
 
 def is_token(header: str, payload: str) -> bool:
     """Signed-token header and payload: JSON objects, the first with ``alg``."""
+    head, body = _json_object(header), _json_object(payload)
+    return head is not None and isinstance(head.get("alg"), str) and body is not None
+
+
+def _json_object(run: str) -> dict | None:
     try:
-        head, body = (json.loads((decode_base64(x) or b"").decode("utf-8")) for x in (header, payload))
+        found = json.loads((decode_base64(run) or b"").decode("utf-8"))
     except (ValueError, RecursionError):
-        return False
-    return isinstance(head, dict) and isinstance(head.get("alg"), str) and isinstance(body, dict)
+        return None
+    return found if isinstance(found, dict) else None
+
+
+def _token_start(run: str, payload: str) -> int | None:
+    """First place from which the run is a token's header.  The run is decoded
+    once for each of the four ways in which groups of four can lie; a place that
+    does not begin with a JSON key, or has no ``alg`` behind it, costs nothing."""
+    places = [m.start() for m in _TOKEN_START.finditer(run)]
+    if not places or _json_object(payload) is None:
+        return None
+    texts: dict[int, str | None] = {}
+    last: dict[int, int] = {}  # a header that begins behind the last "alg" has none
+    for at in places:
+        phase = at % 4
+        if phase not in texts:
+            data = decode_base64(run[phase:])
+            # Latin-1 keeps one character a byte; what is found is read again as UTF-8
+            texts[phase] = None if data is None else data.decode("latin-1")
+            last[phase] = (texts[phase] or "").rfind('"alg"')
+        text, begin = texts[phase], (at - phase) // 4 * 3
+        if text is None or begin > last[phase] or not _FIRST_KEY.match(text, begin):
+            continue
+        try:
+            found, end = _JSON.raw_decode(text, begin)
+        except (ValueError, RecursionError):
+            continue
+        if end == len(text.rstrip(" \t\r\n")) and isinstance(found, dict) and is_token(run[at:], payload):
+            return at
+    return None
 
 
 def find_secrets(text: str, long_run: bool = True) -> list[tuple[str, int, int]]:
@@ -177,43 +246,48 @@ def _der_size(head: bytes) -> int | None:
 
 
 def _keys(run: str) -> Iterator[tuple[str, int, int]]:
-    """(kind, start, end) of the keys in a run without breaks or padding."""
-    done = 0
+    """(kind, start, end) of the keys in a run without breaks or padding.  The
+    run is decoded once for each of the four ways in which groups can lie."""
+    done, decoded = 0, {}
     for m in _BASE64_START.finditer(run):
         at = m.start()
         if at < done:
             continue
+        phase = at % 4
+        if phase not in decoded:
+            whole = run[phase:]
+            decoded[phase] = decode_base64(whole[:-1] if len(whole) % 4 == 1 else whole) or b""
+        data, begin = decoded[phase], (at - phase) // 4 * 3
         if run[at] == "M":
-            size = _der_size(decode_base64(run[at:at + 16]) or b"")
-            if size is None or 4 * size > 3 * (len(run) - at):
-                continue
-            stop = at + -(-size * 4 // 3)
-        else:
-            stop = len(run) - ((len(run) - at) % 4 == 1)
-        if kind := _key_kind(decode_base64(run[at:stop])):
-            done = len(run) if kind == "openssh" else stop
-            yield kind, at, done
+            size = _der_size(data[begin:begin + 12])
+            if size is not None and begin + size <= len(data) and is_der_private_key(data, begin, begin + size):
+                done = at + -(-size * 4 // 3)
+                yield "der", at, done
+        elif int.from_bytes(data[begin + 15:begin + 19], "big") <= _CIPHER_NAME and is_openssh_key(data[begin:]):
+            done = len(run)
+            yield "openssh", at, len(run)
     for h in _HEX_RUN.finditer(run):
         yield from ((k, h.start() + a, h.start() + b) for k, a, b in _hex_keys(h[0]))
 
 
 def _hex_keys(run: str) -> Iterator[tuple[str, int, int]]:
-    done = 0
+    done, decoded = 0, {}
     for m in _HEX_START.finditer(run):
         at = m.start()
         if at < done:
             continue
-        rest = len(run) - at
+        phase = at % 2
+        if phase not in decoded:
+            decoded[phase] = bytes.fromhex(run[phase:len(run) - (len(run) - phase) % 2])
+        data, begin = decoded[phase], (at - phase) // 2
         if run[at] == "3":
-            size = _der_size(bytes.fromhex(run[at:at + min(24, rest // 2 * 2)]))
-            if size is None or 2 * size > rest:
-                continue
-            stop = at + 2 * size
-        else:
-            stop = at + rest // 2 * 2
-        if kind := _key_kind(bytes.fromhex(run[at:stop])):
-            done = stop
-            yield kind, at, stop
+            size = _der_size(data[begin:begin + 12])
+            if size is not None and begin + size <= len(data) and is_der_private_key(data, begin, begin + size):
+                done = at + 2 * size
+                yield "der", at, done
+        elif int.from_bytes(data[begin + 15:begin + 19], "big") <= _CIPHER_NAME and is_openssh_key(data[begin:]):
+            done = at + 2 * (len(data) - begin)
+            yield "openssh", at, done
 
 
 def _joined_keys(text: str, m: re.Match, between: re.Pattern) -> Iterator[tuple[str, int, int]]:
@@ -245,15 +319,14 @@ def _confirmed(text: str) -> list[tuple[str, int, int]]:
     for m in _RUN.finditer(text):
         run, start = m[0].rstrip("="), m.start()
         if tail := _JWT_TAIL.match(text, m.end()):
-            token = next((t.start() for t in _TOKEN_START.finditer(run) if is_token(run[t.start():], tail[1])), None)
+            token = _token_start(run, tail[1])
             if token is not None:
                 out.append(("jwt", start + token, tail.end()))
                 continue
         out += [(kind, start + a, _padded(text, start + b)) for kind, a, b in _keys(run)]
     blocks = []
     if "-----BEGIN " in text:
-        blocks = [("pem", *m.span()) for m in _PEM.finditer(text)
-                  if _key_kind(decode_base64(_PEM_BREAK.sub("", m[2])))]
+        blocks = [("pem", *m.span()) for m in _PEM.finditer(text) if is_pem_key(m[1], m[2])]
     joined = [(kind, a, _padded(text, b)) for m in _LINES.finditer(text)
               for kind, a, b in _joined_keys(text, m, _BREAKS)]
     if _PAIRS_START.search(text):
@@ -283,7 +356,8 @@ def _has_long_run(texts: pa.Array) -> np.ndarray:
 
 def _kernel(texts: pa.Array) -> pa.Array:
     flags = _has_long_run(texts)
-    rows = [[] if not t else [{"kind": k, "start": s, "end": e} for k, s, e in find_secrets(t, bool(f))]
+    rows = [[] if not t else [{"kind": k, "start": s, "end": e}
+                              for k, s, e in find_secrets(t, bool(f) or "-----BEGIN " in t)]
             for t, f in zip(texts.to_pylist(), flags)]
     return pa.array(rows, pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())])))
 
