@@ -37,6 +37,13 @@ def fresh(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def not_taken(df: DataFrame, *names: str) -> None:
+    """Fail where a result column would replace one of the input's."""
+    taken = sorted({n for n in names if n.lower() in {c.lower() for c in df.columns}})
+    if taken:
+        raise ValueError(f"the table already has {', '.join(taken)}: name another result column")
+
+
 def staged(spark: SparkSession, df: DataFrame, name: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts lineage,
     survives lost executors and gives Spark the real size of the table.  The

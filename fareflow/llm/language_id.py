@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import bounded_sample, text_udf
+from fareflow.llm.common import bounded_sample, fresh, not_taken, text_udf
 
 #: Training rows per language (about), n-grams kept per language, and hashes.
 DOCS_PER_LANG = 1500
@@ -168,7 +168,11 @@ def detector(model: LanguageFilter):
     return text_udf(kernel, "lang string, score double")
 
 
-def detect(docs: DataFrame, model: LanguageFilter, text: Column) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``lang_score``; all rows and columns stay."""
-    return docs.withColumn("_lang_id", detector(model)(text)) \
-        .withColumns({"lang_pred": F.col("_lang_id.lang"), "lang_score": F.col("_lang_id.score")}).drop("_lang_id")
+def detect(docs: DataFrame, model: LanguageFilter, text: Column, into: str = "lang_pred",
+           score: str = "lang_score") -> DataFrame:
+    """``docs`` with the language ``into`` and its ``score``; all rows and
+    columns stay, and a column of these names already there is an error."""
+    not_taken(docs, into, score)
+    found, = fresh(docs, "_lang_id")
+    return docs.withColumn(found, detector(model)(text)) \
+        .withColumns({into: F.col(found)["lang"], score: F.col(found)["score"]}).drop(found)

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from fareflow.llm.common import bounded_sample, class_weights, text_chunks
+from fareflow.llm.common import bounded_sample, class_weights, not_taken, text_chunks
 from fareflow.llm.tokens import CORE, Tokens, mix
 
 #: Labelled rows per class used for fitting (about).
@@ -190,5 +190,7 @@ def scorer(model: FactorisationMachine):
 
 def score(docs: DataFrame, model: FactorisationMachine, text: Column, n_chars: Column,
           into: str = "score") -> DataFrame:
-    """``docs`` with the quality score (null and empty texts get one too)."""
+    """``docs`` with the quality score (null and empty texts get one too); all
+    rows and columns stay, and a column of that name already there is an error."""
+    not_taken(docs, into)
     return docs.withColumn(into, scorer(model)(text, n_chars.cast("long")))

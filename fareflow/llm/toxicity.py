@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import bounded_sample, class_weights, text_chunks, text_udf
+from fareflow.llm.common import bounded_sample, class_weights, not_taken, text_chunks, text_udf
 from fareflow.llm.quality import sigmoid
 from fareflow.llm.tokens import Tokens, mix
 
@@ -296,5 +296,7 @@ def tagger(model: ToxicityChain):
 
 
 def tag(docs: DataFrame, model: ToxicityChain, text: Column, into: str = "toxicity") -> DataFrame:
-    """``docs`` with struct ``into``: score and spans; all rows and columns stay."""
+    """``docs`` with struct ``into``: score and spans; all rows and columns
+    stay, and a column of that name already there is an error."""
+    not_taken(docs, into)
     return docs.withColumn(into, tagger(model)(text))

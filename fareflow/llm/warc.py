@@ -253,7 +253,13 @@ def resolve_revisits(records: DataFrame) -> DataFrame:
     responses = slim.where("record_type = 'response'").select(
         F.col("record_id").alias("refers_id"), F.col("payload_bytes").alias("full_bytes"),
         F.col("payload_digest").alias("full_digest"), F.col("page_id").alias("refers_to"))
-    got = slim.join(responses, "refers_id", "left")
-    pick = lambda full, own: F.when(F.col("record_type") == "revisit", F.col(full)).otherwise(F.col(own))
-    return got.select("page_id", pick("full_bytes", "payload_bytes").alias("payload_bytes"),
-                      pick("full_digest", "payload_digest").alias("payload_digest"), "record_type", "refers_to")
+    # only revisits meet their response; one payload may have a third of all
+    revisits = slim.where("record_type = 'revisit'").select("page_id", "refers_id", "record_type") \
+        .withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    met = groups_to_members(revisits, responses, ["refers_id"], "salt").select(
+        "page_id", F.col("full_bytes").alias("payload_bytes"), F.col("full_digest").alias("payload_digest"),
+        "record_type", "refers_to")
+    own = slim.where("record_type <> 'revisit'").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type",
+        F.lit(None).cast(records.schema["page_id"].dataType).alias("refers_to"))
+    return own.unionAll(met)

@@ -239,3 +239,26 @@ def test_buckets_of_short_vectors_are_skipped():
     assert lexical.search_bucket(*args) is False and not best.rows
     args = (np.array([0]), np.array([3]), np.array([120]), np.array([120.1]), np.array([7]), starts, item_terms, best)
     assert lexical.search_bucket(*args) is True and best.rows[0][0].tolist() == [120]
+
+
+def test_result_columns_never_replace_input_columns(spark):
+    from fareflow.llm import language_id, quality, toxicity
+    from fareflow.llm.common import not_taken
+    docs = documents(spark, [(1, "a b", "s")]).withColumns({c: F.lit("mine") for c in ("Toxicity", "score", "lang_pred")})
+    for call in (lambda: toxicity.tag(docs, None, F.col("text")), lambda: quality.score(docs, None, F.col("text"), F.col("n_chars")),
+                 lambda: language_id.detect(docs, None, F.col("text"))):
+        with pytest.raises(ValueError, match="already has"):
+            call()
+    not_taken(docs, "other")
+
+
+def test_many_revisits_of_one_payload(spark):
+    """A third of all pages share a payload; responses keep their own figures."""
+    from fareflow.llm import warc
+    rows = [("r0", "response", None, 0, 7, "A"), ("r1", "response", None, 1, 0, "B")]
+    rows += [(f"v{i}", "revisit", "r0", 10 + i, None, None) for i in range(40)]
+    kind = "record_id string, record_type string, refers_to string, page_id long, payload_bytes long, payload_digest string"
+    got = {r.page_id: tuple(r)[1:] for r in warc.resolve_revisits(spark.createDataFrame(rows, kind)).collect()}
+    assert got == {0: (7, "A", "response", None), 1: (0, "B", "response", None),
+                   **{10 + i: (7, "A", "revisit", 0) for i in range(40)}}
+    assert warc.resolve_revisits(spark.createDataFrame([], kind)).collect() == []
