@@ -108,9 +108,18 @@ def cube_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def frequent_exact(df: DataFrame, c: str, support: float) -> DataFrame:
-    """Values whose share of rows is at least ``support`` (exact F13)."""
-    counts = df.groupBy(c).agg(F.count(F.lit(1)).alias("count"))
+    """Values whose share of rows is at least ``support`` (exact F13).
+
+    A mergeable counter summary (``freqItems``, counters in each task) names
+    every value that can reach the share, and some that don't; a second pass
+    counts those exactly.  What is shuffled and what reaches the driver is
+    bounded by 1 / support, however many values there are."""
+    summary = df.select(F.struct(F.col(c)).alias("v")).select(F.to_json("v", {"ignoreNullFields": "false"}).alias("v"))
+    # half the support, as the summary only promises shares above its own
+    named = summary.freqItems(["v"], max(1e-4, support / 2)).first()[0] or []
+    value = F.to_json(F.struct(F.col(c)), {"ignoreNullFields": "false"})
     total = df.agg(F.count(F.lit(1))).scalar()  # scalar subquery, no join
+    counts = df.where(value.isin(named)).groupBy(c).agg(F.count(F.lit(1)).alias("count"))
     return (counts.filter(F.col("count") >= F.lit(support) * total)
             .select(c, "count", (F.col("count") / total).alias("share")))
 
@@ -124,11 +133,61 @@ def duplicate_report(df: DataFrame, keys: Sequence[str] | None = None) -> DataFr
             .withColumn("duplicates", F.col("rows") - F.col("distinctRows")))
 
 
+#: Leaves of the hash tree on each level, and its levels above the rows.
+LEAVES, LEVELS = 1 << 10, 3
+
+
+def row_digest(df: DataFrame, columns: Sequence[str], path: Sequence[Sequence[int]] = ()) -> DataFrame:
+    """One level of a hash tree over the rows (I3): (leaf, rows, s1, s2), counts
+    and order-free sums of two 64-bit row hashes for each of ``LEAVES`` leaves.
+    Only rows below the leaves of ``path``, one list for each level before, count.  Tasks give one row a leaf, so no rows are shuffled."""
+    h = F.xxhash64(*[F.col(c) for c in columns])
+    level = len(path)
+    leaf = lambda k: F.pmod(F.shiftrightunsigned(h, 20 * k), F.lit(LEAVES)).cast("int")
+    rows = df
+    for k, leaves in enumerate(path):
+        rows = rows.where(leaf(k).isin(list(leaves)))
+    wide = lambda c: F.sum(c.cast("decimal(20,0)"))
+    return rows.groupBy(leaf(level).alias("leaf")).agg(
+        F.count(F.lit(1)).alias("rows"), wide(h).alias("s1"),
+        wide(F.xxhash64(F.lit(7919), *[F.col(c) for c in reversed(columns)])).alias("s2"))
+
+
+def differing_leaves(a: DataFrame, b: DataFrame, columns: Sequence[str]) -> list[list[int]]:
+    """Leaves of each level below which the tables differ, by digests of at
+    most ``LEAVES`` rows; an empty list for equal tables.  Goes on to the next
+    level while that leaves out most of what is left."""
+    path: list[list[int]] = []
+    for _ in range(LEVELS):
+        found = [{r["leaf"]: tuple(r)[1:] for r in row_digest(t, columns, path).collect()} for t in (a, b)]
+        apart = sorted(k for k in found[0].keys() | found[1].keys() if found[0].get(k) != found[1].get(k))
+        if not apart:
+            return []
+        path.append(apart)
+        if 4 * len(apart) > LEAVES:
+            break
+    return path
+
+
 def datasets_equal(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Bag equality of two tables (I3): rows only in a / only in b, from
-    one signed count per distinct row."""
-    signed = a.withColumn("_ff_s", F.lit(1)).unionByName(b.withColumn("_ff_s", F.lit(-1)))
-    surplus = signed.groupBy(*a.columns).agg(F.sum("_ff_s").alias("_ff_s"))
+    """Bag equality of two tables (I3): rows only in a / only in b.
+
+    Both tables are digested first; equal tables are read once each and none of
+    their rows is shuffled.  Where digests differ, only rows below differing
+    leaves are compared, by one signed count per distinct row.  Equal digests of
+    different tables need two 64-bit sums to collide at once."""
+    columns = a.columns
+    path = differing_leaves(a, b.select(*columns), columns)
+    if not path:
+        return a.sparkSession.createDataFrame([(0, 0, True)], "onlyLeft long, onlyRight long, equal boolean")
+    h = F.xxhash64(*[F.col(c) for c in columns])
+    below = F.lit(True)
+    for k, leaves in enumerate(path):
+        if 4 * len(leaves) <= LEAVES:
+            below = below & F.pmod(F.shiftrightunsigned(h, 20 * k), F.lit(LEAVES)).cast("int").isin(leaves)
+    signed = a.where(below).withColumn("_ff_s", F.lit(1)).unionByName(b.select(*columns).where(below)
+                                                                      .withColumn("_ff_s", F.lit(-1)))
+    surplus = signed.groupBy(*columns).agg(F.sum("_ff_s").alias("_ff_s"))
     side = lambda s: F.coalesce(F.sum(F.greatest(F.col("_ff_s") * s, F.lit(0))), F.lit(0)).cast("long")
     return (surplus.agg(side(1).alias("onlyLeft"), side(-1).alias("onlyRight"))
             .withColumn("equal", (F.col("onlyLeft") == 0) & (F.col("onlyRight") == 0)))

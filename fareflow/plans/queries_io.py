@@ -186,6 +186,23 @@ def a17(spark, sf_dir):
     return H.link_rows(load_table(spark, sf_dir, "pages"))
 
 
+@register("A17_html_table_rows", """
+SELECT page_id, 0 AS "table", 0 AS "row", [url, url] AS cells FROM pages
+UNION ALL SELECT page_id, 0, 1, [CAST(page_id AS VARCHAR), CAST(length(html) AS VARCHAR)] FROM pages
+UNION ALL SELECT page_id, 0, 2, [CAST(page_id AS VARCHAR), 'A & B'] FROM pages
+UNION ALL SELECT page_id, 1, 0, ['x', 'y ' || CAST(page_id % 7 AS VARCHAR)] FROM pages WHERE page_id % 2 = 0""")
+def a17_tables(spark, sf_dir):
+    """Two tables a page, made of the page's own fields: spans over columns and
+    rows, references, missing end tags."""
+    page, size = F.col("page_id").cast("string"), F.length("html").cast("string")
+    first = F.concat(F.lit("<p>t</p><table><thead><tr><th colspan=2>"), F.col("url"), F.lit("</th></tr></thead><tr><td rowspan='2'> "),
+                     page, F.lit("</td><td><b>"), size, F.lit("</b></td></tr><tr><td>A &amp;\n B</td></tr></table>"))
+    second = F.concat(F.lit("<TABLE><TR><TD>x<TD>y "), (F.col("page_id") % 7).cast("string"), F.lit("</table>"))
+    pages = load_table(spark, sf_dir, "pages").select(
+        "page_id", F.concat(first, F.when(F.col("page_id") % 2 == 0, second).otherwise("")).alias("html"))
+    return H.table_rows(pages)
+
+
 @register("B10_A18_bucket_export", f"SELECT {SQL_IDS}, price, CAST(l_orderkey % 8 AS INTEGER) AS bucket FROM q")
 def b10(spark, sf_dir):
     p = stage_path(spark, "buckets")

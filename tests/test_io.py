@@ -194,3 +194,14 @@ def test_chosen_buckets_only(spark, tmpdir_path):
     got = read_buckets(spark, f"{tmpdir_path}/b", [1, 3])
     assert {r.bucket for r in got.collect()} == {1, 3}
     assert not any("bucket=0" in f or "bucket=2" in f for f in got.inputFiles())
+
+
+def test_table_rows_with_spans_and_nesting(spark):
+    from fareflow.sources.html import table_rows
+    page = ("<table><caption>c</caption><tr><th rowspan=3>r<th colspan='2'>top &lt;1&gt;</tr><tr><td>a<td>b<tr><td>c</td>"
+            "<td rowspan=2>d <table><tr><td>in</td></tr></table> e</td></tr><tr><td>f</td><td>g</td></tr></table><tr><td>no")
+    rows = [(1, page), (2, None), (3, "<p>none</p>"), (4, "<table><tr></tr><tr><td></td></tr>"), (1, "<table><tr><td colspan=x>z")]
+    df = spark.createDataFrame(rows, "page_id int, html string")
+    got = sorted((r.page_id, r.table, r.row, r.cells) for r in table_rows(df).collect())
+    assert got == sorted([(1, 0, 0, ["r", "top <1>", "top <1>"]), (1, 0, 1, ["r", "a", "b"]), (1, 0, 2, ["r", "c", "d e"]),
+                          (1, 0, 3, ["f", "g", "d e"]), (1, 1, 0, ["in"]), (1, 0, 0, ["z"]), (4, 0, 0, []), (4, 0, 1, [""])])

@@ -210,3 +210,38 @@ def test_bag_equality_and_duplicates_in_one_pass(spark):
     assert tuple(datasets_equal(a, a).first()) == (0, 0, True)
     assert tuple(duplicate_report(a).first()) == (3, 2, 1)
     assert tuple(duplicate_report(a.limit(0)).first()) == (0, 0, 0)
+
+
+@pytest.mark.parametrize("leaves", [8, 1024])
+def test_hash_tree_compares_only_what_differs(spark, monkeypatch, leaves):
+    from fareflow.operators import explore
+    monkeypatch.setattr(explore, "LEAVES", leaves)
+    rows = [(i % 300, None if i % 7 == 0 else f"v{i % 90}", float(i % 13)) for i in range(1500)]
+    a = spark.createDataFrame(rows, "k int, v string, x double")
+    same = a.repartition(5).select("x", "v", "k")
+    assert tuple(explore.datasets_equal(a, same).first()) == (0, 0, True)
+    assert explore.differing_leaves(a, same, a.columns) == []
+    other = spark.createDataFrame([*rows[3:], (5, "new", 1.0), (5, "new", 1.0)], a.schema)
+    assert tuple(explore.datasets_equal(a, other).first()) == (3, 2, False)
+    path = explore.differing_leaves(a, other, a.columns)
+    assert path and all(path) and len(path[0]) <= 5
+    assert tuple(explore.datasets_equal(a, a.limit(0)).first()) == (1500, 0, False)
+    assert tuple(explore.datasets_equal(a.limit(0), a.limit(0)).first()) == (0, 0, True)
+
+
+def test_equal_tables_are_compared_without_shuffling_rows(spark):
+    from fareflow.operators import explore
+    plan = explore.row_digest(spark.range(1000).withColumn("v", F.col("id") * 2), ["id", "v"]) \
+        ._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "partial_count" in plan
+
+
+def test_frequent_values_are_all_found(spark):
+    from fareflow.operators.explore import frequent_exact
+    rows = [(None,)] * 300 + [("often",)] * 301 + [("edge",)] * 100 + [(f"rare{i}",) for i in range(299)]
+    df = spark.createDataFrame(rows, "c string").repartition(7)
+    got = {r.c: r["count"] for r in frequent_exact(df, "c", 0.1).collect()}
+    assert got == {None: 300, "often": 301, "edge": 100}
+    assert frequent_exact(df.limit(0), "c", 0.1).collect() == []
+    numbers = spark.range(1000).select((F.col("id") % 50).cast("int").alias("c"))
+    assert frequent_exact(numbers, "c", 0.02).count() == 50 and frequent_exact(numbers, "c", 0.021).count() == 0
