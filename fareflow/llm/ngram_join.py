@@ -51,6 +51,8 @@ NGRAM = 3
 PERCENT = 90
 BLOCK = 512
 STRIDE = 16
+#: Up to so many sets a trie is at most LEVELS high.
+FEW, LEVELS = 64, 6
 SALTS = 64
 _CLASS_RATIO = 1.5
 
@@ -191,20 +193,23 @@ def _describe(percent: int, ngram: int):
 
 
 class Trie:
-    """Sorted sets in a trie with ``STRIDE`` elements to a node."""
+    """Sorted sets in a trie with ``STRIDE`` elements to a node, or more where
+    few sets have little to share: a trie of few sets is LEVELS high."""
 
     def __init__(self, sets: list[np.ndarray]):
         self.sizes = np.array([len(s) for s in sets], dtype=np.int64)
-        depth = -(-int(self.sizes.max(initial=0)) // STRIDE)
+        largest = int(self.sizes.max(initial=0))
+        self.stride = stride = STRIDE if len(sets) > FEW else max(STRIDE, -(-largest // LEVELS))
+        depth = -(-largest // stride)
         self.levels = []
         parent = np.zeros(len(sets), dtype=np.int64)  # node of each set on the level above
         alive = np.arange(len(sets))
         for level in range(depth):
-            alive = alive[self.sizes[alive] > level * STRIDE]
-            width = np.minimum(self.sizes[alive] - level * STRIDE, STRIDE)
-            piece = np.zeros((len(alive), STRIDE), dtype=np.int64) - 1
+            alive = alive[self.sizes[alive] > level * stride]
+            width = np.minimum(self.sizes[alive] - level * stride, stride)
+            piece = np.zeros((len(alive), stride), dtype=np.int64) - 1
             for row, s in enumerate(alive):
-                piece[row, :width[row]] = sets[s][level * STRIDE:(level + 1) * STRIDE]
+                piece[row, :width[row]] = sets[s][level * stride:(level + 1) * stride]
             rows = np.concatenate([parent[alive][:, None], piece], axis=1)
             nodes, first, inverse = np.unique(rows, axis=0, return_index=True, return_inverse=True)
             inverse = inverse.ravel()
@@ -221,7 +226,7 @@ class Trie:
     def search(self, queries: list[np.ndarray], percent: int, known=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(query, set) pairs that link; ``known(query, set)`` marks pairs that
         need not be looked at."""
-        sizes = np.array([len(q) for q in queries], dtype=np.int64)
+        stride, sizes = self.stride, np.array([len(q) for q in queries], dtype=np.int64)
         base = int(max([0, *(int(q[-1]) for q in queries if len(q)),
                         *(int(x["items"].max(initial=0)) for x in self.levels)])) + 2
         keys = np.concatenate([q + i * base for i, q in enumerate(queries)]) if len(queries) else np.zeros(0, np.int64)
@@ -249,19 +254,19 @@ class Trie:
             width = (items >= 0).sum(axis=1)
             last = np.arange(len(q)), width - 1
             passed = at[last] + hit[last] - starts[q]  # query elements up to the node's last element
-            depth = level * STRIDE + width
+            depth = level * stride + width
             low, high = x["low"][node], x["high"][node]
             most = seen + np.minimum(sizes[q] - passed, high - depth)
             ok = (100 + percent) * most >= percent * (sizes[q] + np.maximum(low, most))
             q, node, seen = q[ok], node[ok], seen[ok]
             # sets that end in the node
-            ends = np.flatnonzero(x["low"][node] <= level * STRIDE + width[ok])
+            ends = np.flatnonzero(x["low"][node] <= level * stride + width[ok])
             if len(ends):
                 n = x["stop"][node[ends]] - x["start"][node[ends]]
                 e = np.repeat(ends, n)
                 at = x["start"][node[ends]].repeat(n) + np.arange(len(e)) - np.repeat(np.cumsum(n) - n, n)
                 s = x["end_order"][at]
-                done = self.sizes[s] == (level * STRIDE + width[ok])[e]
+                done = self.sizes[s] == (level * stride + width[ok])[e]
                 link = done & ((100 + percent) * seen[e] >= percent * (sizes[q[e]] + self.sizes[s]))
                 yield q[e][link], s[link]
 
@@ -290,11 +295,14 @@ def join_block(ids: np.ndarray, sides: np.ndarray, texts: pa.Array, percent: int
     sets = [codes[bounds[i]:bounds[i + 1]] for i in range(len(ids))]
     left = np.flatnonzero(sides == 0)
     right = np.flatnonzero(sides == 1)
+    if 0 < len(right) < len(left):
+        # the smaller side, a single pivot for one, goes into the trie, the other is looked up
+        left, right = right, left
     queries = right if len(right) else left
     trie, union = Trie([sets[i] for i in left]), Union(len(ids))
     union.label = np.unique(labels, return_inverse=True)[1].astype(np.int64)
     edges = []
-    step, at = 1, 0
+    step, at = 1 if len(left) > 4 else 128, 0
     while at < len(queries):
         part = queries[at:at + step]
         known = lambda q, s: union.label[part[q]] == union.label[left[s]]  # noqa: E731, B023
