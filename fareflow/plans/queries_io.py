@@ -93,6 +93,40 @@ def b5(spark, sf_dir):
     return spark.read.parquet(dst)
 
 
+@register("B4_B5_pack_small_files", f"""
+SELECT {SQL_IDS}, price, f.r_name AS fromCity, t.r_name AS toCity, strftime(searchDate, '%Y%m') AS searchMonth
+FROM q JOIN nation a ON s_nationkey = a.n_nationkey JOIN region f ON a.n_regionkey = f.r_regionkey
+JOIN nation b ON c_nationkey = b.n_nationkey JOIN region t ON b.n_regionkey = t.r_regionkey""")
+def pack_small_files(spark, sf_dir):
+    """Route x month folders (routes between regions, as the given tables hold
+    about one row for each city pair and month), written by two loads, packed
+    to one file each; a second run rewrites nothing."""
+    nation, region = (load_table(spark, sf_dir, t) for t in ("nation", "region"))
+    place = F.broadcast(nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name"))
+    q = quote_view(spark, sf_dir)
+    rows = q.join(place.select(F.col("n_nationkey").alias("s_nationkey"), F.col("r_name").alias("f")), "s_nationkey") \
+        .join(place.select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("t")), "c_nationkey") \
+        .select(*IDS, "price", F.col("f").alias("fromCity"), F.col("t").alias("toCity"), "searchDate")
+    rows = K.with_search_month(rows).drop("searchDate")
+    layout, p = ["fromCity", "toCity", "searchMonth"], stage_path(spark, "route-months")
+    for odd in (0, 1):
+        K.write_parquet(rows.where(F.col("l_orderkey") % 2 == odd), p, "append", layout)
+    if not K.compact_partitions(spark, p, layout) or K.compact_partitions(spark, p, layout):
+        raise AssertionError("small files are packed once")
+    return spark.read.parquet(p).withColumn("searchMonth", F.col("searchMonth").cast("string"))
+
+
+@register("F15_append_once", f"SELECT DISTINCT {SQL_IDS}, price FROM q")
+def append_once(spark, sf_dir):
+    """One folder loaded twice and a larger one after it: each quote once."""
+    import uuid
+    q = quote_view(spark, sf_dir).select(*IDS, "price")
+    keys, table, p = [*IDS, "price"], f"quotes_{uuid.uuid4().hex[:10]}", stage_path(spark, "append-once")
+    for part in (q.where("l_linenumber <= 4"), q.where("l_linenumber <= 4"), q):
+        K.append_new(part, table, keys, p, buckets=8)
+    return spark.table(table)
+
+
 @register("B6_A4_consolidate_folders", f"""
 SELECT {SQL_IDS}, price, fromCity, toCity, strftime(searchDate, '%Y%m') AS searchMonth FROM q""")
 def b6(spark, sf_dir):

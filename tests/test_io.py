@@ -205,3 +205,54 @@ def test_table_rows_with_spans_and_nesting(spark):
     got = sorted((r.page_id, r.table, r.row, r.cells) for r in table_rows(df).collect())
     assert got == sorted([(1, 0, 0, ["r", "top <1>", "top <1>"]), (1, 0, 1, ["r", "a", "b"]), (1, 0, 2, ["r", "c", "d e"]),
                           (1, 0, 3, ["f", "g", "d e"]), (1, 1, 0, ["in"]), (1, 0, 0, ["z"]), (4, 0, 0, []), (4, 0, 1, [""])])
+
+
+def test_only_folders_with_small_files_are_packed(spark, tmpdir_path):
+    import os
+    path, layout = f"{tmpdir_path}/t", ["fromCity", "toCity", "searchMonth"]
+    rows = [(i, f"A {i % 3}", f"B%{i % 2}", 201701 + i % 2) for i in range(600)]
+    df = spark.createDataFrame(rows, "id int, fromCity string, toCity string, searchMonth int")
+    for k in range(3):
+        df.where(f"id % 3 = {k} OR fromCity = 'A 1'").where(f"{k} = 0 OR fromCity <> 'A 2'").repartition(1) \
+            .write.mode("append").partitionBy(*layout).parquet(path)
+    want = sorted(map(tuple, spark.read.parquet(path).select(df.columns).collect()))
+    before = {(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    folders = {d for d, _, fs in os.walk(path) if sum(f.endswith(".parquet") for f in fs) > 1}
+    assert sinks.compact_partitions(spark, path, layout, folders_at_once=2) == len(folders) > 1
+    spark.catalog.refreshByPath(path)
+    assert sorted(map(tuple, spark.read.parquet(path).select(df.columns).collect())) == want
+    per = [[f for f in fs if f.endswith(".parquet")] for _, _, fs in os.walk(path)]
+    assert {len(f) for f in per if f} == {1}
+    after = {(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, fs in os.walk(path) for f in fs if f.endswith(".parquet")}
+    assert any(before.get(f) == t for f, t in after.items())  # other folders were left alone
+    assert sinks.compact_partitions(spark, path, layout) == 0
+
+
+def test_bins_keep_the_size_target(spark, tmpdir_path):
+    path = f"{tmpdir_path}/t"
+    spark.range(40_000).selectExpr("id", "uuid() AS u", "1 AS p").repartition(40).write.partitionBy("p").parquet(path)
+    sizes = {r.path: r.size for r in files.inventory(spark, path, glob="*.parquet").collect()}
+    target = 3.5 * max(sizes.values()) / 1024 / 1024
+    plan = sinks.small_file_plan(spark, path, target).collect()
+    bins = {}
+    for r in plan:
+        bins[r.bin] = bins.get(r.bin, 0) + sizes[r.file]
+    assert len(plan) == 40 and max(bins.values()) <= target * 1024 * 1024 and len(bins) > 5
+    assert sinks.compact_partitions(spark, path, ["p"], target) == 1
+    assert spark.read.parquet(path).select("id").distinct().count() == 40_000
+    assert files.inventory(spark, path, glob="*.parquet").count() == len(bins)
+
+
+def test_rows_are_appended_once_without_shuffling_the_table(spark, tmpdir_path):
+    name, path = "once_" + tmpdir_path[-8:].replace("-", "_").lower(), f"{tmpdir_path}/once"
+    kind = "k int, s string, v int"
+    first = spark.createDataFrame([(1, "a", 1), (1, "a", 2), (2, None, 3), (None, None, 4)], kind)
+    assert sinks.append_new(first, name, ["k", "s"], path, 4).count() == 3
+    more = spark.createDataFrame([(1, "a", 9), (2, None, 9), (None, None, 9), (2, "b", 5), (3, None, 6), (3, None, 6)], kind)
+    assert sorted(map(str, sinks.append_new(more, name, ["k", "s"], path, 4).collect())) == sorted(
+        map(str, [type(first.first())(k=2, s="b", v=5), type(first.first())(k=3, s=None, v=6)]))
+    assert spark.table(name).count() == 5
+    big = spark.range(1000).selectExpr("cast(id as int) k", "concat('a', id % 3) s", "1 v")
+    plan = sinks.not_in_table(big, spark.table(name), ["k", "s"])._jdf.queryExecution().executedPlan().toString()
+    assert "Bucketed: true" in plan and plan[:plan.index("Bucketed: true")].count("Exchange") == 1, plan
+    spark.sql(f"DROP TABLE {name}")
