@@ -370,8 +370,10 @@ def _shared(rows: DataFrame) -> DataFrame:
 
 
 def _near(sets: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """(bucket, id, root): the sets that share each signature, of sets that
-    share enough of them, with the smallest id."""
+    """(bucket, id, root, shared): the sets that share a signature with the
+    same smallest set, of sets that share enough of them, and how many they
+    share.  Two sets link by hundreds of signatures, so all those with one
+    smallest set are one bucket."""
     rows = sets.select("id", "part", "least", F.explode("sigs").alias("sig")) \
         .withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int"))
     shared = stage(_shared(rows), "join-shared")
@@ -384,7 +386,8 @@ def _near(sets: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> Data
         # counted again, as signatures may have been shared with sets that dropped out
         near = stage(near.withColumn("enough", enough).where("enough").select(*columns), "join-near")
         near = groups_to_members(near, _shared(near), ["sig"], "salt").where("root IS NOT NULL")
-    return near.select(F.col("sig").alias("bucket"), "id", "root")
+    near = near.groupBy("id", "root").agg(F.count(F.lit(1)).alias("shared"))
+    return near.select(F.col("root").alias("bucket"), "id", "root", "shared")
 
 
 def _blocks(stars: DataFrame) -> DataFrame:
@@ -441,7 +444,7 @@ def _prepared(base: DataFrame, percent: int, ngram: int) -> tuple[DataFrame, Dat
         signs = ["id", "part", "least", "sigs"]
         sets = signed.where("NOT given_again").select(*signs).unionAll(
             signed.where("given_again").join(first, ["id", *keys], "left_semi").select(*signs))
-        near = staged(spark, _near(sets, stage).distinct(), "join-buckets")
+        near = staged(spark, _near(sets, stage), "join-buckets")
     return members, groups, near
 
 
@@ -463,7 +466,8 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     release(spark)
 
     with passing(spark) as stage:
-        classes = linked_classes(near, base.where("id IS NOT NULL"), _join_groups(percent, ngram), stage)
+        classes = linked_classes(near, base.where("id IS NOT NULL"), _join_groups(percent, ngram), stage,
+                                 weight=F.col("shared"))
         classes = staged(spark, classes, "join-classes")
     named = groups.join(classes, groups["rep"] == classes["node"], "left") \
         .select(*keys, F.coalesce("component", "rep").alias("class"))
