@@ -94,21 +94,19 @@ def b5(spark, sf_dir):
 
 
 @register("B4_B5_pack_small_files", f"""
-SELECT {SQL_IDS}, price, f.r_name AS fromCity, t.r_name AS toCity, strftime(searchDate, '%Y%m') AS searchMonth
-FROM q JOIN nation a ON s_nationkey = a.n_nationkey JOIN region f ON a.n_regionkey = f.r_regionkey
-JOIN nation b ON c_nationkey = b.n_nationkey JOIN region t ON b.n_regionkey = t.r_regionkey""")
+SELECT {SQL_IDS}, price, r_name AS fromCity, strftime(searchDate, '%Y%m') AS searchMonth
+FROM q JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""")
 def pack_small_files(spark, sf_dir):
-    """Route x month folders (routes between regions, as the given tables hold
-    about one row for each city pair and month), written by two loads, packed
-    to one file each; a second run rewrites nothing."""
+    """Region x month folders (the given tables hold about one row for each
+    city pair and month), written by two loads, packed to one file each; a
+    second run rewrites nothing."""
     nation, region = (load_table(spark, sf_dir, t) for t in ("nation", "region"))
-    place = F.broadcast(nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select("n_nationkey", "r_name"))
-    q = quote_view(spark, sf_dir)
-    rows = q.join(place.select(F.col("n_nationkey").alias("s_nationkey"), F.col("r_name").alias("f")), "s_nationkey") \
-        .join(place.select(F.col("n_nationkey").alias("c_nationkey"), F.col("r_name").alias("t")), "c_nationkey") \
-        .select(*IDS, "price", F.col("f").alias("fromCity"), F.col("t").alias("toCity"), "searchDate")
+    place = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")) \
+        .select(F.col("n_nationkey").alias("s_nationkey"), F.col("r_name").alias("fromRegion"))
+    rows = quote_view(spark, sf_dir).join(F.broadcast(place), "s_nationkey") \
+        .select(*IDS, "price", F.col("fromRegion").alias("fromCity"), "searchDate")
     rows = K.with_search_month(rows).drop("searchDate")
-    layout, p = ["fromCity", "toCity", "searchMonth"], stage_path(spark, "route-months")
+    layout, p = ["fromCity", "searchMonth"], stage_path(spark, "route-months")
     for odd in (0, 1):
         K.write_parquet(rows.where(F.col("l_orderkey") % 2 == odd), p, "append", layout)
     if not K.compact_partitions(spark, p, layout) or K.compact_partitions(spark, p, layout):
