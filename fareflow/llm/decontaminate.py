@@ -28,8 +28,6 @@ from fareflow.llm.common import maybe_in, staged
 
 #: Masks of the candidates; together they lose no overlap (see module text).
 SEEDS = ("1111", "11011")
-#: Masks of the SQL twin, which counts only words under a seed hit.
-MASKS = ("1110110111", "1101111011")
 SPAN = 10
 MIN_SHARE = 0.8
 MIN_RUN = 20

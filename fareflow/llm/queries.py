@@ -160,27 +160,34 @@ FROM g
 
 _WORDS = r"""list_filter(string_split_regex(regexp_replace(lower(coalesce(text, '')),
   '[^\p{L}\p{N}\x20\x09-\x0D]+', '', 'g'), '[\x20\x09-\x0D]+'), lambda x: x <> '')"""
-_OFFSETS = [[i for i, c in enumerate(m) if c == "1"] for m in decontaminate.MASKS]
-_SEEDS = ", ".join(f"concat_ws(' ', {m}, " + ", ".join(f"w[p + {o + 1}]" for o in offs) + ")"
-                   for m, offs in enumerate(_OFFSETS))
-
-#: Items shorter than the masks do not occur in the given benchmark.
+#: Each item laid over each document at every distance and words compared: no
+#: seeds.  Balances of all beginnings and ends of an item give its best run.
 OP9_SQL = f"""
 WITH d AS (SELECT doc_id AS id, {_WORDS} AS w FROM documents WHERE doc_id IS NOT NULL),
 i0 AS (SELECT item_id AS id, {_WORDS} AS w FROM benchmark WHERE item_id IS NOT NULL),
-i AS (SELECT min(id) AS id, w FROM i0 GROUP BY w),
-dp AS (SELECT id, w, unnest(range(0, len(w) - 9)) AS p FROM d),
-ip AS (SELECT id, w, len(w) AS n, unnest(range(0, len(w) - 9)) AS p FROM i),
-ds AS (SELECT id, p, unnest([{_SEEDS}]) AS s FROM dp),
-its AS (SELECT id, n, p, unnest([{_SEEDS}]) AS s, unnest({_OFFSETS}) AS offs FROM ip),
-hit AS (SELECT DISTINCT ds.id AS doc, its.id AS item, its.n, ds.p - its.p AS diagonal, its.p + unnest(its.offs) AS ipos
-        FROM ds JOIN its USING (s)),
-f AS (SELECT doc, item, n, diagonal, count(*) AS matched, min(ipos) AS first, max(ipos) AS last
-      FROM hit GROUP BY ALL),
-g AS (SELECT *, row_number() OVER (PARTITION BY doc, item ORDER BY matched DESC, abs(diagonal), diagonal DESC) AS r
-      FROM f WHERE matched >= n * 0.8 OR (last - first + 1 >= 20 AND matched >= (last - first + 1) * 0.8))
-SELECT doc AS doc_id, item AS item_id, matched, n AS item_words, first, last, diagonal AS doc_pos
-FROM g WHERE r = 1
+i AS (SELECT min(id) AS id, w FROM i0 WHERE len(w) > 0 GROUP BY w),
+dw AS (SELECT id AS doc, unnest(w) AS word, unnest(range(len(w))) AS p FROM d),
+iw AS (SELECT id AS item, len(w) AS n, unnest(w) AS word, unnest(range(len(w))) AS k FROM i),
+m AS (SELECT doc, item, n, p - k AS diagonal, count(*) AS total FROM dw JOIN iw USING (word) GROUP BY ALL),
+c AS (SELECT *, total >= n * 0.8::DOUBLE AS whole FROM m
+      WHERE CASE WHEN n < {decontaminate.SPAN} THEN total = n ELSE total >= n * 0.8::DOUBLE OR total >= 16 END),
+k AS (SELECT c.doc, c.item, c.diagonal, list(iw.k ORDER BY iw.k) AS ks
+      FROM c JOIN iw ON iw.item = c.item JOIN dw ON dw.doc = c.doc AND dw.p = c.diagonal + iw.k AND dw.word = iw.word
+      GROUP BY ALL),
+e AS (SELECT doc, item, n, diagonal, j, len(list_filter(ks, lambda x: x < j)) AS upto
+      FROM (SELECT c.doc, c.item, c.n, c.diagonal, ks, unnest(range(0, c.n + 1)) AS j
+            FROM c JOIN k USING (doc, item, diagonal) WHERE NOT whole)),
+r AS (SELECT a.doc, a.item, a.n, a.diagonal, b.upto - a.upto AS matched, a.j AS f, b.j AS t,
+        row_number() OVER (PARTITION BY a.doc, a.item, a.diagonal ORDER BY b.upto - a.upto DESC, a.j, b.j DESC) AS o
+      FROM e a JOIN e b ON a.doc = b.doc AND a.item = b.item AND a.diagonal = b.diagonal
+        AND b.j - a.j >= {decontaminate.MIN_RUN} AND 5 * (b.upto - a.upto) >= 4 * (b.j - a.j)),
+g AS (SELECT doc, item, n, diagonal, matched, f, t FROM r WHERE o = 1
+      UNION ALL SELECT doc, item, n, diagonal, total, 0, n FROM c WHERE whole),
+h AS (SELECT g.*, list_min(list_filter(ks, lambda x: x >= f AND x < t)) AS first,
+        list_max(list_filter(ks, lambda x: x >= f AND x < t)) AS last,
+        row_number() OVER (PARTITION BY doc, item ORDER BY matched DESC, abs(diagonal), diagonal DESC) AS o
+      FROM g JOIN k USING (doc, item, diagonal) WHERE matched > 0)
+SELECT doc AS doc_id, item AS item_id, matched, n AS item_words, first, last, diagonal AS doc_pos FROM h WHERE o = 1
 """
 
 OP8_SQL = r"""
