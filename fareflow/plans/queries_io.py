@@ -261,7 +261,7 @@ def b12(spark, sf_dir):
     from fareflow.plans.documents import v1_1_documents
     name = "nested_" + uuid.uuid4().hex[:8]
     v1_1_documents(quote_view(spark, sf_dir), "b").createOrReplaceTempView(name)
-    return spark.sql(f"SELECT fromCity, flight_leg1.departureLocation.airportCode AS depAirport, "
+    return spark.sql(f"SELECT fromCity, quote_leg1.departureLocation.airportCode AS depAirport, "
                      f"count(*) AS n FROM {name} GROUP BY 1, 2")
 
 

@@ -94,7 +94,7 @@ def v11_sql(gen: str) -> str:
         "price": "price", "version": f"'1.1{gen}'", "searchDate": "searchDate",
         "tableName": "'fares_' || fromCity || '_' || toCity", "task_id": "l_orderkey", "currencyCode": "'AUD'",
         "fromCity": "fromCity", "toCity": "toCity", "trip": "trip", "depDate": "depDate", "retDate": "retDate",
-        "stayDays": "stayDays", "flight_code": "airlineCode || CAST(l_partkey % 1000 AS VARCHAR)",
+        "stayDays": "stayDays", "service_code": "airlineCode || CAST(l_partkey % 1000 AS VARCHAR)",
         "plane": "CASE WHEN l_partkey % 4 = 0 THEN '' ELSE 'B7' || CAST(l_partkey % 9 AS VARCHAR) END",
         "airline_code": "airlineCode", "span_days": "99", "power": "false", "video": "false", "wifi": "false",
         "stop_info": "parts", **_leg(1), **_leg(2), **_segments(1), **_segments(2)}
@@ -126,7 +126,7 @@ SELECT price, '1.0' AS version, searchDate, 'fares_' || fromCity || '_' || toCit
   dep1 AS departureTime, arr1 AS arrivalTime, airlineName,
   TRY_CAST(NULLIF(regexp_extract(durationText, '^\\s*([0-9]+)h', 1), '') AS INTEGER) * 60
     + TRY_CAST(NULLIF(regexp_extract(durationText, 'h\\s*([0-9]+)m\\s*$', 1), '') AS INTEGER) AS duration_m,
-  airlineCode || CAST(l_partkey % 1000 AS VARCHAR) AS flight_code,
+  airlineCode || CAST(l_partkey % 1000 AS VARCHAR) AS service_code,
   CASE WHEN l_partkey % 4 = 0 THEN '' ELSE 'B7' || CAST(l_partkey % 9 AS VARCHAR) END AS plane,
   CAST(stops AS TINYINT) AS stops,
   CAST(CASE WHEN ticketsLeft = 0 THEN 99 ELSE ticketsLeft END AS TINYINT) AS noOfTicketsLeft,
@@ -190,11 +190,11 @@ def mixed_lines(q):
     v10 = DOC.v1_0_documents(q.filter(F.col("l_linenumber") % 3 == 0))
     v1a = DOC.v1_1_documents(q.filter(F.col("l_linenumber") % 3 == 1), "a")
     v1b = DOC.v1_1_documents(q.filter(F.col("l_linenumber") % 3 == 2), "b")
-    broken = F.get(F.col("timeline_leg1"), 0).getField("carrier").getField("flightNumber") % 41 == 0
+    broken = F.get(F.col("timeline_leg1"), 0).getField("carrier").getField("serviceNumber") % 41 == 0
     js = F.to_json(F.struct("*"))
-    return (v10.select(F.get("flight_list", 0).getField("company").alias("airline"), js.alias("value"))
+    return (v10.select(F.get("quote_list", 0).getField("company").alias("airline"), js.alias("value"))
             .unionByName(v1a.select(F.col("leg1.carrierSummary.airlineName").alias("airline"), js.alias("value")))
-            .unionByName(v1b.select(F.col("flight_leg1.carrierSummary.airlineName").alias("airline"),
+            .unionByName(v1b.select(F.col("quote_leg1.carrierSummary.airlineName").alias("airline"),
                                     F.when(broken, F.substring(js, 1, 20)).otherwise(js).alias("value"))))
 
 

@@ -130,14 +130,14 @@ def archive_load(spark, sf_dir):
     state, audit = stage_path(spark, "archive-ckpt"), stage_path(spark, "archive-audit")
     folder = F.when(F.xxhash64("value") % 2 == 0, "final_results/").otherwise("")
     lines = materialize(mixed_lines(quote_view(spark, sf_dir)), "archive-lines").select(
-        F.concat(F.lit("flight_"), F.coalesce(F.regexp_replace("airline", "[^A-Za-z0-9]", "_"), F.lit("none")),
+        F.concat(F.lit("quotes_"), F.coalesce(F.regexp_replace("airline", "[^A-Za-z0-9]", "_"), F.lit("none")),
                  F.lit(".zip")).alias("archive"),
         F.concat(folder, F.lit("part"), F.pmod(F.xxhash64("value"), F.lit(3)).cast("string"), F.lit(".txt"))
         .alias("member"), F.col("value").alias("line"))
     early = F.pmod(F.xxhash64("archive"), F.lit(2)) == 0
     load = lambda: load_archives(spark, src, dst, state, audit, max_files=8, partition_by=("generation",))
     write_archives(lines.where(early), src).count()
-    write_bytes(f"{src}/flight_broken.zip", b"PK but no archive")
+    write_bytes(f"{src}/quotes_broken.zip", b"PK but no archive")
     load()
     write_archives(lines.where(~early), src).count()
     if not load() or load():
