@@ -449,7 +449,7 @@ def _prepared(base: DataFrame, percent: int, ngram: int) -> tuple[DataFrame, Dat
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
-                    percent: int = PERCENT) -> DataFrame:
+                    percent: int = PERCENT, block: int | None = None) -> DataFrame:
     """One row per input row: id, ``n_shingles`` and ``component_id``, the
     smallest id reachable over links (itself included).
 
@@ -458,6 +458,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     * equal sets link; rows that repeat an id are one node;
     * a row without id links only with equal sets (its class is their id);
     * an empty table gives an empty result; other columns are ignored.
+
+    At most ``block`` sets (``pivots.BLOCK``) meet in one task at once; a smaller
+    number holds less memory and ships pivots more often.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -467,7 +470,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     with passing(spark) as stage:
         classes = linked_classes(near, base.where("id IS NOT NULL"), _join_groups(percent, ngram), stage,
-                                 weight=F.col("shared"))
+                                 weight=F.col("shared"), block=block)
         classes = staged(spark, classes, "join-classes")
     named = groups.join(classes, groups["rep"] == classes["node"], "left") \
         .select(*keys, F.coalesce("component", "rep").alias("class"))
@@ -518,9 +521,9 @@ def jaccard_link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
 
 def keep_class_heads(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
-                     percent: int = PERCENT) -> DataFrame:
+                     percent: int = PERCENT, block: int | None = None) -> DataFrame:
     """One document of each class, the one with the smallest id, with all its
     columns; documents without words or id stay."""
-    drop = jaccard_classes(docs, id_col, text_col, ngram, percent) \
+    drop = jaccard_classes(docs, id_col, text_col, ngram, percent, block) \
         .where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
     return docs.join(drop, docs[id_col] == drop["_gone"], "left_anti")
