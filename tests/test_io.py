@@ -256,3 +256,20 @@ def test_rows_are_appended_once_without_shuffling_the_table(spark, tmpdir_path):
     plan = sinks.not_in_table(big, spark.table(name), ["k", "s"])._jdf.queryExecution().executedPlan().toString()
     assert "Bucketed: true" in plan and plan[:plan.index("Bucketed: true")].count("Exchange") == 1, plan
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_many_lines_of_one_name_are_dealt_to_more_archives(spark, tmpdir_path, monkeypatch):
+    from fareflow.sources import archives as AR
+    monkeypatch.setattr(AR, "ARCHIVE_LINES", 50)
+    monkeypatch.setattr(AR, "CHUNK_CHARS", 100)
+    lines = spark.range(1000).select(F.when(F.col("id") % 10 < 9, "big").otherwise("small").alias("name"),
+                                     F.concat(F.lit("line "), "id").alias("line"), F.lit("m.txt").alias("member"))
+    dealt, count = AR.dealt_archives(lines, "name")
+    sizes = [r["count"] for r in dealt.groupBy("archive").count().collect()]
+    assert max(sizes) <= 100 and len(sizes) <= count == 36 and sum(sizes) == 1000
+    AR.write_archives(dealt, tmpdir_path).count()
+    back = AR.read_archives(spark, tmpdir_path)
+    assert sorted(r.line for r in back.collect()) == sorted(r.line for r in lines.collect())
+    monkeypatch.setattr(AR, "ARCHIVE_LINES", 5000)
+    dealt, count = AR.dealt_archives(lines, "name")
+    assert count == 2 and sorted(r.archive for r in dealt.select("archive").distinct().collect()) == ["big.zip", "small.zip"]

@@ -245,3 +245,33 @@ def test_frequent_values_are_all_found(spark):
     assert frequent_exact(df.limit(0), "c", 0.1).collect() == []
     numbers = spark.range(1000).select((F.col("id") % 50).cast("int").alias("c"))
     assert frequent_exact(numbers, "c", 0.02).count() == 50 and frequent_exact(numbers, "c", 0.021).count() == 0
+
+
+def test_ranges_of_many_heavy_values_and_behind_text_keys(spark, monkeypatch):
+    """Hundreds of scores that each fill a range, and a text key of one value:
+    the following columns cut both, and no range holds many times its share."""
+    monkeypatch.setattr(ranking, "ROWS_PER_RANGE", 20)
+    df = spark.range(12_000).select("id", F.lit("a city").alias("a"), F.lit("another city").alias("b"),
+                                    (F.col("id") % 400 / 1000).alias("s"))
+    for order in ([F.desc("s"), "id"], ["a", "b", "id"], [F.desc("b"), F.desc("id")]):
+        ranges = ranking.ordered_ranges(df, order)
+        sizes = [r["count"] for r in df.groupBy(ranges.column.alias("r")).count().collect()]
+        assert ranges.count > 300 and max(sizes) <= 100
+    got = ranking.with_position(df, [F.desc("s"), "id"]).where("s = 0.399 OR s = 0").collect()
+    assert all(r.pos == (399 - r.id % 400) * 30 + r.id // 400 for r in got) and len(got) == 60
+
+
+@pytest.mark.parametrize("direction,exact", [("backward", True), ("backward", False), ("forward", True),
+                                             ("forward", False)])
+def test_asof_join_to_a_calendar_shuffles_no_left_row(spark, direction, exact):
+    from fareflow.operators.asof import asof_join
+    left = spark.createDataFrame([(i, None if i % 9 == 0 else f"c{i % 4}", None if i % 7 == 0 else i * 3 % 500)
+                                  for i in range(400)], "id long, k string, t int")
+    right = spark.createDataFrame([(None if i % 10 == 0 else f"c{i % 3}", i * 5 % 470, i) for i in range(300)] + [("c1", None, 1)],
+                                  "k string, u int, v int")
+    args = (left, right, ["k"], "t", "u", {"v": "w", "u": "x"}, direction, exact)
+    got = asof_join(*args)
+    rows = lambda df: sorted(map(str, df.collect()))
+    assert got.columns == ["id", "k", "t", "w", "x"] and rows(got) == rows(asof_join(*args, partitions=9))
+    assert "hashpartitioning(_ff_range" not in got._jdf.queryExecution().explainString(
+        got.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
