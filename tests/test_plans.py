@@ -146,3 +146,15 @@ def test_model_entries_train_at_full_size(spark, monkeypatch):
         assert (model.getNumTrees() if kind == "rf" else model.getMaxIter()) >= least
         assert model.getMaxDepth() >= (18 if entry is Q.m13 else 5)
         assert entry is not Q.m13 or model.getMinInstancesPerNode() == 512
+
+
+def test_v1_0_documents_are_parsed_once(spark):
+    from pyspark.sql import functions as F
+    from fareflow.operators import normalize as N
+    from fareflow.schemas import V1_0_DOC
+    texts = ['{"basic": {"trip": "1"}, "quote_list": [{"price": 1.0}, null, {"price": 2.0}]}', '{"quote_list": [{"price": 3.0}]}',
+             '{"basic": {"trip": "2"}, "quote_list": []}', '{"basic": {"trip": "2"}}']
+    raw = spark.createDataFrame([(x,) for x in texts], "value string").repartition(2)
+    flat = N.flatten_v1_0(raw.select(F.from_json("value", V1_0_DOC).alias("d")).select("d.*"))
+    assert sorted(map(str, [r.price for r in flat.collect()])) == ["1.0", "2.0", "None"]
+    assert flat._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
