@@ -158,3 +158,26 @@ def test_v1_0_documents_are_parsed_once(spark):
     flat = N.flatten_v1_0(raw.select(F.from_json("value", V1_0_DOC).alias("d")).select("d.*"))
     assert sorted(map(str, [r.price for r in flat.collect()])) == ["1.0", "2.0", "None"]
     assert flat._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+
+
+def test_document_segments_are_compiled(spark):
+    """The segments of a timeline are no interpreted lambda, and are those of the
+    stops: the second of three is NULL for part keys divisible by 5."""
+    from fareflow.plans.documents import v1_1_documents
+    rows = [(n + 1, pk, 7, 3, 4, "PERU", "CHINA", "Brand#11", "A11", "CABIN", 10.0, "2", 5, n, 3, 9, 30, "2h10m",
+             "2001-02-03T09:30:00.000+03:00", "") for n in (0, 1, 2) for pk in (10, 11)]
+    q = spark.createDataFrame(rows, "l_linenumber int, l_partkey long, l_suppkey long, s_nationkey int, c_nationkey int, "
+                              "fromCity string, toCity string, airlineName string, airlineCode string, cabin string, "
+                              "price double, trip string, stayDays int, stops int, ticketsLeft int, depHour int, "
+                              "depMinute long, durationText string, departureTime string, stopInfo string")
+    q = q.selectExpr("*", "1L as l_orderkey", "date'2001-02-03' as depDate", "date'2001-01-01' as searchDate",
+                     "date'2001-02-08' as retDate")
+    docs = v1_1_documents(q, "a")
+    legs = docs.select("task_id", "leg1.stops", "timeline1", "timeline2")
+    assert "lambda" not in legs._jdf.queryExecution().optimizedPlan().toString()
+    first = {(r.stops, r.timeline1[0].carrier.serviceNumber): r for r in legs.collect()}
+    assert [len(first[n, 11].timeline1) for n in (0, 1, 2)] == [1, 2, 3]
+    assert [s and s.arrivalAirport.localName for s in first[2, 10].timeline1] == ["hub1", None, "china"]
+    assert [s.departureAirport.localName for s in first[2, 11].timeline1] == ["peru", "hub1", "hub2"]
+    assert [s.arrivalAirport.city for s in first[1, 11].timeline2] == ["PERU"]
+    assert [s.arrivalAirport.city for s in first[0, 11].timeline2] == ["HUB1", "PERU"]
