@@ -121,7 +121,7 @@ def append_once(spark, sf_dir):
     q = quote_view(spark, sf_dir).select(*IDS, "price")
     keys, table, p = [*IDS, "price"], f"quotes_{uuid.uuid4().hex[:10]}", stage_path(spark, "append-once")
     for part in (q.where("l_linenumber <= 4"), q.where("l_linenumber <= 4"), q):
-        K.append_new(part, table, keys, p, buckets=8)
+        K.append_new(part, table, keys, p, least=8)
     return spark.table(table)
 
 

@@ -258,6 +258,18 @@ def test_rows_are_appended_once_without_shuffling_the_table(spark, tmpdir_path):
     spark.sql(f"DROP TABLE {name}")
 
 
+def test_a_new_table_has_buckets_for_its_rows(spark, tmpdir_path, monkeypatch):
+    monkeypatch.setattr(sinks, "BUCKET_ROWS", 100)
+    name, path = "sized_" + tmpdir_path[-8:].replace("-", "_").lower(), f"{tmpdir_path}/sized"
+    rows = spark.range(1000).selectExpr("id k", "if(id % 7 = 0, null, id) v")
+    sinks.append_new(rows.where("k < 950"), name, ["k", "v"], path, least=2)
+    assert sinks.bucket_count(spark, name) == 10
+    assert sinks.append_new(rows, name, ["k", "v"], path).count() == 50
+    assert sinks.bucket_count(spark, name) == 10 and spark.table(name).count() == 1000
+    assert files.inventory(spark, path, glob="*.parquet").count() <= 20
+    spark.sql(f"DROP TABLE {name}")
+
+
 def test_many_lines_of_one_name_are_dealt_to_more_archives(spark, tmpdir_path, monkeypatch):
     from fareflow.sources import archives as AR
     monkeypatch.setattr(AR, "ARCHIVE_LINES", 50)
