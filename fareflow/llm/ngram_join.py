@@ -50,6 +50,10 @@ NGRAM = 3
 #: Threshold as a fraction of integers: 100 * intersection >= 90 * union.
 PERCENT = 90
 BLOCK = 512
+#: Sets of a block hold so many n-grams at most (a larger set is a block of its own).
+BLOCK_SHINGLES = 1 << 19
+#: Elements that a search compares at once.
+AT_ONCE = 1 << 20
 STRIDE = 16
 #: Up to so many sets a trie is at most LEVELS high.
 FEW, LEVELS = 64, 6
@@ -87,6 +91,18 @@ def ngram_sets(texts: pa.Array, ngram: int = NGRAM) -> tuple[np.ndarray, np.ndar
     return own[new], gram[new]
 
 
+def cell_sets(texts: pa.Array, ngram: int) -> list[np.ndarray]:
+    """Sets of a cell's texts, sorted, as codes in one order.  Words are
+    hashed a chunk at a time: what that holds is many times the text."""
+    sets = []
+    for chunk in text_chunks(texts):
+        own, gram = ngram_sets(chunk, ngram)
+        sets += np.split(gram, np.searchsorted(own, np.arange(1, len(chunk))))
+    sizes = [len(s) for s in sets]
+    codes = np.unique(np.concatenate([np.zeros(0, np.uint64), *sets]), return_inverse=True)[1].astype(np.int64)
+    return np.split(codes, np.cumsum(sizes)[:-1]) if sets else []
+
+
 def _differences(top: int, percent: int) -> int:
     """Most elements that lie in one only of two linked sets of up to ``top``
     elements: union - intersection <= (100 - p) / (100 + p) * (sum of sizes)."""
@@ -223,6 +239,10 @@ class Trie:
                 "end_order": alive[order], "start": starts, "stop": np.append(starts[1:], len(order))})
             parent[alive] = inverse
 
+    def at_once(self) -> int:
+        """Queries whose comparison on any level stays within ``AT_ONCE`` elements."""
+        return max(1, AT_ONCE // max([1, *(x["items"].size for x in self.levels)]))
+
     def search(self, queries: list[np.ndarray], percent: int, known=None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(query, set) pairs that link; ``known(query, set)`` marks pairs that
         need not be looked at."""
@@ -289,10 +309,7 @@ def join_block(ids: np.ndarray, sides: np.ndarray, texts: pa.Array, percent: int
     """Edges that connect every class of linked sets of a block (side 0 only)
     or a block pair (sides 0 and 1; pairs within a side are left to others);
     sets of one label are connected already."""
-    own, gram = ngram_sets(texts, ngram)
-    codes = np.unique(gram, return_inverse=True)[1].astype(np.int64) if len(gram) else np.zeros(0, np.int64)
-    bounds = np.searchsorted(own, np.arange(len(ids) + 1))
-    sets = [codes[bounds[i]:bounds[i + 1]] for i in range(len(ids))]
+    sets = cell_sets(texts, ngram)
     left = np.flatnonzero(sides == 0)
     right = np.flatnonzero(sides == 1)
     if 0 < len(right) < len(left):
@@ -302,7 +319,8 @@ def join_block(ids: np.ndarray, sides: np.ndarray, texts: pa.Array, percent: int
     trie, union = Trie([sets[i] for i in left]), Union(len(ids))
     union.label = np.unique(labels, return_inverse=True)[1].astype(np.int64)
     edges = []
-    step, at = 1 if len(left) > 4 else 128, 0
+    most = min(128, trie.at_once())
+    step, at = 1 if len(left) > 4 else most, 0
     while at < len(queries):
         part = queries[at:at + step]
         known = lambda q, s: union.label[part[q]] == union.label[left[s]]  # noqa: E731, B023
@@ -311,7 +329,7 @@ def join_block(ids: np.ndarray, sides: np.ndarray, texts: pa.Array, percent: int
             new = union.label[a] != union.label[b]
             edges += list(zip(ids[a[new]].tolist(), ids[b[new]].tolist()))
             union.join(a[new], b[new])
-        at, step = at + step, min(step * 4, 128)
+        at, step = at + step, min(step * 4, most)
     return edges
 
 
@@ -319,15 +337,13 @@ def block_links(ids: np.ndarray, sides: np.ndarray, roots: list[list[int]], text
                 percent: int, ngram: int) -> list[tuple[int, int]]:
     """Every linked pair (smaller id, larger id) of a block or a block pair,
     but for those that the star of a smaller common root gives."""
-    own, gram = ngram_sets(texts, ngram)
-    codes = np.unique(gram, return_inverse=True)[1].astype(np.int64) if len(gram) else np.zeros(0, np.int64)
-    bounds = np.searchsorted(own, np.arange(len(ids) + 1))
-    sets = [codes[bounds[i]:bounds[i + 1]] for i in range(len(ids))]
+    sets = cell_sets(texts, ngram)
     left, right = np.flatnonzero(sides == 0), np.flatnonzero(sides == 1)
     queries = right if len(right) else left
     trie, stars, pairs = Trie([sets[i] for i in left]), [frozenset(r) for r in roots], set()
-    for at in range(0, len(queries), 128):
-        part = queries[at:at + 128]
+    step = min(128, trie.at_once())
+    for at in range(0, len(queries), step):
+        part = queries[at:at + step]
         for q, s in trie.search([sets[i] for i in part], percent):
             for x, y in zip(part[q].tolist(), left[s].tolist()):
                 if ids[x] != ids[y] and min(stars[x] & stars[y]) == root:
@@ -459,8 +475,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     * a row without id links only with equal sets (its class is their id);
     * an empty table gives an empty result; other columns are ignored.
 
-    At most ``block`` sets (``pivots.BLOCK``) meet in one task at once; a smaller
-    number holds less memory and ships pivots more often.
+    At most ``block`` sets (``pivots.BLOCK``) with ``BLOCK_SHINGLES`` n-grams
+    meet in one task at once; smaller numbers hold less memory and ship pivots
+    more often.
     """
     spark = docs.sparkSession
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
@@ -469,8 +486,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     release(spark)
 
     with passing(spark) as stage:
+        sizes = members.where("n > 0").join(near.select("id").distinct(), "id", "left_semi") \
+            .groupBy("id").agg(F.sum("n").alias("size"))
         classes = linked_classes(near, base.where("id IS NOT NULL"), _join_groups(percent, ngram), stage,
-                                 weight=F.col("shared"), block=block)
+                                 weight=F.col("shared"), notes=stage(sizes, "join-sizes"), block=block,
+                                 block_size=BLOCK_SHINGLES)
         classes = staged(spark, classes, "join-classes")
     named = groups.join(classes, groups["rep"] == classes["node"], "left") \
         .select(*keys, F.coalesce("component", "rep").alias("class"))

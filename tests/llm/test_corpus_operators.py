@@ -6,7 +6,10 @@ import collections
 import hashlib
 import json
 import random
+import tracemalloc
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -121,6 +124,36 @@ def test_trie_blocks_find_all_links(monkeypatch, spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows, 3, 90)
 
 
+def test_cells_are_bounded_by_their_shingles(monkeypatch, spark):
+    """near_copies: a family of long texts is dealt over many cells, though its sets are few."""
+    base = [f"w{i}" for i in range(100)]
+    rows = [(k, " ".join(base[:95] + [f"x{j}" for j in range(k // 3)]), "s") for k in range(24)]
+    cells, joined = [], pivots._joined
+    monkeypatch.setattr(pivots, "_joined", lambda c, *a: cells.append(c.select("key", "a", "b").distinct().count()) or joined(c, *a))
+    monkeypatch.setattr(ngram_join, "BLOCK_SHINGLES", 300, raising=False)
+    got = ngram_join.jaccard_classes(documents(spark, rows)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute_classes(rows, 3, 90)
+    assert cells[0] >= 2
+
+
+def test_a_cell_of_long_texts_takes_little_memory():
+    """near_copies: words of a cell are hashed a chunk at a time, queries compared a few at once."""
+    rng = random.Random(4)
+    base = [f"w{rng.randrange(10 ** 6)}" for _ in range(20000)]
+    texts = []
+    for k in range(40):
+        w = list(base)
+        for i in rng.sample(range(len(w)), 20 if k % 2 else 4000):
+            w[i] = f"x{rng.randrange(10 ** 6)}"
+        texts.append(" ".join(w))
+    tracemalloc.start()
+    edges = ngram_join.join_block(np.arange(40), np.zeros(40, np.int64), pa.array(texts), 80, 5, np.arange(40))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert {x for e in edges for x in e} == set(range(1, 40, 2))
+    assert peak < 150e6
+
+
 def test_every_link_is_counted(monkeypatch, spark):
     monkeypatch.setattr(ngram_join, "BLOCK", 4)
     rng = random.Random(9)
