@@ -42,7 +42,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from fareflow.llm.common import flag_maybe, groups_to_members, maybe_in, passing, release, staged, text_chunks
+from fareflow.llm.common import (
+    flag_maybe, fresh, groups_to_members, maybe_in, passing, release, staged, text_chunks,
+)
 from fareflow.llm.pivots import linked_classes
 from fareflow.llm.tokens import Tokens, mix
 
@@ -52,6 +54,8 @@ PERCENT = 90
 BLOCK = 512
 #: Sets of a block hold so many n-grams at most (a larger set is a block of its own).
 BLOCK_SHINGLES = 1 << 19
+#: N-grams of the sets whose texts travel at once: half of those of all rows, or so many if that is more.
+TRAVEL_SHINGLES = 1 << 24
 #: Elements that a search compares at once.
 AT_ONCE = 1 << 20
 STRIDE = 16
@@ -488,9 +492,10 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     with passing(spark) as stage:
         sizes = members.where("n > 0").join(near.select("id").distinct(), "id", "left_semi") \
             .groupBy("id").agg(F.sum("n").alias("size"))
+        half = int(members.agg(F.sum("n")).first()[0] or 0) // 2
         classes = linked_classes(near, base.where("id IS NOT NULL"), _join_groups(percent, ngram), stage,
                                  weight=F.col("shared"), notes=stage(sizes, "join-sizes"), block=block,
-                                 block_size=BLOCK_SHINGLES)
+                                 block_size=BLOCK_SHINGLES, at_once=max(half, TRAVEL_SHINGLES))
         classes = staged(spark, classes, "join-classes")
     named = groups.join(classes, groups["rep"] == classes["node"], "left") \
         .select(*keys, F.coalesce("component", "rep").alias("class"))
@@ -543,7 +548,13 @@ def jaccard_link_counts(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 def keep_class_heads(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", ngram: int = NGRAM,
                      percent: int = PERCENT, block: int | None = None) -> DataFrame:
     """One document of each class, the one with the smallest id, with all its
-    columns; documents without words or id stay."""
+    columns; documents without words or id stay.  Only documents that may be
+    among those that go take part in a join: texts of the others stay where they are."""
+    gone, flag = fresh(docs, "_gone", "_flag")
     drop = jaccard_classes(docs, id_col, text_col, ngram, percent, block) \
-        .where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias("_gone")).distinct()
-    return docs.join(drop, docs[id_col] == drop["_gone"], "left_anti")
+        .where(F.col("component_id") < F.col(id_col)).select(F.col(id_col).alias(gone)).distinct()
+    drop = staged(docs.sparkSession, drop, "class-gone")
+    known = flag_maybe(docs, F.xxhash64(F.col(id_col).cast("long")), drop, F.xxhash64(F.col(gone).cast("long")), flag)
+    maybe = known.where(F.col(flag)).drop(flag)
+    return known.where(~F.col(flag)).drop(flag).unionAll(
+        maybe.join(drop, maybe[id_col] == drop[gone], "left_anti"))

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -39,10 +40,23 @@ CellJoin = Callable[[pa.Table], pa.Table]
 
 @dataclass(frozen=True)
 class _Blocks:
-    """Bounds of a block: sets, and the sum of the notes' column ``size``."""
+    """Bounds of a block: sets, and the sum of the notes' column ``size``; and
+    of that sum over the cells whose texts travel at once."""
     sets: int
     size: int | None
     notes: DataFrame | None
+    at_once: int | None = None
+
+    def rounds(self, cells: DataFrame) -> list[DataFrame]:
+        """The cells in so many parts that the texts of each stay within
+        ``at_once``: shuffle files are given up after each part, so what is on
+        disk does not grow with the number of blocks that a set goes to."""
+        if self.at_once is None:
+            return [cells]
+        total = cells.join(self.notes.select("id", "size"), "id").agg(F.sum("size")).first()[0] or 0
+        parts = max(1, -(-int(total) // self.at_once))
+        part = F.pmod(F.xxhash64("key", "a", "b", F.lit(31)), F.lit(parts))
+        return [cells.where(part == i) for i in range(parts)] if parts > 1 else [cells]
 
     def dealt(self, rows: DataFrame, key: str, out: str, seed: int) -> DataFrame:
         """``rows`` with ``n``, over how many blocks their key's rows are dealt,
@@ -110,7 +124,7 @@ def _after_pivots(edges: DataFrame) -> DataFrame:
 def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Callable[[DataFrame, str], DataFrame],
                        weight: Column | None = None, notes: DataFrame | None = None,
                    active: Callable[[DataFrame], DataFrame] | None = None, block: int | None = None,
-                   block_size: int | None = None) -> DataFrame:
+                   block_size: int | None = None, at_once: int | None = None) -> DataFrame:
     """(node, component) of linked sets; sets that link with nothing are left out.
 
     ``near`` holds (bucket, id, root): the sets of every bucket of two or more,
@@ -121,21 +135,26 @@ def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Cal
     ``active`` may drop rows of (key, a, b, id, side, label, notes) that cannot
     link with anything in their cell; it gives (key, id).  ``block`` sets meet
     in a cell at most, and no more than their ``size`` in the notes sums up to
-    ``block_size``, if given.
+    ``block_size``, if given.  Cells meet in rounds whose sets' ``size`` sums
+    up to about ``at_once``, if given.
     """
-    blocks = _Blocks(block or BLOCK, block_size, notes)
+    blocks = _Blocks(block or BLOCK, block_size, notes, at_once)
+
+    def met_in(cells: DataFrame, known: DataFrame | None) -> DataFrame:
+        found = [stage(_joined(part, known, texts, notes, join), "pivot-edges") for part in blocks.rounds(cells)]
+        return reduce(DataFrame.unionAll, found)
     able = F.col("able") if "able" in near.columns else F.lit(True)
     met = near.where((F.col("id") != F.col("root")) & able)
     pairs = stage(met.groupBy("id", F.col("root").alias("pivot"))
                   .agg(F.sum(F.lit(1.0) if weight is None else weight).alias("w")), "pivot-pairs")
     best = pairs.groupBy("id").agg(F.max_by("pivot", F.struct("w", -F.col("pivot"))).alias("pivot"))
-    edges = stage(_joined(stage(blocks.cells(best), "pivot-cells"), None, texts, notes, join), "pivot-edges")
+    edges = met_in(stage(blocks.cells(best), "pivot-cells"), None)
     labels = stage(_after_pivots(edges), "pivot-labels")
 
     rest = _apart(pairs.select("id", "pivot").join(best, ["id", "pivot"], "left_anti"), labels)
     cells = stage(blocks.cells(stage(rest, "pivot-rest")), "pivot-cells")
     if not cells.isEmpty():
-        edges = edges.union(stage(_joined(cells, labels, texts, notes, join), "pivot-edges"))
+        edges = edges.union(met_in(cells, labels))
     classes = stage(connected_components(edges), "pivot-classes")
     labels = classes.select(F.col("node").alias("id"), F.col("component").alias("label"))
 
@@ -154,7 +173,7 @@ def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Cal
         seen = cells.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
         seen = seen if notes is None else seen.join(notes, "id")
         cells = blocks.pairs(stage(active(seen).select("key", "id").distinct(), "pivot-active"))
-    more = stage(_joined(stage(cells, "pivot-cells"), labels, texts, notes, join), "pivot-edges")
+    more = met_in(stage(cells, "pivot-cells"), labels)
     if more.isEmpty():
         return classes
     # the new edges join classes, of which only the smallest members count
