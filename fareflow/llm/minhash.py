@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from fareflow.llm.common import flag_maybe, groups_to_members, maybe_in, passing, staged, text_chunks
 from fareflow.llm.ngram_join import Union, ngram_sets
-from fareflow.llm.pivots import linked_classes
+from fareflow.llm.pivots import linked_classes, shared_shingles
 from fareflow.llm.tokens import mix
 
 NGRAM = 3
@@ -43,8 +43,6 @@ SALTS = 64
 #: Sets that meet in one cell, and the shingles that they have at most (one larger set is a cell of its own).
 BLOCK = 1536
 BLOCK_SHINGLES = 1 << 18
-#: Holders from which a shingle goes into the matrix, and the numbers that a piece of work holds.
-_MANY, _CELLS = 32, 1 << 22
 _WORDS = MINIMA * BITS // 64
 _PLACES = 64 // BITS
 _rng = np.random.default_rng(85)
@@ -148,42 +146,6 @@ def _signatures(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return out, ~found
 
 
-def shared_shingles(own: np.ndarray, gram: np.ndarray, rows: int) -> np.ndarray:
-    """(rows, rows): how many shingles each two sets of a cell share.  Shingles
-    that few sets hold add their pairs one by one; those of many sets form a
-    0/1 matrix, multiplied by itself in bounded pieces."""
-    order = np.argsort(gram, kind="stable")
-    own, gram = own[order], gram[order]
-    start = np.concatenate([[0], np.flatnonzero(np.diff(gram)) + 1]) if len(gram) else np.zeros(0, np.int64)
-    size = np.diff(np.append(start, len(gram)))
-    out = np.zeros(rows * rows, dtype=np.float32)
-    few = (size > 1) & (size < _MANY)
-    at, n = start[few], size[few]
-    step = max(1, _CELLS // (_MANY * _MANY))
-    for lo in range(0, len(at), step):
-        s, k = at[lo:lo + step], n[lo:lo + step]
-        entry = np.repeat(s, k) + _within(k)
-        a = np.repeat(entry, np.repeat(k, k))
-        b = np.repeat(np.repeat(s, k), np.repeat(k, k)) + _within(np.repeat(k, k))
-        out += np.bincount(own[a] * rows + own[b], minlength=rows * rows).astype(np.float32)
-    out = out.reshape(rows, rows)
-    many = np.flatnonzero(size >= _MANY)
-    width = max(64, _CELLS // max(1, rows))
-    for lo in range(0, len(many), width):
-        part = many[lo:lo + width]
-        held = np.zeros((rows, len(part)), dtype=np.float32)
-        entry = np.repeat(start[part], size[part]) + _within(size[part])
-        held[own[entry], np.repeat(np.arange(len(part)), size[part])] = 1
-        out += held @ held.T
-    np.fill_diagonal(out, np.bincount(own, minlength=rows))
-    return out
-
-
-def _within(counts: np.ndarray) -> np.ndarray:
-    """0, 1, ... inside each run of the given sizes."""
-    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
-
-
 def _confirm(percent: int, ngram: int):
     """Edges of a cell: pairs of its sides with enough agreement are compared
     on their full sets, unless they are connected already."""

@@ -43,9 +43,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fareflow.llm.common import (
-    flag_maybe, fresh, groups_to_members, maybe_in, passing, release, staged, text_chunks,
+    flag_maybe, fresh, groups_to_members, maybe_in, passing, release, small_batches, staged, text_chunks,
 )
-from fareflow.llm.pivots import linked_classes
+from fareflow.llm.pivots import linked_classes, shared_shingles
 from fareflow.llm.tokens import Tokens, mix
 
 NGRAM = 3
@@ -56,7 +56,9 @@ BLOCK = 512
 BLOCK_SHINGLES = 1 << 19
 #: N-grams of the sets whose texts travel at once: half of those of all rows, or so many if that is more.
 TRAVEL_SHINGLES = 1 << 24
-#: Elements that a search compares at once.
+#: A set's n-grams in the lowest of so many parts of the hash range tell whether a pair may link.
+FEW_PARTS = 6
+#: Elements that a search compares at once, four times those that the look at part of the sets does.
 AT_ONCE = 1 << 20
 STRIDE = 16
 #: Up to so many sets a trie is at most LEVELS high.
@@ -383,6 +385,49 @@ def _join_groups(percent: int, ngram: int):
     return run
 
 
+def _describe_few(ngram: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            at = 0
+            for chunk in text_chunks(b.column(1)):
+                own, gram = ngram_sets(chunk, ngram)
+                low = gram < np.uint64((1 << 64) // FEW_PARTS)
+                few = (gram[low] & np.uint64(0xFFFFFFFF)).astype(np.uint32).view(np.int32)
+                ends = np.searchsorted(own[low], np.arange(len(chunk) + 1)).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0).slice(at, len(chunk)), pa.array(np.bincount(own, minlength=len(chunk)), pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(ends), pa.array(few))], names=["id", "n", "few"])
+                at += len(chunk)
+    return run
+
+
+def _may_link(percent: int):
+    """Sets of a cell that may link with one of another class: two linked sets
+    differ in (100 - p) / (100 + p) of the sum of their sizes at most, and so do
+    their n-grams in a part of the hash range."""
+    def run(table: pa.Table) -> pa.Table:
+        few, n, label = table["few"].combine_chunks(), table["n"].to_numpy(), table["label"].to_numpy()
+        side, rows = table["side"].to_numpy(), len(table)
+        codes = few.flatten().to_numpy().view(np.uint32).astype(np.int64)
+        codes = np.unique(np.repeat(np.arange(rows), np.diff(few.offsets.to_numpy())) << 32 | codes)
+        own, code = codes >> 32, codes & 0xFFFFFFFF
+        held = np.bincount(own, minlength=rows)
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if len(right) == 1:
+            both = np.bincount(own[np.isin(code, code[own == right[0]])], minlength=rows)[left][:, None]
+        else:
+            right = right if len(right) else left
+            both = shared_shingles(own, code, rows, AT_ONCE // 4)[np.ix_(left, right)]
+        apart = held[left][:, None] + held[right][None, :] - 2 * both
+        hit = ((100 + percent) * apart <= (100 - percent) * (n[left][:, None] + n[right][None, :])) \
+            & (n[left] > 0)[:, None] & (n[right] > 0)[None, :] & (label[left][:, None] != label[right][None, :])
+        some = np.zeros(rows, dtype=bool)
+        some[left] |= hit.any(axis=1)
+        some[right] |= hit.any(axis=0)
+        return table.select(["key", "id"]).filter(pa.array(some))
+    return run
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """(sig, root): signatures of at least two sets, with the smallest id."""
     return rows.groupBy("sig").agg(F.min("id").alias("root"), F.max("id").alias("last")) \
@@ -450,8 +495,9 @@ def _prepared(base: DataFrame, percent: int, ngram: int) -> tuple[DataFrame, Dat
     spark = base.sparkSession
     keys = ["hi", "lo"]
     with passing(spark) as stage:
-        rows = stage(base.mapInArrow(_describe(percent, ngram), "id long, n long, hi long, lo long, part int, "
-                                     "least int, sigs array<long>"), "join-sets")
+        with small_batches(spark):
+            rows = stage(base.mapInArrow(_describe(percent, ngram), "id long, n long, hi long, lo long, part int, "
+                                         "least int, sigs array<long>"), "join-sets")
         members = staged(spark, rows.where("part = 0").select("id", "n", *keys), "join-members")
         groups = staged(spark, members.where("n > 0").groupBy(*keys)
                         .agg(F.min("id").alias("rep"), F.count(F.lit(1)).alias("rows")), "join-groups")
@@ -493,9 +539,15 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sizes = members.where("n > 0").join(near.select("id").distinct(), "id", "left_semi") \
             .groupBy("id").agg(F.sum("n").alias("size"))
         half = int(members.agg(F.sum("n")).first()[0] or 0) // 2
-        classes = linked_classes(near, base.where("id IS NOT NULL"), _join_groups(percent, ngram), stage,
-                                 weight=F.col("shared"), notes=stage(sizes, "join-sizes"), block=block,
-                                 block_size=BLOCK_SHINGLES, at_once=max(half, TRAVEL_SHINGLES))
+        texts, sizes = base.where("id IS NOT NULL"), stage(sizes, "join-sizes")
+        with small_batches(spark):
+            few = stage(maybe_in(texts, F.xxhash64("id"), sizes, F.xxhash64("id"))
+                        .mapInArrow(_describe_few(ngram), "id long, n long, few array<int>"), "join-few")
+        active = lambda cells: cells.join(few, "id").groupBy("key", "a", "b") \
+            .applyInArrow(_may_link(percent), "key long, id long")
+        classes = linked_classes(near, texts, _join_groups(percent, ngram), stage, weight=F.col("shared"),
+                                 notes=sizes, active=active, block=block, block_size=BLOCK_SHINGLES,
+                                 at_once=max(half, TRAVEL_SHINGLES), early=True)
         classes = staged(spark, classes, "join-classes")
     named = groups.join(classes, groups["rep"] == classes["node"], "left") \
         .select(*keys, F.coalesce("component", "rep").alias("class"))

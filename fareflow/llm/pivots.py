@@ -23,6 +23,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -31,6 +32,8 @@ from fareflow.llm.common import maybe_in
 from fareflow.llm.components import connected_components
 
 BLOCK = 512
+#: Holders from which a shingle goes into the matrix, and the numbers that a piece of work holds.
+_MANY, _CELLS = 32, 1 << 22
 
 #: Gets the rows of one cell, (id, side, label, text) and the extra columns;
 #: side 1 meets side 0 (or side 0 itself where there is no side 1), sets of
@@ -38,6 +41,42 @@ BLOCK = 512
 CellJoin = Callable[[pa.Table], pa.Table]
 
 
+def shared_shingles(own: np.ndarray, gram: np.ndarray, rows: int, cells: int = _CELLS) -> np.ndarray:
+    """(rows, rows): how many shingles each two sets of a cell share.  Shingles
+    that few sets hold add their pairs one by one; those of many sets form a
+    0/1 matrix, multiplied by itself in pieces of about ``cells`` numbers."""
+    order = np.argsort(gram, kind="stable")
+    own, gram = own[order], gram[order]
+    start = np.concatenate([[0], np.flatnonzero(np.diff(gram)) + 1]) if len(gram) else np.zeros(0, np.int64)
+    size = np.diff(np.append(start, len(gram)))
+    out = np.zeros(rows * rows, dtype=np.float32)
+    few = (size > 1) & (size < _MANY)
+    at, n = start[few], size[few]
+    step = max(1, cells // (_MANY * _MANY))
+    for lo in range(0, len(at), step):
+        s, k = at[lo:lo + step], n[lo:lo + step]
+        entry = np.repeat(s, k) + _within(k)
+        a = np.repeat(entry, np.repeat(k, k))
+        b = np.repeat(np.repeat(s, k), np.repeat(k, k)) + _within(np.repeat(k, k))
+        out += np.bincount(own[a] * rows + own[b], minlength=rows * rows).astype(np.float32)
+    out = out.reshape(rows, rows)
+    many = np.flatnonzero(size >= _MANY)
+    width = max(64, cells // max(1, rows))
+    for lo in range(0, len(many), width):
+        part = many[lo:lo + width]
+        held = np.zeros((rows, len(part)), dtype=np.float32)
+        entry = np.repeat(start[part], size[part]) + _within(size[part])
+        held[own[entry], np.repeat(np.arange(len(part)), size[part])] = 1
+        out += held @ held.T
+    np.fill_diagonal(out, np.bincount(own, minlength=rows))
+    return out
+
+
+def _within(counts: np.ndarray) -> np.ndarray:
+    """0, 1, ... inside each run of the given sizes."""
+    return np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
 @dataclass(frozen=True)
 class _Blocks:
     """Bounds of a block: sets, and the sum of the notes' column ``size``; and
@@ -124,7 +163,7 @@ def _after_pivots(edges: DataFrame) -> DataFrame:
 def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Callable[[DataFrame, str], DataFrame],
                        weight: Column | None = None, notes: DataFrame | None = None,
                    active: Callable[[DataFrame], DataFrame] | None = None, block: int | None = None,
-                   block_size: int | None = None, at_once: int | None = None) -> DataFrame:
+                   block_size: int | None = None, at_once: int | None = None, early: bool = False) -> DataFrame:
     """(node, component) of linked sets; sets that link with nothing are left out.
 
     ``near`` holds (bucket, id, root): the sets of every bucket of two or more,
@@ -133,7 +172,8 @@ def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Cal
     needs besides, one row for each set.
     A set meets first the root with the largest sum of ``weight`` (one a row).
     ``active`` may drop rows of (key, a, b, id, side, label, notes) that cannot
-    link with anything in their cell; it gives (key, id).  ``block`` sets meet
+    link with anything in their cell; it gives (key, id).  It looks at the cells
+    of step 3, and with ``early`` at those of step 2 too.  ``block`` sets meet
     in a cell at most, and no more than their ``size`` in the notes sums up to
     ``block_size``, if given.  Cells meet in rounds whose sets' ``size`` sums
     up to about ``at_once``, if given.
@@ -143,6 +183,14 @@ def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Cal
     def met_in(cells: DataFrame, known: DataFrame | None) -> DataFrame:
         found = [stage(_joined(part, known, texts, notes, join), "pivot-edges") for part in blocks.rounds(cells)]
         return reduce(DataFrame.unionAll, found)
+
+    def open_in(cells: DataFrame) -> DataFrame:
+        found = []
+        for part in blocks.rounds(cells):
+            seen = part.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
+            seen = seen if notes is None else seen.join(notes, "id")
+            found.append(stage(active(seen).select("key", "id").distinct(), "pivot-active"))
+        return reduce(DataFrame.unionAll, found).distinct()
     able = F.col("able") if "able" in near.columns else F.lit(True)
     met = near.where((F.col("id") != F.col("root")) & able)
     pairs = stage(met.groupBy("id", F.col("root").alias("pivot"))
@@ -152,7 +200,11 @@ def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Cal
     labels = stage(_after_pivots(edges), "pivot-labels")
 
     rest = _apart(pairs.select("id", "pivot").join(best, ["id", "pivot"], "left_anti"), labels)
-    cells = stage(blocks.cells(stage(rest, "pivot-rest")), "pivot-cells")
+    rest = stage(rest, "pivot-rest")
+    if early and active is not None and not rest.isEmpty():
+        rest = open_in(stage(blocks.cells(rest), "pivot-cells")).where("id <> key").select(F.col("key").alias("pivot"), "id")
+        rest = stage(rest, "pivot-rest")
+    cells = stage(blocks.cells(rest), "pivot-cells")
     if not cells.isEmpty():
         edges = edges.union(met_in(cells, labels))
     classes = stage(connected_components(edges), "pivot-classes")
@@ -170,9 +222,7 @@ def linked_classes(near: DataFrame, texts: DataFrame, join: CellJoin, stage: Cal
     left = stage(near.where("id <> root").join(split, "bucket").select(F.col("bucket").alias("key"), "id"), "pivot-left")
     cells = blocks.pairs(left)
     if active is not None:
-        seen = cells.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
-        seen = seen if notes is None else seen.join(notes, "id")
-        cells = blocks.pairs(stage(active(seen).select("key", "id").distinct(), "pivot-active"))
+        cells = blocks.pairs(stage(open_in(stage(cells, "pivot-cells")), "pivot-active"))
     more = met_in(stage(cells, "pivot-cells"), labels)
     if more.isEmpty():
         return classes
